@@ -10,31 +10,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from tablework.operators.quantiles import approx_quantiles, exact_quantiles
 
 
+def _as_text(df: DataFrame, name: str):
+    """A column as comparable text; -0.0 folds into 0.0 as Spark's grouping
+    does, so text-distinct equals value-distinct."""
+    c = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        c = F.when(c == 0, F.lit(0.0)).otherwise(c)
+    return c.cast("string")
+
+
+def _long_form(df: DataFrame) -> DataFrame:
+    """(column, value-as-text) rows: one generator, no per-column plan."""
+    pairs = [F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value"))
+             for c in df.columns]
+    return df.select(F.inline(F.array(*pairs)))
+
+
 def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column null_count, null_pct (2 digits), distinct_count, most
     nulls first.  Null counts as one distinct value (as ``select(c).distinct()``
-    does).  ``approx=True`` uses HyperLogLog++ (no distinct expansion, the
-    choice for wide tables); exact mode lets Spark expand rows per column
-    and dedup map-side."""
-    cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        ref = F.col(f"`{c}`")
-        dc = F.approx_count_distinct(ref, rsd) if approx else F.count_distinct(ref)
-        aggs += [F.count(ref).alias(f"__c{i}"), dc.alias(f"__d{i}")]
-    wide = df.agg(*aggs)
-    entries = ", ".join(
-        f"'{c.replace(chr(39), chr(39) * 2)}', __c{i}, __d{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr("__n", f"stack({len(cols)}, {entries}) AS (column, nonnull, nd)")
-    null_count = (F.col("__n") - F.col("nonnull")).cast("bigint")
-    return (long.select(
+    does).
+
+    The table is turned into (column, value) rows first, so the plan does
+    not grow with the column count.  Exact: (column, value) pairs are
+    deduplicated map-side and counted per column (a value held by a third of
+    the rows is one row per map task).  ``approx=True``: HyperLogLog++ per
+    column, one partial row per column per task - the choice for very wide
+    or very high-cardinality tables.
+    """
+    if not df.columns:
+        return df.sparkSession.createDataFrame(
+            [], "column string, null_count bigint, null_pct double, distinct_count bigint")
+    long = _long_form(df)
+    if approx:
+        per = long.groupBy("column").agg(
+            F.count(F.lit(1)).alias("n"),
+            (F.count(F.lit(1)) - F.count("value")).alias("null_count"),
+            F.approx_count_distinct("value", rsd).alias("nd"))
+    else:
+        pairs = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+        per = pairs.groupBy("column").agg(
+            F.sum("c").alias("n"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0))
+            .alias("null_count"),
+            F.count("value").alias("nd"))
+    null_count = F.col("null_count").cast("bigint")
+    return (per.select(
                 "column",
                 null_count.alias("null_count"),
-                F.round(F.lit(100.0) * F.try_divide(null_count.cast("double"), F.col("__n")), 2)
+                F.round(F.lit(100.0) * F.try_divide(null_count.cast("double"), F.col("n")), 2)
                 .alias("null_pct"),
                 (F.col("nd") + F.when(null_count > 0, 1).otherwise(0)).cast("bigint")
                 .alias("distinct_count"))

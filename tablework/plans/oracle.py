@@ -110,7 +110,7 @@ delays AS (
   SELECT route_id, {", ".join(c for c in SCHEDULE_COLS if c != "route_id")}, p_on_time, is_disrupted,
          round(CASE WHEN is_disrupted THEN {exponential(_S + 3, *DISRUPTED_SHIFT_SCALE, *_K)}
                     ELSE {clip(normal(_S + 1, *ON_TIME_NORMAL, *_K), *ON_TIME_CLIP)} END, 2)
-           AS delay_minutes,
+           + CAST(0 AS DOUBLE) AS delay_minutes,
          CASE WHEN is_disrupted THEN {choice(_S + 4, DISRUPTION_REASONS, *_K)} END
            AS disruption_reason
   FROM flagged)"""

@@ -33,7 +33,8 @@ def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
 
 
 def r(expr: str, alias: str, digits: int = ROUND) -> str:
-    return f"round({expr}, {digits}) AS {alias}"
+    # "+ 0.0" turns DuckDB's -0.0 into 0.0, as Spark's decimal rounding does
+    return f"(round({expr}, {digits}) + CAST(0 AS DOUBLE)) AS {alias}"
 
 
 Q: dict = {}
@@ -386,7 +387,7 @@ ef AS (SELECT *, {O.u(_S, 'event_id')} > p_on_time AS flag FROM ep)
 SELECT event_id, flag AS is_disrupted,
   round(CASE WHEN flag THEN {O.exponential(_S + 3, *augment.DISRUPTED_SHIFT_SCALE, 'event_id')}
         ELSE {O.clip(O.normal(_S + 1, *augment.ON_TIME_NORMAL, 'event_id'), *augment.ON_TIME_CLIP)}
-        END, 2) AS delay_minutes,
+        END, 2) + CAST(0 AS DOUBLE) AS delay_minutes,
   CASE WHEN flag THEN {O.choice(_S + 4, augment.DISRUPTION_REASONS, 'event_id')} END AS disruption_reason
 FROM ef""")
 def q_augment_delay(spark, sf):
@@ -522,14 +523,19 @@ def q_pruned_lookup(spark, sf):
 
 # ------------------------------------------------------ features, models
 
-INDEX_SQL = f"""{W_DELAYS},
+def index_sql(prefix: str, src: str) -> str:
+    """Indexer twin: rank by count desc then value; null/unseen -> #labels."""
+    return f"""{prefix},
 ri AS (SELECT route_id, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, route_id) - 1 AS route_id_idx
-       FROM delays WHERE route_id IS NOT NULL GROUP BY route_id),
+       FROM {src} WHERE route_id IS NOT NULL GROUP BY route_id),
 ai AS (SELECT agency_id, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, agency_id) - 1 AS agency_id_idx
-       FROM delays WHERE agency_id IS NOT NULL GROUP BY agency_id),
+       FROM {src} WHERE agency_id IS NOT NULL GROUP BY agency_id),
 idx AS (SELECT d.*, CAST(COALESCE(ri.route_id_idx, (SELECT COUNT(*) FROM ri)) AS DOUBLE) AS route_id_idx,
                CAST(COALESCE(ai.agency_id_idx, (SELECT COUNT(*) FROM ai)) AS DOUBLE) AS agency_id_idx
-        FROM delays d LEFT JOIN ri ON d.route_id = ri.route_id LEFT JOIN ai ON d.agency_id = ai.agency_id)"""
+        FROM {src} d LEFT JOIN ri ON d.route_id = ri.route_id LEFT JOIN ai ON d.agency_id = ai.agency_id)"""
+
+
+INDEX_SQL = index_sql(W_DELAYS, "delays")
 
 
 @query("index_categories", f"""{INDEX_SQL} SELECT {KSQL}, route_id, route_id_idx, agency_id,
@@ -539,7 +545,9 @@ def q_index_categories(spark, sf):
     return d.select(*KEYS, "route_id", "route_id_idx", "agency_id", "agency_id_idx")
 
 
-ASSEMBLE_SQL = INDEX_SQL.replace(W_DELAYS, TIME_SQL).replace("FROM delays", "FROM timed3") + f""",
+PREPARED_SQL = index_sql(f"{TIME_SQL}, prepared AS (SELECT * FROM timed3 WHERE delay_minutes IS NOT NULL)",
+                         "prepared")
+ASSEMBLE_SQL = PREPARED_SQL + f""",
 feat AS (SELECT {KSQL}, CAST(arrival_hour_mod AS DOUBLE) AS f_arrival_hour_mod,
                 CAST(is_peak AS DOUBLE) AS f_is_peak, CAST(stop_sequence AS DOUBLE) AS f_stop_sequence,
                 CAST(num_service_days AS DOUBLE) AS f_num_service_days, route_id_idx AS f_route_id_idx,
@@ -653,7 +661,7 @@ def q_metrics_csv(spark, sf):
     return spark.read.option("header", True).schema(schemas.METRICS).csv(path)
 
 
-@query("assembler_skipped", f"""{ASSEMBLE_SQL.split(',' + chr(10) + 'feat AS')[0]}
+@query("assembler_skipped", f"""{PREPARED_SQL}
 SELECT COUNT(*) AS n_rows, COUNT_IF(arrival_hour_mod IS NULL OR is_peak IS NULL OR stop_sequence IS NULL
   OR num_service_days IS NULL OR route_id_idx IS NULL OR agency_id_idx IS NULL OR is_disrupted IS NULL)
   AS n_skipped FROM idx WHERE delay_minutes IS NOT NULL""")
