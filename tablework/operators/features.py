@@ -86,13 +86,26 @@ def prepare(df: DataFrame, label: str = "delay_minutes", leaky: bool = True) ->
     return out
 
 
+def as_ordinal(df: DataFrame, cols) -> DataFrame:
+    """Drop the nominal attribute of index columns: trees then split them as
+    ordered numbers (frequency rank) instead of as category sets."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
                  label: str = "delay_minutes", leaky: bool = True,
                  weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
+                 max_categorical: int | None = 1300,
                  keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
     """Features -> hash split -> indexer (fitted on train by default, on all
     rows with ``index_fit='all'`` as the reference did) -> assembled
-    ``(features, label)`` train and test tables and the feature names."""
+    ``(features, label)`` train and test tables and the feature names.
+
+    An index column with more than ``max_categorical`` labels (default: the
+    reference's bin budget of 1300) is passed as an ordinal feature: a tree
+    needs ``maxBins`` >= categories for a nominal feature, which costs time
+    per node in proportion and overfits when categories hold few rows.
+    """
     from tablework.operators.sampling import split_hash
 
     prepared = prepare(df, label, leaky)
@@ -100,6 +113,11 @@ def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
     model = fit_indexer(train_raw if index_fit == "train" else prepared)
     if model is not None:
         train_raw, test_raw = model.transform(train_raw), model.transform(test_raw)
+        if max_categorical is not None:
+            wide = [out for out, labels in zip(model.getOutputCols(), model.labelsArray)
+                    if len(labels) + 1 > max_categorical]
+            if wide:
+                train_raw, test_raw = as_ordinal(train_raw, wide), as_ordinal(test_raw, wide)
     feats = present_columns(train_raw, CANDIDATE_FEATURES)
     sel = ["features", F.col(label).alias("label"), *keep]
     return (assemble(train_raw, feats).select(*sel),
