@@ -14,6 +14,7 @@ from pyspark.ml.regression import (GBTRegressor, LinearRegression,
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.operators.layout import spread
 from tablework.sources.schemas import METRICS
 
 
@@ -29,15 +30,6 @@ def max_bins_for(df: DataFrame, features: str = "features", floor: int = 32) ->
     return max(floor, most)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give an iterative fit at least one partition per core: a table that
-    arrives in fewer partitions (small files, or AQE coalescing) would run
-    every pass of every tree on a few threads.  Tables that already have
-    enough partitions are left as they are (no shuffle)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def fit_linear(train: DataFrame, max_iter: int = 50, **kw):
     """Linear regression (normal equations up to 4096 features)."""
     return LinearRegression(featuresCol="features", labelCol="label",

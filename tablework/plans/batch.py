@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablework.operators import augment, features, models, star
 from tablework.operators.denorm import denormalise
+from tablework.operators.layout import spread
 from tablework.sources.feeds import read_table, write_star, write_table
 
 
@@ -22,7 +23,7 @@ def write_schedule(feed: dict[str, DataFrame], path: str) -> DataFrame:
     """Ingest: denormalise the feed and write it, clustered by route so
     route reports and lookups read few files (no fixed-count hash
     repartition: AQE sizes the write)."""
-    sched = denormalise(feed["stop_times"], feed["trips"], feed["routes"],
+    sched = denormalise(spread(feed["stop_times"]), feed["trips"], feed["routes"],
                         feed["stops"], feed["calendar"])
     write_table(sched, path, sort_by=["route_id", "trip_id"])
     return read_table(sched.sparkSession, path, step="ingest")
