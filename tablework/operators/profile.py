@@ -25,16 +25,22 @@ def _as_text(df: DataFrame, name: str):
 
 
 def _long_form(df: DataFrame) -> DataFrame:
-    """(column, value-as-text) rows: one generator, no per-column plan."""
+    """(column, value-as-text, w=1) rows from one generator, plus one
+    (column, null, w=0) marker per column so every column appears even in
+    an empty table.  The markers are bounded by the schema width."""
     pairs = [F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value"))
              for c in df.columns]
-    return df.select(F.inline(F.array(*pairs)))
+    rows = df.select(F.inline(F.array(*pairs))).withColumn("w", F.lit(1))
+    markers = df.sparkSession.createDataFrame(
+        [(c,) for c in df.columns], "column string").select(
+        "column", F.lit(None).cast("string").alias("value"), F.lit(0).alias("w"))
+    return rows.unionByName(markers)
 
 
 def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column null_count, null_pct (2 digits), distinct_count, most
     nulls first.  Null counts as one distinct value (as ``select(c).distinct()``
-    does).
+    does); an empty table gives 0 nulls and a null percentage.
 
     The table is turned into (column, value) rows first, so the plan does
     not grow with the column count.  Exact: (column, value) pairs are
@@ -47,17 +53,17 @@ def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> D
         return df.sparkSession.createDataFrame(
             [], "column string, null_count bigint, null_pct double, distinct_count bigint")
     long = _long_form(df)
+    is_null = F.col("value").isNull()
     if approx:
         per = long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.count(F.lit(1)) - F.count("value")).alias("null_count"),
+            F.sum("w").alias("n"),
+            F.sum(F.when(is_null, F.col("w")).otherwise(0)).alias("null_count"),
             F.approx_count_distinct("value", rsd).alias("nd"))
     else:
-        pairs = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+        pairs = long.groupBy("column", "value").agg(F.sum("w").alias("c"))
         per = pairs.groupBy("column").agg(
             F.sum("c").alias("n"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0))
-            .alias("null_count"),
+            F.sum(F.when(is_null, F.col("c")).otherwise(0)).alias("null_count"),
             F.count("value").alias("nd"))
     null_count = F.col("null_count").cast("bigint")
     return (per.select(
