@@ -99,6 +99,24 @@ def q_parquet_roundtrip(spark, sf):
     return feeds.read_table(spark, path, step="augment")
 
 
+@query("stream_delays", f"{W_DELAYS} SELECT * FROM delays")
+def q_stream_delays(spark, sf):
+    # Stop events land as 4 CSV files; the stream takes one file per
+    # micro-batch and appends augmented rows; the result equals the batch.
+    from tablework.streaming import feed as SF
+    st = SI.stop_times(spark, sf)
+    src = shared_scratch(spark, "stop_event_files")
+    st.repartition(4).write.option("header", True).csv(src)
+    stream = SF.read_stop_event_stream(spark, src, "csv", header_columns=st.columns,
+                                       max_files_per_trigger=1)
+    f = SI.feed(spark, sf)
+    out = shared_scratch(spark, "streamed_delays")
+    q = SF.start_delay_sink(SF.stream_delays(stream, f["trips"], f["routes"], f["stops"],
+                                             f["calendar"]), out, out + "_checkpoint")
+    q.awaitTermination()
+    return feeds.read_table(spark, out, step="stream")
+
+
 FACT_SQL = f"""{W_DELAYS},
 fact AS (SELECT {O.hash_id(*KEYS)} AS event_id, trip_id, stop_id, stop_sequence, arrival_time,
                 delay_minutes, CAST(is_disrupted AS INTEGER) AS is_disrupted, disruption_reason
