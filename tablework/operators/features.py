@@ -6,6 +6,7 @@ are the indexer's label lists (one entry per category) and vector metadata.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def assemble(df: DataFrame, feature_cols, out: str = "features",
                            handleInvalid=handle_invalid).transform(df)
 
 
+def feature_pipeline(category_cols=CATEGORY_COLUMNS, feature_cols=CANDIDATE_FEATURES,
+                     out: str = "features") -> Pipeline:
+    """L2: the indexer and the assembler as one ``Pipeline`` (fit, then
+    transform), for callers that keep the fitted stages as one model."""
+    return Pipeline(stages=[
+        StringIndexer(inputCols=list(category_cols),
+                      outputCols=[f"{c}_idx" for c in category_cols],
+                      handleInvalid="keep", stringOrderType="frequencyDesc"),
+        VectorAssembler(inputCols=list(feature_cols), outputCol=out, handleInvalid="skip")])
+
+
 def skipped_rows(df: DataFrame, feature_cols) -> DataFrame:
     """Rows the assembler skips (any null feature), counted in one pass."""
     any_null = F.lit(False)

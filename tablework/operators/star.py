@@ -82,7 +82,7 @@ def orphan_counts(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def clustered(df: DataFrame, cols, partitions: int | None = None,
-              salt_rows: int | None = None) -> DataFrame:
+              salt_rows: int | None = 256) -> DataFrame:
     """N4 layout: range-partition on ``cols`` and sort inside each partition
     so every Parquet file / row group covers a narrow key range and a lookup
     on ``cols[0]`` is pruned by min/max statistics.  ``salt_rows`` adds a

@@ -507,6 +507,16 @@ def q_param_having(spark, sf):
     return rounded(reports.routes_over_threshold(spark, _star(spark, sf), threshold=4.0, k=10))
 
 
+@query("param_having_bucketed", SQL["param_having"])
+def q_param_having_bucketed(spark, sf):
+    # Same report over catalog tables bucketed on trip_id (events and trips
+    # co-partitioned: the event-trip join reads them without a shuffle).
+    import uuid
+    names = feeds.write_star_catalog(_star(spark, sf), f"tw_star_{uuid.uuid4().hex[:10]}", buckets=8)
+    s = {k: spark.table(v) for k, v in names.items()}
+    return rounded(reports.routes_over_threshold(spark, s, threshold=4.0, k=10))
+
+
 @query("param_filter", f"""{STAR_SQL}
 SELECT e.trip_id, e.stop_id, e.delay_minutes, e.disruption_reason
 FROM fact e JOIN dim_trips t ON e.trip_id = t.trip_id

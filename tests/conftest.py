@@ -5,6 +5,7 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 SF001 = "/root/testdata/sf0.001"
@@ -16,7 +17,8 @@ def spark():
     from tablework.session import build_session
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     s = build_session("local[*]", 8, "tablework-tests",
-                      extra={"spark.checkpoint.dir": scratch + "/ckpt"})
+                      extra={"spark.checkpoint.dir": scratch + "/ckpt",
+                             "spark.sql.warehouse.dir": scratch + "/warehouse"})
     yield s
     s.stop()
 

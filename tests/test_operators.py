@@ -182,3 +182,31 @@ def test_star_first_per_key_and_orphans(spark):
     assert (o.orphan_events, o.orphan_trips) == (0, 0)
     s["trips"] = s["trips"].where(F.col("trip_id") == "T1")
     assert star.orphan_counts(s).collect()[0].orphan_events == 1
+
+
+def test_bucketed_star_join_needs_no_shuffle(spark, tmp_dir):
+    from tablework.sources import write_star_catalog
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = spark.range(2000).select(F.col("id").alias("event_id"),
+                                      (F.col("id") % 97).cast("string").alias("trip_id"),
+                                      (F.col("id") % 7).cast("double").alias("delay_minutes"))
+        tr = spark.range(97).select(F.col("id").cast("string").alias("trip_id"),
+                                    (F.col("id") % 5).cast("string").alias("route_id"))
+        names = write_star_catalog({"delay_events": ev, "trips": tr}, "tw_test_star", buckets=4)
+        j = spark.table(names["delay_events"]).join(spark.table(names["trips"]), "trip_id")
+        assert len(j.collect()) == 2000
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "hashpartitioning(trip_id" not in plan  # co-bucketed: no shuffle
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_feature_pipeline_fit_transform(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", None)],
+                               "route_id string, agency_id string, v double")
+    model = features.feature_pipeline(["route_id", "agency_id"], ["route_id_idx", "agency_id_idx", "v"]).fit(df)
+    out = model.transform(df).collect()
+    assert len(out) == 2  # the null feature row is skipped
+    assert {tuple(r.features.toArray()[:2]) for r in out} == {(0.0, 0.0), (0.0, 1.0)}
