@@ -50,13 +50,14 @@ def topk_groups(df: DataFrame, group: str = "route_short_name",
 def value_share(df: DataFrame, col: str) -> DataFrame:
     """Share of each value (``value_counts(normalize=True)``).
 
-    The total is a non-correlated scalar subquery: one extra aggregate job
-    whose single value is inlined, no join.
+    The total is a non-correlated scalar subquery over the grouped counts
+    (one value inlined, no join); its plan repeats the grouping's shuffle,
+    which Spark reuses, so the table is scanned once.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("share", F.try_divide(F.col("n").cast("double"), total))
-              .orderBy(F.desc("n"), F.asc_nulls_last(col)))
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return (counts.withColumn("share", F.try_divide(F.col("n").cast("double"), total))
+                  .orderBy(F.desc("n"), F.asc_nulls_last(col)))
 
 
 def distinct_keys(df: DataFrame, cols) -> DataFrame:

@@ -639,6 +639,15 @@ def _tables(spark, sf):
     return features.model_tables(SI.delays(spark, sf), KEYS)
 
 
+@query("linear_no_leak")
+def q_linear_no_leak(spark, sf):
+    # Without is_disrupted (the label is drawn from it) the other features
+    # carry no signal: R^2 near 0 is the expected result.
+    train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, leaky=False)
+    m = models.fit_linear(train)
+    return models.regression_metrics(m.transform(test))
+
+
 @query("forest_fit")
 def q_forest_fit(spark, sf):
     train, test, _ = _tables(spark, sf)

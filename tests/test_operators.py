@@ -210,3 +210,38 @@ def test_feature_pipeline_fit_transform(spark):
     out = model.transform(df).collect()
     assert len(out) == 2  # the null feature row is skipped
     assert {tuple(r.features.toArray()[:2]) for r in out} == {(0.0, 0.0), (0.0, 1.0)}
+
+
+def _hot(spark, n=30000):
+    # one route / trip holds a third of all rows
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 101).cast("string"))
+        .alias("trip_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 7).cast("string"))
+        .alias("route_short_name"),
+        (F.col("id") % 13).cast("double").alias("delay_minutes"),
+        (F.col("id") % 5 == 0).alias("is_disrupted"),
+        F.col("id").cast("int").alias("stop_sequence"))
+
+
+def test_hot_key_results_stay_whole(spark):
+    df = _hot(spark)
+    stats = {r.route_short_name: r for r in groups.group_stats(df).collect()}
+    assert stats["HOT"].num_records == 10000
+    assert sum(r.num_records for r in stats.values()) == 30000
+    vol = {r.route_short_name: r for r in groups.group_volume(df).collect()}
+    assert vol["HOT"].num_trips == 1 and vol["HOT"].num_stop_events == 10000
+    first = star.first_per_key(df, "trip_id", ["trip_id", "stop_sequence"]).collect()
+    assert {r.trip_id: r.stop_sequence for r in first}["HOT"] == 0
+
+
+def test_clustering_splits_a_hot_key(spark):
+    df = _hot(spark)
+    def hot_parts(lay):
+        return (lay.where(F.col("trip_id") == "HOT")
+                   .select(F.spark_partition_id().alias("p")).distinct().count())
+    salted = star.clustered(df, ["trip_id"], partitions=8)
+    assert hot_parts(salted) >= 2  # the salt lets the range partitioner split the hot trip
+    assert salted.count() == 30000
+    plain = star.clustered(df, ["trip_id"], partitions=8, salt_rows=None)
+    assert hot_parts(plain) == 1 and plain.count() == 30000
