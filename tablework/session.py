@@ -13,9 +13,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "tablework", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tablework", extra: dict | None = None,
+                  checkpoint_if_unset: str | None = None) -> SparkSession:
     """A session tuned for local runs; on a cluster pass the cluster's master
-    and a shuffle-partition count sized to ~128-256 MB per partition."""
+    and a shuffle-partition count sized to ~128-256 MB per partition.
+
+    ``checkpoint_if_unset`` is registered as the checkpoint folder only when
+    the session's configuration names none (local tests and bench)."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
@@ -29,6 +33,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if checkpoint_if_unset and not sc.getCheckpointDir() \
+            and not sc.getConf().get("spark.checkpoint.dir", None):
+        sc.setCheckpointDir(checkpoint_if_unset)
     return spark
 
 

@@ -17,8 +17,8 @@ def spark():
     from tablework.session import build_session
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     s = build_session("local[*]", 8, "tablework-tests",
-                      extra={"spark.checkpoint.dir": scratch + "/ckpt",
-                             "spark.sql.warehouse.dir": scratch + "/warehouse"})
+                      extra={"spark.sql.warehouse.dir": scratch + "/warehouse"},
+                      checkpoint_if_unset=scratch + "/ckpt")
     yield s
     s.stop()
 

@@ -57,7 +57,8 @@ def main(argv):
     from tablework.session import build_session
     import __spark_entry__ as E
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark = build_session("local[8]", 8, extra={"spark.checkpoint.dir": scratch + "/ckpt"})
+    spark = build_session("local[8]", 8, extra={"spark.sql.warehouse.dir": scratch + "/warehouse"},
+                          checkpoint_if_unset=scratch + "/ckpt")
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
