@@ -66,7 +66,7 @@ def assemble(df: DataFrame, feature_cols, out: str = "features",
                            handleInvalid=handle_invalid).transform(df)
 
 
-def feature_pipeline(category_cols=CATEGORY_COLUMNS, feature_cols=CANDIDATE_FEATURES,
+def feature_stages(category_cols=CATEGORY_COLUMNS, feature_cols=CANDIDATE_FEATURES,
                      out: str = "features") -> Pipeline:
     """L2: the indexer and the assembler as one ``Pipeline`` (fit, then
     transform), for callers that keep the fitted stages as one model."""

@@ -203,10 +203,10 @@ def test_bucketed_star_join_needs_no_shuffle(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_feature_pipeline_fit_transform(spark):
+def test_feature_stages_fit_transform(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", None)],
                                "route_id string, agency_id string, v double")
-    model = features.feature_pipeline(["route_id", "agency_id"], ["route_id_idx", "agency_id_idx", "v"]).fit(df)
+    model = features.feature_stages(["route_id", "agency_id"], ["route_id_idx", "agency_id_idx", "v"]).fit(df)
     out = model.transform(df).collect()
     assert len(out) == 2  # the null feature row is skipped
     assert {tuple(r.features.toArray()[:2]) for r in out} == {(0.0, 0.0), (0.0, 1.0)}
