@@ -117,6 +117,14 @@ def q_stream_delays(spark, sf):
     return feeds.read_table(spark, out, step="stream")
 
 
+@query("batch_delays", f"{W_DELAYS} SELECT * FROM delays")
+def q_batch_delays(spark, sf):
+    # The stage hand-overs: feed -> schedule table -> delays table.
+    from tablework.plans import batch
+    sched = batch.write_schedule(SI.feed(spark, sf), shared_scratch(spark, "schedule"))
+    return batch.write_delays(spark, sched, shared_scratch(spark, "delays"))
+
+
 FACT_SQL = f"""{W_DELAYS},
 fact AS (SELECT {O.hash_id(*KEYS)} AS event_id, trip_id, stop_id, stop_sequence, arrival_time,
                 delay_minutes, CAST(is_disrupted AS INTEGER) AS is_disrupted, disruption_reason
@@ -507,6 +515,16 @@ def q_param_having(spark, sf):
     return rounded(reports.routes_over_threshold(spark, _star(spark, sf), threshold=4.0, k=10))
 
 
+@query("batch_star_events", f"""{FACT_SQL} SELECT trip_id, stop_id, stop_sequence, arrival_time,
+  delay_minutes, is_disrupted, disruption_reason FROM fact""")
+def q_batch_star_events(spark, sf):
+    # Star written by the batch stage: unique ids, range-clustered and salted
+    # fact; ids are checked for uniqueness in tests, the rest against SQL.
+    from tablework.plans import batch
+    s = batch.write_star_tables(SI.delays(spark, sf), shared_scratch(spark, "star"))
+    return s["delay_events"].drop("event_id")
+
+
 @query("param_having_bucketed", SQL["param_having"])
 def q_param_having_bucketed(spark, sf):
     # Same report over catalog tables bucketed on trip_id (events and trips
