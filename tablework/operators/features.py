@@ -104,33 +104,46 @@ def as_ordinal(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
-def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
-                 label: str = "delay_minutes", leaky: bool = True,
-                 weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
-                 max_categorical: int | None = 1300,
-                 keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Features -> hash split -> indexer (fitted on train by default, on all
-    rows with ``index_fit='all'`` as the reference did) -> assembled
-    ``(features, label)`` train and test tables and the feature names.
+def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
+                     label: str = "delay_minutes", leaky: bool = True,
+                     weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
+                     max_categorical: int | None = 1300,
+                     keep: tuple = ()) -> tuple[DataFrame, list[str]]:
+    """Features -> hash split column -> indexer (fitted on the train split by
+    default, on all rows with ``index_fit='all'`` as the reference did) ->
+    assembled ``(features, label, split, *keep)`` and the feature names.
 
     An index column with more than ``max_categorical`` labels (default: the
     reference's bin budget of 1300) is passed as an ordinal feature: a tree
     needs ``maxBins`` >= categories for a nominal feature, which costs time
     per node in proportion and overfits when categories hold few rows.
     """
-    from tablework.operators.sampling import split_hash
+    from tablework.operators.sampling import split_column
 
-    prepared = prepare(df, label, leaky)
-    train_raw, test_raw = split_hash(prepared, list(keys), weights, seed)
-    model = fit_indexer(train_raw if index_fit == "train" else prepared)
+    prepared = prepare(df, label, leaky).withColumn(
+        "split", split_column(list(keys), weights, seed))
+    model = fit_indexer(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
     if model is not None:
-        train_raw, test_raw = model.transform(train_raw), model.transform(test_raw)
+        prepared = model.transform(prepared)
         if max_categorical is not None:
             wide = [out for out, labels in zip(model.getOutputCols(), model.labelsArray)
                     if len(labels) + 1 > max_categorical]
             if wide:
-                train_raw, test_raw = as_ordinal(train_raw, wide), as_ordinal(test_raw, wide)
-    feats = present_columns(train_raw, CANDIDATE_FEATURES)
-    sel = ["features", F.col(label).alias("label"), *keep]
-    return (assemble(train_raw, feats).select(*sel),
-            assemble(test_raw, feats).select(*sel), feats)
+                prepared = as_ordinal(prepared, wide)
+    feats = present_columns(prepared, CANDIDATE_FEATURES)
+    out = assemble(prepared, feats).select("features", F.col(label).alias("label"), "split", *keep)
+    return out, feats
+
+
+def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
+                 label: str = "delay_minutes", leaky: bool = True,
+                 weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
+                 max_categorical: int | None = 1300,
+                 keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(train, test, feature names) from :func:`indexed_features`; each part
+    is a filter of the same deterministic split column."""
+    out, feats = indexed_features(df, keys, label, leaky, weights, seed, index_fit,
+                                  max_categorical, keep)
+    train = out.where(F.col("split") == 0).drop("split")
+    test = out.where(F.col("split") == 1).drop("split")
+    return train, test, feats

@@ -39,12 +39,13 @@ def write_model_tables(spark: SparkSession, delays: DataFrame, path: str,
                        keys=("trip_id", "stop_sequence", "stop_id"), leaky: bool = True,
                        index_fit: str = "train") -> tuple[DataFrame, DataFrame, list[str]]:
     """Features: hash split, indexer fitted on train, assembled vectors,
-    written as ``train`` and ``test`` tables."""
-    train, test, names = features.model_tables(delays, keys, leaky=leaky, index_fit=index_fit)
-    write_table(train, f"{path}/train")
-    write_table(test, f"{path}/test")
-    return (read_table(spark, f"{path}/train", step="features"),
-            read_table(spark, f"{path}/test", step="features"), names)
+    written once as one table partitioned by ``split``; train and test are
+    read back by partition pruning."""
+    out, names = features.indexed_features(delays, keys, leaky=leaky, index_fit=index_fit)
+    write_table(out, path, partition_by=["split"])
+    table = read_table(spark, path, step="features")
+    return (table.where("split = 0").drop("split"),
+            table.where("split = 1").drop("split"), names)
 
 
 def run_models(spark: SparkSession, train: DataFrame, test: DataFrame, names,
