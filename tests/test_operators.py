@@ -245,3 +245,11 @@ def test_clustering_splits_a_hot_key(spark):
     assert salted.count() == 30000
     plain = star.clustered(df, ["trip_id"], partitions=8, salt_rows=None)
     assert hot_parts(plain) == 1 and plain.count() == 30000
+
+
+def test_binned_density_is_close_to_exact(spark):
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(rnd.gauss(0, 1),) for _ in range(5000)], "x double")
+    exact = [r.density for r in shapes.density_curve(df, "x", 100).collect()]
+    binned = [r.density for r in shapes.density_curve(df, "x", 100, grid_bins=4096).collect()]
+    assert max(abs(a - b) for a, b in zip(exact, binned)) < 1e-3
