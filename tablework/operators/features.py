@@ -86,14 +86,14 @@ def skipped_rows(df: DataFrame, feature_cols) -> DataFrame:
                   F.count_if(any_null).alias("n_skipped"))
 
 
-def prepare(df: DataFrame, label: str = "delay_minutes", leaky: bool = True) -> DataFrame:
-    """Time features, non-null label, boolean flag as int.  ``leaky=False``
+def prepare(df: DataFrame, label: str = "delay_minutes", leaky_features: bool = True) -> DataFrame:
+    """Time features, non-null label, boolean flag as int.  ``leaky_features=False``
     leaves ``is_disrupted`` out of the features (the label is drawn from
     it, so with it the fit mostly learns the flag)."""
     out = add_time_features(df).where(F.col(label).isNotNull())
     if "is_disrupted" in out.columns:
         out = out.withColumn("is_disrupted", F.col("is_disrupted").cast("int"))
-    if not leaky and "is_disrupted" in out.columns:
+    if not leaky_features and "is_disrupted" in out.columns:
         out = out.drop("is_disrupted")
     return out
 
@@ -105,7 +105,7 @@ def as_ordinal(df: DataFrame, cols) -> DataFrame:
 
 
 def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
-                     label: str = "delay_minutes", leaky: bool = True,
+                     label: str = "delay_minutes", leaky_features: bool = True,
                      weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
                      max_categorical: int | None = 1300,
                      keep: tuple = ()) -> tuple[DataFrame, list[str]]:
@@ -120,7 +120,7 @@ def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id")
     """
     from tablework.operators.sampling import split_column
 
-    prepared = prepare(df, label, leaky).withColumn(
+    prepared = prepare(df, label, leaky_features).withColumn(
         "split", split_column(list(keys), weights, seed))
     model = fit_indexer(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
     if model is not None:
@@ -136,13 +136,13 @@ def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id")
 
 
 def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
-                 label: str = "delay_minutes", leaky: bool = True,
+                 label: str = "delay_minutes", leaky_features: bool = True,
                  weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
                  max_categorical: int | None = 1300,
                  keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
     """(train, test, feature names) from :func:`indexed_features`; each part
     is a filter of the same deterministic split column."""
-    out, feats = indexed_features(df, keys, label, leaky, weights, seed, index_fit,
+    out, feats = indexed_features(df, keys, label, leaky_features, weights, seed, index_fit,
                                   max_categorical, keep)
     train = out.where(F.col("split") == 0).drop("split")
     test = out.where(F.col("split") == 1).drop("split")

@@ -36,12 +36,12 @@ def write_delays(spark: SparkSession, schedule: DataFrame, path: str) -> DataFra
 
 
 def write_model_tables(spark: SparkSession, delays: DataFrame, path: str,
-                       keys=("trip_id", "stop_sequence", "stop_id"), leaky: bool = True,
+                       keys=("trip_id", "stop_sequence", "stop_id"), leaky_features: bool = True,
                        index_fit: str = "train") -> tuple[DataFrame, DataFrame, list[str]]:
     """Features: hash split, indexer fitted on train, assembled vectors,
     written once as one table partitioned by ``split``; train and test are
     read back by partition pruning."""
-    out, names = features.indexed_features(delays, keys, leaky=leaky, index_fit=index_fit)
+    out, names = features.indexed_features(delays, keys, leaky_features=leaky_features, index_fit=index_fit)
     write_table(out, path, partition_by=["split"])
     table = read_table(spark, path, step="features")
     return (table.where("split = 0").drop("split"),

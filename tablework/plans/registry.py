@@ -661,7 +661,7 @@ def _tables(spark, sf):
 def q_linear_no_leak(spark, sf):
     # Without is_disrupted (the label is drawn from it) the other features
     # carry no signal: R^2 near 0 is the expected result.
-    train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, leaky=False)
+    train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, leaky_features=False)
     m = models.fit_linear(train)
     return models.regression_metrics(m.transform(test))
 
