@@ -630,12 +630,14 @@ def _linear(spark, sf):
     return d, models.fit_linear(d, max_iter=50)
 
 
-@query("linear_fit", f"{LIN_SQL} SELECT {r('b0', 'intercept')}, {r('b1', 'slope')} FROM co")
+@query("linear_fit", f"""{LIN_SQL} SELECT {r('b0', 'intercept')}, {r('b1', 'slope')},
+  {r('(SELECT regr_r2(y, x) FROM x)', 'r2')}, (SELECT COUNT(*) FROM x) AS n FROM co""")
 def q_linear_fit(spark, sf):
     d, m = _linear(spark, sf)
-    return rounded(d.agg(F.count(F.lit(1)).alias("_n")).select(
+    return rounded(d.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(float(m.intercept)).alias("intercept"),
-        F.lit(float(m.coefficients[0])).alias("slope")))
+        F.lit(float(m.coefficients[0])).alias("slope"),
+        F.lit(float(m.summary.r2)).alias("r2"), "n"))
 
 
 @query("linear_predict", f"""{LIN_SQL} SELECT {KSQL}, {r('b0 + b1 * x', 'prediction')} FROM x, co""")
