@@ -105,10 +105,13 @@ def moments(df: DataFrame, col: str, median: str = "approx",
 
 def quartiles(df: DataFrame, col: str, method: str = "exact",
               rel_error: float = 0.01) -> tuple[float | None, float | None]:
-    """(Q1, Q3); ``exact`` = ``quantile_cont``, ``approx`` = the
-    reference's ``approxQuantile`` with 1 % rank error."""
+    """(Q1, Q3); ``exact`` = ``quantile_cont``, ``exact_disc`` =
+    ``percentile_disc``, ``approx`` = the reference's ``approxQuantile``
+    with 1 % rank error."""
     if method == "exact":
         q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
+    elif method == "exact_disc":
+        q1, q3 = exact_quantiles(df, col, [0.25, 0.75], discrete=True)
     else:
         q1, q3 = approx_quantiles(df, col, [0.25, 0.75], rel_error)
     return q1, q3

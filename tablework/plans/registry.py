@@ -295,6 +295,15 @@ def q_quartiles_exact(spark, sf):
                          F.count("delay_minutes").alias("n")))
 
 
+@query("quartiles_disc", f"""{W_DELAYS} SELECT quantile_disc(delay_minutes, 0.25) AS q1,
+  quantile_disc(delay_minutes, 0.75) AS q3, COUNT(delay_minutes) AS n FROM delays""")
+def q_quartiles_disc(spark, sf):
+    d = SI.delays(spark, sf)
+    q1, q3 = profile.quartiles(d, "delay_minutes", "exact_disc")
+    return d.agg(F.lit(q1).cast("double").alias("q1"), F.lit(q3).cast("double").alias("q3"),
+                 F.count("delay_minutes").alias("n"))
+
+
 @query("quartiles_approx")
 def q_quartiles_approx(spark, sf):
     d = SI.delays(spark, sf)

@@ -88,6 +88,9 @@ def test_exact_quantiles_with_a_hot_value(spark, leaf_rows):
     got = quantiles.exact_quantiles(df, "x", probs, bins=16, leaf_rows=leaf_rows)
     for p, g in zip(probs, got):
         assert g == pytest.approx(_numpy_like_quantile(vals, p), rel=1e-12, abs=1e-12)
+    disc = quantiles.exact_quantiles(df, "x", probs, bins=16, leaf_rows=leaf_rows, discrete=True)
+    s = sorted(vals)
+    assert disc == [s[max(math.ceil(p * len(s)) - 1, 0)] for p in probs]
 
 
 def test_category_index(spark):
