@@ -52,6 +52,7 @@ def main() -> None:
         spark, sched, shared_scratch(spark, "delays")))
     timed("on_time_rate", lambda: augment.on_time_rate(delays).collect())
     timed("profile_columns", lambda: profile.profile_columns(delays).collect())
+    timed("profile_columns_approx", lambda: profile.profile_columns(delays, approx=True).collect())
     timed("moments_exact_median", lambda: profile.moments(delays, "delay_minutes", "exact").collect())
     timed("iqr_outliers", lambda: profile.iqr_outliers(delays, "delay_minutes", "exact").collect())
     timed("group_stats", lambda: groups.group_stats(delays).collect())

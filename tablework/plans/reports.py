@@ -28,7 +28,7 @@ JOIN {trips} t ON e.trip_id = t.trip_id
 WHERE t.route_id = :route AND e.is_disrupted = 1"""
 
 ON_TIME_SHARE = """
-SELECT 100D * COUNT_IF(delay_minutes BETWEEN :lo AND :hi) / COUNT(*) AS pct_on_time
+SELECT 100D * COUNT_IF(delay_minutes BETWEEN :lo AND :hi) / NULLIF(COUNT(*), 0) AS pct_on_time
 FROM {events}"""
 
 
@@ -55,8 +55,8 @@ def on_time_share(spark: SparkSession, star: dict[str, DataFrame],
                   lo: float = -1.0, hi: float = 5.99) -> DataFrame:
     """Percent of events with delay in [lo, hi] (null delays count in
     the denominator; an empty table gives null)."""
-    return spark.sql(ON_TIME_SHARE.replace("COUNT(*)", "NULLIF(COUNT(*), 0)"),
-                     args={"lo": float(lo), "hi": float(hi)}, events=star["delay_events"])
+    return spark.sql(ON_TIME_SHARE, args={"lo": float(lo), "hi": float(hi)},
+                     events=star["delay_events"])
 
 
 def sample_route(star: dict[str, DataFrame]) -> DataFrame:
