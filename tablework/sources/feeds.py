@@ -67,15 +67,23 @@ def read_table(spark: SparkSession, path: str, step: str | None = None) -> DataF
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None, mode: str = "overwrite") -> str:
+                sort_by: list[str] | None = None, mode: str = "overwrite",
+                rebalance: bool = True) -> str:
     """Parquet sink written by executors.
 
-    ``partition_by`` gives directory pruning for low-cardinality keys;
+    ``partition_by`` gives directory pruning for low-cardinality keys.
+    Written as is, every task would open one file per key value it holds
+    (tasks x values small files); with ``rebalance`` the rows are first
+    grouped by the partition columns with AQE's rebalance, which also
+    splits a value holding a large share of the rows over several tasks.
     ``sort_by`` clusters rows inside each file so Parquet min/max statistics
     prune row groups for lookups on those columns (no extra shuffle: the
     sort is within the partitions the plan already has).
     """
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    out = df
+    if partition_by and rebalance:
+        out = out.hint("rebalance", *partition_by)
+    out = out.sortWithinPartitions(*sort_by) if sort_by else out
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -108,3 +108,22 @@ def test_entry_smoke(spark):
     assert out.columns == ["route_short_name", "num_stop_events", "num_trips"]
     assert len(rows) == 5 and sum(r.num_stop_events for r in rows) == 6000
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_partitioned_write_groups_values_and_splits_a_hot_one(spark, tmp_dir):
+    import glob
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(300000).repartition(8).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 5).cast("string"))
+            .alias("route"), (F.col("id") * 7).alias("v"))
+        counts = {}
+        for rb in (False, True):
+            write_table(df, f"{tmp_dir}/t{rb}", partition_by=["route"], rebalance=rb)
+            counts[rb] = {r: len(glob.glob(f"{tmp_dir}/t{rb}/route={r}/*.parquet"))
+                          for r in ["HOT", "0", "1", "2", "3", "4"]}
+            assert read_table(spark, f"{tmp_dir}/t{rb}").count() == 300000
+        assert all(counts[True][r] < counts[False][r] for r in "01234")
+        assert counts[True]["HOT"] >= 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
