@@ -79,8 +79,11 @@ def q_csv_typed_scan(spark, sf):
     return feeds.read_feed(spark, path, schemas.STOP_TIMES)
 
 
-@query("csv_inferred_scan")
+@query("csv_inferred_scan", """SELECT CAST(o_orderkey AS INTEGER) AS trip_id,
+  CAST(o_custkey AS INTEGER) AS route_id, CAST(o_orderkey % 30 AS INTEGER) AS service_id,
+  o_orderpriority AS trip_headsign, CAST(o_orderkey % 2 AS INTEGER) AS direction_id FROM orders""")
 def q_csv_inferred_scan(spark, sf):
+    # inferSchema as the reference reads dimensions: text ids become numbers
     path = shared_scratch(spark, "trips_csv")
     SI.trips(spark, sf).write.option("header", True).csv(path)
     return feeds.read_feed(spark, path, infer=True)
@@ -216,7 +219,7 @@ def q_attach_group_attr(spark, sf):
     return denorm.attach_group_attr(sched, attrs, "route_id").select(*KEYS, "route_id", "p_on_time")
 
 
-@query("star_orphans", """SELECT CAST(0 AS BIGINT) AS orphan_events, CAST(0 AS BIGINT) AS orphan_trips""")
+@query("star_orphans")  # oracle SQL set with the star twins below
 def q_star_orphans(spark, sf):
     return star.orphan_counts(star.build_star(SI.delays(spark, sf), id_mode="hash"))
 
@@ -498,6 +501,13 @@ dim_trips AS (SELECT trip_id, min(struct_pack(route_id, service_id, trip_headsig
               FROM delays WHERE trip_id IS NOT NULL GROUP BY trip_id)"""
 
 
+SQL["star_orphans"] = f"""{STAR_SQL}
+SELECT (SELECT COUNT(*) FROM fact e WHERE NOT EXISTS
+          (SELECT 1 FROM dim_trips t WHERE t.trip_id = e.trip_id)) AS orphan_events,
+       (SELECT COUNT(*) FROM dim_trips t WHERE NOT EXISTS
+          (SELECT 1 FROM dim_routes r WHERE r.route_id = t.s.route_id)) AS orphan_trips"""
+
+
 @query("dim_routes", f"""{STAR_SQL} SELECT route_id, s.route_short_name AS route_short_name,
   s.agency_id AS agency_id, s.route_type AS route_type FROM dim_routes""")
 def q_dim_routes(spark, sf):
