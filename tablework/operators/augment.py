@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.draws import (choice_by, exponential_by, flag_by,
                                        mixture, normal_by, uniform_by)
-from tablework.functions.scalars import clip
+from tablework.functions.scalars import clip, pct
 
 # Fixed values of the reference's delay model.
 # Disruption labels, in the reference's order:
@@ -80,9 +80,8 @@ def on_time_rate(df: DataFrame, flag: str = "is_disrupted", target_pct: float =
     (the reference's ``filter(~flag)`` drops them from the numerator)."""
     agg = df.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_if(~F.col(flag)).alias("n_on_time"))
-    pct = F.round(F.lit(100.0) * F.try_divide(F.col("n_on_time").cast("double"),
-                                                F.col("n_rows")), 4)
-    return agg.select("n_rows", "n_on_time", pct.alias("pct_on_time"),
+    share = pct("n_on_time", "n_rows", 4)
+    return agg.select("n_rows", "n_on_time", share.alias("pct_on_time"),
                       F.lit(float(target_pct)).alias("target_pct"),
-                      (F.abs(pct - F.lit(float(target_pct))) <= F.lit(float(tolerance_pct)))
+                      (F.abs(share - F.lit(float(target_pct))) <= F.lit(float(tolerance_pct)))
                       .alias("within_tolerance"))

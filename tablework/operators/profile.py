@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tablework.functions.scalars import pct
 from tablework.operators.quantiles import approx_quantiles, exact_quantiles
 
 
@@ -69,8 +70,7 @@ def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> D
     return (per.select(
                 "column",
                 null_count.alias("null_count"),
-                F.round(F.lit(100.0) * F.try_divide(null_count.cast("double"), F.col("n")), 2)
-                .alias("null_pct"),
+                pct(null_count, "n").alias("null_pct"),
                 (F.col("nd") + F.when(null_count > 0, 1).otherwise(0)).cast("bigint")
                 .alias("distinct_count"))
             .orderBy(F.desc_nulls_last("null_pct"), "column"))
@@ -137,8 +137,7 @@ def iqr_outliers(df: DataFrame, col: str, method: str = "exact",
         q1c.cast("double").alias("q1"), q3c.cast("double").alias("q3"),
         iqr.cast("double").alias("iqr"), lo.cast("double").alias("lower"),
         hi.cast("double").alias("upper"), "n_outliers", "n_rows",
-        F.round(F.lit(100.0) * F.try_divide(F.col("n_outliers").cast("double"),
-                                            F.col("n_rows")), 2).alias("outlier_pct"))
+        pct("n_outliers", "n_rows").alias("outlier_pct"))
 
 
 def outlier_rows(df: DataFrame, col: str, lower: float, upper: float) -> DataFrame:
