@@ -127,3 +127,16 @@ def test_partitioned_write_groups_values_and_splits_a_hot_one(spark, tmp_dir):
         assert counts[True]["HOT"] >= 2
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_bounded_broadcast_refuses_a_dimension_over_the_bound(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = denormalise(*_feed(spark), broadcast_rows=10)
+        big = denormalise(*_feed(spark), broadcast_rows=0)  # every dimension has rows
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert big.count() == small.count() == 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
