@@ -20,9 +20,9 @@ from tablework.sources.feeds import read_table, write_star, write_table
 
 
 def write_schedule(feed: dict[str, DataFrame], path: str) -> DataFrame:
-    """Ingest: denormalise the feed and write it, clustered by route so
-    route reports and lookups read few files (no fixed-count hash
-    repartition: AQE sizes the write)."""
+    """Ingest: denormalise the feed and write it sorted by route and trip
+    within each file, so Parquet row-group statistics narrow route and trip
+    lookups (no fixed-count hash repartition: AQE sizes the write)."""
     sched = denormalise(spread(feed["stop_times"]), feed["trips"], feed["routes"],
                         feed["stops"], feed["calendar"])
     write_table(sched, path, sort_by=["route_id", "trip_id"])
@@ -40,9 +40,11 @@ def write_model_tables(spark: SparkSession, delays: DataFrame, path: str,
                        index_fit: str = "train") -> tuple[DataFrame, DataFrame, list[str]]:
     """Features: hash split, indexer fitted on train, assembled vectors,
     written once as one table partitioned by ``split``; train and test are
-    read back by partition pruning."""
-    out, names = features.indexed_features(delays, keys, leaky_features=leaky_features, index_fit=index_fit)
-    write_table(out, path, partition_by=["split"])
+    read back by partition pruning.  ``split`` has two values, so each task
+    writes at most two files and no rebalance shuffle is needed."""
+    out, names = features.indexed_features(delays, keys, leaky_features=leaky_features,
+                                           index_fit=index_fit)
+    write_table(out, path, partition_by=["split"], rebalance=False)
     table = read_table(spark, path, step="features")
     return (table.where("split = 0").drop("split"),
             table.where("split = 1").drop("split"), names)
