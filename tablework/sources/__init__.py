@@ -1,8 +1,8 @@
-from tablework.sources.feeds import (read_feed, read_table, row_gate,
+from tablework.sources.feeds import (read_feed, read_feed_folder, read_table, row_gate,
                                     typed_projection, write_metrics,
                                     write_star, write_star_catalog,
                                     write_star_jdbc, write_table)
 from tablework.sources import schemas
 
-__all__ = ["read_feed", "read_table", "row_gate", "typed_projection",
+__all__ = ["read_feed", "read_feed_folder", "read_table", "row_gate", "typed_projection",
            "write_metrics", "write_star", "write_star_catalog", "write_star_jdbc", "write_table", "schemas"]

@@ -55,6 +55,15 @@ def read_feed(spark: SparkSession, path: str, schema: StructType | None = None,
     return typed_projection(raw, schema, keep_extra=keep_extra)
 
 
+def read_feed_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The five timetable files of a feed folder (``stop_times.txt``,
+    ``trips.txt``, ``routes.txt``, ``stops.txt``, ``calendar.txt``), each
+    bound to its declared schema by header name."""
+    from tablework.sources.schemas import FEED_SCHEMAS
+    return {name: read_feed(spark, f"{folder.rstrip('/')}/{name}.txt", schema)
+            for name, schema in FEED_SCHEMAS.items()}
+
+
 def read_table(spark: SparkSession, path: str, step: str | None = None) -> DataFrame:
     """S3 + S9: Parquet scan; a missing input names the step that makes it."""
     try:
