@@ -55,13 +55,29 @@ def read_feed(spark: SparkSession, path: str, schema: StructType | None = None,
     return typed_projection(raw, schema, keep_extra=keep_extra)
 
 
+REQUIRED_FEED_FILES = ("stop_times", "trips")
+
+
 def read_feed_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The five timetable files of a feed folder (``stop_times.txt``,
     ``trips.txt``, ``routes.txt``, ``stops.txt``, ``calendar.txt``), each
-    bound to its declared schema by header name."""
+    bound to its declared schema by header name.  A missing dimension file
+    gives an empty table of its schema (its left join then yields nulls);
+    a missing stop-times or trips file is an error naming the file."""
     from tablework.sources.schemas import FEED_SCHEMAS
-    return {name: read_feed(spark, f"{folder.rstrip('/')}/{name}.txt", schema)
-            for name, schema in FEED_SCHEMAS.items()}
+    out = {}
+    for name, schema in FEED_SCHEMAS.items():
+        path = f"{folder.rstrip('/')}/{name}.txt"
+        try:
+            df = read_feed(spark, path, schema)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+                raise
+            if name in REQUIRED_FEED_FILES:
+                raise FileNotFoundError(f"{path} not found: the feed needs it") from e
+            df = spark.createDataFrame([], schema)
+        out[name] = df
+    return out
 
 
 def read_table(spark: SparkSession, path: str, step: str | None = None) -> DataFrame:

@@ -6,24 +6,30 @@ import os
 from conftest import write_text
 
 
-def _feed(folder):
-    write_text(f"{folder}/stop_times.txt", "trip_id,arrival_time,departure_time,stop_id,stop_sequence\n" + "".join(
-        f"T{t},{h:02d}:10:00,{h:02d}:11:00,S{s},{q}\n"
-        for t in range(40) for q, (s, h) in enumerate([(t % 5, 6 + t % 20), ((t + 1) % 5, 25)], 1)))
-    write_text(f"{folder}/trips.txt", "route_id,trip_id,service_id,trip_headsign,direction_id\n" + "".join(
-        f"R{t % 4},T{t},C{t % 3},to {t % 4},{t % 2}\n" for t in range(40)))
-    write_text(f"{folder}/routes.txt", "route_id,route_short_name,agency_id,route_type\n" + "".join(
-        f"R{r},{r}A,AG{r % 2},3\n" for r in range(4)))
-    write_text(f"{folder}/stops.txt", "stop_id,stop_name\n" + "".join(f"S{s},stop {s}\n" for s in range(5)))
-    write_text(f"{folder}/calendar.txt",
-               "service_id,monday,tuesday,wednesday,thursday,friday,saturday,sunday\n"
-               "C0,1,1,1,1,1,0,0\nC1,1,1,1,1,1,1,1\n")  # C2 has no calendar row
+def _write_feed(folder, skip=()):
+    files = {
+        "stop_times": "trip_id,arrival_time,departure_time,stop_id,stop_sequence\n" + "".join(
+            f"T{t},{h:02d}:10:00,{h:02d}:11:00,S{s},{q}\n"
+            for t in range(40) for q, (s, h) in enumerate([(t % 5, 6 + t % 20), ((t + 1) % 5, 25)], 1)),
+        "trips": "route_id,trip_id,service_id,trip_headsign,direction_id\n" + "".join(
+            f"R{t % 4},T{t},C{t % 3},to {t % 4},{t % 2}\n" for t in range(40)),
+        "routes": "route_id,route_short_name,agency_id,route_type\n" + "".join(
+            f"R{r},{r}A,AG{r % 2},3\n" for r in range(4)),
+        "stops": "stop_id,stop_name\n" + "".join(f"S{s},stop {s}\n" for s in range(5)),
+        # service C2 has no calendar row
+        "calendar": "service_id,monday,tuesday,wednesday,thursday,friday,saturday,sunday\n"
+                    "C0,1,1,1,1,1,0,0\nC1,1,1,1,1,1,1,1\n",
+    }
+    for name, body in files.items():
+        if name not in skip:
+            write_text(f"{folder}/{name}.txt", body)
+    return folder
 
 
 def test_stage_commands(spark, tmp_dir):
     from tablework.__main__ import main
     feed, out = f"{tmp_dir}/feed", f"{tmp_dir}/out"
-    _feed(feed)
+    _write_feed(feed)
     r = main(["ingest", "--feed", feed, "--out", f"{out}/schedule", "--min-rows", "50"], spark, 0)
     assert r["gate"].first().n_rows == 80 and r["gate"].first().ok
     assert sum(x.num_stop_events for x in r["volume"].collect()) == 80
@@ -42,3 +48,19 @@ def test_stage_commands(spark, tmp_dir):
     r = main(["star", "--src", f"{out}/delays", "--out", f"{out}/star", "--threshold", "0"], spark, 0)
     assert r["on_time_share"].first().pct_on_time is not None
     assert os.path.isdir(f"{out}/star/delay_events")
+
+
+def test_feed_folder_without_optional_files(spark, tmp_dir):
+    import pytest
+    from tablework.sources import read_feed_folder
+    from tablework.plans import batch
+    feed = f"{tmp_dir}/no_calendar"
+    _write_feed(feed, skip=("calendar",))
+    f = read_feed_folder(spark, feed)
+    assert f["calendar"].count() == 0
+    sched = batch.write_schedule(f, f"{tmp_dir}/schedule")
+    assert sched.count() == 80 and sched.where("monday IS NOT NULL").count() == 0
+    no_trips = f"{tmp_dir}/no_trips"
+    _write_feed(no_trips, skip=("trips",))
+    with pytest.raises(FileNotFoundError, match="trips"):
+        read_feed_folder(spark, no_trips)
