@@ -70,3 +70,12 @@ def test_distinct_profile_is_not_one_wide_aggregate(spark):
     p = plan_of(profile.profile_columns(d))
     assert "Expand" not in p  # long form: no per-column distinct expansion
     assert "Generate" in p and "inline" in p
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    from tablework.operators.layout import spread
+    wide = spark.range(1000).repartition(16)
+    assert spread(wide, 8) is wide  # enough partitions: no shuffle added
+    narrow = spark.range(1000).coalesce(1)
+    out = spread(narrow, 8)
+    assert out.rdd.getNumPartitions() == 8 and out.count() == 1000
