@@ -31,6 +31,8 @@ def _args(argv):
     p = sub.add_parser("profile")
     p.add_argument("--src", required=True)
     p.add_argument("--approx", action="store_true")
+    p.add_argument("--auto", type=int, default=None, metavar="EXACT_LIMIT",
+                   help="HLL for all columns, exact counts for those under the limit")
     p = sub.add_parser("features")
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)
@@ -64,7 +66,8 @@ def main(argv=None, spark: SparkSession | None = None, preview: int = 20) -> dic
         out["on_time"] = augment.on_time_rate(delays)
     elif a.stage == "profile":
         d = read_table(spark, a.src, step="augment")
-        out["profile"] = profile.profile_columns(d, approx=a.approx)
+        out["profile"] = (profile.profile_columns_auto(d, a.auto) if a.auto
+                          else profile.profile_columns(d, approx=a.approx))
         out["describe"] = profile.describe_numeric(d, "delay_minutes")
         out["moments"] = profile.moments(d, "delay_minutes")
         out["outliers"] = profile.iqr_outliers(d, "delay_minutes")

@@ -38,6 +38,26 @@ def _long_form(df: DataFrame) -> DataFrame:
     return rows.unionByName(markers)
 
 
+def profile_columns_auto(df: DataFrame, exact_limit: int = 1_000_000,
+                         rsd: float = 0.01) -> DataFrame:
+    """G3 for very large tables: one HyperLogLog pass estimates every
+    column; columns estimated at or under ``exact_limit`` distinct values are
+    then counted exactly (their (column, value) shuffle is small), the rest
+    keep the estimate.  ``distinct_exact`` says which.  Only one row per
+    column reaches the driver between the passes."""
+    est = profile_columns(df, approx=True, rsd=rsd)
+    rows = est.select("column", "distinct_count").collect()
+    exact_cols = [r["column"] for r in rows if r["distinct_count"] <= exact_limit]
+    approx_part = est.where(~F.col("column").isin(exact_cols)) \
+        .withColumn("distinct_exact", F.lit(False))
+    if not exact_cols:
+        return approx_part.orderBy(F.desc_nulls_last("null_pct"), "column")
+    exact_part = profile_columns(df.select(*[F.col(f"`{c}`") for c in exact_cols])) \
+        .withColumn("distinct_exact", F.lit(True))
+    return (exact_part.unionByName(approx_part)
+            .orderBy(F.desc_nulls_last("null_pct"), "column"))
+
+
 def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column null_count, null_pct (2 digits), distinct_count, most
     nulls first.  Null counts as one distinct value (as ``select(c).distinct()``

@@ -256,3 +256,14 @@ def test_binned_density_is_close_to_exact(spark):
     exact = [r.density for r in shapes.density_curve(df, "x", 100).collect()]
     binned = [r.density for r in shapes.density_curve(df, "x", 100, grid_bins=4096).collect()]
     assert max(abs(a - b) for a, b in zip(exact, binned)) < 1e-3
+
+
+def test_profile_auto_counts_small_columns_exactly(spark):
+    df = spark.range(5000).select(F.col("id").alias("big"), (F.col("id") % 7).alias("small"),
+                                  F.when(F.col("id") % 2 == 0, F.lit("x")).alias("half_null"))
+    got = {r.column: r for r in profile.profile_columns_auto(df, exact_limit=100).collect()}
+    assert got["small"].distinct_exact and got["small"].distinct_count == 7
+    assert got["half_null"].distinct_exact and got["half_null"].distinct_count == 2
+    assert got["half_null"].null_count == 2500
+    assert not got["big"].distinct_exact
+    assert abs(got["big"].distinct_count - 5000) < 5000 * 0.05
