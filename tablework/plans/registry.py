@@ -241,6 +241,12 @@ def q_profile_columns(spark, sf):
     return profile.profile_columns(SI.delays(spark, sf))
 
 
+@query("profile_columns_auto",
+       f"SELECT *, TRUE AS distinct_exact FROM ({_profile_sql(O.DELAY_COLS)}) p")
+def q_profile_columns_auto(spark, sf):
+    return profile.profile_columns_auto(SI.delays(spark, sf), exact_limit=1_000_000)
+
+
 @query("profile_columns_approx")
 def q_profile_columns_approx(spark, sf):
     return profile.profile_columns(SI.delays(spark, sf), approx=True)
