@@ -5,7 +5,7 @@
     python -m tablework profile  --src DIR/delays
     python -m tablework features --src DIR/delays --out DIR/model
     python -m tablework models   --src DIR/model --metrics DIR/metrics [--train-fraction 0.25]
-    python -m tablework star     --src DIR/delays --out DIR/star [--threshold 5.0]
+    python -m tablework star     --src DIR/delays --out DIR/star [--threshold 5.0] [--fraction 0.02]
 
 Each stage reads the previous stage's Parquet table.  Reports print a
 bounded preview (``show``); full results stay in DataFrames / tables.
@@ -45,6 +45,8 @@ def _args(argv):
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--threshold", type=float, default=5.0)
+    p.add_argument("--fraction", type=float, default=1.0,
+                   help="export a keyed hash sample (the reference used 0.02)")
     return ap.parse_args(argv)
 
 
@@ -86,7 +88,8 @@ def main(argv=None, spark: SparkSession | None = None, preview: int = 20) -> dic
         out["comparison"] = comparison
         out["best"] = models.best_model(comparison)
     elif a.stage == "star":
-        s = batch.write_star_tables(read_table(spark, a.src, step="augment"), a.out)
+        s = batch.write_star_tables(read_table(spark, a.src, step="augment"), a.out,
+                                    fraction=a.fraction)
         out["over_threshold"] = reports.routes_over_threshold(spark, s, a.threshold)
         route = reports.sample_route(s).first()["route_id"]
         out["disrupted"] = reports.disrupted_events_for_route(spark, s, route, limit=10)

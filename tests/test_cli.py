@@ -64,3 +64,14 @@ def test_feed_folder_without_optional_files(spark, tmp_dir):
     _write_feed(no_trips, skip=("trips",))
     with pytest.raises(FileNotFoundError, match="trips"):
         read_feed_folder(spark, no_trips)
+
+
+def test_star_sample_fraction(spark, tmp_dir):
+    from tablework.plans import batch, standins as SI
+    from tablework.operators import star
+    from conftest import SF001
+    d = SI.delays(spark, SF001)
+    s = batch.write_star_tables(d, f"{tmp_dir}/star", fraction=0.25)
+    n = s["delay_events"].count()
+    assert 0.2 * 6000 < n < 0.3 * 6000
+    assert star.orphan_counts(s).first().orphan_events == 0
