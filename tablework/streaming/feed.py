@@ -29,8 +29,11 @@ def read_stop_event_stream(spark: SparkSession, folder: str, fmt: str = "csv",
     """A streaming DataFrame of stop events.
 
     CSV: the file header names the columns (``header_columns`` gives them in
-    file order, all read as text), then the declared schema is applied by
-    name.  Parquet: ``schema`` is the files' own schema.
+    file order, all read as text; every file's header is validated against
+    it), then the declared schema is applied by name.  Parquet: ``schema``
+    is the files' own schema.  For a large trips table, size micro-batches
+    with ``max_files_per_trigger`` so each batch's join amortises the
+    static side.
     """
     reader = spark.readStream
     if max_files_per_trigger:
@@ -38,7 +41,11 @@ def read_stop_event_stream(spark: SparkSession, folder: str, fmt: str = "csv",
     if fmt == "csv":
         cols = header_columns or [f.name for f in STOP_TIMES.fields]
         text = StructType([StructField(c, StringType(), True) for c in cols])
-        raw = reader.schema(text).option("header", True).csv(folder)
+        # enforceSchema=false: each file's header is checked against the
+        # column names, so a file in another column order fails loudly
+        # instead of binding values to the wrong columns.
+        raw = (reader.schema(text).option("header", True)
+               .option("enforceSchema", False).csv(folder))
         return typed_projection(raw, STOP_TIMES)
     return reader.schema(schema).parquet(folder)
 

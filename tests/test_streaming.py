@@ -54,3 +54,15 @@ def test_two_rounds_equal_batch(spark, tmp_dir):
     assert got.count() == 70  # the orphan stop event (trip T99) is dropped
     assert sorted(map(tuple, got.select(*cols).collect())) == \
         sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_reordered_file_header_fails_loudly(spark, tmp_dir):
+    import pytest
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    trips, routes, stops, cal = _dims(spark)
+    write_text(f"{src}/a.csv", "trip_id,stop_id,stop_sequence,arrival_time\nT1,S1,1,08:00:00\n")
+    stream = read_stop_event_stream(spark, src, "csv",
+                                    header_columns=["stop_id", "trip_id", "stop_sequence", "arrival_time"])
+    q = start_delay_sink(stream_delays(stream, trips, routes, stops, cal), out, f"{tmp_dir}/ckpt")
+    with pytest.raises(Exception):
+        q.awaitTermination()
