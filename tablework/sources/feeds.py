@@ -46,7 +46,10 @@ def read_feed(spark: SparkSession, path: str, schema: StructType | None = None,
     and ``infer=True``: Spark's ``inferSchema`` (S2 as the reference does it;
     note it turns id ``001`` into 1).  No schema, no inference: all text.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    # enforceSchema=false: in a folder of several files, each file's header
+    # is checked against the column names instead of binding by position.
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+              .option("enforceSchema", False))
     if schema is None and infer:
         return reader.option("inferSchema", True).csv(path)
     raw = reader.csv(path)  # all StringType, names from the header

@@ -140,3 +140,14 @@ def test_bounded_broadcast_refuses_a_dimension_over_the_bound(spark):
         assert big.count() == small.count() == 6
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_folder_of_files_with_different_header_orders_is_refused(spark, tmp_dir):
+    write_text(f"{tmp_dir}/feed/a.csv", "trip_id,stop_id\nT1,S1\n")
+    write_text(f"{tmp_dir}/feed/b.csv", "stop_id,trip_id\nS2,T2\n")
+    with pytest.raises(Exception):
+        read_feed(spark, f"{tmp_dir}/feed", schemas.STOP_TIMES).collect()
+    write_text(f"{tmp_dir}/ok/a.csv", "trip_id,stop_id\nT1,S1\n")
+    write_text(f"{tmp_dir}/ok/b.csv", "trip_id,stop_id\nT2,S2\n")
+    got = sorted((r.trip_id, r.stop_id) for r in read_feed(spark, f"{tmp_dir}/ok", schemas.STOP_TIMES).collect())
+    assert got == [("T1", "S1"), ("T2", "S2")]
