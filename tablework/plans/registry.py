@@ -226,27 +226,38 @@ def q_star_orphans(spark, sf):
 # ------------------------------------------------------------ aggregates
 
 
-def _profile_sql(cols):
+def _profile_sql(cols, prefix: str | None = None, src: str = "delays"):
     aggs = ", ".join(f"COUNT({c}) AS c_{c}, COUNT(DISTINCT {c}) AS d_{c}" for c in cols)
     rows = " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", n - c_{c} AS null_count, "
         f"round(CAST(100 AS DOUBLE) * (n - c_{c}) / n, 2) AS null_pct, "
         f"d_{c} + CASE WHEN n - c_{c} > 0 THEN 1 ELSE 0 END AS distinct_count FROM a"
         for c in cols)
-    return f"{W_DELAYS}, a AS (SELECT COUNT(*) AS n, {aggs} FROM delays) {rows}"
+    head = f"{prefix}, " if prefix else "WITH "
+    return f"{head}a AS (SELECT COUNT(*) AS n, {aggs} FROM {src}) {rows}"
 
 
-@query("profile_columns", _profile_sql(O.DELAY_COLS))
+@query("profile_columns", _profile_sql(O.DELAY_COLS, W_DELAYS))
 def q_profile_columns(spark, sf):
     return profile.profile_columns(SI.delays(spark, sf))
 
 
 @query("profile_columns_auto",
-       f"SELECT *, TRUE AS distinct_exact FROM ({_profile_sql(O.DELAY_COLS)}) p")
+       f"SELECT *, TRUE AS distinct_exact FROM ({_profile_sql(O.DELAY_COLS, W_DELAYS)}) p")
 def q_profile_columns_auto(spark, sf):
     return profile.profile_columns_auto(SI.delays(spark, sf), exact_limit=1_000_000)
 
 
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+SQL["profile_events"] = _profile_sql(EVENT_COLS, src="events")
+
+
+@query("profile_events")
+def q_profile_events(spark, sf):
+    # a raw given table, timestamp and JSON text columns included
+    return profile.profile_columns(SI.table(spark, sf, "events"))
+
+
 @query("profile_columns_approx")
 def q_profile_columns_approx(spark, sf):
     return profile.profile_columns(SI.delays(spark, sf), approx=True)
