@@ -267,3 +267,12 @@ def test_profile_auto_counts_small_columns_exactly(spark):
     assert got["half_null"].null_count == 2500
     assert not got["big"].distinct_exact
     assert abs(got["big"].distinct_count - 5000) < 5000 * 0.05
+
+
+def test_shapes_on_an_all_null_column(spark):
+    df = spark.createDataFrame([(None,), (None,)], "x double")
+    assert shapes.histogram(df, "x").collect() == []
+    assert shapes.density_curve(df, "x").collect() == []
+    one = spark.createDataFrame([(2.5,), (2.5,)], "x double")
+    h = shapes.histogram(one, "x").collect()
+    assert [(r.bin, r.n) for r in h] == [(0, 2)]  # a constant column is one bin
