@@ -36,7 +36,9 @@ def _kth_values(base: DataFrame, n: int, lo: float, hi: float, ranks: set[int],
             if r_lo == r_hi:
                 for k in rks:
                     found[k] = r_lo
-            elif cnt <= leaf_rows:
+            elif cnt <= leaf_rows or (r_hi - r_lo) / bins == 0.0:
+                # small range, or one so narrow that bins would underflow
+                # (it then holds only a few distinct doubles): read it
                 leaves.append(r)
             else:
                 passes.append(r)

@@ -276,3 +276,17 @@ def test_shapes_on_an_all_null_column(spark):
     one = spark.createDataFrame([(2.5,), (2.5,)], "x double")
     h = shapes.histogram(one, "x").collect()
     assert [(r.bin, r.n) for r in h] == [(0, 2)]  # a constant column is one bin
+
+
+def test_exact_quantiles_on_values_a_few_ulps_apart(spark):
+    import sys
+    tiny = sys.float_info.min * 1e-10  # subnormal spacing
+    vals = [0.0] * 50 + [tiny] * 30 + [2 * tiny] * 20
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = quantiles.exact_quantiles(df, "x", [0.5, 0.9], bins=4, leaf_rows=1)
+    s = sorted(vals)
+    assert got[0] == s[49] + (s[50] - s[49]) * 0.5
+    pos = 0.9 * 99
+    assert got[1] == s[89] + (s[90] - s[89]) * (pos - 89)
+    assert quantiles.exact_quantiles(df, "x", [0.9], bins=4, leaf_rows=1, discrete=True) == \
+        [s[max(math.ceil(0.9 * len(s)) - 1, 0)]]
