@@ -89,11 +89,12 @@ def _kth_values(base: DataFrame, n: int, lo: float, hi: float, ranks: set[int],
 
 def exact_quantiles(df: DataFrame, col: str, probs, bins: int = 1024,
                     leaf_rows: int = 200_000, discrete: bool = False) -> list[float | None]:
-    """Exact quantiles of ``col`` (nulls ignored) for each probability;
+    """Exact quantiles of ``col`` (nulls and NaN ignored) for each probability;
     ``None`` for an empty column.  Default: ``quantile_cont`` (linear
     interpolation).  ``discrete=True``: ``percentile_disc`` /
     ``quantile_disc``, the value at rank ``max(ceil(p*n) - 1, 0)``."""
-    base = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    base = df.select(F.col(col).cast("double").alias("x")).where(
+        F.col("x").isNotNull() & ~F.isnan("x"))
     st = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"),
                   F.max("x").alias("mx")).first()
     n = st["n"]

@@ -290,3 +290,8 @@ def test_exact_quantiles_on_values_a_few_ulps_apart(spark):
     assert got[1] == s[89] + (s[90] - s[89]) * (pos - 89)
     assert quantiles.exact_quantiles(df, "x", [0.9], bins=4, leaf_rows=1, discrete=True) == \
         [s[max(math.ceil(0.9 * len(s)) - 1, 0)]]
+
+
+def test_exact_quantiles_ignore_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
+    assert quantiles.exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [1.0, 2.0, 3.0]
