@@ -17,6 +17,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     The max value falls in the last bin; a constant column is one bin.
     """
     x = F.col(col).cast("double")
+    df = df.where(x.isNotNull() & ~F.isnan(x))  # NaN, like null, has no bin
     st = df.agg(F.struct(F.min(x).alias("mn"), F.max(x).alias("mx")).alias("s")).scalar()
     mn, mx = st.getField("mn"), st.getField("mx")
     width = (mx - mn) / F.lit(float(bins))
@@ -47,7 +48,7 @@ def density_curve(df: DataFrame, col: str, points: int = 200, cut: float = 3.0,
     value moves by at most half a cell (choose cells much narrower than h).
     """
     x = F.col(col).cast("double")
-    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    base = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     st = base.agg(F.struct(
         F.count(F.lit(1)).alias("n"), F.stddev("x").alias("sd"),
         F.min("x").alias("mn"), F.max("x").alias("mx")).alias("s")).scalar()

@@ -295,3 +295,10 @@ def test_exact_quantiles_on_values_a_few_ulps_apart(spark):
 def test_exact_quantiles_ignore_nan(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
     assert quantiles.exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [1.0, 2.0, 3.0]
+
+
+def test_shapes_ignore_nan(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(10)] + [(float("nan"),)], "x double")
+    h = shapes.histogram(df, "x", 5).collect()
+    assert sum(r.n for r in h) == 10 and h[-1].bin_hi == 9.0
+    assert len(shapes.density_curve(df, "x", 20).collect()) == 20
