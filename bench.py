@@ -18,7 +18,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tablework.operators import augment, groups, models, profile, shapes  # noqa: E402
 from tablework.plans import batch, reports, standins  # noqa: E402

@@ -5,7 +5,7 @@ import glob
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tablework.operators import features, models, profile, quantiles
+from tablework.operators import features, models, profile
 from tablework.plans import standins as SI
 from tablework.session import shared_scratch
 from tablework.sources import write_metrics

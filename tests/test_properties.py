@@ -4,7 +4,6 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tablework.functions import scalars
 from tablework.operators import quantiles, sampling

@@ -3,7 +3,6 @@ its checkpoint, give exactly the batch result (no file skipped or repeated)."""
 
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import write_text
 from tablework.operators.augment import augment_delays
