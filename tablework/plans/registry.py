@@ -352,6 +352,14 @@ def q_group_stats(spark, sf):
     return rounded(groups.group_stats(SI.delays(spark, sf)))
 
 
+@query("group_stats_events", f"""{W_EV} SELECT event_type, COUNT(*) AS num_records,
+  {r('AVG(delay_minutes)', 'avg_delay')}, {r('STDDEV_SAMP(delay_minutes)', 'stddev_delay')},
+  CAST(SUM(CAST(is_disrupted AS INTEGER)) AS BIGINT) AS num_disrupted
+FROM events_delay GROUP BY event_type""")
+def q_group_stats_events(spark, sf):
+    return rounded(groups.group_stats(SI.events_delay(spark, sf), "event_type"))
+
+
 @query("topk_groups", f"""{W_DELAYS} SELECT route_short_name, {r('AVG(delay_minutes)', 'avg_delay')},
   COUNT(*) AS n FROM delays GROUP BY route_short_name HAVING COUNT(*) > 100
   ORDER BY AVG(delay_minutes) DESC, route_short_name LIMIT 10""")
