@@ -381,6 +381,13 @@ def q_value_share_reason(spark, sf):
     return rounded(groups.value_share(SI.delays(spark, sf), "disruption_reason"))
 
 
+@query("value_share_events", f"""{W_EV} SELECT event_type, COUNT(*) AS n,
+  {r('CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM events_delay)', 'share')}
+FROM events_delay GROUP BY event_type""")
+def q_value_share_events(spark, sf):
+    return rounded(groups.value_share(SI.events_delay(spark, sf), "event_type"))
+
+
 @query("on_time_rate", f"""{W_DELAYS},
 a AS (SELECT COUNT(*) AS n_rows, COUNT_IF(NOT is_disrupted) AS n_on_time FROM delays)
 SELECT n_rows, n_on_time, round(CAST(100 AS DOUBLE) * n_on_time / n_rows, 4) AS pct_on_time,
