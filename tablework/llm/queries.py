@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import line_dedup, url_filter
+from tablework.llm import line_dedup, quality_rules, source_mix, url_filter
+from tablework.llm.common import handover
 
 Q: dict = {}
 SQL: dict = {}
@@ -76,6 +77,78 @@ def op1_url_filter(spark, sf_dir):
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
+@query("op2_source_mix")
+def op2_source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return source_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def level_values() -> str:
+    return ", ".join("(" + ", ".join(str(x) for x in (level, *cutoffs)) + ")"
+                     for level, cutoffs in enumerate(quality_rules.LEVELS, 1))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d
+), wins AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i+7], ' ')) AS times FROM starts
+), inside AS (
+  SELECT DISTINCT doc_id, i + j AS pos FROM wins, range(0, 8) AS r(j) WHERE times > 1
+), repeats AS (
+  SELECT doc_id, count(*) AS n FROM inside GROUP BY doc_id
+), counts AS (
+  SELECT d.doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN repeats r ON d.doc_id = r.doc_id
+), based AS (
+  SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM counts
+), levels(level, c1, c2, c3, c4) AS (VALUES @LEVELS@), failing AS (
+  SELECT b.*, coalesce((SELECT min(level) FROM levels WHERE
+      (b.word_chars > 0 AND b.n_symbols / b.word_chars > c1) OR (b.n_lines > 0 AND b.n_dup_lines / b.n_lines > c2)
+      OR (b.n_words > 0 AND (b.n_repeat_words / b.n_words > c3 OR b.word_chars / b.n_words > c4))), 1000) AS fails_from
+  FROM based b
+), good AS (
+  SELECT f.source, f.fails_from FROM failing f
+  JOIN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1) g ON f.doc_id = g.doc_id
+  WHERE NOT f.base_failed
+), strata AS (
+  SELECT source, count(*) AS n FROM good GROUP BY source
+), tested AS (
+  SELECT s.source, s.n, l.level, (SELECT count(*) FROM strata) * (SELECT count(*) FROM levels) AS tests,
+         (SELECT count(*) FROM good g WHERE g.source IS NOT DISTINCT FROM s.source AND g.fails_from <= l.level) AS k
+  FROM strata s, levels l
+), proven AS (
+  SELECT source, max(level) AS level FROM tested WHERE k < n * @RISK@ AND
+    (SELECT sum(exp(lgamma(n + 1) - (CASE WHEN i < 2 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN n - i < 2 THEN 0 ELSE lgamma(n - i + 1) END)
+                    + i * ln(@RISK@) + (n - i) * ln(1 - @RISK@))) FROM range(0, k + 1) AS r(i)) <= @ERROR@ / tests
+  GROUP BY source
+)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       (NOT base_failed AND fails_from > coalesce(p.level, 0)) AS kept
+FROM failing f LEFT JOIN proven p ON f.source IS NOT DISTINCT FROM p.source"""
+OP4_SQL = (OP4_SQL.replace("@LEVELS@", level_values()).replace("@RISK@", str(quality_rules.MAX_FALSE_REJECT))
+           .replace("@ERROR@", str(quality_rules.ERROR)))
+
+
+@query("op4_quality_rules", OP4_SQL)
+def op4_quality_rules(spark, sf_dir):
+    """Counts of every document are worked out once and written; labels,
+    cutoffs and verdicts work on that narrow table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    counted = handover(quality_rules.features(docs).drop("text"), "quality-counts")
+    labelled = quality_rules.with_labels(counted, table(spark, sf_dir, "labels"))
+    levels = handover(quality_rules.calibrate(labelled), "quality-levels")
+    return (quality_rules.judge(counted, levels)
+            .select("doc_id", *quality_rules.COUNTS, "base_failed", "kept"))
+
+
 OP8_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
