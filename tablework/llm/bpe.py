@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -376,7 +377,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "de
         for batch in batches:
             at = batch.schema.get_field_index(ids)
             column = batch.column(at)
-            sizes = [n or 0 for n in pa.compute.list_value_length(column).to_pylist()]
+            sizes = [n or 0 for n in pc.list_value_length(column).to_pylist()]
             for a, b in chunks(sizes, CHUNK_CHARS // 4):
                 part = batch.slice(a, b - a)
                 flat = part.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import line_dedup, quality_rules, source_mix, url_filter
+from tablework.llm import bpe, language_id, line_dedup, quality_rules, source_mix, url_filter
 from tablework.llm.common import handover
 
 Q: dict = {}
@@ -175,3 +175,28 @@ def op8_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_common_lines(docs)
     return kept.select("doc_id", "n_lines", "n_dropped",
                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op9_byte_bpe")
+def op9_byte_bpe(spark, sf_dir):
+    path = vocabulary_path()
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    digest = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256)
+                          .alias("ids_sha256"), "ids")
+    return (bpe.decode(digest, path)
+            .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    docs = (table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+            .withColumn("held_out", language_id.held_out(F.col("doc_id"))))
+    model = language_id.train(docs.filter(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return (language_id.identify(docs.select("doc_id", "held_out", "text"), model)
+            .select("doc_id", "held_out", "lang_pred", "score"))
