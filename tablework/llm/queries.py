@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, language_id, line_dedup, quality_rules, source_mix, url_filter
+from tablework.llm import bpe, language_id, line_dedup, ngram_join, quality_rules, source_mix, url_filter
 from tablework.llm.common import handover
 
 Q: dict = {}
@@ -149,6 +149,11 @@ def op4_quality_rules(spark, sf_dir):
             .select("doc_id", *quality_rules.COUNTS, "base_failed", "kept"))
 
 
+@query("op6_ngram_join")
+def op6_ngram_join(spark, sf_dir):
+    return ngram_join.link_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90, 100)
+
+
 OP8_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
