@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, language_id, line_dedup, ngram_join, quality_rules, source_mix, url_filter
+from tablework.llm import bpe, language_id, line_dedup, ngram_join, quality_rules, source_mix, url_filter, warc
 from tablework.llm.common import handover
 
 Q: dict = {}
@@ -154,6 +154,38 @@ def op6_ngram_join(spark, sf_dir):
     return ngram_join.link_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90, 100)
 
 
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda k:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    (((('0x' || substr(x, (k // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM d WINDOW w AS (PARTITION BY payload_digest)"""
+
+
+@query("op7_warc", OP7_SQL)
+def op7_warc(spark, sf_dir):
+    captures = warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"), min_bytes=0)
+
+    def page(of):
+        return F.nullif(F.get(F.col(of), 0)["fields"]["pageId"], F.lit("")).cast("long")
+
+    return (captures
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.get("metadata", F.lit(0))["fields"]["copies"].cast("int"))))
+            .select(page("metadata").alias("page_id"),
+                    F.coalesce("original.response.payload_bytes", "response.payload_bytes").alias("payload_bytes"),
+                    F.coalesce("original.response.read_digest", "response.read_digest").alias("payload_digest"),
+                    F.col("response.warc_type").alias("record_type"),
+                    F.when(F.col("response.warc_type") == "revisit", page("original.metadata")).alias("refers_to")))
+
+
 OP8_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
