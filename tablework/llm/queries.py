@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, language_id, line_dedup, ngram_join, quality_rules, source_mix, url_filter, warc
+from tablework.llm import bpe, hnsw, language_id, line_dedup, ngram_join, quality_rules, source_mix, url_filter, warc
 from tablework.llm.common import handover
 
 Q: dict = {}
@@ -83,6 +83,13 @@ def op2_source_mix(spark, sf_dir):
     return source_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_hnsw")
+def op3_hnsw(spark, sf_dir):
+    """No SQL twin: the graph's answers are approximate (recall is tested
+    against brute force)."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def level_values() -> str:
     return ", ".join("(" + ", ".join(str(x) for x in (level, *cutoffs)) + ")"
                      for level, cutoffs in enumerate(quality_rules.LEVELS, 1))
