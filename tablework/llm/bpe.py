@@ -303,14 +303,23 @@ class Encoder:
         counts = np.searchsorted(starts, ends) - np.searchsorted(starts, ends - sizes)
         return [joined[a:b] for a, b in zip(cuts, cuts[1:])], counts
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, ids per text)."""
-        pieces, counts = self.pieces(texts)
+    def number(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of pre-tokens, with ids for those that are new."""
         if len(self.known) > CACHE_PIECES:
             self.clear()
         index = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
         if self.known.new:
             self.learn()
+        return index
+
+    def token_counts(self, pieces: list[str]) -> np.ndarray:
+        index = self.number(pieces)
+        return self.lengths[index]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, ids per text)."""
+        pieces, counts = self.pieces(texts)
+        index = self.number(pieces)
         lengths = self.lengths[index]
         upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
         return self.flat[spans(self.offsets[index], lengths)], np.diff(upto)

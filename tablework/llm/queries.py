@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, hnsw, language_id, line_dedup, ngram_join, quality_rules, source_mix, url_filter, warc
+from tablework.llm import bpe, hnsw, language_id, line_dedup, ngram_join, quality_rules, source_mix, token_counts, url_filter, warc
 from tablework.llm.common import handover
 
 Q: dict = {}
@@ -156,6 +156,30 @@ def op4_quality_rules(spark, sf_dir):
             .select("doc_id", *quality_rules.COUNTS, "base_failed", "kept"))
 
 
+def derived_edits(text: str = "text"):
+    """Three edits per document, places following from its length: a cut
+    after a third, an insertion in the middle, a line at the end."""
+    n = F.coalesce(F.char_length(text), F.lit(0)).cast("long")
+
+    def edit(start, stop, new):
+        return F.struct(start.cast("long").alias("start"), stop.cast("long").alias("stop"), new.alias("replacement"))
+
+    third, half = F.floor(n / 3), F.floor(n / 2)
+    return F.array(edit(third, third + 20, F.lit("")), edit(half, half, F.lit(" it's 2 new\n\n words")),
+                   edit(n + 100, n + 100, F.concat(F.lit("\nDocument "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark, sf_dir):
+    """Token counts of every document, before and after its edits."""
+    path = vocabulary_path()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = token_counts.build(docs.withColumn("edits", derived_edits()), path)
+    edited = token_counts.apply_edits(trees.withColumn("n_before", F.col("n_tokens")), path)
+    return edited.select("doc_id", F.col("n_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"),
+                         "n_reencoded")
+
+
 @query("op6_ngram_join")
 def op6_ngram_join(spark, sf_dir):
     return ngram_join.link_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90, 100)
