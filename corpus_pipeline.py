@@ -11,7 +11,7 @@ operators define.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.llm import bpe, line_dedup, ngram_join, quality_rules, source_mix
@@ -19,6 +19,20 @@ from tablework.llm.common import handover
 from tablework.llm.queries import vocabulary_path
 
 
+def aside(docs: DataFrame, *own: str) -> DataFrame:
+    """docs with all columns but ``own`` in one struct, so that no column
+    that an operator adds can replace one of them."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]
+    return docs.select(F.struct(*rest, F.lit(0).alias("aside")).alias("aside"), *own)
+
+
+def back(result: DataFrame, docs: DataFrame, *own: str, **new: Column) -> DataFrame:
+    """The columns of docs from a result on ``aside``; ``new`` ones replace
+    those of their names."""
+    return result.select(*[(new[c] if c in new else F.col(c) if c.lower() in own else F.col("aside").getField(c)).alias(c)
+                           for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or their stratum's proven cutoffs
     reject go.  Labelled documents are counted first, for the cutoffs; the
@@ -26,28 +40,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     labelled = quality_rules.with_labels(docs.select("doc_id", "source", "text"), labels)
     levels = handover(quality_rules.calibrate(quality_rules.features(labelled)), "quality-levels")
-    return quality_rules.judge(quality_rules.features(docs), levels).filter("kept").select(*docs.columns)
+    own = "doc_id", "source", "text"
+    judged = quality_rules.judge(quality_rules.features(aside(docs, *own)), levels)
+    return back(judged.filter("kept"), docs, *own)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that three documents or more share stay in one of them only;
     ``n_chars`` follows the text."""
-    kept = line_dedup.drop_common_lines(docs)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    own = "doc_id", "text"
+    kept = line_dedup.drop_common_lines(aside(docs, *own))
+    chars = {"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return back(kept, docs, *own, **chars)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles,
     similarity 0.8 or more."""
-    return ngram_join.keep_one(docs, 5, 80, 100).select(*docs.columns)
+    return ngram_join.keep_one(docs, 5, 80, 100)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (not at all, up to three
     times)."""
-    return source_mix.repeat_copies(source_mix.mix(docs)).select(*docs.columns)
+    own = "doc_id", "text", "source"
+    return back(source_mix.repeat_copies(source_mix.mix(aside(docs, *own))), docs, *own)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,11 +245,15 @@ class Vocabulary:
         counts = counts[np.argsort(order)]
         return flat[spans(begin, counts)], counts
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes of ids, end to end."""
+    def sizes(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of each id."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
             raise ValueError("an id outside the vocabulary")
-        return self.bytes[spans(self.offsets[ids], self.lengths[ids])]
+        return self.lengths[ids]
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids, end to end."""
+        return self.bytes[spans(self.offsets[ids], self.sizes(ids))]
 
 
 class Numbers(dict):
@@ -390,7 +394,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "de
             for a, b in chunks(sizes, CHUNK_CHARS // 4):
                 part = batch.slice(a, b - a)
                 flat = part.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                upto = np.concatenate([[0], np.cumsum(vocabulary.lengths[flat])])
+                upto = np.concatenate([[0], np.cumsum(vocabulary.sizes(flat))])
                 offsets = upto[np.concatenate([[0], np.cumsum(sizes[a:b])])].astype(np.int32)
                 data = vocabulary.decode(flat)
                 column = pa.Array.from_buffers(pa.binary(), b - a, [

@@ -31,6 +31,23 @@ def without(df: DataFrame, *columns: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in {x.lower() for x in columns}])
 
 
+def pack(df: DataFrame, *columns: str) -> DataFrame:
+    """(row, columns): df's rows as one struct beside the columns that an
+    operator reads, so its own columns cannot clash with others of df."""
+    need(df, *columns)
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[F.col(c).alias(c) for c in columns])
+
+
+def unpack(df: DataFrame, **outputs: Column) -> DataFrame:
+    """The columns of the packed rows and the outputs, which replace columns
+    of their names."""
+    names = {c.lower() for c in outputs}
+    fields = [f.name for f in df.schema["row"].dataType.fields if f.name.lower() not in names]
+    return df.select(*[F.col("row").getField(c).alias(c) for c in fields],
+                     *[value.alias(name) for name, value in outputs.items()])
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(c, UPPER, LOWER)

@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm.common import SPACE, handover, lower_ascii, need, small, without
+from tablework.llm.common import SPACE, handover, lower_ascii, need, pack, small, unpack
 from tablework.session import shared_scratch
 
 MIN_CHARS = 20
@@ -132,7 +132,6 @@ def drop_common_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     documents or more hold lose all their lines but those in the largest
     doc_id."""
     need(docs, "doc_id", "text")
-    docs = without(docs, "n_lines", "n_dropped")
     spark = docs.sparkSession
     held = (docs.select(F.col("doc_id").cast("long").alias("id"),
                         F.explode(document_keys(F.col("text"), min_chars)).alias("k"))
@@ -163,16 +162,14 @@ def without_lines(docs: DataFrame, common: DataFrame, min_chars: int) -> DataFra
             .groupBy("_id", "_hash").agg(F.collect_set("_pos").alias("_drop"))
             .withColumnsRenamed({"_id": "_gid", "_hash": "_ghash"}))
     kept_positions = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    kept = (F.when(F.col("_drop").isNull(), F.coalesce("text", F.lit("")))
-            .otherwise(let_lines(kept_positions)))
-    return (docs.withColumns({"_id": identity[0], "_hash": identity[1]})
-            .join(gone.hint("shuffle_hash"),
-                  F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_hash") == F.col("_ghash")), "left")
-            .withColumn("_lines", split_lines(F.col("text")))
-            .withColumns({"n_lines": F.size("_lines").cast("long"),
-                          "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long"),
-                          "text": kept})
-            .drop("_id", "_hash", "_gid", "_ghash", "_drop", "_lines"))
+    text = F.col("row.text")                       # the text moves once, inside its row
+    kept = F.when(F.col("_drop").isNull(), F.coalesce(text, F.lit(""))).otherwise(let_lines(kept_positions))
+    met = (pack(docs, "doc_id", "text").select("row", *identity)
+           .join(gone.hint("shuffle_hash"),
+                 F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_hash") == F.col("_ghash")), "left")
+           .withColumn("_lines", split_lines(text)))
+    return unpack(met, text=kept, n_lines=F.size("_lines").cast("long"),
+                  n_dropped=F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
 
 
 def let_lines(positions: Column) -> Column:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.llm.common import handover, lower_ascii, need, small, word_array
+from tablework.llm.common import handover, lower_ascii, need, pack, small, unpack, word_array
 from tablework.llm.components import components
 
 GROUPS = 32                 # coordinates of a point
@@ -347,5 +347,6 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     """The rows of docs that name their group: one document of each group
     (its smallest doc_id) stays, and every row with a null doc_id."""
     groups = link_groups(docs, n, num, den)
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(handover(gone, "join-gone").hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
+    return unpack(pack(docs, "doc_id").join(handover(gone, "join-gone").hint("shuffle_hash"),
+                                            F.col("doc_id") == F.col("gone"), "left_anti"))

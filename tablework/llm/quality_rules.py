@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.llm.common import SPACE, let, need, small, without, word_array
+from tablework.llm.common import SPACE, let, need, pack, small, unpack, word_array
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -37,7 +37,6 @@ LEVELS = [(0.50, 0.95, 0.300, 24.0), (0.40, 0.90, 0.275, 20.0), (0.30, 0.85, 0.2
           (0.20, 0.80, 0.225, 13.0), (0.15, 0.70, 0.200, 11.0), (0.10, 0.60, 0.175, 9.5),
           (0.05, 0.55, 0.150, 8.5), (0.02, 0.50, 0.125, 8.0)]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-ADDED = COUNTS + ["n_lines", "base_failed", "fails_from", "kept", "level"]
 
 
 def window_hashes(words: Column, width: int) -> Column:
@@ -70,8 +69,6 @@ def repeated_words(hashes: Column, width: int) -> Column:
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs plus the counts, ``base_failed`` and ``fails_from`` (the mildest
     level that rejects the document; one past the last if none does)."""
-    need(docs, text)
-    docs = without(docs, *ADDED)
     raw = F.coalesce(F.col(text), F.lit(""))
     words = let(word_array(F.col(text)), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
@@ -81,13 +78,12 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(x).cast("long").alias("n_lines"),
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     symbols = F.char_length(raw) - F.char_length(F.regexp_replace(raw, r"[#*$%&|<>]", ""))
-    counted = (docs.withColumns({"_words": words, "_lines": lines, "n_symbols": symbols.cast("long")})
-               .withColumns({c: F.col(f"_words.{c}") for c in ("n_words", "word_chars", "n_repeat_words")}
-                            | {c: F.col(f"_lines.{c}") for c in ("n_lines", "n_dup_lines")})
-               .drop("_words", "_lines"))
+    counted = (pack(docs, text)
+               .select("row", words.alias("of_words"), lines.alias("of_lines"), symbols.cast("long").alias("n_symbols"))
+               .select("row", "of_words.*", "of_lines.*", "n_symbols"))
     failed = (F.col("n_words") < MIN_WORDS) | \
         (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return counted.withColumns({"base_failed": failed, "fails_from": fails_from()})
+    return unpack(counted, **{c: F.col(c) for c in (*COUNTS, "n_lines")}, base_failed=failed, fails_from=fails_from())
 
 
 def fails_from() -> Column:
@@ -142,23 +138,22 @@ def calibrate(labelled: DataFrame, stratum: str = "source", max_false_reject: fl
 
 
 def good_labels(labels: DataFrame) -> DataFrame:
-    """(doc_id, good), one row per labelled document."""
+    """(label_id, good), one row per labelled document."""
     need(labels, "doc_id", "quality")
     return (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-            .groupBy(F.col("doc_id").alias("_label_id")).agg((F.min("quality") == 1).alias("good")))
+            .groupBy(F.col("doc_id").alias("label_id")).agg((F.min("quality") == 1).alias("good")))
 
 
 def judge(counted: DataFrame, levels: DataFrame, stratum: str = "source") -> DataFrame:
     """counted (from ``features``) plus ``level`` and ``kept``; ``levels``
     should be a written table (it is counted before it is broadcast)."""
-    return (counted.join(small(levels.withColumnsRenamed({"stratum": "_stratum"}), 64),
-                         F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-            .withColumn("kept", ~F.col("base_failed") & (F.col("fails_from") > F.coalesce("level", F.lit(0))))
-            .drop("_stratum"))
+    rows = pack(counted, stratum, "base_failed", "fails_from").withColumnRenamed(stratum, "own_stratum")
+    met = rows.join(small(levels, 64), F.col("own_stratum").eqNullSafe(F.col("stratum")), "left")
+    return unpack(met, level=F.col("level"),
+                  kept=~F.col("base_failed") & (F.col("fails_from") > F.coalesce("level", F.lit(0))))
 
 
 def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose doc_id is labelled, plus ``good``."""
-    known = good_labels(labels)
-    return (rows.drop(*[c for c in rows.columns if c.lower() == "good"])
-            .join(small(known, 32), F.col("doc_id") == F.col("_label_id")).drop("_label_id"))
+    met = pack(rows, "doc_id").join(small(good_labels(labels), 32), F.col("doc_id") == F.col("label_id"))
+    return unpack(met, good=F.col("good"))

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.llm.common import handover, need, small, without, word_array
+from tablework.llm.common import handover, need, pack, small, unpack, word_array
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -166,9 +166,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) ->
     """docs (doc_id, text, source, ...) plus ``size``, ``source_size``,
     ``target``, ``copies`` and ``taken`` = copies x size."""
     need(docs, "doc_id", "text", "source")
-    docs = without(docs, *ADDED)
-    sized = docs.withColumns({"_key": source_key(F.col("source")), "size": size_of(F.col("text"))})
-    slim = handover(sized.select(F.col("_key").alias("key"), "source", "doc_id", "size"), "mix-sizes")
+    sized = pack(docs, "doc_id", "text", "source").withColumns(
+        {"key": source_key(F.col("source")), "size": size_of(F.col("text"))}).drop("text")
+    slim = handover(sized.select("key", "source", "doc_id", "size"), "mix-sizes")
     cells = handover(slim.groupBy("key", "size").agg(F.max("source").alias("source"), F.count("*").alias("n")),
                      "mix-cells")
     goal = handover(targets(cells, weights, most), "mix-targets")
@@ -179,14 +179,14 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) ->
     one_more = (F.col("last_hash").isNotNull()
                 & ((hash_ < F.col("last_hash")) | ((hash_ == F.col("last_hash")) & (
                     F.col("doc_id").isNull() | (F.col("doc_id") <= F.col("last_id"))))))
-    return (sized.join(small(ruled, 160), (F.col("_key") == F.col("_rule_key")) & (F.col("size") == F.col("_rule_size")))
-            .withColumn("copies", F.col("base") + F.coalesce(one_more, F.lit(False)).cast("long"))
-            .withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("_key", "_rule_key", "_rule_size", "base", "last_hash", "last_id"))
+    met = sized.join(small(ruled, 160), (F.col("key") == F.col("_rule_key")) & (F.col("size") == F.col("_rule_size")))
+    copies = F.col("base") + F.coalesce(one_more, F.lit(False)).cast("long")
+    return unpack(met, size=F.col("size"), source_size=F.col("source_size"), target=F.col("target"),
+                  copies=copies, taken=copies * F.col("size"))
 
 
 def repeat_copies(mixed: DataFrame) -> DataFrame:
     """Each row as often as ``copies`` says, without the columns of ``mix``."""
-    return (mixed.filter("copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .drop("_copy", *ADDED))
+    rows = pack(mixed.filter("copies > 0"), "copies")
+    again = rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return unpack(again).drop(*ADDED)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablework.llm import bloom
-from tablework.llm.common import handover, lower_ascii, need, without
+from tablework.llm.common import handover, lower_ascii, need, pack, unpack
 
 #: (verdict, host, path)
 Rule = tuple[str, str, str]
@@ -78,20 +78,18 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (),
     made canonical, distinct, and written once; only pages that no rule
     judges and that the Bloom filter lets through meet it in the exact join,
     whose large partitions Spark may split."""
-    need(pages, url)
     need(listed, listed_url)
-    pages = without(pages, "host", "path", "rule", "verdict")
     entries = handover(listed.select(canonical(F.col(listed_url)).alias("entry"))
                        .filter(F.col("entry").isNotNull()).distinct(), "listed-urls")
     table, blocks = bloom.build(entries, "entry", entries.count(), bits_per_key)
     name, verdict = longest_rule(rules, F.col("host"), F.col("path"))
-    judged = (pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    judged = (pack(pages, url).withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
               .withColumns({"rule": name, "verdict": verdict,
-                            "_canonical": F.when(verdict.isNull(), canonical(F.col(url)))}))
-    probed = bloom.probe(judged, F.col("_canonical"), table, blocks, "_maybe")
-    sure = probed.filter(~F.col("_maybe")).withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
-    possible = (probed.filter("_maybe")
-                .join(entries.hint("shuffle_hash"), F.col("_canonical") == F.col("entry"), "left")
+                            "canonical": F.when(verdict.isNull(), canonical(F.col(url)))}).drop(url))
+    probed = bloom.probe(judged, F.col("canonical"), table, blocks)
+    sure = probed.filter(~F.col("maybe")).withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
+    possible = (probed.filter("maybe")
+                .join(entries.hint("shuffle_hash"), F.col("canonical") == F.col("entry"), "left")
                 .withColumn("verdict", F.when(F.col("entry").isNotNull(), "block").otherwise("allow"))
                 .drop("entry"))
-    return sure.unionByName(possible).drop("_canonical", "_maybe")
+    return unpack(sure.unionByName(possible), **{c: F.col(c) for c in ("host", "path", "rule", "verdict")})
