@@ -48,6 +48,7 @@ BAND_RATIO = 1.5            # largest to smallest size of a band
 CHUNK_WORDS = 1 << 20       # words per step in a worker
 TILE = 4096                 # most points of one tree side in one task
 LEAF = 16
+BATCH_MEMBERS = 8192        # members of small trees that one call searches
 
 
 def overlap_needed(total: Column, num: int, den: int) -> Column:
@@ -247,37 +248,56 @@ class RTree:
         return q, self.order[at]
 
 
+def distinct_trees(members: DataFrame) -> DataFrame:
+    """members of one tree for each set of members: near copies meet in a
+    tree for each group that they have in common."""
+    of_tree = members.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("sid")).alias("x"),
+                                         F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("y"))
+    once = of_tree.groupBy("m", "x", "y").agg(F.min("key").alias("key")) \
+        .select("key", F.ceil(F.col("m") / TILE).cast("int").alias("parts"))
+    return members.join(once, "key")
+
+
 def tree_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs (a, b) of sets in one tree but in different components
     that the bound lets through.  members: (key, sid, root, size, point).
-    Trees above TILE members are searched in tiles of two parts each."""
-    parts = (members.groupBy("key").agg(F.count("*").alias("m"))
-             .select("key", F.ceil(F.col("m") / TILE).cast("int").alias("parts")))
-    tiled = (members.join(parts, "key")
-             .withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+    Trees above TILE members are searched in tiles of two parts each, small
+    trees many at a time."""
+    dealt = handover(distinct_trees(members), "join-dealt")
+    batches = max(1, math.ceil(dealt.count() / BATCH_MEMBERS))
+    tiled = (dealt.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .withColumns({"t1": F.least("part", "other"), "t2": F.greatest("part", "other")}))
+             .withColumns({"t1": F.least("part", "other"), "t2": F.greatest("part", "other")})
+             .withColumn("batch", F.when(F.col("parts") > 1, F.xxhash64("key", "t1", "t2"))
+                         .otherwise(F.pmod(F.xxhash64("key"), F.lit(batches)))))
+
+    def one_tree(points, sizes, sid, root, part, t1, t2) -> list[np.ndarray]:
+        left, right = np.flatnonzero(part == t1), np.flatnonzero(part == t2)
+        if not len(left) or not len(right):
+            return []
+        tree, found = RTree(points[right], sizes[right]), []
+        for k in range(0, len(left), 256):
+            some = left[k:k + 256]
+            q, p = tree.search(points[some], sizes[some], num, den)
+            q, p = some[q], right[p]
+            ok = (root[q] != root[p]) & ((t1 != t2) | (sid[q] < sid[p]))
+            found.append(np.stack([np.minimum(sid[q], sid[p])[ok], np.maximum(sid[q], sid[p])[ok]], 1))
+        return found
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["key", "t1", "t2"], ignore_index=True)
+        names = ["key", "t1", "t2"]
+        cuts = np.flatnonzero((pdf[names].to_numpy()[1:] != pdf[names].to_numpy()[:-1]).any(axis=1)) + 1
         points = np.stack(pdf["point"].to_numpy())
-        sizes, sid = pdf["size"].to_numpy(), pdf["sid"].to_numpy()
-        root, part = pdf["root"].to_numpy(), pdf["part"].to_numpy()
-        t1, t2 = pdf["t1"].iloc[0], pdf["t2"].iloc[0]
-        left, right = np.flatnonzero(part == t1), np.flatnonzero(part == t2)
-        found = []
-        if len(left) and len(right):
-            tree = RTree(points[right], sizes[right])
-            for k in range(0, len(left), 256):
-                some = left[k:k + 256]
-                q, p = tree.search(points[some], sizes[some], num, den)
-                q, p = some[q], right[p]
-                ok = (root[q] != root[p]) & ((t1 != t2) | (sid[q] < sid[p]))
-                found.append(np.stack([np.minimum(sid[q], sid[p])[ok], np.maximum(sid[q], sid[p])[ok]], 1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        sizes, sid, root, part, t1, t2 = (pdf[c].to_numpy() for c in ("size", "sid", "root", "part", "t1", "t2"))
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip([0, *cuts], [*cuts, len(pdf)]):
+            found += one_tree(points[a:b], sizes[a:b], sid[a:b], root[a:b], part[a:b], t1[a], t2[a])
+        pairs = np.unique(np.concatenate(found), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return (tiled.select("key", "t1", "t2", "part", "sid", "root", "size", "point")
-            .groupBy("key", "t1", "t2").applyInPandas(search, "a long, b long").distinct())
+    return (tiled.select("batch", "key", "t1", "t2", "part", "sid", "root", "size", "point")
+            .groupBy("batch").applyInPandas(search, "a long, b long").distinct())
 
 
 # ------------------------------------------------------------------ join
