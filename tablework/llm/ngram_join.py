@@ -16,10 +16,11 @@ more groups than differences by a slack that nearly no set has as empty
 groups, and sets that do also go to the trees of their empty groups.
 
 Links are found in two rounds.  First every member of a tree is compared
-with the member of the smallest id, and what links is joined to components,
-so families of near copies cost one comparison per member.  Then the trees
-whose members still are in several components are searched as R-trees for
-pairs across components.  Both rounds verify survivors of the bound on the
+with its lead, the member of the smallest id (beginning with the least of a
+member's leads), and what links is joined to components, so families of near
+copies cost about one comparison per member.  Then the trees whose members
+still are in several components are searched as R-trees for pairs across
+components.  Both rounds verify survivors of the bound on the
 n-gram sets, so the groups are exact (up to equal 64-bit hashes).
 
 Defined results: a null text, or one without words, has an empty set and is
@@ -315,7 +316,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets link, by the sets themselves."""
     pairs = handover(pairs, "join-pairs")
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    wanted = (pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
               .join(nodes, "sid").select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash")))
     sets = handover(sets_of(docs, wanted, n), "join-sets")
     inter = F.size(F.array_intersect("ga", "gb"))
@@ -342,9 +343,17 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
     trees = handover(rows.groupBy("key").agg(F.min("sid").alias("lead"), F.max("sid").alias("last"))
                      .filter("lead < last").select("key", "lead"), "join-trees")
     members = handover(rows.join(small(trees, 48), "key").select("key", "sid", "lead").distinct(), "join-members")
-    # first round: every member against the lead of its tree
-    leads = members.filter("sid <> lead").select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct()
-    links = handover(verified(bounded(leads, nodes, num, den), docs, nodes, n, num, den), "join-links")
+    # first round: every member against the least lead of its trees, then
+    # against the leads that it is not connected to yet
+    others = members.filter("sid <> lead")
+    least = others.groupBy("sid").agg(F.min("lead").alias("a")).select("a", F.col("sid").alias("b"))
+    links = handover(verified(bounded(least, nodes, num, den), docs, nodes, n, num, den), "join-links")
+    roots = handover(components(links), "join-roots")
+    leads = others.select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct().join(least, ["a", "b"], "left_anti")
+    apart = (leads.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+             .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+             .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+    links = handover(links.unionAll(verified(bounded(apart, nodes, num, den), docs, nodes, n, num, den)), "join-links")
     rooted = members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left") \
         .select("key", "sid", F.coalesce("root", "sid").alias("root"))
     # second round: trees that still hold several components
