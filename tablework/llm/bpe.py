@@ -34,8 +34,8 @@ from tablework.llm.common import need, without
 
 NONE = np.int32(2**31 - 1)
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
-CHUNK_CHARS = 1 << 21       # text per step: bounds the worker's memory
-CACHE_PIECES = 1 << 20      # the cache of pre-tokens starts anew beyond this
+CHUNK_BYTES = 1 << 20       # text per step: bounds the worker's memory
+CACHE_PIECES = 1 << 18      # the cache of pre-tokens starts anew beyond this
 CELLS = 1 << 20             # matrix cells per step
 LONG = 1 << 10              # pre-tokens of more bytes are merged one by one
 
@@ -353,6 +353,10 @@ def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
+def text_chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
+    return chunks(pc.fill_null(pc.binary_length(column), 0).to_pylist(), CHUNK_BYTES)
+
+
 # ------------------------------------------------------------- DataFrames
 
 def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -366,12 +370,11 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
         enc = encoder(*shared.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            texts = [t or "" for t in column.to_pylist()]
-            for a, b in chunks([len(t) for t in texts], CHUNK_CHARS):
-                flat, counts = enc.encode(texts[a:b])
+            for a, b in text_chunks(column):
+                part = batch.slice(a, b - a)
+                flat, counts = enc.encode([t or "" for t in column.slice(a, b - a).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 out = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, ids])
 
     schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
@@ -391,7 +394,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "de
             at = batch.schema.get_field_index(ids)
             column = batch.column(at)
             sizes = [n or 0 for n in pc.list_value_length(column).to_pylist()]
-            for a, b in chunks(sizes, CHUNK_CHARS // 4):
+            for a, b in chunks(sizes, CHUNK_BYTES // 4):
                 part = batch.slice(a, b - a)
                 flat = part.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 upto = np.concatenate([[0], np.cumsum(vocabulary.sizes(flat))])

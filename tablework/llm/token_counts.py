@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablework.llm.bpe import CHUNK_CHARS, Encoder, chunks, code_point_classes, code_points, encoder, piece_starts, \
-    read_vocabulary
+from tablework.llm.bpe import Encoder, code_point_classes, code_points, encoder, piece_starts, read_vocabulary, text_chunks
 from tablework.llm.common import need, without
 
 LEAF = 32
@@ -148,9 +147,9 @@ def build(docs: DataFrame, vocabulary_path: str, text: str = "text") -> DataFram
     def run(batches):
         enc = encoder(*shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            for a, b in chunks([len(t) for t in texts], CHUNK_CHARS):
-                pieces, counts = enc.pieces(texts[a:b])
+            column = batch.column(batch.schema.get_field_index(text))
+            for a, b in text_chunks(column):
+                pieces, counts = enc.pieces([t or "" for t in column.slice(a, b - a).to_pylist()])
                 cuts = np.concatenate([[0], np.cumsum(counts)])
                 trees = [lay_out(pieces[x:y], enc) for x, y in zip(cuts, cuts[1:])]
                 part = batch.slice(a, b - a)
