@@ -31,12 +31,13 @@ def _args(argv):
     p = sub.add_parser("profile")
     p.add_argument("--src", required=True)
     p.add_argument("--approx", action="store_true")
-    p.add_argument("--auto", type=int, default=None, metavar="EXACT_LIMIT",
-                   help="HLL for all columns, exact counts for those under the limit")
+    p.add_argument("--exact-columns", default=None, metavar="A,B",
+                   help="exact distinct counts for these columns, HLL for the others")
     p = sub.add_parser("features")
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--no-leaky-features", action="store_true")
+    p.add_argument("--category-mode", choices=["nominal", "ordinal"], default="nominal")
     p = sub.add_parser("models")
     p.add_argument("--src", required=True)
     p.add_argument("--metrics", required=True)
@@ -68,7 +69,7 @@ def main(argv=None, spark: SparkSession | None = None, preview: int = 20) -> dic
         out["on_time"] = augment.on_time_rate(delays)
     elif a.stage == "profile":
         d = read_table(spark, a.src, step="augment")
-        out["profile"] = (profile.profile_columns_auto(d, a.auto) if a.auto
+        out["profile"] = (profile.profile_columns_auto(d, a.exact_columns.split(",")) if a.exact_columns
                           else profile.profile_columns(d, approx=a.approx))
         out["describe"] = profile.describe_numeric(d, "delay_minutes")
         out["moments"] = profile.moments(d, "delay_minutes")
@@ -77,13 +78,17 @@ def main(argv=None, spark: SparkSession | None = None, preview: int = 20) -> dic
         out["top_routes"] = groups.topk_groups(d)
     elif a.stage == "features":
         batch.write_model_tables(spark, read_table(spark, a.src, step="augment"), a.out,
-                                 leaky_features=not a.no_leaky_features)
+                                 leaky_features=not a.no_leaky_features, category_mode=a.category_mode,
+                                 keep=augment.EVENT_KEYS)
         out["rows"] = read_table(spark, a.out).groupBy("split").count().orderBy("split")
     elif a.stage == "models":
         table = read_table(spark, a.src, step="features")
         train = table.where("split = 0").drop("split")
         test = table.where("split = 1").drop("split")
-        comparison, _ = batch.run_models(spark, train, test, [], a.train_fraction)
+        comparison, fitted = batch.run_models(spark, train, test, a.train_fraction, keys=augment.EVENT_KEYS)
+        names = models.feature_names(train)
+        for name in ("Random Forest", "Gradient Boosted Trees"):
+            out[f"importance: {name}"] = models.feature_importance(spark, fitted[name], names)
         write_metrics(comparison, a.metrics)
         out["comparison"] = comparison
         out["best"] = models.best_model(comparison)

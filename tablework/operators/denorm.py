@@ -4,31 +4,16 @@ The stop-event fact is the only large input.  Trips (one row per trip) is
 joined with a shuffle on ``trip_id``; the route / stop / calendar dimensions
 are left joins that Spark broadcasts when its size estimate is under
 ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-plans at run time from
-real sizes).  ``broadcast_rows`` forces a broadcast only after a bounded
-count proves the dimension has at most that many rows.
+real sizes).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``dim`` only if it holds at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``: it stops reading after
-    ``max_rows + 1`` rows, so it is cheap even when the answer is "too big".
-    """
-    if max_rows is None:
-        return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def denormalise(stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
-                stops: DataFrame, calendar: DataFrame,
-                broadcast_rows: int | None = None) -> DataFrame:
+                stops: DataFrame, calendar: DataFrame) -> DataFrame:
     """Stop events -> trips (inner), -> routes, stops, calendar (left).
 
     Orphan stop events vanish; unknown route / stop / service keep the row
@@ -36,9 +21,9 @@ def denormalise(stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
     key once, in front: ``service_id, stop_id, route_id, trip_id, ...``.
     """
     df = stop_times.join(trips, on="trip_id", how="inner")
-    df = df.join(bounded_broadcast(routes, broadcast_rows), on="route_id", how="left")
-    df = df.join(bounded_broadcast(stops, broadcast_rows), on="stop_id", how="left")
-    df = df.join(bounded_broadcast(calendar, broadcast_rows), on="service_id", how="left")
+    df = df.join(routes, on="route_id", how="left")
+    df = df.join(stops, on="stop_id", how="left")
+    df = df.join(calendar, on="service_id", how="left")
     return df
 
 
@@ -49,7 +34,6 @@ def group_attribute_table(df: DataFrame, key: str, value) -> DataFrame:
     return df.select(key).distinct().withColumn(name, col)
 
 
-def attach_group_attr(df: DataFrame, attrs: DataFrame, key: str,
-                      broadcast_rows: int | None = None) -> DataFrame:
+def attach_group_attr(df: DataFrame, attrs: DataFrame, key: str) -> DataFrame:
     """Left join a per-key attribute table; a null key gets null."""
-    return df.join(bounded_broadcast(attrs, broadcast_rows), on=key, how="left")
+    return df.join(attrs, on=key, how="left")

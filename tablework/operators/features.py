@@ -107,29 +107,28 @@ def as_ordinal(df: DataFrame, cols) -> DataFrame:
 def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
                      label: str = "delay_minutes", leaky_features: bool = True,
                      weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
-                     max_categorical: int | None = 1300,
+                     category_mode: str = "nominal",
                      keep: tuple = ()) -> tuple[DataFrame, list[str]]:
     """Features -> hash split column -> indexer (fitted on the train split by
     default, on all rows with ``index_fit='all'`` as the reference did) ->
     assembled ``(features, label, split, *keep)`` and the feature names.
 
-    An index column with more than ``max_categorical`` labels (default: the
-    reference's bin budget of 1300) is passed as an ordinal feature: a tree
-    needs ``maxBins`` >= categories for a nominal feature, which costs time
-    per node in proportion and overfits when categories hold few rows.
+    ``category_mode="nominal"`` keeps the indexer's categories (trees then
+    need ``maxBins`` >= categories, see ``models.max_bins_for``);
+    ``"ordinal"`` passes every index as a frequency rank.  The choice is the
+    caller's and never follows from the data.
     """
     from tablework.operators.sampling import split_column
 
+    if category_mode not in ("nominal", "ordinal"):
+        raise ValueError(f"category_mode is 'nominal' or 'ordinal', not {category_mode!r}")
     prepared = prepare(df, label, leaky_features).withColumn(
         "split", split_column(list(keys), weights, seed))
     model = fit_indexer(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
     if model is not None:
         prepared = model.transform(prepared)
-        if max_categorical is not None:
-            wide = [out for out, labels in zip(model.getOutputCols(), model.labelsArray)
-                    if len(labels) + 1 > max_categorical]
-            if wide:
-                prepared = as_ordinal(prepared, wide)
+        if category_mode == "ordinal":
+            prepared = as_ordinal(prepared, model.getOutputCols())
     feats = present_columns(prepared, CANDIDATE_FEATURES)
     out = assemble(prepared, feats).select("features", F.col(label).alias("label"), "split", *keep)
     return out, feats
@@ -138,12 +137,12 @@ def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id")
 def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
                  label: str = "delay_minutes", leaky_features: bool = True,
                  weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
-                 max_categorical: int | None = 1300,
+                 category_mode: str = "nominal",
                  keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
     """(train, test, feature names) from :func:`indexed_features`; each part
     is a filter of the same deterministic split column."""
     out, feats = indexed_features(df, keys, label, leaky_features, weights, seed, index_fit,
-                                  max_categorical, keep)
+                                  category_mode, keep)
     train = out.where(F.col("split") == 0).drop("split")
     test = out.where(F.col("split") == 1).drop("split")
     return train, test, feats

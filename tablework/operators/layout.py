@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """At least one partition per core for CPU-heavy or iterative work.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows dealt round-robin to this many partitions (none: as they are).
 
-    A table that arrives in fewer partitions than the cluster has cores
-    (small files, one Parquet row group, AQE coalescing) would run every
-    per-row expression or every pass of an iterative fit on a few threads;
-    it is round-robin repartitioned.  A table that already has enough
-    partitions - the normal case on a large input - is left as it is, so
-    no shuffle is added at scale.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    For inputs of few splits and CPU-heavy or iterative work; the number is
+    the caller's, since results that follow the layout (forest bootstraps,
+    increasing ids) follow it."""
+    return df.repartition(partitions) if partitions else df

@@ -14,6 +14,7 @@ from pyspark.ml.regression import (GBTRegressor, LinearRegression,
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablework.operators.groups import best_row
 from tablework.operators.layout import spread
 from tablework.sources.schemas import METRICS
 
@@ -37,13 +38,14 @@ def fit_linear(train: DataFrame, max_iter: int = 50, **kw):
 
 
 def fit_forest(train: DataFrame, num_trees: int = 50, max_depth: int = 8,
-               max_bins: int | None = None, seed: int = 42, cache_node_ids: bool = True, **kw):
+               max_bins: int | None = None, seed: int = 42, cache_node_ids: bool = False, **kw):
     """Random forest; ``max_bins`` derived from metadata when None.
 
-    ``cache_node_ids`` keeps each row's current node per tree in a cached,
-    checkpointed table instead of walking every tree from the root on each
-    level pass: the same model, ~1.5x faster for 50 trees of depth 8 at
-    sf0.1 (it costs rows x trees ints of executor memory, spilled if needed).
+    ``cache_node_ids`` keeps each row's current node per tree in a cached
+    table, checkpointed to the shared checkpoint folder, instead of walking
+    every tree from the root on each level pass: the same model, ~1.5x faster
+    for 50 trees of depth 8 at sf0.1.  It holds rows x trees ints in executor
+    memory, so it is off unless asked for.
     """
     bins = max_bins or max_bins_for(train)
     return RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees,
@@ -98,6 +100,13 @@ def model_comparison(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(list(rows), schema=METRICS)
 
 
+def feature_names(df: DataFrame, features: str = "features") -> list[str]:
+    """The names in an assembled vector's metadata, in its order (they
+    are kept when the table is written and read as Parquet)."""
+    attrs = df.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
+    return [a["name"] for a in sorted((a for kind in attrs.values() for a in kind), key=lambda a: a["idx"])]
+
+
 def feature_importance(spark: SparkSession, model, names) -> DataFrame:
     """Tree feature importances as (feature, importance) rows."""
     imp = model.featureImportances.toArray().tolist()
@@ -107,16 +116,17 @@ def feature_importance(spark: SparkSession, model, names) -> DataFrame:
 
 def best_model(table: DataFrame) -> DataFrame:
     """T5: lowest-RMSE row of the comparison table."""
-    return table.agg(F.min_by(F.struct(*table.columns), F.col("rmse")).alias("b")).select("b.*")
+    return best_row(table, "rmse")
 
 
 def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame,
-                   feature_names, forest: dict | None = None,
-                   gbt: dict | None = None, linear: dict | None = None):
+                   forest: dict | None = None,
+                   gbt: dict | None = None, linear: dict | None = None,
+                   partitions: int | None = None):
     """L5-L12 end to end: fit three models, score the whole test set, return
     (comparison table, {name: model}).  Train/test are cached for the
     iterative fits and released afterwards."""
-    train = spread(train).cache()
+    train = spread(train, partitions).cache()
     test = test.cache()
     train.count()  # materialise before timing, so no fit pays for the scan
     try:

@@ -10,18 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
 from tablework.functions.scalars import pct
 from tablework.operators.quantiles import approx_quantiles, exact_quantiles
 
 
-def _as_text(df: DataFrame, name: str):
-    """A column as comparable text; -0.0 folds into 0.0 as Spark's grouping
-    does, so text-distinct equals value-distinct."""
+def _as_key(df: DataFrame, name: str):
+    """A column as text that is equal exactly when the values are: -0.0 folds
+    into 0.0 as Spark's grouping does, and timestamps go by their instant
+    (their text repeats when clocks are set back)."""
     c = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+    kind = df.schema[name].dataType
+    if isinstance(kind, (DoubleType, FloatType)):
         c = F.when(c == 0, F.lit(0.0)).otherwise(c)
+    elif isinstance(kind, TimestampType):
+        c = F.unix_micros(c)
     return c.cast("string")
 
 
@@ -29,7 +33,7 @@ def _long_form(df: DataFrame) -> DataFrame:
     """(column, value-as-text, w=1) rows from one generator, plus one
     (column, null, w=0) marker per column so every column appears even in
     an empty table.  The markers are bounded by the schema width."""
-    pairs = [F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value"))
+    pairs = [F.struct(F.lit(c).alias("column"), _as_key(df, c).alias("value"))
              for c in df.columns]
     rows = df.select(F.inline(F.array(*pairs))).withColumn("w", F.lit(1))
     markers = df.sparkSession.createDataFrame(
@@ -38,24 +42,23 @@ def _long_form(df: DataFrame) -> DataFrame:
     return rows.unionByName(markers)
 
 
-def profile_columns_auto(df: DataFrame, exact_limit: int = 1_000_000,
-                         rsd: float = 0.01) -> DataFrame:
-    """G3 for very large tables: one HyperLogLog pass estimates every
-    column; columns estimated at or under ``exact_limit`` distinct values are
-    then counted exactly (their (column, value) shuffle is small), the rest
-    keep the estimate.  ``distinct_exact`` says which.  Only one row per
-    column reaches the driver between the passes."""
-    est = profile_columns(df, approx=True, rsd=rsd)
-    rows = est.select("column", "distinct_count").collect()
-    exact_cols = [r["column"] for r in rows if r["distinct_count"] <= exact_limit]
-    approx_part = est.where(~F.col("column").isin(exact_cols)) \
-        .withColumn("distinct_exact", F.lit(False))
-    if not exact_cols:
-        return approx_part.orderBy(F.desc_nulls_last("null_pct"), "column")
-    exact_part = profile_columns(df.select(*[F.col(f"`{c}`") for c in exact_cols])) \
-        .withColumn("distinct_exact", F.lit(True))
-    return (exact_part.unionByName(approx_part)
-            .orderBy(F.desc_nulls_last("null_pct"), "column"))
+def profile_columns_auto(df: DataFrame, exact_columns=(), rsd: float = 0.01) -> DataFrame:
+    """G3 for very large tables: the columns that the caller names are
+    counted exactly, the others by HyperLogLog; ``distinct_exact`` says
+    which."""
+    named = {c.lower() for c in exact_columns}
+    unknown = named - {c.lower() for c in df.columns}
+    if unknown:
+        raise ValueError(f"no columns {sorted(unknown)}")
+    exact = [F.col(f"`{c}`") for c in df.columns if c.lower() in named]
+    rest = [F.col(f"`{c}`") for c in df.columns if c.lower() not in named]
+    parts = []
+    if exact:
+        parts.append(profile_columns(df.select(*exact)).withColumn("distinct_exact", F.lit(True)))
+    if rest:
+        parts.append(profile_columns(df.select(*rest), approx=True, rsd=rsd).withColumn("distinct_exact", F.lit(False)))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.orderBy(F.desc_nulls_last("null_pct"), "column")
 
 
 def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
@@ -148,7 +151,8 @@ def iqr_outliers(df: DataFrame, col: str, method: str = "exact",
         lo = hi = F.lit(None).cast("double")
         q1c = q3c = iqr = lo
     else:
-        iqr_v = q3 - q1
+        q1, q3 = float(q1), float(q3)
+        iqr_v = 0.0 if q1 == q3 else q3 - q1
         q1c, q3c, iqr = F.lit(q1), F.lit(q3), F.lit(iqr_v)
         lo, hi = F.lit(q1 - k * iqr_v), F.lit(q3 + k * iqr_v)
     agg = df.agg(F.count_if((c < lo) | (c > hi)).alias("n_outliers"),

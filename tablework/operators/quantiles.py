@@ -1,18 +1,25 @@
 """Exact quantiles without gathering values in one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer (one task for a global quantile).  Here the k-th smallest
-value is found by narrowing: each round is one distributed pass that counts
-the rows of the current candidate range in ``bins`` equal-width bins
-(``groupBy(bin).agg(count, min, max)`` - partial aggregation, at most
-``bins`` rows reach the driver).  The bin holding rank k becomes the next
-range, bounded by the bin's real min/max values.  When a range is a single
-value, or holds at most ``leaf_rows`` rows, its value histogram (bounded by
-``leaf_rows``) is read and the rank is located.  A heavy value that holds a
-third of all rows ends the search at once (min == max).
-
-Interpolation follows ``quantile_cont``: position p*(n-1) between the
-floor and ceiling ranks, ``lo + (hi - lo) * frac``.
+aggregation buffer (one task for a global quantile).  Here each wanted rank
+is bracketed by a sketch and settled by counting:
+
+1. one pass counts the rows and takes sketch values (``percentile_approx``)
+   a little below and above each rank;
+2. one counting pass finds how many rows lie below, on and between the two
+   values of each bracket.  A rank that falls on a bracket's end is found;
+   otherwise the open range between holds it, a few rows per ten thousand;
+3. open ranges of at most ``LEAF_ROWS`` rows are read (all of them in one
+   job); larger ones are bracketed again among their own rows.
+
+Every round narrows a range by thousands, so two or three passes do for any
+number of rows, however the values are spread; only comparisons are used, so
+infinities and ranges beyond the largest double need no care.  The column is
+kept in its own type: integers beyond 2**53 and decimals are exact.
+
+Interpolation follows ``quantile_cont``: position p*(n-1) between the floor
+and ceiling ranks.  Between a finite and an infinite value the result is the
+infinite one, as for any position strictly between them.
 """
 
 from __future__ import annotations
@@ -21,102 +28,117 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
+
+#: Rows of an open range that may be read to the driver.
+LEAF_ROWS = 20_000
+#: Rank error of the sketch, as a share of the rows.
+SKETCH_ERROR = 1e-4
+
+
+def _bracket(x, share: float):
+    """Sketch values surely at or below, and at or above, this share."""
+    low, high = max(0.0, share - 2 * SKETCH_ERROR), min(1.0, share + 2 * SKETCH_ERROR)
+    return F.percentile_approx(x, F.array(F.lit(low), F.lit(high)), F.lit(int(1 / SKETCH_ERROR)))
+
 
+def _inside(x, low, high):
+    """Condition of an open range; None is no bound."""
+    cond = F.lit(True)
+    if low is not None:
+        cond = cond & (x > F.lit(low))
+    if high is not None:
+        cond = cond & (x < F.lit(high))
+    return cond
 
-def _kth_values(base: DataFrame, n: int, lo: float, hi: float, ranks: set[int],
-                bins: int, leaf_rows: int) -> dict[int, float]:
-    # each open range: (lo, hi, below, count, ranks)
-    open_ranges = [(lo, hi, 0, n, sorted(ranks))]
-    found: dict[int, float] = {}
+
+def _kth_values(base: DataFrame, n: int, ranks: set[int], stats: dict | None = None) -> dict:
+    """{rank: value} by narrowing; ``stats`` counts the passes."""
     x = F.col("x")
-    while open_ranges:
-        passes, leaves = [], []
-        for r in open_ranges:
-            r_lo, r_hi, below, cnt, rks = r
-            if r_lo == r_hi:
-                for k in rks:
-                    found[k] = r_lo
-            elif cnt <= leaf_rows or (r_hi - r_lo) / bins == 0.0:
-                # small range, or one so narrow that bins would underflow
-                # (it then holds only a few distinct doubles): read it
-                leaves.append(r)
+    found: dict = {}
+    open_ = [(None, None, 0, n, k) for k in sorted(ranks)]    # low, high, rows up to low, rows between, rank
+
+    def one_pass(exprs):
+        if stats is not None:
+            stats["passes"] = stats.get("passes", 0) + 1
+        return base.agg(*[e.alias(f"c{i}") for i, e in enumerate(exprs)]).first()
+
+    while open_:
+        if sum(m for *_, m, _ in open_) <= LEAF_ROWS:
+            some = F.lit(False)
+            for low, high, *_ in open_:
+                some = some | _inside(x, low, high)
+            if stats is not None:
+                stats["passes"] = stats.get("passes", 0) + 1
+            values = sorted(r["x"] for r in base.where(some).collect())
+            for low, high, below, _, k in open_:
+                own = [v for v in values if (low is None or v > low) and (high is None or v < high)]
+                found[k] = own[k - below]
+            return found
+        sketch = one_pass([_bracket(F.when(_inside(x, low, high), x), (k - below) / max(1, m - 1))
+                           for low, high, below, m, k in open_])
+        ends = [tuple(sketch[i]) for i in range(len(open_))]
+        counts = one_pass([F.count_if(_inside(x, r[0], r[1]) & cond) for r, (a, b) in zip(open_, ends)
+                           for cond in (x < F.lit(a), x == F.lit(a), (x > F.lit(a)) & (x < F.lit(b)), x == F.lit(b))])
+        after = []
+        for i, ((low, high, below, m, k), (a, b)) in enumerate(zip(open_, ends)):
+            under, on_a, between, on_b = (counts[4 * i + j] for j in range(4))
+            on_b = 0 if a == b else on_b
+            at = k - below
+            if at < under:
+                after.append((low, a, below, under, k))
+            elif at < under + on_a:
+                found[k] = a
+            elif at < under + on_a + between:
+                after.append((a, b, below + under + on_a, between, k))
+            elif at < under + on_a + between + on_b:
+                found[k] = b
             else:
-                passes.append(r)
-        for r_lo, r_hi, below, cnt, rks in leaves:
-            hist = (base.where((x >= r_lo) & (x <= r_hi)).groupBy("x")
-                        .agg(F.count(F.lit(1)).alias("c")).collect())
-            hist.sort(key=lambda row: row["x"])
-            cum = below
-            it = iter(rks)
-            k = next(it, None)
-            for row in hist:
-                nxt = cum + row["c"]
-                while k is not None and k < nxt:
-                    found[k] = row["x"]
-                    k = next(it, None)
-                cum = nxt
-        open_ranges = []
-        if not passes:
-            break
-        tags = []
-        for i, (r_lo, r_hi, _b, _c, _k) in enumerate(passes):
-            width = (r_hi - r_lo) / bins
-            b = F.least(F.lit(bins - 1), F.floor((x - F.lit(r_lo)) / F.lit(width)))
-            tags.append(F.when((x >= F.lit(r_lo)) & (x <= F.lit(r_hi)),
-                               F.struct(F.lit(i).alias("i"), b.cast("int").alias("b"))))
-        rows = (base.select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t"), "x")
-                    .groupBy(F.col("t.i").alias("i"), F.col("t.b").alias("b"))
-                    .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                    .collect())
-        by_range: dict[int, list] = {}
-        for row in rows:
-            by_range.setdefault(row["i"], []).append(row)
-        for i, (r_lo, r_hi, below, cnt, rks) in enumerate(passes):
-            cells = sorted(by_range.get(i, []), key=lambda row: row["b"])
-            cum = below
-            groups: dict[int, tuple] = {}
-            pending = list(rks)
-            for cell in cells:
-                nxt = cum + cell["c"]
-                inside = [k for k in pending if k < nxt]
-                if inside:
-                    groups[cell["b"]] = (cell["mn"], cell["mx"], cum, cell["c"], inside)
-                    pending = [k for k in pending if k >= nxt]
-                cum = nxt
-            open_ranges.extend(groups.values())
+                upto = under + on_a + between + on_b
+                after.append((b, high, below + upto, m - upto, k))
+        open_ = after
     return found
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, bins: int = 1024,
-                    leaf_rows: int = 200_000, discrete: bool = False) -> list[float | None]:
+def _typed(df: DataFrame, col: str):
+    kind = df.select(F.col(col)).schema[0].dataType
+    return F.col(col) if isinstance(kind, (IntegralType, DecimalType)) else F.col(col).cast("double")
+
+
+def _between(lo, hi, share: float) -> float:
+    lo, hi = float(lo), float(hi)
+    if share == 0 or lo == hi:
+        return lo
+    if math.isinf(lo) or math.isinf(hi):
+        return lo if math.isinf(lo) and not math.isinf(hi) else (hi if not math.isinf(lo) else math.nan)
+    step = hi - lo
+    return lo + step * share if math.isfinite(step) else lo * (1 - share) + hi * share
+
+
+def exact_quantiles(df: DataFrame, col: str, probs, discrete: bool = False,
+                    stats: dict | None = None) -> list:
     """Exact quantiles of ``col`` (nulls and NaN ignored) for each probability;
     ``None`` for an empty column.  Default: ``quantile_cont`` (linear
-    interpolation).  ``discrete=True``: ``percentile_disc`` /
-    ``quantile_disc``, the value at rank ``max(ceil(p*n) - 1, 0)``."""
-    base = df.select(F.col(col).cast("double").alias("x")).where(
-        F.col("x").isNotNull() & ~F.isnan("x"))
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"),
-                  F.max("x").alias("mx")).first()
-    n = st["n"]
-    if not n:
-        return [None for _ in probs]
-    if discrete:
-        idx = [max(int(math.ceil(p * n)) - 1, 0) for p in probs]
-        vals = _kth_values(base, n, st["mn"], st["mx"], set(idx), bins, leaf_rows)
-        return [vals[k] for k in idx]
-    ranks = set()
-    for p in probs:
-        pos = p * (n - 1)
-        ranks.add(int(math.floor(pos)))
-        ranks.add(int(math.ceil(pos)))
-    vals = _kth_values(base, n, st["mn"], st["mx"], ranks, bins, leaf_rows)
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        f, c = int(math.floor(pos)), int(math.ceil(pos))
-        lo, hi = vals[f], vals[c]
-        out.append(lo if f == c else lo + (hi - lo) * (pos - f))
-    return out
+    interpolation, doubles).  ``discrete=True``: ``percentile_disc`` /
+    ``quantile_disc``, the value at rank ``max(ceil(p*n) - 1, 0)`` in the
+    column's type.  ``stats`` (a dict) receives the number of passes."""
+    base = df.select(_typed(df, col).alias("x")).where(F.col("x").isNotNull())
+    if isinstance(base.schema[0].dataType, (DoubleType, FloatType)):
+        base = base.where(~F.isnan("x"))
+    base = base.persist()
+    try:
+        n = base.count()
+        if not n:
+            return [None for _ in probs]
+        if discrete:
+            idx = [max(int(math.ceil(p * n)) - 1, 0) for p in probs]
+            vals = _kth_values(base, n, set(idx), stats)
+            return [vals[k] for k in idx]
+        at = [p * (n - 1) for p in probs]
+        vals = _kth_values(base, n, {f(pos) for pos in at for f in (math.floor, math.ceil)}, stats)
+        return [_between(vals[math.floor(pos)], vals[math.ceil(pos)], pos - math.floor(pos)) for pos in at]
+    finally:
+        base.unpersist()
 
 
 def approx_quantiles(df: DataFrame, col: str, probs, rel_error: float = 0.01) -> list[float | None]:

@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.draws import unit_draw
+from tablework.functions.draws import sample_mask, unit_draw
 
 
 def sample_hash(df: DataFrame, keys, fraction: float, seed: int = 42) -> DataFrame:
     """M1 + M3: Bernoulli(fraction) rows by key; fraction >= 1 is a no-op."""
     if fraction >= 1.0:
         return df
-    return df.where(unit_draw(keys, seed) < F.lit(float(fraction)))
+    return df.where(sample_mask(keys, seed, fraction))
 
 
 def sample_native(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -31,7 +31,7 @@ def split_column(keys, weights=(0.8, 0.2), seed: int = 42, names=None):
     """Index (or name) of the split each row falls in, from one draw; the
     splits are disjoint and cover every row with a non-null key."""
     total = float(sum(weights))
-    u = unit_draw(keys, seed)
+    u = unit_draw(keys, seed, "split")
     names = list(names) if names else list(range(len(weights)))
     expr = None
     edge = 0.0

@@ -10,19 +10,22 @@ served by file layout (Parquet min/max statistics) instead of indexes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-ROUTE_COLS = ["route_id", "route_short_name", "agency_id", "route_type"]
-TRIP_COLS = ["trip_id", "route_id", "service_id", "trip_headsign", "direction_id"]
-EVENT_COLS = ["trip_id", "stop_id", "stop_sequence", "arrival_time",
-              "delay_minutes", "is_disrupted", "disruption_reason"]
+from tablework.sources import schemas
+
+# The columns of the star tables (schemas.STAR_*).
+ROUTE_COLS = schemas.STAR_ROUTES.names
+TRIP_COLS = schemas.STAR_TRIPS.names
+EVENT_COLS = [c for c in schemas.STAR_EVENTS.names if c != "event_id"]
 
 
 def first_per_key(df: DataFrame, key: str, cols) -> DataFrame:
     """One row per key - the smallest (by the other columns in order),
     so the result is defined; null keys are dropped like a primary key
     would refuse them."""
-    rest = [c for c in cols if c != key]
+    rest = [c for c in cols if c != key and c in df.columns]   # feeds may lack optional columns
     return (df.where(F.col(key).isNotNull()).groupBy(key)
               .agg(F.min(F.struct(*rest)).alias("__r"))
               .select(key, *[F.col(f"__r.{c}").alias(c) for c in rest]))
@@ -51,10 +54,17 @@ def fact_events(df: DataFrame, id_mode: str = "unique",
     """Delay-event fact with a surrogate ``event_id``.
 
     ``unique``: ``monotonically_increasing_id`` - unique without a shuffle
-    or a single-task row_number; stable under retries since input splits
-    are deterministic.  ``hash``: :func:`event_id_hash` of ``keys``.
+    or a single-task row_number; the same under retries only straight after
+    a file scan, so write the fact once.  ``hash``: :func:`event_id_hash` of
+    ``keys`` and, since the keys may repeat, of the row's number among the
+    rows of its key, in the order of the other columns.
     """
-    eid = F.monotonically_increasing_id() if id_mode == "unique" else event_id_hash(keys)
+    if id_mode == "unique":
+        eid = F.monotonically_increasing_id()
+    else:
+        rest = [F.col(c) for c in EVENT_COLS if c not in keys]
+        df = df.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*rest)))
+        eid = event_id_hash([*keys, "__nth"])
     return df.select(eid.alias("event_id"),
                      *[F.col(c).cast("int").alias(c) if c == "is_disrupted" else F.col(c)
                        for c in EVENT_COLS])
@@ -94,3 +104,15 @@ def clustered(df: DataFrame, cols, partitions: int | None = None,
         keys.append(F.xxhash64(*[F.col(c) for c in df.columns]) % F.lit(salt_rows))
     out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return out.sortWithinPartitions(*cols)
+
+
+#: Lookup layouts: (table, column to look up).
+LOOKUPS = {"events_by_trip": ("delay_events", "trip_id"), "events_by_stop": ("delay_events", "stop_id"),
+           "trips_by_route": ("trips", "route_id")}
+
+
+def lookup_layouts(star: dict[str, DataFrame], partitions: int | None = None) -> dict[str, DataFrame]:
+    """One clustered copy of a star table per column that is looked up
+    (the part that indexes play in a row store); a route's events are found
+    by its trips."""
+    return {name: clustered(star[table], [column], partitions) for name, (table, column) in LOOKUPS.items()}

@@ -17,10 +17,10 @@ def d(x: float) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
-def u(seed: int, *keys: str) -> str:
+def u(purpose: str, seed: int, *keys: str) -> str:
     cast = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
     nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-    h = f"CAST(('0x' || substr(md5(concat_ws('|', '{seed}', {cast})), 1, 12)) AS BIGINT)"
+    h = f"CAST(('0x' || substr(md5(concat_ws('|', '{purpose}', '{seed}', {cast})), 1, 12)) AS BIGINT)"
     return f"(CASE WHEN {nn} THEN CAST({h} AS DOUBLE) / {d(2.0 ** 48)} END)"
 
 
@@ -30,22 +30,22 @@ def hash_id(*keys: str) -> str:
 
 
 def uniform(seed, lo, hi, *keys):
-    return f"({d(lo)} + {u(seed, *keys)} * {d(float(hi) - float(lo))})"
+    return f"({d(lo)} + {u('uniform', seed, *keys)} * {d(float(hi) - float(lo))})"
 
 
 def normal(seed, mu, sigma, *keys):
-    z = (f"(sqrt({d(-2.0)} * ln({d(1.0)} - {u(seed, *keys)})) * "
-         f"cos({d(2 * math.pi)} * {u(seed + 1, *keys)}))")
+    z = (f"(sqrt({d(-2.0)} * ln({d(1.0)} - {u('radius', seed, *keys)})) * "
+         f"cos({d(2 * math.pi)} * {u('angle', seed, *keys)}))")
     return f"({d(mu)} + {z} * {d(sigma)})"
 
 
 def exponential(seed, shift, scale, *keys):
-    return f"({d(shift)} + (-ln({d(1.0)} - {u(seed, *keys)})) * {d(scale)})"
+    return f"({d(shift)} + (-ln({d(1.0)} - {u('exponential', seed, *keys)})) * {d(scale)})"
 
 
 def choice(seed, labels, *keys):
     arr = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in labels) + "]"
-    return f"list_extract({arr}, CAST(floor({u(seed, *keys)} * {len(labels)}) AS INTEGER) + 1)"
+    return f"list_extract({arr}, CAST(floor({u('choice', seed, *keys)} * {len(labels)}) AS INTEGER) + 1)"
 
 
 def clip(x, lo, hi):
@@ -105,7 +105,7 @@ _S = EVENT_SEED
 
 DELAYS_CTE = f"""{SCHEDULE_CTE},
 with_p AS (SELECT *, {uniform(ROUTE_SEED, *ON_TIME_P_RANGE, 'route_id')} AS p_on_time FROM schedule),
-flagged AS (SELECT *, {u(_S, *_K)} > p_on_time AS is_disrupted FROM with_p),
+flagged AS (SELECT *, {u('flag', _S, *_K)} > p_on_time AS is_disrupted FROM with_p),
 delays AS (
   SELECT route_id, {", ".join(c for c in SCHEDULE_COLS if c != "route_id")}, p_on_time, is_disrupted,
          round(CASE WHEN is_disrupted THEN {exponential(_S + 3, *DISRUPTED_SHIFT_SCALE, *_K)}

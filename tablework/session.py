@@ -44,15 +44,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set (local tests) a folder under
-    the SQL warehouse location is chosen and registered, never a
-    machine-local temp dir.
+    checkpoint dir).  Where neither is set, a local master (one machine) gets
+    a folder under the SQL warehouse location; on a cluster, whose executors
+    do not share a local folder, this raises.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         wh = spark.conf.get("spark.sql.warehouse.dir")
         d = wh.rstrip("/") + "/_checkpoints"

@@ -20,8 +20,9 @@ def typed_projection(df: DataFrame, schema: StructType,
 
     Declared columns come first in declared order, cast with ``try_cast``
     (null on bad input, surrounding blanks trimmed for numbers); a declared
-    column missing from the input becomes a typed null; undeclared input
-    columns pass through as text when ``keep_extra``.
+    column missing from the input is left out, so later steps see which
+    columns exist; undeclared input columns pass through as text when
+    ``keep_extra``.
     """
     present = set(df.columns)
     cols: list[Column] = []
@@ -30,8 +31,6 @@ def typed_projection(df: DataFrame, schema: StructType,
             c = F.col(f"`{f.name}`")
             cols.append((c if isinstance(f.dataType, StringType)
                          else c.try_cast(f.dataType)).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     if keep_extra:
         declared = {f.name for f in schema.fields}
         cols += [F.col(f"`{c}`") for c in df.columns if c not in declared]
@@ -58,15 +57,11 @@ def read_feed(spark: SparkSession, path: str, schema: StructType | None = None,
     return typed_projection(raw, schema, keep_extra=keep_extra)
 
 
-REQUIRED_FEED_FILES = ("stop_times", "trips")
-
-
 def read_feed_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The five timetable files of a feed folder (``stop_times.txt``,
     ``trips.txt``, ``routes.txt``, ``stops.txt``, ``calendar.txt``), each
-    bound to its declared schema by header name.  A missing dimension file
-    gives an empty table of its schema (its left join then yields nulls);
-    a missing stop-times or trips file is an error naming the file."""
+    bound to its declared schema by header name.  A missing file is an error
+    that names it."""
     from tablework.sources.schemas import FEED_SCHEMAS
     out = {}
     for name, schema in FEED_SCHEMAS.items():
@@ -76,17 +71,21 @@ def read_feed_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
                 raise
-            if name in REQUIRED_FEED_FILES:
-                raise FileNotFoundError(f"{path} not found: the feed needs it") from e
-            df = spark.createDataFrame([], schema)
+            raise FileNotFoundError(f"{path} not found: the feed needs it") from e
         out[name] = df
     return out
 
 
-def read_table(spark: SparkSession, path: str, step: str | None = None) -> DataFrame:
-    """S3 + S9: Parquet scan; a missing input names the step that makes it."""
+def read_table(spark: SparkSession, path: str, step: str | None = None,
+               schema: StructType | None = None) -> DataFrame:
+    """S3 + S9: Parquet scan; a missing input names the step that makes it.
+
+    Partition columns come from folder names, whose types Spark guesses
+    (``001`` becomes 1); pass the written ``schema`` to keep them as they
+    were."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             hint = f" - run the '{step}' step first" if step else ""
@@ -152,12 +151,18 @@ def write_star_catalog(star: dict[str, DataFrame], database: str, buckets: int =
     return names
 
 
+def drop_star_catalog(spark: SparkSession, database: str) -> None:
+    """Remove a star written by :func:`write_star_catalog`, tables included."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
 def write_star_jdbc(star: dict[str, DataFrame], url: str, properties: dict,
                     num_partitions: int = 8, mode: str = "overwrite") -> dict[str, str]:
     """S6, relational-store form (the reference names JDBC as the scalable
-    way): executors insert in ``num_partitions`` parallel connections."""
+    way): executors insert in at most ``num_partitions`` connections (the
+    writer's option; the stage before it keeps its own parallelism)."""
     for name, df in star.items():
-        df.coalesce(num_partitions).write.jdbc(url, name, mode=mode, properties=properties)
+        df.write.option("numPartitions", num_partitions).jdbc(url, name, mode=mode, properties=properties)
     return {name: name for name in star}
 
 

@@ -41,7 +41,10 @@ def test_stage_commands(spark, tmp_dir):
     r = main(["features", "--src", f"{out}/delays", "--out", f"{out}/model"], spark, 0)
     rows = {x.split: x["count"] for x in r["rows"].collect()}
     assert sum(rows.values()) < 80  # rows of service C2 are skipped by the assembler
-    r = main(["models", "--src", f"{out}/model", "--metrics", f"{out}/metrics"], spark, 0)
+    r = main(["models", "--src", f"{out}/model", "--metrics", f"{out}/metrics", "--train-fraction", "0.9"], spark, 0)
+    for name in ("Random Forest", "Gradient Boosted Trees"):
+        found = r[f"importance: {name}"].collect()
+        assert "is_disrupted" in [x.feature for x in found] and abs(sum(x.importance for x in found) - 1) < 1e-9
     assert [x.model for x in r["comparison"].collect()] == [
         "Linear Regression", "Random Forest", "Gradient Boosted Trees"]
     assert len(glob.glob(f"{out}/metrics/part-*.csv")) == 1
@@ -50,20 +53,28 @@ def test_stage_commands(spark, tmp_dir):
     assert os.path.isdir(f"{out}/star/delay_events")
 
 
-def test_feed_folder_without_optional_files(spark, tmp_dir):
+def test_a_missing_file_is_an_error(spark, tmp_dir):
     import pytest
     from tablework.sources import read_feed_folder
+    for name in ("calendar", "trips"):
+        folder = f"{tmp_dir}/no_{name}"
+        _write_feed(folder, skip=(name,))
+        with pytest.raises(FileNotFoundError, match=name):
+            read_feed_folder(spark, folder)
+
+
+def test_a_missing_weekday_loses_no_rows(spark, tmp_dir):
+    from tablework.operators import augment, features
     from tablework.plans import batch
-    feed = f"{tmp_dir}/no_calendar"
-    _write_feed(feed, skip=("calendar",))
-    f = read_feed_folder(spark, feed)
-    assert f["calendar"].count() == 0
-    sched = batch.write_schedule(f, f"{tmp_dir}/schedule")
-    assert sched.count() == 80 and sched.where("monday IS NOT NULL").count() == 0
-    no_trips = f"{tmp_dir}/no_trips"
-    _write_feed(no_trips, skip=("trips",))
-    with pytest.raises(FileNotFoundError, match="trips"):
-        read_feed_folder(spark, no_trips)
+    from tablework.sources import read_feed_folder
+    feed = f"{tmp_dir}/no_sunday"
+    _write_feed(feed)
+    write_text(f"{feed}/calendar.txt", "service_id,monday,tuesday,wednesday,thursday,friday,saturday\n"
+               "C0,1,1,1,1,1,0\nC1,1,1,1,1,1,1\nC2,0,0,0,0,0,1\n")
+    delays = augment.augment_delays(batch.write_schedule(read_feed_folder(spark, feed), f"{tmp_dir}/schedule"))
+    assert "sunday" not in delays.columns
+    train, test, _ = features.model_tables(delays)
+    assert train.count() + test.count() == delays.count() == 80
 
 
 def test_star_sample_fraction(spark, tmp_dir):

@@ -78,17 +78,19 @@ def _numpy_like_quantile(vals, p):
     return s[f] + (s[c] - s[f]) * (pos - f)
 
 
-@pytest.mark.parametrize("leaf_rows", [5, 50, 100_000])
-def test_exact_quantiles_with_a_hot_value(spark, leaf_rows):
+@pytest.mark.parametrize("leaf_rows", [5, 100_000])
+def test_exact_quantiles_with_a_hot_value(spark, monkeypatch, leaf_rows):
+    monkeypatch.setattr(quantiles, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(quantiles, "SKETCH_ERROR", 0.01)
     rnd = random.Random(7)
     vals = [rnd.expovariate(0.3) for _ in range(3000)] + [4.25] * 1500  # a third is one value
     rnd.shuffle(vals)
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = quantiles.exact_quantiles(df, "x", probs, bins=16, leaf_rows=leaf_rows)
+    got = quantiles.exact_quantiles(df, "x", probs)
     for p, g in zip(probs, got):
         assert g == pytest.approx(_numpy_like_quantile(vals, p), rel=1e-12, abs=1e-12)
-    disc = quantiles.exact_quantiles(df, "x", probs, bins=16, leaf_rows=leaf_rows, discrete=True)
+    disc = quantiles.exact_quantiles(df, "x", probs, discrete=True)
     s = sorted(vals)
     assert disc == [s[max(math.ceil(p * len(s)) - 1, 0)] for p in probs]
 
@@ -253,15 +255,15 @@ def test_clustering_splits_a_hot_key(spark):
 def test_binned_density_is_close_to_exact(spark):
     rnd = random.Random(3)
     df = spark.createDataFrame([(rnd.gauss(0, 1),) for _ in range(5000)], "x double")
-    exact = [r.density for r in shapes.density_curve(df, "x", 100).collect()]
-    binned = [r.density for r in shapes.density_curve(df, "x", 100, grid_bins=4096).collect()]
+    exact = [r.density for r in shapes.density_curve(df, "x", 100, grid_bins=None).collect()]
+    binned = [r.density for r in shapes.density_curve(df, "x", 100).collect()]
     assert max(abs(a - b) for a, b in zip(exact, binned)) < 1e-3
 
 
-def test_profile_auto_counts_small_columns_exactly(spark):
+def test_profile_counts_the_named_columns_exactly(spark):
     df = spark.range(5000).select(F.col("id").alias("big"), (F.col("id") % 7).alias("small"),
                                   F.when(F.col("id") % 2 == 0, F.lit("x")).alias("half_null"))
-    got = {r.column: r for r in profile.profile_columns_auto(df, exact_limit=100).collect()}
+    got = {r.column: r for r in profile.profile_columns_auto(df, ["small", "half_null"]).collect()}
     assert got["small"].distinct_exact and got["small"].distinct_count == 7
     assert got["half_null"].distinct_exact and got["half_null"].distinct_count == 2
     assert got["half_null"].null_count == 2500
@@ -271,11 +273,97 @@ def test_profile_auto_counts_small_columns_exactly(spark):
 
 def test_shapes_on_an_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
-    assert shapes.histogram(df, "x").collect() == []
-    assert shapes.density_curve(df, "x").collect() == []
+    h = shapes.histogram(df, "x").collect()
+    assert len(h) == 50 and {(r.n, r.bin_lo) for r in h} == {(0, None)}
+    assert all(r.density is None for r in shapes.density_curve(df, "x").collect())
     one = spark.createDataFrame([(2.5,), (2.5,)], "x double")
     h = shapes.histogram(one, "x").collect()
-    assert [(r.bin, r.n) for r in h] == [(0, 2)]  # a constant column is one bin
+    assert [r.n for r in h] == [2] + [0] * 49 and {r.bin_lo for r in h} == {2.5}
+    for grid in (None, 4096):
+        d = shapes.density_curve(one, "x", grid_bins=grid).collect()
+        assert len(d) == 200 and all(r.density is None for r in d)
+
+
+def test_shapes_leave_infinite_values_out(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(float(v),) for v in range(10)] + [(inf,), (-inf,), (None,), (float("nan"),)], "x double")
+    h = shapes.histogram(df, "x", 5).collect()
+    assert sum(r.n for r in h) == 10 and h[0].bin_lo == 0.0 and h[-1].bin_hi == 9.0
+    assert all(r.density > 0 for r in shapes.density_curve(df, "x", 20).collect())
+    assert tuple(shapes.left_out(df, "x").first()) == (14, 1, 1, 2)
+
+
+@pytest.mark.parametrize("extra", [float("inf"), 1.7e308])
+def test_exact_quantiles_end_on_infinite_and_huge_ranges(spark, monkeypatch, extra):
+    monkeypatch.setattr(quantiles, "LEAF_ROWS", 3)
+    monkeypatch.setattr(quantiles, "SKETCH_ERROR", 0.05)
+    vals = [float(v) for v in range(200)] + [extra, -extra, extra]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
+    stats = {}
+    got = quantiles.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0], stats=stats)
+    assert got[0] == -extra and got[-1] == extra and got[2] == 100.0
+    assert got[1] == _numpy_like_quantile(vals, 0.25) and got[3] == _numpy_like_quantile(vals, 0.9)
+    assert stats["passes"] <= 7
+    assert quantiles.exact_quantiles(df, "x", [0.5], discrete=True) == [100.0]
+
+
+def test_exact_quantiles_keep_integers_and_decimals(spark):
+    from decimal import Decimal
+    big = 2 ** 53
+    df = spark.createDataFrame([(big + i, Decimal(f"1.00000000000000000{i}")) for i in range(9)],
+                               "k bigint, d decimal(20,18)")
+    assert quantiles.exact_quantiles(df, "k", [0.5, 0.25], discrete=True) == [big + 4, big + 2]
+    assert quantiles.exact_quantiles(df, "d", [0.5], discrete=True) == [Decimal("1.000000000000000004")]
+
+
+def test_exact_quantiles_on_wide_magnitudes_take_few_passes(spark):
+    df = spark.range(60000).select(F.pow(F.lit(10.0), (F.col("id") % 600) - 300).alias("x"))
+    stats = {}
+    quantiles.exact_quantiles(df, "x", [0.25, 0.5, 0.75], stats=stats)
+    assert stats["passes"] <= 4
+
+
+def test_a_sample_splits_near_the_weights(spark):
+    df = spark.range(20000).withColumn("k", F.col("id").cast("string"))
+    s = sampling.sample_hash(df, ["k"], 0.25, 42)
+    train, test = sampling.split_hash(s, ["k"], (0.8, 0.2), 42)
+    n = s.count()
+    assert train.count() + test.count() == n
+    assert abs(test.count() - 0.2 * n) < 4 * math.sqrt(n * 0.16)
+
+
+def test_profile_tells_repeated_hours_apart(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(2).select(F.timestamp_micros(F.lit(1730611800000000) + F.col("id") * 3600000000).alias("t"))
+        assert profile.profile_columns(df).first().distinct_count == df.distinct().count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_category_mode_is_the_callers_choice(spark):
+    from tablework.operators import models
+    df = spark.range(400).select(
+        F.col("id").cast("string").alias("trip_id"), F.lit(1).alias("stop_sequence"), F.lit("s").alias("stop_id"),
+        F.lit("08:00:00").alias("arrival_time"), (F.col("id") % 50).cast("string").alias("route_id"),
+        (F.col("id") % 7).cast("double").alias("delay_minutes"))
+    for mode, bins in (("nominal", 51), ("ordinal", 32)):
+        train, _, names = features.model_tables(df, category_mode=mode)
+        assert models.max_bins_for(train) == bins
+        assert models.feature_names(train) == names
+    with pytest.raises(ValueError):
+        features.model_tables(df, category_mode="auto")
+
+
+def test_event_ids_are_unique_when_keys_repeat(spark):
+    row = ("T", "S", 1, "08:00:00", 1.0, True, None)
+    df = spark.createDataFrame([row, row, ("T", "S", 1, "09:00:00", 1.0, True, None)],
+                               "trip_id string, stop_id string, stop_sequence int, arrival_time string, "
+                               "delay_minutes double, is_disrupted boolean, disruption_reason string")
+    ids = [r.event_id for r in star.fact_events(df, id_mode="hash").collect()]
+    assert len(set(ids)) == 3
+    assert sorted(ids) == sorted(r.event_id for r in star.fact_events(df.repartition(3), id_mode="hash").collect())
 
 
 def test_exact_quantiles_on_values_a_few_ulps_apart(spark):
@@ -283,12 +371,12 @@ def test_exact_quantiles_on_values_a_few_ulps_apart(spark):
     tiny = sys.float_info.min * 1e-10  # subnormal spacing
     vals = [0.0] * 50 + [tiny] * 30 + [2 * tiny] * 20
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = quantiles.exact_quantiles(df, "x", [0.5, 0.9], bins=4, leaf_rows=1)
+    got = quantiles.exact_quantiles(df, "x", [0.5, 0.9])
     s = sorted(vals)
     assert got[0] == s[49] + (s[50] - s[49]) * 0.5
     pos = 0.9 * 99
     assert got[1] == s[89] + (s[90] - s[89]) * (pos - 89)
-    assert quantiles.exact_quantiles(df, "x", [0.9], bins=4, leaf_rows=1, discrete=True) == \
+    assert quantiles.exact_quantiles(df, "x", [0.9], discrete=True) == \
         [s[max(math.ceil(0.9 * len(s)) - 1, 0)]]
 
 

@@ -72,10 +72,17 @@ def test_distinct_profile_is_not_one_wide_aggregate(spark):
     assert "Generate" in p and "inline" in p
 
 
-def test_spread_only_when_too_few_partitions(spark):
+def test_spread_follows_the_argument_only(spark):
     from tablework.operators.layout import spread
-    wide = spark.range(1000).repartition(16)
-    assert spread(wide, 8) is wide  # enough partitions: no shuffle added
-    narrow = spark.range(1000).coalesce(1)
-    out = spread(narrow, 8)
-    assert out.rdd.getNumPartitions() == 8 and out.count() == 1000
+    df = spark.range(1000).coalesce(1)
+    assert spread(df, None) is df
+    out = spread(df, 8)
+    assert "RoundRobinPartitioning(8)" in plan_of(out) and out.count() == 1000
+
+
+def test_route_report_aggregates_before_it_joins(spark):
+    from tablework.plans import registry, reports
+    p = plan_of(reports.routes_over_threshold(spark, registry._star(spark, SF001)))
+    scan = p.index("delay_minutes")
+    assert "partial_sum(delay_minutes" in p and "partial_count" in p[:p.index("partial_sum(delay_minutes") + 2000]
+    assert scan >= 0

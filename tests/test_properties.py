@@ -30,14 +30,14 @@ def test_hour_of_day_and_peak(spark, times):
        st.lists(st.floats(0, 1), min_size=1, max_size=4))
 def test_exact_quantiles_match_sorting(spark, vals, probs):
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
-    got = quantiles.exact_quantiles(df, "x", probs, bins=8, leaf_rows=7)
+    got = quantiles.exact_quantiles(df, "x", probs)
     s = sorted(vals)
     for p, g in zip(probs, got):
         pos = p * (len(s) - 1)
         f, c = math.floor(pos), math.ceil(pos)
         want = s[f] + (s[c] - s[f]) * (pos - f)
         assert math.isclose(g, want, rel_tol=1e-9, abs_tol=1e-9)
-    disc = quantiles.exact_quantiles(df, "x", probs, bins=8, leaf_rows=7, discrete=True)
+    disc = quantiles.exact_quantiles(df, "x", probs, discrete=True)
     assert disc == [s[max(math.ceil(p * len(s)) - 1, 0)] for p in probs]
 
 
