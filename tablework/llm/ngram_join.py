@@ -46,7 +46,7 @@ from tablework.llm.components import components
 
 GROUPS = 32                 # coordinates of a point
 BAND_RATIO = 1.5            # largest to smallest size of a band
-CHUNK_WORDS = 1 << 20       # words per step in a worker
+CHUNK_WORDS = 1 << 18       # words per step in a worker
 TILE = 4096                 # most points of one tree side in one task
 LEAF = 16
 BATCH_MEMBERS = 8192        # members of small trees that one call searches
