@@ -71,10 +71,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, round_trip): token ids of each
     row, and whether they decode to its text."""
     path = vocabulary_path()
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    checked = bpe.decode(coded.withColumn("_ids", F.col("ids")), path, ids="_ids", out="_decoded")
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text", digest.alias("digest")), path).drop("text")
+    checked = bpe.decode(coded, path, keep=True)
     return checked.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                          (F.col("_decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+                          (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"))
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("ngram_join", near_copies),

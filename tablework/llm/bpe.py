@@ -381,8 +381,10 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
     return df.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """df with ``ids`` replaced by ``decoded``, the bytes they stand for."""
+def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "decoded",
+           keep: bool = False) -> DataFrame:
+    """df with ``decoded``, the bytes that ``ids`` stand for, in their place
+    (or beside them with ``keep``)."""
     need(df, ids)
     df = without(df, out)
     sc = df.sparkSession.sparkContext
@@ -402,9 +404,9 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "de
                 data = vocabulary.decode(flat)
                 column = pa.Array.from_buffers(pa.binary(), b - a, [
                     None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
-                rest = [c for i, c in enumerate(part.columns) if i != at]
-                names = [c for i, c in enumerate(part.schema.names) if i != at]
+                rest = [c for i, c in enumerate(part.columns) if keep or i != at]
+                names = [c for i, c in enumerate(part.schema.names) if keep or i != at]
                 yield pa.RecordBatch.from_arrays([*rest, column], names=[*names, out])
 
-    fields = [f for f in df.schema.fields if f.name.lower() != ids.lower()]
+    fields = [f for f in df.schema.fields if keep or f.name.lower() != ids.lower()]
     return df.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.BinaryType())]))
