@@ -37,6 +37,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 CHUNK_BYTES = 1 << 20       # text per step: bounds the worker's memory
 CACHE_PIECES = 1 << 18      # the cache of pre-tokens starts anew beyond this
 CELLS = 1 << 20             # matrix cells per step
+FEW, SHORT = 16, 64         # up to so many pre-tokens, and bytes, are merged without arrays
 LONG = 1 << 10              # pre-tokens of more bytes are merged one by one
 
 
@@ -63,6 +64,13 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def among(values: np.ndarray, few: list[int]) -> np.ndarray:
+    found = np.zeros(len(values), bool)
+    for x in few:
+        found |= values == x
+    return found
+
+
 def piece_starts(codes: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Mask of the positions where a pre-token starts; ``first`` marks the
     first code point of each text."""
@@ -82,11 +90,11 @@ def piece_starts(codes: np.ndarray, first: np.ndarray, classes: np.ndarray) -> n
     at = np.flatnonzero(starts & (codes == 39))
     at = at[at + 1 < n]
     at = at[~first[at + 1]]
-    one = at[np.isin(codes[at + 1], [ord(c) for c in "stmd"])]
+    one = at[among(codes[at + 1], [ord(c) for c in "stmd"])]
     two = at[at + 2 < n]
     two = two[~first[two + 2]]
     pair = codes[two + 1].astype(np.int64) << 32 | codes[two + 2]
-    two = two[np.isin(pair, [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")])]
+    two = two[among(pair, [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")])]
     for where, length in ((one, 2), (two, 3)):
         starts[where + 1] = False
         after = where + length
@@ -218,8 +226,21 @@ class Vocabulary:
                 alive -= 1
             ids = ids[ids >= 0]
 
+    def merge_short(self, piece: bytes) -> list[int]:
+        """``merge`` for one short pre-token, without the cost of arrays."""
+        get, parts = self.ranks.get, [piece[i:i + 1] for i in range(len(piece))]
+        while len(parts) > 1:
+            best, at = min((get(a + b, NONE), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if best == NONE:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return [self.ranks[p] for p in parts]
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces end to end, ids per piece)."""
+        if len(pieces) <= FEW and max(map(len, pieces)) <= SHORT:
+            ids = [[self.ranks[p]] if p in self.ranks else self.merge_short(p) for p in pieces]
+            return np.array([i for x in ids for i in x], np.int32), np.array(list(map(len, ids)), np.int64)
         whole = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int64, len(pieces))
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         lone = np.flatnonzero((whole >= 0) | (size == 0))
@@ -256,6 +277,14 @@ class Vocabulary:
         return self.bytes[spans(self.offsets[ids], self.sizes(ids))]
 
 
+def put(buffer: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """values written at a place of a buffer that grows by doubling."""
+    if at + len(values) > len(buffer):
+        buffer = np.concatenate([buffer, np.zeros(max(len(buffer), len(values)), buffer.dtype)])
+    buffer[at:at + len(values)] = values
+    return buffer
+
+
 class Numbers(dict):
     """Numbers pre-tokens in the order in which they come up first."""
 
@@ -280,17 +309,17 @@ class Encoder:
 
     def clear(self) -> None:
         self.known = Numbers()
-        self.lengths = np.zeros(0, np.int64)
-        self.offsets = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        self.lengths, self.offsets, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        self.flat, self.filled = np.zeros(0, np.int32), 0
 
     def learn(self) -> None:
         """Ids for the pre-tokens that were numbered since the last time."""
         ids, lengths = self.vocabulary.encode_pieces([p.encode("utf-8", "surrogatepass") for p in self.known.new])
         self.known.new.clear()
-        self.offsets = np.concatenate([self.offsets, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.flat = np.concatenate([self.flat, ids])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self.offsets = put(self.offsets, self.used, self.filled + np.cumsum(lengths) - lengths)
+        self.lengths = put(self.lengths, self.used, lengths)
+        self.flat = put(self.flat, self.filled, ids)
+        self.used, self.filled = self.used + len(lengths), self.filled + len(ids)
 
     def pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Pre-tokens of all texts in order, and how many each text has."""

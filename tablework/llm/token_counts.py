@@ -88,9 +88,11 @@ class Tree:
                 sums[at] = sums[2 * at] + sums[2 * at + 1]
 
 
-def lay_out(pieces: list[str], enc: Encoder) -> Tree:
+def lay_out(pieces: list[str], enc: Encoder, tokens: np.ndarray | None = None) -> Tree:
+    """The tree of a document's pre-tokens (with their token counts, if
+    these are known)."""
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    tokens = enc.token_counts(pieces)
+    tokens = enc.token_counts(pieces) if tokens is None else tokens
     cuts = np.arange(0, max(1, len(pieces)), LEAF)
     if not len(pieces):
         return Tree.of_leaves(np.zeros(1, np.int64), np.zeros(1, np.int64))
@@ -151,7 +153,8 @@ def build(docs: DataFrame, vocabulary_path: str, text: str = "text") -> DataFram
             for a, b in text_chunks(column):
                 pieces, counts = enc.pieces([t or "" for t in column.slice(a, b - a).to_pylist()])
                 cuts = np.concatenate([[0], np.cumsum(counts)])
-                trees = [lay_out(pieces[x:y], enc) for x, y in zip(cuts, cuts[1:])]
+                tokens = enc.token_counts(pieces)
+                trees = [lay_out(pieces[x:y], enc, tokens[x:y]) for x, y in zip(cuts, cuts[1:])]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([t.count for t in trees], pa.int64()),
