@@ -40,8 +40,7 @@ def peak_flag(hour_col, windows=PEAK_WINDOWS) -> Column:
 
 def service_days(day_cols) -> Column:
     """Number of service weekdays; any null flag gives null."""
-    arr = F.array(*[_c(c).cast("int") for c in day_cols])
-    return F.aggregate(arr, F.lit(0), lambda acc, x: acc + x)
+    return reduce(lambda a, b: a + b, [_c(c).cast("int") for c in day_cols])
 
 
 def clip(col, lo: float, hi: float) -> Column:
