@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.llm.common import handover, lower_ascii, need, pack, small, unpack, word_array
+from tablework.llm import bloom
+from tablework.llm.common import BROADCAST_BYTES, handover, lower_ascii, need, pack, small, unpack, word_array
 from tablework.llm.components import components
 
 GROUPS = 32                 # coordinates of a point
@@ -326,6 +327,16 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, num: i
             .select("a", "b"))
 
 
+def likely(rows: DataFrame, trees: DataFrame) -> DataFrame:
+    """The rows whose key may be one of the trees' keys: most keys belong to
+    one set, and a Bloom filter, while it is small enough to broadcast, keeps
+    them out of the shuffle."""
+    table, blocks = bloom.build(trees, "key", trees.count())
+    if blocks * bloom.BLOCK_BYTES > BROADCAST_BYTES:
+        return rows
+    return bloom.probe(rows, F.col("key"), handover(table, "join-filter"), blocks).filter("maybe").drop("maybe")
+
+
 def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of docs (doc_id, text):
     two documents link when ``den`` x overlap >= ``num`` x union of their
@@ -342,7 +353,8 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
     rows = some.select("sid", F.explode("keys").alias("key"))
     trees = handover(rows.groupBy("key").agg(F.min("sid").alias("lead"), F.max("sid").alias("last"))
                      .filter("lead < last").select("key", "lead"), "join-trees")
-    members = handover(rows.join(small(trees, 48), "key").select("key", "sid", "lead").distinct(), "join-members")
+    members = handover(likely(rows, trees).join(small(trees, 48), "key").select("key", "sid", "lead").distinct(),
+                       "join-members")
     # first round: every member against the least lead of its trees, then
     # against the leads that it is not connected to yet
     others = members.filter("sid <> lead")
