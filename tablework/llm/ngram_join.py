@@ -200,7 +200,8 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, text: str = "text")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """(sid, grams) of the documents in wanted (sid, doc_id, hash)."""
+    """(sid, grams) of the documents in wanted (sid, doc_id, hash, repeated).
+    Only rows that the table repeats need their sets told apart again."""
     def run(batches):
         for batch in batches:
             for a, b, words, counts in word_chunks(batch.column(1)):
@@ -210,9 +211,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> D
 
     wanted = handover(wanted, "join-wanted")
     named = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
-    return (named.join(small(wanted, 48), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("hash")))
-            .select("sid", word_hashes(named, "_text").alias("words"))
-            .mapInArrow(run, "sid long, grams array<long>").dropDuplicates(["sid"]))
+
+    def read(some: DataFrame) -> DataFrame:
+        same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("hash"))
+        return (named.join(small(some, 48), same).select("sid", word_hashes(named, "_text").alias("words"))
+                .mapInArrow(run, "sid long, grams array<long>"))
+
+    several = wanted.filter("repeated")
+    if several.isEmpty():
+        return read(wanted)
+    return read(wanted.filter("NOT repeated")).unionAll(read(several).dropDuplicates(["sid"]))
 
 
 # ---------------------------------------------------------------- R-trees
@@ -318,7 +326,8 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, num: i
     """The pairs (a, b) whose sets link, by the sets themselves."""
     pairs = handover(pairs, "join-pairs")
     wanted = (pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-              .join(nodes, "sid").select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash")))
+              .join(nodes, "sid").select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash"),
+                                         "repeated"))
     sets = handover(sets_of(docs, wanted, n), "join-sets")
     inter = F.size(F.array_intersect("ga", "gb"))
     return (pairs.join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
@@ -347,9 +356,13 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
     signed = handover(signatures(docs, n, num, den), "join-signatures")
     some = signed.filter("sid IS NOT NULL")
     # one node per distinct set, with a document to read the set from again
+    again = (some.groupBy(F.col("doc_id").alias("again_id"), F.col("hash").alias("again_hash"))
+             .agg(F.count("*").alias("m")).filter("m > 1").drop("m"))
     nodes = handover(some.groupBy("sid").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "hash")).alias("rep"),
-        F.first("size").alias("size"), F.first("point").alias("point")), "join-nodes")
+        F.first("size").alias("size"), F.first("point").alias("point"))
+        .join(again, F.col("rep.doc_id").eqNullSafe(F.col("again_id")) & (F.col("rep.hash") == F.col("again_hash")), "left")
+        .select("sid", "least", "rep", "size", "point", F.col("again_hash").isNotNull().alias("repeated")), "join-nodes")
     rows = some.select("sid", F.explode("keys").alias("key"))
     trees = handover(rows.groupBy("key").agg(F.min("sid").alias("lead"), F.max("sid").alias("last"))
                      .filter("lead < last").select("key", "lead"), "join-trees")
