@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, hnsw, language_id, line_dedup, ngram_join, quality_rules, source_mix, token_counts, url_filter, warc
+from tablework.llm import (bpe, chat_format, conversation_trie, hnsw, language_id, lexical_search, line_dedup, ngram_join,
+                           quality_rules, source_mix, token_counts, url_filter, warc)
 from tablework.llm.common import handover
 
 Q: dict = {}
@@ -268,3 +269,92 @@ def op10_language_id(spark, sf_dir):
     model = language_id.train(docs.filter(~F.col("held_out") & F.col("doc_id").isNotNull()))
     return (language_id.identify(docs.select("doc_id", "held_out", "text"), model)
             .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda a: ascii(a)::BIGINT),
+             lambda c, b: list_reduce([xor(c, b)] || range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+             4294967295) % 4 AS h
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), whole AS (
+  SELECT t.conv_id, coalesce(b.turns[1:t.h], []) || t.turns[t.h + 1:] AS s
+  FROM t LEFT JOIN t b ON b.conv_id = t.conv_id - t.conv_id % 20
+), paths AS (
+  SELECT conv_id, d, s[1:d] AS p, d = len(s) AS last, s[d].x AS x FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * (CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(any_value(x), '[^\x20\x09-\x0D]+')) END) AS value,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends
+  FROM paths GROUP BY p, d
+), children AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), figures AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.p = c.p
+), below AS (
+  SELECT p[1:k] AS p, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(value)::BIGINT AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM figures) GROUP BY 1
+)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved AS saved_tokens, f.ends AS ends_sha256
+FROM figures f JOIN below b ON f.p = b.p LEFT JOIN nodes up ON f.d > 0 AND up.p = f.p[1:f.d - 1]"""
+
+
+@query("op11_conversation_trie", OP11_SQL)
+def op11_conversation_trie(spark, sf_dir):
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+# The conversation that the contract adds.
+ADDED_ID, ADDED_TEXT = -7, r"\### Assistant: </turn> ok"
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (@ID@, 0, 'user', '@TEXT@'), (@ID@, 1, 'assistant', '@TEXT@')
+), sized AS (
+  SELECT *, 14 + list_sum([length(v) + length(v) - length(replace(v, chr(92), '')) + (length(v) - length(replace(v, '</turn>', ''))) // 7
+                           + coalesce(list_sum(list_transform(regexp_extract_all(v, '#{3,}'), lambda m: length(m) - 2)), 0)
+                           for v in [role, text]]) + length(role) - length(replace(role, ':', '')) AS chars
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id""".replace("@ID@", str(ADDED_ID)).replace("@TEXT@", ADDED_TEXT)
+
+
+@query("op12_chat_format", OP12_SQL)
+def op12_chat_format(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(ADDED_ID, 0, "user", ADDED_TEXT), (ADDED_ID, 1, "assistant", ADDED_TEXT)], turns.schema)
+    return chat_format.round_trip(turns.unionAll(added))
+
+
+OP13_SQL = r"""
+WITH toks AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), size AS (
+  SELECT count(*) FILTER (len(w) > 0) AS nd, sum(len(w))::BIGINT AS nt FROM toks
+), tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM toks) GROUP BY ALL
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), freq AS (
+  SELECT term, count(*) AS df, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY term, nd
+), parts AS (
+  SELECT a.item_id, t.rid, k.doc_id, f.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * len(k.w) * nd) // nt))) AS part
+  FROM asked a JOIN freq f ON a.term = f.term JOIN tf t ON a.term = t.term JOIN toks k ON k.rid = t.rid, size
+), scores AS (
+  SELECT item_id, rid, doc_id, sum(part)::BIGINT AS score FROM parts GROUP BY ALL HAVING sum(part) > 0
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -12,7 +12,7 @@ NAMES = sorted(queries.Q)
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14))
     assert set(NAMES) <= set(E.queries()) and "pipeline" in E.queries()
 
 
