@@ -54,15 +54,16 @@ def _args(argv):
 def main(argv=None, spark: SparkSession | None = None, preview: int = 20) -> dict:
     from tablework.operators import augment, groups, models, profile
     from tablework.plans import batch, reports
-    from tablework.sources import read_feed_folder, read_table, row_gate, write_metrics
+    from tablework.sources import gated, read_feed_folder, read_table, write_metrics
 
     a = _args(argv)
     spark = spark or SparkSession.builder.appName(f"tablework-{a.stage}").getOrCreate()
     out: dict = {}
     if a.stage == "ingest":
         feed = read_feed_folder(spark, a.feed)
-        out["gate"] = row_gate(feed["stop_times"], a.min_rows)
+        feed["stop_times"], gate = gated(feed["stop_times"], a.min_rows)
         sched = batch.write_schedule(feed, a.out)
+        out["gate"] = gate()
         out["volume"] = groups.group_volume(sched)
     elif a.stage == "augment":
         delays = batch.write_delays(spark, read_table(spark, a.src, step="ingest"), a.out)

@@ -1,17 +1,22 @@
 """Feature operators (L1-L4): time features, category indexing, assembly.
 
 Everything is a DataFrame transform; the only values that reach the driver
-are the indexer's label lists (one entry per category) and vector metadata.
+are the number of categories per column and vector metadata.  (The MLlib
+pipeline of ``feature_stages`` also brings its label lists there.)
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.functions.scalars import feed_hour, peak_flag, service_days
+from tablework.operators.numbering import numbered
+from tablework.session import shared_scratch
 from tablework.sources.schemas import WEEKDAYS
 
 # The reference's candidate features, in its order.
@@ -39,23 +44,62 @@ def add_time_features(df: DataFrame, time_col: str = "arrival_time",
     return out.withColumns(extra)
 
 
-def fit_indexer(df: DataFrame, cols=CATEGORY_COLUMNS) -> StringIndexerModel | None:
-    """L1/L2: one multi-column ``StringIndexer`` (one pass for all columns):
-    most frequent value first, ties alphabetical; null and unseen values get
-    the last index (``handleInvalid='keep'``)."""
+@dataclass
+class CategoryIndex:
+    """L1: fitted category indexes: a written table (column, value, idx) and
+    the number of values per column."""
+
+    values: DataFrame
+    sizes: dict[str, int]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """df and ``<col>_idx`` per column: the value's index; null and unseen
+        values get the last one.  The index columns are nominal (their vector
+        attribute names the number of values, not the values).  The table of
+        values is joined by value: Spark broadcasts it while its written size
+        is within its threshold, and may split a hot value otherwise."""
+        out = df
+        for c, n in self.sizes.items():
+            part = self.values.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("idx").alias("__idx"))
+            meta = {"ml_attr": {"type": "nominal", "name": f"{c}_idx", "num_vals": n + 1}}
+            idx = F.coalesce("__idx", F.lit(n)).cast("double")
+            out = (out.join(part, F.col(f"`{c}`").cast("string") == F.col("__value"), "left")
+                   .withColumn(f"{c}_idx", idx).drop("__value", "__idx").withMetadata(f"{c}_idx", meta))
+        return out
+
+    @property
+    def output_columns(self) -> list[str]:
+        return [f"{c}_idx" for c in self.sizes]
+
+
+def fit_index(df: DataFrame, cols=CATEGORY_COLUMNS) -> CategoryIndex:
+    """L1: the values of each column numbered from the most frequent one,
+    ties by value.  All columns are counted in one aggregate (combined before
+    the shuffle) and numbered by ranges of (column, count, value), so neither
+    the driver nor one task holds a column's values."""
     cols = present_columns(df, cols)
+    spark = df.sparkSession
     if not cols:
-        return None
-    return StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols],
-                         handleInvalid="keep", stringOrderType="frequencyDesc").fit(df)
+        return CategoryIndex(spark.createDataFrame([], "column string, value string, idx long"), {})
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    counts = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    path = shared_scratch(spark, "category-counts")
+    counts.write.parquet(path)
+    at = numbered(spark.read.parquet(path), [F.col("column"), F.col("n").desc(), F.col("value")], "at")
+    firsts = at.groupBy("column").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("labels"))   # a row per column
+    values = at.join(F.broadcast(firsts), "column").select("column", "value", (F.col("at") - F.col("first")).alias("idx"))
+    path = shared_scratch(spark, "category-index")
+    values.write.parquet(path)
+    labels = {r["column"]: r["labels"] for r in firsts.collect()}
+    return CategoryIndex(spark.read.parquet(path), {c: labels.get(c, 0) for c in cols})
 
 
 def index_categories(df: DataFrame, cols=CATEGORY_COLUMNS,
                      fit_on: DataFrame | None = None) -> DataFrame:
     """L1: add ``<col>_idx`` for each category column, fitted on ``fit_on``
     (default: ``df`` itself)."""
-    model = fit_indexer(fit_on if fit_on is not None else df, cols)
-    return model.transform(df) if model is not None else df
+    return fit_index(fit_on if fit_on is not None else df, cols).transform(df)
 
 
 def assemble(df: DataFrame, feature_cols, out: str = "features",
@@ -124,11 +168,10 @@ def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id")
         raise ValueError(f"category_mode is 'nominal' or 'ordinal', not {category_mode!r}")
     prepared = prepare(df, label, leaky_features).withColumn(
         "split", split_column(list(keys), weights, seed))
-    model = fit_indexer(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
-    if model is not None:
-        prepared = model.transform(prepared)
-        if category_mode == "ordinal":
-            prepared = as_ordinal(prepared, model.getOutputCols())
+    index = fit_index(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
+    prepared = index.transform(prepared)
+    if category_mode == "ordinal":
+        prepared = as_ordinal(prepared, index.output_columns)
     feats = present_columns(prepared, CANDIDATE_FEATURES)
     out = assemble(prepared, feats).select("features", F.col(label).alias("label"), "split", *keep)
     return out, feats

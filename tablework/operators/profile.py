@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
 from tablework.functions.scalars import pct
 from tablework.operators.quantiles import approx_quantiles, exact_quantiles
+from tablework.operators.states import batch_state, profile_of
 
 
 def _as_key(df: DataFrame, name: str):
@@ -69,26 +70,23 @@ def profile_columns(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> D
     The table is turned into (column, value) rows first, so the plan does
     not grow with the column count.  Exact: (column, value) pairs are
     deduplicated map-side and counted per column (a value held by a third of
-    the rows is one row per map task).  ``approx=True``: HyperLogLog++ per
-    column, one partial row per column per task - the choice for very wide
-    or very high-cardinality tables.
+    the rows is one row per map task).  ``approx=True``: one HyperLogLog
+    sketch per column, all in one aggregate over the typed columns (no rows
+    are multiplied, one partial row per task) - the choice for large tables;
+    ``states`` keeps such sketches per batch.
     """
     if not df.columns:
         return df.sparkSession.createDataFrame(
             [], "column string, null_count bigint, null_pct double, distinct_count bigint")
+    if approx:
+        return profile_of(batch_state(df, "", rsd, quantile_columns=()))
     long = _long_form(df)
     is_null = F.col("value").isNull()
-    if approx:
-        per = long.groupBy("column").agg(
-            F.sum("w").alias("n"),
-            F.sum(F.when(is_null, F.col("w")).otherwise(0)).alias("null_count"),
-            F.approx_count_distinct("value", rsd).alias("nd"))
-    else:
-        pairs = long.groupBy("column", "value").agg(F.sum("w").alias("c"))
-        per = pairs.groupBy("column").agg(
-            F.sum("c").alias("n"),
-            F.sum(F.when(is_null, F.col("c")).otherwise(0)).alias("null_count"),
-            F.count("value").alias("nd"))
+    pairs = long.groupBy("column", "value").agg(F.sum("w").alias("c"))
+    per = pairs.groupBy("column").agg(
+        F.sum("c").alias("n"),
+        F.sum(F.when(is_null, F.col("c")).otherwise(0)).alias("null_count"),
+        F.count("value").alias("nd"))
     null_count = F.col("null_count").cast("bigint")
     return (per.select(
                 "column",

@@ -52,10 +52,14 @@ def _inside(x, low, high):
     return cond
 
 
-def _kth_values(base: DataFrame, n: int, ranks: set[int], stats: dict | None = None) -> dict:
-    """{rank: value} by narrowing; ``stats`` counts the passes."""
+def _kth_values(base: DataFrame, n: int, ranks: set[int], stats: dict | None = None,
+                known: dict | None = None) -> dict:
+    """{rank: value} by narrowing; ``stats`` counts the passes.  ``known``:
+    {rank: (low, high)} brackets for the first round, from a stored sketch."""
     x = F.col("x")
     found: dict = {}
+    known = known or {}
+    check = bool(known)                                       # does the sketch belong to these rows?
     open_ = [(None, None, 0, n, k) for k in sorted(ranks)]    # low, high, rows up to low, rows between, rank
 
     def one_pass(exprs):
@@ -64,7 +68,7 @@ def _kth_values(base: DataFrame, n: int, ranks: set[int], stats: dict | None = N
         return base.agg(*[e.alias(f"c{i}") for i, e in enumerate(exprs)]).first()
 
     while open_:
-        if sum(m for *_, m, _ in open_) <= LEAF_ROWS:
+        if not known and sum(m for *_, m, _ in open_) <= LEAF_ROWS:
             some = F.lit(False)
             for low, high, *_ in open_:
                 some = some | _inside(x, low, high)
@@ -75,12 +79,18 @@ def _kth_values(base: DataFrame, n: int, ranks: set[int], stats: dict | None = N
                 own = [v for v in values if (low is None or v > low) and (high is None or v < high)]
                 found[k] = own[k - below]
             return found
-        sketch = one_pass([_bracket(F.when(_inside(x, low, high), x), (k - below) / max(1, m - 1))
-                           for low, high, below, m, k in open_])
-        ends = [tuple(sketch[i]) for i in range(len(open_))]
+        if known:
+            ends, known = [known[k] for *_, k in open_], {}
+        else:
+            sketch = one_pass([_bracket(F.when(_inside(x, low, high), x), (k - below) / max(1, m - 1))
+                               for low, high, below, m, k in open_])
+            ends = [tuple(sketch[i]) for i in range(len(open_))]
+        checked = [F.count(F.lit(1))] if check else []
         counts = one_pass([F.count_if(_inside(x, r[0], r[1]) & cond) for r, (a, b) in zip(open_, ends)
-                           for cond in (x < F.lit(a), x == F.lit(a), (x > F.lit(a)) & (x < F.lit(b)), x == F.lit(b))])
-        after = []
+                           for cond in (x < F.lit(a), x == F.lit(a), (x > F.lit(a)) & (x < F.lit(b)), x == F.lit(b))] + checked)
+        if check and counts[-1] != n:
+            raise ValueError(f"the states hold {n} values, the rows {counts[-1]}")
+        check, after = False, []
         for i, ((low, high, below, m, k), (a, b)) in enumerate(zip(open_, ends)):
             under, on_a, between, on_b = (counts[4 * i + j] for j in range(4))
             on_b = 0 if a == b else on_b
@@ -115,6 +125,43 @@ def _between(lo, hi, share: float) -> float:
     return lo + step * share if math.isfinite(step) else lo * (1 - share) + hi * share
 
 
+def wanted_ranks(probs, n: int, discrete: bool = False) -> set[int]:
+    """0-based ranks that quantiles of n values need."""
+    if discrete:
+        return {max(int(math.ceil(p * n)) - 1, 0) for p in probs}
+    return {f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)}
+
+
+def quantiles_from_states(df: DataFrame, states: DataFrame, col: str, probs, discrete: bool = False,
+                          stats: dict | None = None) -> list:
+    """``exact_quantiles`` of a table whose batches left states (see
+    ``states``): the rows are counted and bracketed by the merged sketch, so
+    one counting pass and the reading of the open ranges settle the ranks.
+    A state that does not belong to the rows is noticed by its counts."""
+    from tablework.operators.states import brackets
+
+    n, known = brackets(states, col, lambda m: wanted_ranks(probs, m, discrete))
+    if not n:
+        return [None for _ in probs]
+    base = _numbers(df, col)
+    return _of_ranks(_kth_values(base, n, set(known), stats, known), probs, n, discrete)
+
+
+def _numbers(df: DataFrame, col: str) -> DataFrame:
+    """(x): the column's values in its type, without nulls and NaN."""
+    base = df.select(_typed(df, col).alias("x")).where(F.col("x").isNotNull())
+    if isinstance(base.schema[0].dataType, (DoubleType, FloatType)):
+        base = base.where(~F.isnan("x"))
+    return base
+
+
+def _of_ranks(values: dict, probs, n: int, discrete: bool) -> list:
+    if discrete:
+        return [values[max(int(math.ceil(p * n)) - 1, 0)] for p in probs]
+    at = [p * (n - 1) for p in probs]
+    return [_between(values[math.floor(pos)], values[math.ceil(pos)], pos - math.floor(pos)) for pos in at]
+
+
 def exact_quantiles(df: DataFrame, col: str, probs, discrete: bool = False,
                     stats: dict | None = None) -> list:
     """Exact quantiles of ``col`` (nulls and NaN ignored) for each probability;
@@ -122,21 +169,12 @@ def exact_quantiles(df: DataFrame, col: str, probs, discrete: bool = False,
     interpolation, doubles).  ``discrete=True``: ``percentile_disc`` /
     ``quantile_disc``, the value at rank ``max(ceil(p*n) - 1, 0)`` in the
     column's type.  ``stats`` (a dict) receives the number of passes."""
-    base = df.select(_typed(df, col).alias("x")).where(F.col("x").isNotNull())
-    if isinstance(base.schema[0].dataType, (DoubleType, FloatType)):
-        base = base.where(~F.isnan("x"))
-    base = base.persist()
+    base = _numbers(df, col).persist()
     try:
         n = base.count()
         if not n:
             return [None for _ in probs]
-        if discrete:
-            idx = [max(int(math.ceil(p * n)) - 1, 0) for p in probs]
-            vals = _kth_values(base, n, set(idx), stats)
-            return [vals[k] for k in idx]
-        at = [p * (n - 1) for p in probs]
-        vals = _kth_values(base, n, {f(pos) for pos in at for f in (math.floor, math.ceil)}, stats)
-        return [_between(vals[math.floor(pos)], vals[math.ceil(pos)], pos - math.floor(pos)) for pos in at]
+        return _of_ranks(_kth_values(base, n, wanted_ranks(probs, n, discrete), stats), probs, n, discrete)
     finally:
         base.unpersist()
 

@@ -9,10 +9,13 @@ served by file layout (Parquet min/max statistics) instead of indexes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablework.operators.numbering import numbered
+from tablework.session import shared_scratch
 from tablework.sources import schemas
 
 # The columns of the star tables (schemas.STAR_*).
@@ -42,25 +45,33 @@ def dim_trips(df: DataFrame) -> DataFrame:
 
 
 def event_id_hash(keys) -> "F.Column":
-    """D3 stable form: a 60-bit id from md5 of the natural key (same value
-    after recomputation and in a second engine).  By the birthday bound a collision
+    """D3 stable form: a 60-bit id from md5 of the natural key, null being a
+    text of its own (same value after recomputation and in a second engine).  By the birthday bound a collision
     becomes likely near 10^9 rows (~0.4 % at 10^8); use ``unique`` at scale."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def fact_events(df: DataFrame, id_mode: str = "unique",
-                keys=("trip_id", "stop_sequence", "stop_id")) -> DataFrame:
+                keys=("trip_id", "stop_sequence", "stop_id"), partitions: int | None = None) -> DataFrame:
     """Delay-event fact with a surrogate ``event_id``.
 
     ``unique``: ``monotonically_increasing_id`` - unique without a shuffle
     or a single-task row_number; the same under retries only straight after
     a file scan, so write the fact once.  ``hash``: :func:`event_id_hash` of
     ``keys`` and, since the keys may repeat, of the row's number among the
-    rows of its key, in the order of the other columns.
+    rows of its key, in the order of the other columns.  ``dense``: 1, 2, ...
+    n, as an autoincrement gives, in the order of the columns (``keys``
+    first), worked out by ranges.
     """
     if id_mode == "unique":
         eid = F.monotonically_increasing_id()
+    elif id_mode == "dense":
+        cols = [*keys, *[c for c in EVENT_COLS if c not in keys]]
+        df = numbered(df.select(*EVENT_COLS), [F.col(c) for c in cols], "__id", start=1, partitions=partitions)
+        eid = F.col("__id")
+    elif id_mode != "hash":
+        raise ValueError(f"id_mode is 'unique', 'dense' or 'hash', not {id_mode!r}")
     else:
         rest = [F.col(c) for c in EVENT_COLS if c not in keys]
         df = df.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*rest)))
@@ -83,13 +94,21 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), on=key, how="left_anti")
 
 
+def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """(key, n_rows) of the child keys that have no parent.  Rows are
+    counted per key first (combined before the shuffle), so the anti join
+    moves one row per key and task however many rows a key has."""
+    counts = child.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(parent.select(key), on=key, how="left_anti")
+
+
 def orphan_counts(star: dict[str, DataFrame]) -> DataFrame:
     """Orphan counts of both foreign keys in one row."""
-    ev = orphans(star["delay_events"], star["trips"], "trip_id").agg(
-        F.count(F.lit(1)).alias("orphan_events"))
-    tr = orphans(star["trips"], star["routes"], "route_id").agg(
-        F.count(F.lit(1)).alias("orphan_trips"))
-    return ev.select("orphan_events", tr.select("orphan_trips").scalar().alias("orphan_trips"))
+    def count(child: str, parent: str, key: str, name: str) -> DataFrame:
+        return orphan_keys(star[child], star[parent], key).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias(name))
+
+    trips = count("trips", "routes", "route_id", "orphan_trips").select("orphan_trips").scalar()
+    return count("delay_events", "trips", "trip_id", "orphan_events").select("orphan_events", trips.alias("orphan_trips"))
 
 
 def clustered(df: DataFrame, cols, partitions: int | None = None,
@@ -106,13 +125,90 @@ def clustered(df: DataFrame, cols, partitions: int | None = None,
     return out.sortWithinPartitions(*cols)
 
 
-#: Lookup layouts: (table, column to look up).
-LOOKUPS = {"events_by_trip": ("delay_events", "trip_id"), "events_by_stop": ("delay_events", "stop_id"),
-           "trips_by_route": ("trips", "route_id")}
-
-
-def lookup_layouts(star: dict[str, DataFrame], partitions: int | None = None) -> dict[str, DataFrame]:
-    """One clustered copy of a star table per column that is looked up
-    (the part that indexes play in a row store); a route's events are found
-    by its trips."""
-    return {name: clustered(star[table], [column], partitions) for name, (table, column) in LOOKUPS.items()}
+#: Columns that the fact is looked up by.
+LOOKUP_COLUMNS = ("trip_id", "stop_id", "route_id")
+#: Bits of each column's rank in the interleaved key.
+RANK_BITS = 10
+
+
+def interleaved(ranks: list[Column], bits: int = RANK_BITS) -> Column:
+    """Morton number: the bits of the ranks in turn, highest first, so rows
+    near in all ranks are near in one order."""
+    code = F.lit(0).cast("long")
+    for i in range(bits):
+        for k, rank in enumerate(ranks):
+            bit = F.shiftright(rank, i).bitwiseAND(F.lit(1).cast("long"))
+            code = code.bitwiseOR(F.shiftleft(bit, i * len(ranks) + len(ranks) - 1 - k))
+    return code
+
+
+def ranked(df: DataFrame, column: str, bits: int = RANK_BITS) -> tuple[DataFrame, int]:
+    """(value, rank): the distinct values of a column in their order, ranks
+    0 .. 2^bits - 1 with as many values each; and the number of values."""
+    spark = df.sparkSession
+    path = shared_scratch(spark, f"values-{column}")
+    df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct().write.parquet(path)
+    values = spark.read.parquet(path)
+    n = values.count()
+    at = numbered(values, [F.col("value")], "at")
+    return at.select("value", F.floor(F.col("at") * (1 << bits) / max(1, n)).alias("rank")), n
+
+
+def write_lookup_fact(events: DataFrame, path: str, columns=LOOKUP_COLUMNS, files: int = 512) -> str:
+    """One written fact that answers lookups on each of ``columns`` (the
+    part that an index per column plays in a row store).
+
+    Every value gets its rank among the column's values and the ranks' bits
+    are interleaved.  The highest bits of that number name a cell; the rows
+    of a cell make one file (several, by hash, when it holds more than twice
+    its share), so with f cells and k columns a file covers about the k-th
+    root of f-th part of each column's values, and its Parquet minimum and
+    maximum leave it out of most lookups on any of them.  A Parquet Bloom
+    filter per column leaves out files whose bounds hold the value but whose
+    rows do not.  A value with many rows is spread by the other columns.
+    Null is rank 0.
+
+    Each column's values are numbered by ranges; the ranks are joined back
+    (broadcast by Spark while small) and the joined rows written once, for
+    the counts per cell and for the layout.  ``files``: about how many."""
+    spark = events.sparkSession
+    cells = max(1, math.ceil(math.log2(files)))
+    out, sizes = events, {}
+    for i, c in enumerate(columns):
+        ranks, sizes[c] = ranked(events, c)
+        out = out.join(ranks.select(F.col("value").alias("__value"), F.col("rank").alias(f"__rank{i}")),
+                       F.col(c) == F.col("__value"), "left").drop("__value")
+    code = interleaved([F.coalesce(f"__rank{i}", F.lit(0)).cast("long") for i in range(len(columns))])
+    joined = out.withColumn("__code", code).drop(*[f"__rank{i}" for i in range(len(columns))])
+    scratch = shared_scratch(spark, "lookup-codes")
+    joined.write.parquet(scratch)
+    cell = F.shiftright("__code", max(0, RANK_BITS * len(columns) - cells))
+    coded = spark.read.schema(joined.schema).parquet(scratch).withColumn("__cell", cell)
+    counts = coded.groupBy("__cell").agg(F.count(F.lit(1)).alias("n")).collect()       # at most 2^cells rows
+    share = 2 * max(1, sum(r["n"] for r in counts)) / (1 << cells)
+    plan, first = [], 0
+    for r in sorted(counts, key=lambda r: r["__cell"]):
+        parts = max(1, math.ceil(r["n"] / share))
+        plan.append((r["__cell"], first, parts))
+        first += parts
+    to = spark.createDataFrame(plan, "__cell long, __first int, __parts int")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.col("__parts")).cast("int")
+    dealt = (coded.join(F.broadcast(to), "__cell").repartitionById(max(1, first), F.col("__first") + salt)
+             .sortWithinPartitions("__code", *columns).select(*events.columns))
+    writer = dealt.write.mode("overwrite")
+    for c, n in sizes.items():
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{c}", str(max(1, min(n, 1_000_000)))))
+    writer.parquet(path)
+    return path
+
+
+def events_with_route(star: dict[str, DataFrame]) -> DataFrame:
+    """The fact with the route of each event's trip (null without a trip)."""
+    trips = star["trips"].select("trip_id", "route_id")
+    return star["delay_events"].join(trips, "trip_id", "left")
+
+
+def lookup(fact: DataFrame, column: str, value) -> DataFrame:
+    """The rows of one value; the condition reaches the Parquet scan."""
+    return fact.where(F.col(column) == F.lit(value))

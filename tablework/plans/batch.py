@@ -17,16 +17,27 @@ from tablework.operators import augment, features, models, star
 from tablework.operators.denorm import denormalise
 from tablework.operators.layout import spread
 from tablework.operators.sampling import sample_hash
+from tablework.session import shared_scratch
 from tablework.sources.feeds import read_table, write_star, write_table
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """df written to a fresh shared folder: dealing by ranges samples its
+    input, which would otherwise work the joins or draws out twice."""
+    spark = df.sparkSession
+    path = shared_scratch(spark, name)
+    write_table(df, path)
+    return read_table(spark, path, schema=df.schema)
+
+
 def write_schedule(feed: dict[str, DataFrame], path: str, partitions: int | None = None) -> DataFrame:
     """Ingest: denormalise the feed and write it range-clustered by route and
     trip, so that a route or trip lies in few files and Parquet statistics
     skip the others.  ``partitions`` deals a fact of few splits to more tasks
-    before the joins."""
-    sched = denormalise(spread(feed["stop_times"], partitions), feed["trips"], feed["routes"],
-                        feed["stops"], feed["calendar"])
+    before the joins.  The stop events are read once (``feeds.gated`` stop
+    events are counted then)."""
+    sched = _written(denormalise(spread(feed["stop_times"], partitions), feed["trips"], feed["routes"],
+                                 feed["stops"], feed["calendar"]), "schedule-joined")
     write_table(star.clustered(sched, ["route_id", "trip_id"]), path)
     return read_table(sched.sparkSession, path, step="ingest")
 
@@ -76,7 +87,7 @@ def write_star_tables(delays: DataFrame, target: str, id_mode: str = "unique",
     ``fraction < 1`` exports a keyed hash sample (the reference exported
     2 %); the dimensions are built from the same sampled rows."""
     s = star.build_star(sample_hash(delays, list(keys), fraction, seed), id_mode=id_mode)
-    s["delay_events"] = star.clustered(s["delay_events"], ["trip_id", "stop_sequence"])
+    s["delay_events"] = star.clustered(_written(s["delay_events"], "star-events"), ["trip_id", "stop_sequence"])
     paths = write_star(s, target)
     spark = delays.sparkSession
     return {k: read_table(spark, p, step="star") for k, p in paths.items()}

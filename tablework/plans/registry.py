@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from tablework.functions import draws, scalars
 from tablework.operators import (augment, denorm, features, groups, models, profile,
-                                 quantiles, sampling, shapes, star)
+                                 quantiles, sampling, shapes, star, states)
 from tablework.plans import oracle as O
 from tablework.plans import reports, standins as SI
 from tablework.session import shared_scratch
@@ -83,12 +83,29 @@ def q_csv_typed_scan(spark, sf):
   CAST(o_custkey AS INTEGER) AS route_id, CAST(o_orderkey % 30 AS INTEGER) AS service_id,
   o_orderpriority AS trip_headsign, CAST(o_orderkey % 2 AS INTEGER) AS direction_id FROM orders""")
 def q_csv_inferred_scan(spark, sf):
-    # inferSchema as the reference reads dimensions: text ids become numbers
+    # types by the lattice, one pass: numbers without leading zeros become ints
     path = shared_scratch(spark, "trips_csv")
     SI.trips(spark, sf).write.option("header", True).csv(path)
     return feeds.read_feed(spark, path, infer=True)
 
 
+@query("csv_inferred_ids", """SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS trip_id,
+  CAST(o_custkey AS BIGINT) * 10000000000 AS far_id, CAST(o_orderkey AS VARCHAR) || '000000000000000000' AS long_id,
+  CAST(o_custkey AS DOUBLE) / 4 AS share, o_orderkey % 2 = 0 AS even,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS mixed,
+  CAST(NULL AS VARCHAR) AS nothing FROM orders""")
+def q_csv_inferred_ids(spark, sf):
+    """Ids with leading zeros, over-long digits and mixed cells stay text."""
+    o = SI.table(spark, sf, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    path = shared_scratch(spark, "ids_csv")
+    o.select(F.lpad(key.cast("string"), 12, "0").alias("trip_id"), (cust.cast("bigint") * 10000000000).alias("far_id"),
+             F.concat(key.cast("string"), F.lit("0" * 18)).alias("long_id"), (cust.cast("double") / 4).alias("share"),
+             (key % 2 == 0).alias("even"), F.when(key % 5 == 0, "n/a").otherwise(cust.cast("string")).alias("mixed"),
+             F.lit(None).cast("string").alias("nothing")).write.option("header", True).csv(path)
+    return feeds.read_feed(spark, path, infer=True)
+
+
 @query("parquet_scan", """SELECT * EXCLUDE (l_shipdate), epoch_us(l_shipdate) AS ship_micros FROM lineitem""")
 def q_parquet_scan(spark, sf):
     # the timestamp as microseconds, so that no engine's text form matters
@@ -160,7 +177,49 @@ def q_partitioned_ids(spark, sf):
 @query("row_gate", """SELECT COUNT(*) AS n_rows, CAST(100000 AS BIGINT) AS threshold,
   COUNT(*) >= 100000 AS ok FROM lineitem""")
 def q_row_gate(spark, sf):
-    return feeds.row_gate(SI.stop_times(spark, sf), 100_000)
+    """Counted while the table is written."""
+    rows, gate = feeds.gated(SI.stop_times(spark, sf), 100_000)
+    feeds.write_table(rows, shared_scratch(spark, "stop_times"))
+    return gate()
+
+
+def _bad_feed(spark, sf) -> str:
+    """Stop events as CSV with cells that their types refuse."""
+    bad = SI.stop_times(spark, sf).withColumns({
+        "stop_sequence": F.when(F.col("trip_id").cast("bigint") % 97 == 0, F.concat(F.lit("no. "), F.col("stop_sequence")))
+        .when(F.col("trip_id").cast("bigint") % 89 == 0, F.lit("99999999999")).otherwise(F.col("stop_sequence").cast("string")),
+        "shape_dist_traveled": F.when(F.col("stop_id").cast("bigint") % 101 == 0, F.lit("1,5 km"))
+        .otherwise(F.col("shape_dist_traveled").cast("string"))})
+    path = shared_scratch(spark, "bad_stop_times_csv")
+    bad.write.option("header", True).csv(path)
+    return path
+
+
+BAD_SQL = """bad AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id,
+  CASE WHEN l_orderkey % 97 = 0 THEN 'no. ' || l_linenumber WHEN l_orderkey % 89 = 0 THEN '99999999999' END AS seq,
+  CASE WHEN l_partkey % 101 = 0 THEN '1,5 km' END AS dist FROM lineitem)"""
+
+
+@query("csv_rejects", f"""WITH {BAD_SQL}
+SELECT 'stop_sequence' AS "column", seq AS raw,
+       CASE WHEN seq = '99999999999' THEN 'out of range of int' ELSE 'not int' END AS reason FROM bad WHERE seq IS NOT NULL
+UNION ALL SELECT 'shape_dist_traveled', dist, 'not double' FROM bad WHERE dist IS NOT NULL""")
+def q_csv_rejects(spark, sf):
+    """The cells that the declared types refuse, from the same pass that
+    writes the typed rows."""
+    df = feeds.read_feed(spark, _bad_feed(spark, sf), schemas.STOP_TIMES, rejects=True)
+    return feeds.write_feed(df, shared_scratch(spark, "stop_times"))[1].select("column", "raw", "reason")
+
+
+@query("csv_rejects_gate", f"""WITH {BAD_SQL}
+SELECT COUNT(*) AS n_rows, CAST(50000 AS BIGINT) AS threshold, COUNT(*) >= 50000 AS ok,
+       COUNT(seq) AS null_sequences, COUNT(dist) AS null_distances FROM bad""")
+def q_csv_rejects_gate(spark, sf):
+    df = feeds.read_feed(spark, _bad_feed(spark, sf), schemas.STOP_TIMES, rejects=True)
+    table, _, gate = feeds.write_feed(df, shared_scratch(spark, "stop_times"), 50_000)
+    nulls = table.agg(F.count_if(F.col("stop_sequence").isNull()).alias("null_sequences"),
+                      F.count_if(F.col("shape_dist_traveled").isNull()).alias("null_distances")).first()
+    return gate.withColumns({k: F.lit(nulls[k]).cast("bigint") for k in ("null_sequences", "null_distances")})
 
 # ------------------------------------------------------ projections, filters
 
@@ -337,6 +396,45 @@ def q_median_exact(spark, sf):
                          F.count("delay_minutes").alias("n")))
 
 
+@query("profile_merged", f"""SELECT "column", null_count, null_pct, TRUE AS distinct_near
+FROM ({_profile_sql(O.DELAY_COLS, W_DELAYS)}) p""")
+def q_profile_merged(spark, sf):
+    """The profile from the stored states of four batches, against the exact
+    counts (within four standard errors); no rows are read for it."""
+    d, saved = _with_states(spark, sf)
+    exact = profile.profile_columns(d).select("column", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.lit(0.04) * F.col("exact") + 1
+    return (states.profile_of(saved).join(exact, "column")
+            .select("column", "null_count", "null_pct", near.alias("distinct_near")))
+
+
+@query("quartiles_merged", f"""{W_DELAYS} SELECT {r('quantile_cont(delay_minutes, 0.25)', 'q1')},
+  {r('quantile_cont(delay_minutes, 0.5)', 'median')}, {r('quantile_cont(delay_minutes, 0.75)', 'q3')},
+  quantile_disc(delay_minutes, 0.9) AS p90, COUNT(delay_minutes) AS n, TRUE AS two_passes FROM delays""")
+def q_quartiles_merged(spark, sf):
+    """Exact quartiles from merged states: one counting pass, and the reading
+    of the few rows in the open ranges."""
+    d, saved = _with_states(spark, sf)
+    passes: dict = {}
+    q1, mid, q3 = quantiles.quantiles_from_states(d, saved, "delay_minutes", [0.25, 0.5, 0.75], stats=passes)
+    p90 = quantiles.quantiles_from_states(d, saved, "delay_minutes", [0.9], discrete=True)[0]
+    n = states.merged(saved.where("column = 'delay_minutes'")).select("n_numbers").scalar()
+    return rounded(spark.range(1).select(
+        F.lit(q1).alias("q1"), F.lit(mid).alias("median"), F.lit(q3).alias("q3"), F.lit(p90).alias("p90"), n.alias("n"),
+        F.lit(passes["passes"] <= 2).alias("two_passes")))
+
+
+def _with_states(spark, sf):
+    """The delays table and the states that its four batches left."""
+    from tablework.plans import batch
+    d = batch.write_delays(spark, SI.schedule(spark, sf), shared_scratch(spark, "delays"))
+    path = shared_scratch(spark, "states")
+    for k in range(4):
+        part = d.where(F.pmod(F.xxhash64("trip_id"), F.lit(4)) == k)
+        saved = states.append_state(part, path, f"batch-{k}", quantile_columns=["delay_minutes"])
+    return d, saved
+
+
 def _rank_near(df, col: str, value, share: float, error: float):
     """Whether a value's rank lies within ``error`` of a share of the rows."""
     x, n = F.col(col), F.count(col)
@@ -700,6 +798,15 @@ def q_event_ids_unique(spark, sf):
         .select("n_events", "n_ids", other.alias("unique_mode"))
 
 
+@query("event_ids_dense", f"""{W_DELAYS}
+SELECT ROW_NUMBER() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in [*KEYS, *[c for c in star.EVENT_COLS if c not in KEYS]])}) AS event_id,
+       trip_id, stop_id, stop_sequence, arrival_time, delay_minutes, CAST(is_disrupted AS INTEGER) AS is_disrupted, disruption_reason
+FROM delays""")
+def q_event_ids_dense(spark, sf):
+    """Ids 1 .. n as an autoincrement gives, from the order of the rows."""
+    return star.fact_events(SI.delays(spark, sf), id_mode="dense")
+
+
 @query("param_having", f"""{NAMED_SQL}
 SELECT route_short_name, {r('mean', 'avg_delay')}, n FROM means WHERE mean > 3.0
 ORDER BY mean DESC, route_short_name LIMIT 2""")
@@ -778,28 +885,36 @@ def q_pruned_lookup(spark, sf):
 
 
 
-def _looked_up(spark, sf, name: str, column: str, value: str):
-    """Rows of one lookup layout, and whether most of its files were skipped:
-    the layout is written in 16 ranges, and its files' bounds are compared
-    with the value."""
-    layouts = star.lookup_layouts(_star(spark, sf), partitions=16)
-    path = feeds.write_table(layouts[name], shared_scratch(spark, name))
-    whole = feeds.read_table(spark, path)
-    files = whole.groupBy(F.input_file_name().alias("f")).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    few = files.agg((F.count_if(F.lit(value).between(F.col("lo"), F.col("hi"))) * 4 <= F.count(F.lit(1))).alias("b")).scalar()
-    return whole.where(F.col(column) == F.lit(value)).withColumn("few_files", few)
+def _looked_up(spark, sf, column: str, value: str):
+    """Rows of one value from the one fact that serves lookups on trip, stop
+    and route, and whether at most a quarter of its files hold the value (the
+    others are left out by their bounds or Bloom filter; a test counts the
+    rows that the scan lets through)."""
+    events = star.events_with_route(_star(spark, sf))
+    path = star.write_lookup_fact(events, shared_scratch(spark, "lookup"), files=128)
+    fact = feeds.read_table(spark, path, schema=events.schema)
+    files = fact.groupBy(F.input_file_name().alias("f")).agg(F.count_if(F.col(column) == value).alias("n"))
+    few = files.agg((F.count_if(F.col("n") > 0) * 4 <= F.count(F.lit(1))).alias("b")).scalar()
+    return star.lookup(fact, column, value).withColumn("few_files", few)
+
 
+LOOKUP_SQL = f"""{STAR_SQL} SELECT e.*, t.s.route_id AS route_id, TRUE AS few_files
+FROM fact e LEFT JOIN dim_trips t ON e.trip_id = t.trip_id"""
 
-@query("pruned_lookup_stop", f"{FACT_SQL} SELECT *, TRUE AS few_files FROM fact WHERE stop_id = '77'")
+
+@query("pruned_lookup_trip", f"{LOOKUP_SQL} WHERE e.trip_id = '7'")
+def q_pruned_lookup_trip(spark, sf):
+    return _looked_up(spark, sf, "trip_id", "7")
+
+
+@query("pruned_lookup_stop", f"{LOOKUP_SQL} WHERE e.stop_id = '77'")
 def q_pruned_lookup_stop(spark, sf):
-    return _looked_up(spark, sf, "events_by_stop", "stop_id", "77")
+    return _looked_up(spark, sf, "stop_id", "77")
 
 
-@query("pruned_lookup_route", f"""{STAR_SQL} SELECT trip_id, s.route_id AS route_id, s.service_id AS service_id,
-  s.trip_headsign AS trip_headsign, s.direction_id AS direction_id, TRUE AS few_files
-FROM dim_trips WHERE s.route_id = '77'""")
+@query("pruned_lookup_route", f"{LOOKUP_SQL} WHERE t.s.route_id = '77'")
 def q_pruned_lookup_route(spark, sf):
-    return _looked_up(spark, sf, "trips_by_route", "route_id", "77")
+    return _looked_up(spark, sf, "route_id", "77")
 
 # ------------------------------------------------------ features, models
 
@@ -825,6 +940,17 @@ def q_index_categories(spark, sf):
     return d.select(*KEYS, "route_id", "route_id_idx", "agency_id", "agency_id_idx")
 
 
+@query("index_trips", """WITH seen AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id FROM lineitem WHERE l_linenumber <= 2),
+labels AS (SELECT trip_id, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, trip_id) - 1 AS idx FROM seen GROUP BY trip_id)
+SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(COALESCE(idx, (SELECT COUNT(*) FROM labels)) AS DOUBLE) AS trip_id_idx
+FROM orders LEFT JOIN labels ON CAST(o_orderkey AS VARCHAR) = trip_id""")
+def q_index_trips(spark, sf):
+    """A column with one value per trip, fitted on the first stops of each
+    trip; trips without any get the last index."""
+    first = SI.stop_times(spark, sf).where("stop_sequence <= 2")
+    return features.index_categories(SI.trips(spark, sf).select("trip_id"), ["trip_id"], fit_on=first)
+
+
 PREPARED_SQL = index_sql(f"{TIME_SQL}, prepared AS (SELECT * FROM timed3 WHERE delay_minutes IS NOT NULL)",
                          "prepared")
 ASSEMBLE_SQL = PREPARED_SQL + f""",

@@ -9,13 +9,17 @@ instead of failing the job under ANSI mode.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, IntegralType, LongType,
+                               StringType, StructField, StructType)
+
+#: Column that carries the cells of a row that its types refuse.
+REJECTS = "_rejects"
 
 
 def typed_projection(df: DataFrame, schema: StructType,
-                     keep_extra: bool = True) -> DataFrame:
+                     keep_extra: bool = True, rejects: Column | None = None) -> DataFrame:
     """Bind text columns to ``schema`` by name.
 
     Declared columns come first in declared order, cast with ``try_cast``
@@ -34,27 +38,96 @@ def typed_projection(df: DataFrame, schema: StructType,
     if keep_extra:
         declared = {f.name for f in schema.fields}
         cols += [F.col(f"`{c}`") for c in df.columns if c not in declared]
+    if rejects is not None:
+        cols.append(_refused_cells([f for f in schema.fields if f.name in present], rejects).alias(REJECTS))
     return df.select(*cols)
 
 
+def _refused_cells(fields: list[StructField], source: Column) -> Column:
+    """Cells with a text that their type refuses, in the declared order."""
+    cells = []
+    for f in fields:
+        if isinstance(f.dataType, StringType):
+            continue
+        raw = F.col(f"`{f.name}`")
+        kind = f.dataType.simpleString()
+        reason = F.lit(f"not {kind}")
+        if isinstance(f.dataType, IntegralType):
+            reason = F.when(raw.rlike(r"^\s*[+-]?\d+\s*$"), F.lit(f"out of range of {kind}")).otherwise(reason)
+        cell = F.struct(source.alias("file"), F.lit(f.name).alias("column"), raw.alias("raw"), reason.alias("reason"))
+        cells.append(F.when(raw.isNotNull() & (F.btrim(raw) != "") & raw.try_cast(f.dataType).isNull(), cell))
+    empty = F.array().cast("array<struct<file:string,column:string,raw:string,reason:string>>")
+    return F.filter(F.array(*cells), lambda c: c.isNotNull()) if cells else empty
+
+
+# ------------------------------------------------------------- inference
+
+#: Inferred types from the narrowest to the widest, with the texts they take.
+#: A leading zero makes a text (``001`` is an id), as do more digits than a long holds.
+LATTICE = [(IntegerType(), r"[+-]?(0|[1-9][0-9]*)"), (LongType(), r"[+-]?(0|[1-9][0-9]*)"),
+           (DoubleType(), r"[+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"),
+           (BooleanType(), r"(?i)true|false")]
+
+
+def infer_schema(raw: DataFrame) -> StructType:
+    """The narrowest type of the lattice that takes every non-blank cell
+    of a text column (text if none does, or if there are no cells); all
+    columns are folded in one aggregate, so the files are read once."""
+    tests = []
+    for i, c in enumerate(raw.columns):
+        cell = F.when(F.btrim(F.col(f"`{c}`")) != "", F.btrim(F.col(f"`{c}`")))
+        for k, (kind, pattern) in enumerate(LATTICE):
+            fits = cell.rlike(f"^({pattern})$")
+            if isinstance(kind, IntegralType):
+                fits = fits & cell.try_cast(kind).isNotNull()
+            elif isinstance(kind, DoubleType):
+                digits = F.length(F.regexp_replace(F.regexp_extract(cell, r"^[+-]?([0-9.]*)", 1), r"\.", ""))
+                fits = fits & ~(cell.rlike(r"^[+-]?[0-9]+$") & cell.try_cast("bigint").isNull()) & (digits <= 17)
+            tests.append(F.bool_and(fits).alias(f"t{i}_{k}"))
+    found = raw.agg(*tests).first() if tests else None
+    fields = []
+    for i, c in enumerate(raw.columns):
+        kind = next((kind for k, (kind, _) in enumerate(LATTICE) if found[f"t{i}_{k}"]), StringType())
+        fields.append(StructField(c, kind, True))
+    return StructType(fields)
+
+
 def read_feed(spark: SparkSession, path: str, schema: StructType | None = None,
-              infer: bool = False, keep_extra: bool = True) -> DataFrame:
+              infer: bool | str = False, keep_extra: bool = True, rejects: bool = False) -> DataFrame:
     """CSV with a header.
 
     ``schema`` given: columns bound by header name and cast (S1).  No schema
-    and ``infer=True``: Spark's ``inferSchema`` (S2 as the reference does it;
-    note it turns id ``001`` into 1).  No schema, no inference: all text.
+    and ``infer=True``: types by :func:`infer_schema`, which keeps ids like
+    ``001`` as text; ``infer="spark"``: Spark's ``inferSchema`` (S2 as the
+    reference does it; it turns id ``001`` into 1).  No schema, no inference:
+    all text.  ``rejects``: adds ``_rejects`` (see :func:`write_feed`).
     """
     # enforceSchema=false: in a folder of several files, each file's header
     # is checked against the column names instead of binding by position.
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("enforceSchema", False))
-    if schema is None and infer:
+    if schema is None and infer == "spark":
         return reader.option("inferSchema", True).csv(path)
     raw = reader.csv(path)  # all StringType, names from the header
+    if schema is None and infer:
+        schema = infer_schema(raw)
     if schema is None:
         return raw
-    return typed_projection(raw, schema, keep_extra=keep_extra)
+    return typed_projection(raw, schema, keep_extra=keep_extra,
+                            rejects=F.col("_metadata.file_name") if rejects else None)
+
+
+def write_feed(df: DataFrame, path: str, min_rows: int = 100_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S1 + S5 + S8 in one pass over the feed: (table, rejects, gate).
+
+    ``df`` comes from ``read_feed(rejects=True)``.  The typed rows are written
+    with their refused cells beside them; the table is that without the cells,
+    the rejects (file, column, raw, reason) are those cells, read from the
+    written column alone, and the gate's count is taken while writing."""
+    rows, gate = gated(df, min_rows)
+    write_table(rows, path)
+    whole = read_table(df.sparkSession, path)
+    return whole.drop(REJECTS), whole.select(F.inline(REJECTS)), gate()
 
 
 def read_feed_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -173,8 +246,25 @@ def write_metrics(df: DataFrame, path: str) -> str:
     return path
 
 
+def _gate(df: DataFrame, min_rows: int) -> DataFrame:
+    return df.select("n_rows", F.lit(min_rows).cast("bigint").alias("threshold"),
+                     (F.col("n_rows") >= F.lit(min_rows)).alias("ok"))
+
+
 def row_gate(df: DataFrame, min_rows: int = 100_000) -> DataFrame:
     """Count rows and compare with a threshold; a report, never a stop."""
-    return (df.agg(F.count(F.lit(1)).alias("n_rows"))
-              .select("n_rows", F.lit(min_rows).cast("bigint").alias("threshold"),
-                      (F.col("n_rows") >= F.lit(min_rows)).alias("ok")))
+    return _gate(df.agg(F.count(F.lit(1)).alias("n_rows")), min_rows)
+
+
+def gated(df: DataFrame, min_rows: int = 100_000):
+    """S8/G1 without a scan: df with a row counter, and a function that gives
+    the gate's row once an action has run over df (such as the write that
+    needs the rows anyway)."""
+    spark, seen = df.sparkSession, Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+
+    def gate() -> DataFrame:
+        n = seen.get.get("n_rows", 0)
+        return _gate(spark.createDataFrame([(n,)], "n_rows bigint"), min_rows)
+
+    return counted, gate
