@@ -11,9 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablework.functions.draws import unit_draw
 from tablework.functions.scalars import feed_hour, peak_flag, service_days
 from tablework.operators.numbering import numbered
 from tablework.session import shared_scratch
@@ -102,6 +103,61 @@ def index_categories(df: DataFrame, cols=CATEGORY_COLUMNS,
     return fit_index(fit_on if fit_on is not None else df, cols).transform(df)
 
 
+#: Folds of the out-of-fold means, and rows of the overall mean added to each.
+FOLDS, PRIOR_ROWS = 5, 20.0
+
+
+@dataclass
+class MeanEncoding:
+    """Categories as smoothed label means: a written table (column, value,
+    n, total, fold_n, fold_total) and the overall mean."""
+
+    means: DataFrame
+    columns: list[str]
+    prior: float
+    fold: Column
+
+    def transform(self, df: DataFrame, fitted_rows: Column) -> DataFrame:
+        """df and ``<col>_mean`` per column.  Rows that the means were fitted
+        on (``fitted_rows``) get the mean of the other folds, so no row sees
+        its own label; the others get the mean of all folds.  Null and unseen
+        values get the overall mean."""
+        out = df.withColumns({"__own": F.coalesce(fitted_rows, F.lit(False)), "__fold": self.fold})
+        for c in self.columns:
+            part = (self.means.where(F.col("column") == c).drop("column")
+                    .select(F.col("value").alias("__value"), *[F.col(x).alias(f"__{x}") for x in ("n", "total", "fold_n", "fold_total")]))
+
+            def rest(all_: str, folds: str) -> Column:
+                seen = F.when(F.col("__own"), F.get(folds, "__fold")).otherwise(F.lit(0))
+                return F.coalesce(F.col(all_) - seen, F.lit(0))
+
+            mean = (rest("__total", "__fold_total") + self.prior * PRIOR_ROWS) / (rest("__n", "__fold_n") + PRIOR_ROWS)
+            out = (out.join(part, F.col(f"`{c}`").cast("string") == F.col("__value"), "left")
+                   .withColumn(f"{c}_mean", mean).drop("__value", "__n", "__total", "__fold_n", "__fold_total"))
+        return out.drop("__own", "__fold")
+
+
+def fit_means(train: DataFrame, keys, cols=CATEGORY_COLUMNS, label: str = "delay_minutes", seed: int = 42) -> MeanEncoding:
+    """Label sums per category and keyed fold, all columns in one aggregate
+    (combined before the shuffle).  For categories with many values: one
+    number per column, so trees need no bin per value and do not learn single
+    labels by heart."""
+    cols = present_columns(train, cols)
+    fold = F.coalesce(F.floor(unit_draw(list(keys), seed, "fold") * FOLDS).cast("int"), F.lit(0))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    rows = (train.where(F.col(label).isNotNull()).select(F.inline(pairs), F.col(label).cast("double").alias("y"), fold.alias("f"))
+            if cols else train.sparkSession.createDataFrame([], "column string, value string, y double, f int"))
+    in_fold = [F.col("f") == i for i in range(FOLDS)]
+    means = (rows.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("total"),
+        F.array(*[F.count_if(x) for x in in_fold]).alias("fold_n"),
+        F.array(*[F.sum(F.when(x, F.col("y")).otherwise(0.0)) for x in in_fold]).alias("fold_total")))
+    path = shared_scratch(train.sparkSession, "category-means")
+    means.write.parquet(path)
+    prior = train.agg(F.avg(label).alias("m")).first()["m"]
+    return MeanEncoding(train.sparkSession.read.schema(means.schema).parquet(path), cols, float(prior or 0.0), fold)
+
+
 def assemble(df: DataFrame, feature_cols, out: str = "features",
              handle_invalid: str = "skip") -> DataFrame:
     """L3: feature vector; with ``skip`` a row with any null feature is
@@ -152,27 +208,39 @@ def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id")
                      label: str = "delay_minutes", leaky_features: bool = True,
                      weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
                      category_mode: str = "nominal",
-                     keep: tuple = ()) -> tuple[DataFrame, list[str]]:
+                     keep: tuple = (), validation: float = 0.0) -> tuple[DataFrame, list[str]]:
     """Features -> hash split column -> indexer (fitted on the train split by
     default, on all rows with ``index_fit='all'`` as the reference did) ->
     assembled ``(features, label, split, *keep)`` and the feature names.
 
     ``category_mode="nominal"`` keeps the indexer's categories (trees then
     need ``maxBins`` >= categories, see ``models.max_bins_for``);
-    ``"ordinal"`` passes every index as a frequency rank.  The choice is the
-    caller's and never follows from the data.
+    ``"ordinal"`` passes every index as a frequency rank; ``"mean"`` passes
+    out-of-fold label means (:func:`fit_means`), the choice for categories
+    with very many values.  The choice is the caller's and never follows
+    from the data.  ``validation``: share of the train rows, by keyed hash,
+    that ``held_out`` marks, for fits that stop on them.
     """
     from tablework.operators.sampling import split_column
 
-    if category_mode not in ("nominal", "ordinal"):
-        raise ValueError(f"category_mode is 'nominal' or 'ordinal', not {category_mode!r}")
+    if category_mode not in ("nominal", "ordinal", "mean"):
+        raise ValueError(f"category_mode is 'nominal', 'ordinal' or 'mean', not {category_mode!r}")
     prepared = prepare(df, label, leaky_features).withColumn(
         "split", split_column(list(keys), weights, seed))
-    index = fit_index(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
-    prepared = index.transform(prepared)
-    if category_mode == "ordinal":
-        prepared = as_ordinal(prepared, index.output_columns)
-    feats = present_columns(prepared, CANDIDATE_FEATURES)
+    if validation:
+        held = F.coalesce(unit_draw(list(keys), seed, "validation") < validation, F.lit(False))
+        prepared, keep = prepared.withColumn("held_out", held & (F.col("split") == 0)), (*keep, "held_out")
+    candidates = CANDIDATE_FEATURES
+    if category_mode == "mean":
+        fitted = (F.col("split") == 0) & ~(F.col("held_out") if validation else F.lit(False))
+        prepared = fit_means(prepared.where(fitted), keys, label=label, seed=seed).transform(prepared, fitted)
+        candidates = [c.replace("_idx", "_mean") for c in CANDIDATE_FEATURES]
+    else:
+        index = fit_index(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
+        prepared = index.transform(prepared)
+        if category_mode == "ordinal":
+            prepared = as_ordinal(prepared, index.output_columns)
+    feats = present_columns(prepared, candidates)
     out = assemble(prepared, feats).select("features", F.col(label).alias("label"), "split", *keep)
     return out, feats
 
@@ -181,11 +249,11 @@ def model_tables(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id"),
                  label: str = "delay_minutes", leaky_features: bool = True,
                  weights=(0.8, 0.2), seed: int = 42, index_fit: str = "train",
                  category_mode: str = "nominal",
-                 keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
+                 keep: tuple = (), validation: float = 0.0) -> tuple[DataFrame, DataFrame, list[str]]:
     """(train, test, feature names) from :func:`indexed_features`; each part
     is a filter of the same deterministic split column."""
     out, feats = indexed_features(df, keys, label, leaky_features, weights, seed, index_fit,
-                                  category_mode, keep)
+                                  category_mode, keep, validation)
     train = out.where(F.col("split") == 0).drop("split")
     test = out.where(F.col("split") == 1).drop("split")
     return train, test, feats

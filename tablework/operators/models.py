@@ -54,10 +54,14 @@ def fit_forest(train: DataFrame, num_trees: int = 50, max_depth: int = 8,
 
 
 def fit_gbt(train: DataFrame, max_iter: int = 50, max_depth: int = 5,
-            max_bins: int | None = None, seed: int = 42, **kw):
+            max_bins: int | None = None, seed: int = 42, held_out: str | None = None, **kw):
     """Gradient-boosted trees (node-id caching measured slower for
-    depth-5 trees, so it is left off)."""
+    depth-5 trees, so it is left off).  ``held_out`` names a boolean column
+    of train: these rows are not fitted, and boosting stops when a round no
+    longer lowers their error by ``validationTol``."""
     bins = max_bins or max_bins_for(train)
+    if held_out:
+        kw = {"validationIndicatorCol": held_out, **kw}
     return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
                         maxDepth=max_depth, maxBins=bins, seed=seed, **kw).fit(train)
 

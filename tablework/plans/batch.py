@@ -51,13 +51,13 @@ def write_delays(spark: SparkSession, schedule: DataFrame, path: str) -> DataFra
 def write_model_tables(spark: SparkSession, delays: DataFrame, path: str,
                        keys=("trip_id", "stop_sequence", "stop_id"), leaky_features: bool = True,
                        index_fit: str = "train", category_mode: str = "nominal",
-                       keep: tuple = ()) -> tuple[DataFrame, DataFrame, list[str]]:
+                       keep: tuple = (), validation: float = 0.0) -> tuple[DataFrame, DataFrame, list[str]]:
     """Features: hash split, indexer fitted on train, assembled vectors,
     written once as one table partitioned by ``split``; train and test are
     read back by partition pruning.  ``split`` has two values, so each task
     writes at most two files and no rebalance shuffle is needed."""
     out, names = features.indexed_features(delays, keys, leaky_features=leaky_features,
-                                           index_fit=index_fit, category_mode=category_mode, keep=keep)
+                                           index_fit=index_fit, category_mode=category_mode, keep=keep, validation=validation)
     write_table(out, path, partition_by=["split"], rebalance=False)
     table = read_table(spark, path, step="features")
     return (table.where("split = 0").drop("split"),

@@ -1023,11 +1023,39 @@ TEST_SQL = f"""{ASSEMBLE_SQL},
 held AS (SELECT label FROM feat WHERE {O.u('split', 42, *KEYS)} >= {O.d(0.8)})"""
 
 
-def _scored(model, test):
-    """Rows scored, and whether the model beats predicting the mean."""
+#: The published fits: 50 trees of depth 8, 50 rounds of depth 5.
+FOREST = {"num_trees": 50, "max_depth": 8}
+GBT = {"max_iter": 50, "max_depth": 5}
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf):
+    """(train, test, names, comparison, models): the three fits at their full
+    parameters on out-of-fold category means, worked out once per session
+    and folder for the keys that look at them."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _FITTED:
+        from tablework.plans import batch
+        train, test, names = batch.write_model_tables(spark, SI.delays(spark, sf), shared_scratch(spark, "model"),
+                                                      tuple(KEYS), category_mode="mean")
+        _FITTED[at] = (train, test, names, *models.compare_models(spark, train, test, forest=FOREST, gbt=GBT))
+    return _FITTED[at]
+
+
+def _class_mean_rmse(train, test):
+    """RMSE on test of predicting the train mean of each class of the flag,
+    the best there is where the label is drawn from the flag alone."""
+    from pyspark.ml.functions import vector_to_array
+    flag = F.element_at(vector_to_array("features"), -1)
+    mean = train.groupBy(flag.alias("flag")).agg(F.avg("label").alias("m"))
+    e = F.col("label") - F.col("m")
+    return test.withColumn("flag", flag).join(F.broadcast(mean), "flag").agg(F.sqrt(F.avg(e * e)).alias("rmse")).scalar()
+
+
+def _scored(model, train, test):
+    """Rows scored, and whether the error is within 2 % of the class means'."""
     m = models.regression_metrics(model.transform(test))
-    spread = test.agg(F.stddev_pop("label").alias("s")).scalar()
-    return m.select("n", (F.col("rmse") < spread).alias("beats_mean"))
+    return m.select("n", (F.col("rmse") <= _class_mean_rmse(train, test) * 1.02).alias("near_class_means"))
 
 
 @query("linear_no_leak", f"{TEST_SQL} SELECT COUNT(*) AS n, TRUE AS no_signal FROM held")
@@ -1039,30 +1067,76 @@ def q_linear_no_leak(spark, sf):
     return m.select("n", (F.abs("r2") < 0.05).alias("no_signal"))
 
 
-FOREST = {"num_trees": 10, "max_depth": 5}
-GBT = {"max_iter": 10, "max_depth": 3}
-BEATS_SQL = f"{TEST_SQL} SELECT COUNT(*) AS n, TRUE AS beats_mean FROM held"
+NEAR_SQL = f"{TEST_SQL} SELECT COUNT(*) AS n, TRUE AS near_class_means FROM held"
 
 
-@query("forest_fit", BEATS_SQL)
+@query("forest_fit", NEAR_SQL)
 def q_forest_fit(spark, sf):
-    train, test, _ = _tables(spark, sf)
-    return _scored(models.fit_forest(train, **FOREST), test)
+    train, test, _, _, fitted = _fitted(spark, sf)
+    return _scored(fitted["Random Forest"], train, test)
 
 
-@query("gbt_fit", BEATS_SQL)
+@query("gbt_fit", NEAR_SQL)
 def q_gbt_fit(spark, sf):
-    train, test, _ = _tables(spark, sf)
-    return _scored(models.fit_gbt(train, **GBT), test)
+    train, test, _, _, fitted = _fitted(spark, sf)
+    return _scored(fitted["Gradient Boosted Trees"], train, test)
+
+
+@query("gbt_stopped", f"{TEST_SQL} SELECT COUNT(*) AS n, TRUE AS near_class_means, TRUE AS fewer_rounds FROM held")
+def q_gbt_stopped(spark, sf):
+    """Boosting that stops on a tenth of the train rows, held out by key."""
+    train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, category_mode="mean", validation=0.1)
+    model = models.fit_gbt(train, **GBT, held_out="held_out")
+    return _scored(model, train, test).withColumn("fewer_rounds", F.lit(model.getNumTrees < GBT["max_iter"]))
+
+
+@query("max_bins", f"""{PREPARED_SQL}
+SELECT CAST(COUNT(DISTINCT route_id) + 1 AS INTEGER) AS bins FROM prepared
+WHERE {O.u('split', 42, *KEYS)} < {O.d(0.8)}""")
+def q_max_bins(spark, sf):
+    """Nominal routes: a bin per route of the train split and one for the others."""
+    train, _, _ = _tables(spark, sf)
+    return spark.range(1).select(F.lit(models.max_bins_for(train)).cast("int").alias("bins"))
+
+
+MEAN_EXPR = ("(COALESCE(a.s, 0) - CASE WHEN fitted THEN COALESCE(b.s, 0) ELSE 0 END + 20 * p) / "
+             "(COALESCE(a.n, 0) - CASE WHEN fitted THEN COALESCE(b.n, 0) ELSE 0 END + 20)")
+
+
+@query("category_means", f"""{W_DELAYS},
+folded AS (SELECT *, CAST(floor({O.u('fold', 42, *KEYS)} * 5) AS INTEGER) AS f, {O.u('split', 42, *KEYS)} < {O.d(0.8)} AS fitted FROM delays),
+prior AS (SELECT AVG(delay_minutes) AS p FROM folded WHERE fitted),
+sums AS (SELECT route_id, SUM(delay_minutes) AS s, COUNT(delay_minutes) AS n FROM folded WHERE fitted GROUP BY route_id),
+parts AS (SELECT route_id, f, SUM(delay_minutes) AS s, COUNT(delay_minutes) AS n FROM folded WHERE fitted GROUP BY route_id, f)
+SELECT d.trip_id, d.stop_sequence, d.stop_id, {r(MEAN_EXPR, 'route_id_mean')}
+FROM folded d LEFT JOIN sums a ON d.route_id = a.route_id LEFT JOIN parts b ON d.route_id = b.route_id AND d.f = b.f, prior""")
+def q_category_means(spark, sf):
+    """Out-of-fold means of the routes: train rows without their own fold."""
+    from tablework.operators.sampling import split_column
+    d = SI.delays(spark, sf).withColumn("split", split_column(KEYS, (0.8, 0.2), 42))
+    means = features.fit_means(d.where("split = 0"), KEYS, ["route_id"])
+    return rounded(means.transform(d, F.col("split") == 0).select(*KEYS, "route_id_mean"))
+
+
+@query("pipeline_saved", f"{ASSEMBLE_SQL} SELECT * FROM feat")
+def q_pipeline_saved(spark, sf):
+    """The fitted pipeline saved, loaded and applied (L2)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    p = features.prepare(SI.delays(spark, sf))
+    path = shared_scratch(spark, "feature-pipeline")
+    features.feature_stages().fit(p).save(path)
+    a = PipelineModel.load(path).transform(p)
+    arr = vector_to_array("features")
+    return a.select(*KEYS, *[arr[i].alias(f"f_{n}") for i, n in enumerate(features.CANDIDATE_FEATURES)],
+                    F.col("delay_minutes").alias("label"))
 
 
 @query("model_comparison", """SELECT * FROM (VALUES ('Linear Regression', TRUE, TRUE, TRUE), ('Random Forest', TRUE, TRUE, TRUE),
-  ('Gradient Boosted Trees', TRUE, TRUE, TRUE)) t(model, beats_mean, mae_below_rmse, timed)""")
+  ('Gradient Boosted Trees', TRUE, TRUE, TRUE)) t(model, near_class_means, mae_below_rmse, timed)""")
 def q_model_comparison(spark, sf):
-    train, test, _ = _tables(spark, sf)
-    table, _ = models.compare_models(spark, train, test, forest=FOREST, gbt=GBT)
-    spread = test.agg(F.stddev_pop("label").alias("s")).scalar()
-    return table.select("model", (F.col("rmse") < spread).alias("beats_mean"),
+    train, test, _, table, _ = _fitted(spark, sf)
+    return table.select("model", (F.col("rmse") <= _class_mean_rmse(train, test) * 1.02).alias("near_class_means"),
                         (F.col("mae") < F.col("rmse")).alias("mae_below_rmse"),
                         ((F.col("train_seconds") > 0) & (F.col("efficiency_score_per_sec") > 0)).alias("timed"))
 
@@ -1078,27 +1152,29 @@ def q_best_model(spark, sf):
     return models.best_model(table).select("model", F.lit(table.count()).cast("int").alias("n_models"))
 
 
-IMPORTANCE_SQL = "SELECT unnest([" + ", ".join(f"'{c}'" for c in features.CANDIDATE_FEATURES) + """]) AS feature,
-  TRUE AS in_range, TRUE AS adds_to_one"""
+IMPORTANCE_SQL = "SELECT *, feature = 'is_disrupted' AS is_first FROM (SELECT unnest([" + ", ".join(
+    f"'{c.replace('_idx', '_mean')}'" for c in features.CANDIDATE_FEATURES) + """]) AS feature,
+  TRUE AS in_range, TRUE AS adds_to_one)"""
 
 
 def _importance(spark, model, names):
     table = models.feature_importance(spark, model, names)
     total = table.agg(F.sum("importance").alias("s")).scalar()
+    most = table.agg(F.max("importance").alias("m")).scalar()
     return table.select("feature", F.col("importance").between(0, 1).alias("in_range"),
-                        (F.abs(total - 1) < 1e-9).alias("adds_to_one"))
+                        (F.abs(total - 1) < 1e-9).alias("adds_to_one"), (F.col("importance") == most).alias("is_first"))
 
 
 @query("feature_importance", IMPORTANCE_SQL)
 def q_feature_importance(spark, sf):
-    train, test, names = _tables(spark, sf)
-    return _importance(spark, models.fit_forest(train, **FOREST), names)
+    _, _, names, _, fitted = _fitted(spark, sf)
+    return _importance(spark, fitted["Random Forest"], names)
 
 
 @query("feature_importance_gbt", IMPORTANCE_SQL)
 def q_feature_importance_gbt(spark, sf):
-    train, test, names = _tables(spark, sf)
-    return _importance(spark, models.fit_gbt(train, **GBT), names)
+    _, _, names, _, fitted = _fitted(spark, sf)
+    return _importance(spark, fitted["Gradient Boosted Trees"], names)
 
 
 @query("metrics_csv", "SELECT 'Linear Regression' AS model, TRUE AS beats_mean, TRUE AS timed")
