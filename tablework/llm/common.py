@@ -72,7 +72,21 @@ def handover(df: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = shared_scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._handed_over_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove hand-overs whose readers are written.  Only tables that
+    ``handover`` returned are removed, through the file system of their path."""
+    for table in tables:
+        path = getattr(table, "_handed_over_at", None)
+        if path is None:
+            raise ValueError("not a hand-over")
+        spark = table.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def small(df: DataFrame, row_bytes: int, rows: int | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.llm.common import handover
+from tablework.llm.common import discard, handover
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -31,11 +31,13 @@ def components(edges: DataFrame) -> DataFrame:
         large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .filter("a <> b").distinct())
         large = handover(large, "edges")
+        discard(stars)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionAll(low.select("a", F.col("m").alias("b")))
                  .filter("a <> b").distinct())
         stars = handover(small, "edges")
+        discard(large)
         before, state = state, _state(stars)
         if state == before:
             break

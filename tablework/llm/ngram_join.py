@@ -7,27 +7,37 @@ and the coordinate maxima of an R-tree node bound it for all points below.
 
 One R-tree over all points would prune next to nothing (a threshold allows a
 distance of a tenth of the size, which is more than one coordinate spreads),
-so the points are dealt to many trees first, without losing a pair.  Sets of
-like size use one number of groups, larger than the n-grams in which a
-linked pair may differ; such a pair then has a group with the same n-grams.
-The key of a tree is a group together with a hash of its n-grams, and a set
-goes to a tree for each of its groups.  Empty groups need no tree: there are
-more groups than differences by a slack that nearly no set has as empty
-groups, and sets that do also go to the trees of their empty groups.
-
-Links are found in two rounds.  First every member of a tree is compared
-with its lead, the member of the smallest id (beginning with the least of a
-member's leads), and what links is joined to components, so families of near
-copies cost about one comparison per member.  Then the trees whose members
-still are in several components are searched as R-trees for pairs across
-components.  Both rounds verify survivors of the bound on the
-n-gram sets, so the groups are exact (up to equal 64-bit hashes).
+so the points are dealt to trees first, without losing a pair.  Sets of like
+size use one number of groups, larger than the n-grams in which a linked
+pair may differ; such a pair then has a group with the same n-grams.  A key
+is a group together with a hash of its n-grams.  Empty groups need no key:
+there are more groups than differences by a slack that nearly no set has as
+empty groups, and sets that do also have the keys of their empty groups.
+Sets that share keys, directly or through others, are a family: a linked
+pair is in one family, and each family is one tree.
+
+Keys that one set alone has, nearly all, are found without a row per key:
+workers send sorted blocks of their keys, one entry per key and step (so a
+key that a third of the sets have is no large group), to the key's range.
+
+A family's sets go to one task (many small families to one).  There the
+first members are compared with all others, as an entry bound: families of
+near copies end here.  Sets still apart meet in an R-tree over points of
+about twice as many groups as a set has n-grams, so the bound tells 0.85
+from 0.90; survivors are verified on the n-gram sets, pairs already joined
+are passed over, and what leaves the task is at most one link per member.
+A family of more than TILE members is dealt to tiles that also get its first
+members; only if it stays in several components do the members outside the
+largest one meet all others, tile by tile.  Work on a family of unlinked
+sets therefore grows with the square of its members over TILE tasks, rows
+with members x tiles; families of near copies grow in proportion.
 
 Defined results: a null text, or one without words, has an empty set and is
 its own group; fewer words than n make one n-gram of all words; equal sets
 link; repeated rows are listed each; a null doc_id joins the group of its
 text but never names it; an empty table gives an empty table; other columns
-of the input are not read.
+of the input are not read; a very long text is one set, held whole in one
+step of a worker and in its family's tile (8 bytes per n-gram).
 """
 
 from __future__ import annotations
@@ -36,27 +46,25 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm import bloom
-from tablework.llm.common import BROADCAST_BYTES, handover, lower_ascii, need, pack, small, unpack, word_array
+from tablework.llm.bpe import spans
+from tablework.llm.common import BROADCAST_BYTES, discard, handover, lower_ascii, need, pack, small, unpack, word_array
 from tablework.llm.components import components
 
-GROUPS = 32                 # coordinates of a point
 BAND_RATIO = 1.5            # largest to smallest size of a band
 CHUNK_WORDS = 1 << 18       # words per step in a worker
-TILE = 4096                 # most points of one tree side in one task
+KEYS_PER_PART = 1 << 20     # keys of one range
+TILE = 2048                 # members of a family that one task holds, at most
+TILE_GRAMS = 1 << 21        # and their n-grams
+BATCH_GRAMS = 1 << 20       # n-grams of small families that one task holds
+LEADS = 4                   # first members that all others are compared with
 LEAF = 16
-BATCH_MEMBERS = 8192        # members of small trees that one call searches
-
-
-def overlap_needed(total: Column, num: int, den: int) -> Column:
-    """Least overlap of two linked sets with ``total`` members together:
-    den * i >= num * (total - i)."""
-    return F.ceil(F.lit(num) * total / F.lit(num + den))
+MOST_GROUPS = 4096          # coordinates of a point, at most
+CELLS = 1 << 22             # coordinates compared in one step
 
 
 # ------------------------------------------------------------ n-gram sets
@@ -176,8 +184,8 @@ def word_hashes(docs: DataFrame, text: str) -> Column:
 
 
 def signatures(docs: DataFrame, n: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """(doc_id, hash, size, sid, point, keys) per row of docs: ``hash`` is of
-    the text, ``sid`` of the set (null for an empty one)."""
+    """(doc_id, hash, size, sid, keys) per row of docs: ``hash`` is of the
+    text, ``sid`` of the set (null for an empty one)."""
     def run(batches):
         for batch in batches:
             for a, b, words, counts in word_chunks(batch.column(2)):
@@ -186,22 +194,72 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, text: str = "text")
                 sid = np.zeros(b - a, np.uint64)
                 np.add.at(sid, owner, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
                 sid = mix(sid + sizes.astype(np.uint64))
-                points = np.bincount(owner * GROUPS + (h % np.uint64(GROUPS)).astype(np.int64),
-                                     minlength=(b - a) * GROUPS).astype(np.int32)
                 keys, per = tree_keys(h, sizes, num, den)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                     pa.array(sizes.astype(np.int64)), pa.array(sid.view(np.int64), mask=sizes == 0),
-                    as_lists(points, np.full(b - a, GROUPS)), as_lists(keys, per)],
-                    names=["doc_id", "hash", "size", "sid", "point", "keys"])
+                    as_lists(keys, per)], names=["doc_id", "hash", "size", "sid", "keys"])
 
     return (docs.select("doc_id", F.xxhash64(text).alias("hash"), word_hashes(docs, text).alias("words"))
-            .mapInArrow(run, "doc_id long, hash long, size long, sid long, point array<int>, keys array<long>"))
+            .mapInArrow(run, "doc_id long, hash long, size long, sid long, keys array<long>"))
+
+
+# ----------------------------------------------------------- shared keys
+
+def leads_of(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in unsigned order, least low, largest high of each)."""
+    order = np.argsort(keys, kind="stable")
+    keys, low, high = keys[order], low[order], high[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    if not len(first):
+        return keys, low, high
+    return keys[first], np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+
+
+def shared_keys(signed: DataFrame) -> DataFrame:
+    """(key, lead): the keys of two or more sets, with the least sid among
+    theirs.  A worker reduces a batch's keys to one entry each, in blocks per
+    range of keys; a range's blocks meet in one task."""
+    total = signed.agg(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
+    bits = max(4, math.ceil(math.log2(max(1, total / KEYS_PER_PART))))
+
+    def blocks(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            per = np.asarray(lists.value_lengths())
+            sid = np.repeat(batch.column(0).to_numpy(), per)
+            keys, low, high = leads_of(lists.flatten().to_numpy().view(np.uint64), sid, sid)
+            cut = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+            some = np.flatnonzero(np.diff(cut))
+            columns = [pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary()) for x in (keys, low, (low != high))]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *columns], names=["part", "keys", "leads", "several"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        keys, low, several = (np.frombuffer(b"".join(table.column(c).to_pylist()), t)
+                              for c, t in (("keys", np.uint64), ("leads", np.int64), ("several", bool)))
+        distinct, least, most = leads_of(keys, low, low)
+        sure = np.unique(keys[several])
+        marked = (least != most) | np.isin(distinct, sure, assume_unique=True)
+        return pa.table([pa.array(distinct[marked].view(np.int64)), pa.array(least[marked])], names=["key", "lead"])
+
+    return (signed.select("sid", "keys").mapInArrow(blocks, "part int, keys binary, leads binary, several binary")
+            .groupBy("part").applyInArrow(meet, "key long, lead long"))
+
+
+def likely(rows: DataFrame, trees: DataFrame) -> DataFrame:
+    """The rows whose key may be one of the trees' keys: most keys belong to
+    one set, and a Bloom filter, while it is small enough to broadcast, keeps
+    them out of the shuffle."""
+    table, blocks = bloom.build(trees, "key", trees.count())
+    if blocks * bloom.BLOCK_BYTES > BROADCAST_BYTES:
+        return rows
+    return bloom.probe(rows, F.col("key"), handover(table, "join-filter"), blocks).filter("maybe").drop("maybe")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """(sid, grams) of the documents in wanted (sid, doc_id, hash, repeated).
-    Only rows that the table repeats need their sets told apart again."""
+    """(sid, grams) of the documents in wanted (sid, doc_id, hash, repeated),
+    a written table.  Only rows that the table repeats need their sets told
+    apart again."""
     def run(batches):
         for batch in batches:
             for a, b, words, counts in word_chunks(batch.column(1)):
@@ -209,7 +267,6 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), as_lists(h.view(np.int64), sizes)],
                                                  names=["sid", "grams"])
 
-    wanted = handover(wanted, "join-wanted")
     named = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
 
     def read(some: DataFrame) -> DataFrame:
@@ -240,15 +297,15 @@ class RTree:
 
     def search(self, points: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, point) pairs whose bound reaches the overlap needed."""
-        top = len(self.levels) - 1
+        top, step = len(self.levels) - 1, max(1, CELLS // points.shape[1])
         q, at = (x.ravel() for x in np.meshgrid(np.arange(len(sizes)), np.arange(len(self.levels[top][1])), indexing="ij"))
         for level in range(top, -1, -1):
             p, s = self.levels[level]
             keep = np.zeros(len(q), bool)
-            for k in range(0, len(q), 1 << 16):
-                a, b = q[k:k + (1 << 16)], at[k:k + (1 << 16)]
-                bound = np.minimum(points[a], p[b]).sum(1)
-                keep[k:k + (1 << 16)] = bound * (num + den) >= num * (sizes[a] + s[b])
+            for k in range(0, len(q), step):
+                a, b = q[k:k + step], at[k:k + step]
+                bound = np.minimum(points[a], p[b]).sum(1, dtype=np.int64)
+                keep[k:k + step] = bound * (num + den) >= num * (sizes[a] + s[b])
             q, at = q[keep], at[keep]
             if level:
                 below = len(self.levels[level - 1][1])
@@ -258,92 +315,155 @@ class RTree:
         return q, self.order[at]
 
 
-def distinct_trees(members: DataFrame) -> DataFrame:
-    """members of one tree for each set of members: near copies meet in a
-    tree for each group that they have in common."""
-    of_tree = members.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("sid")).alias("x"),
-                                         F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("y"))
-    once = of_tree.groupBy("m", "x", "y").agg(F.min("key").alias("key")) \
-        .select("key", F.ceil(F.col("m") / TILE).cast("int").alias("parts"))
-    return members.join(once, "key")
-
-
-def tree_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (a, b) of sets in one tree but in different components
-    that the bound lets through.  members: (key, sid, root, size, point).
-    Trees above TILE members are searched in tiles of two parts each, small
-    trees many at a time."""
-    dealt = handover(distinct_trees(members), "join-dealt")
-    batches = max(1, math.ceil(dealt.count() / BATCH_MEMBERS))
-    tiled = (dealt.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .withColumns({"t1": F.least("part", "other"), "t2": F.greatest("part", "other")})
-             .withColumn("batch", F.when(F.col("parts") > 1, F.xxhash64("key", "t1", "t2"))
-                         .otherwise(F.pmod(F.xxhash64("key"), F.lit(batches)))))
-
-    def one_tree(points, sizes, sid, root, part, t1, t2) -> list[np.ndarray]:
-        left, right = np.flatnonzero(part == t1), np.flatnonzero(part == t2)
-        if not len(left) or not len(right):
-            return []
-        tree, found = RTree(points[right], sizes[right]), []
+class Family:
+    """The sets of one family, or of two parts of it, in one task."""
+
+    def __init__(self, sid: np.ndarray, root: np.ndarray, grams: np.ndarray, sizes: np.ndarray, num: int, den: int):
+        self.sid, self.grams, self.sizes, self.num, self.den = sid, grams, sizes, num, den
+        self.begin = np.cumsum(sizes) - sizes
+        self.component = np.unique(root, return_inverse=True)[1].astype(np.int64)
+        self.links: list[tuple[int, int]] = []
+
+    def compare(self, q: int, others: np.ndarray) -> None:
+        """Join q with those of the others, in other components, that it links to."""
+        others = others[self.component[others] != self.component[q]]
+        if not len(others):
+            return
+        own = self.grams[self.begin[q]:self.begin[q] + self.sizes[q]]
+        theirs = self.grams[spans(self.begin[others], self.sizes[others])]
+        at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+        overlap = np.add.reduceat((own[at] == theirs).astype(np.int64), np.cumsum(self.sizes[others]) - self.sizes[others])
+        for p in others[(self.num + self.den) * overlap >= self.num * (self.sizes[q] + self.sizes[others])]:
+            if self.component[p] != self.component[q]:
+                self.component[self.component == self.component[p]] = self.component[q]
+                self.links.append((int(self.sid[q]), int(self.sid[p])))
+
+    def points(self) -> np.ndarray:
+        """Counts of hashed groups, about twice as many as a set has n-grams."""
+        groups = 1 << math.ceil(math.log2(2 * max(1.0, float(np.median(self.sizes)))))
+        groups = max(32, min(groups, MOST_GROUPS, CELLS * 4 // max(1, len(self.sizes))))
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        counts = np.bincount(owner * groups + (self.grams % np.uint64(groups)).astype(np.int64), minlength=len(self.sizes) * groups)
+        kind = np.uint8 if counts.max(initial=0) < 256 else np.int32
+        return counts.astype(kind).reshape(-1, groups)
+
+    def search(self, left: np.ndarray, right: np.ndarray) -> None:
+        """Join all linked pairs of the two sides (positions; equal: of all)."""
+        for q in np.union1d(left, right)[:LEADS]:
+            self.compare(int(q), right if q in left else left)
+        if len(np.unique(self.component)) < 2:
+            return
+        points = self.points()
+        tree = RTree(points[right], self.sizes[right])
         for k in range(0, len(left), 256):
             some = left[k:k + 256]
-            q, p = tree.search(points[some], sizes[some], num, den)
+            q, p = tree.search(points[some], self.sizes[some], self.num, self.den)
             q, p = some[q], right[p]
-            ok = (root[q] != root[p]) & ((t1 != t2) | (sid[q] < sid[p]))
-            found.append(np.stack([np.minimum(sid[q], sid[p])[ok], np.maximum(sid[q], sid[p])[ok]], 1))
-        return found
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["key", "t1", "t2"], ignore_index=True)
-        names = ["key", "t1", "t2"]
-        cuts = np.flatnonzero((pdf[names].to_numpy()[1:] != pdf[names].to_numpy()[:-1]).any(axis=1)) + 1
-        points = np.stack(pdf["point"].to_numpy())
-        sizes, sid, root, part, t1, t2 = (pdf[c].to_numpy() for c in ("size", "sid", "root", "part", "t1", "t2"))
-        found = [np.zeros((0, 2), np.int64)]
-        for a, b in zip([0, *cuts], [*cuts, len(pdf)]):
-            found += one_tree(points[a:b], sizes[a:b], sid[a:b], root[a:b], part[a:b], t1[a], t2[a])
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return (tiled.select("batch", "key", "t1", "t2", "part", "sid", "root", "size", "point")
-            .groupBy("batch").applyInPandas(search, "a long, b long").distinct())
+            apart = self.component[q] != self.component[p]
+            q, p = q[apart], p[apart]
+            order = np.argsort(q, kind="stable")
+            q, p = q[order], p[order]
+            for one in np.split(np.arange(len(q)), np.flatnonzero(np.diff(q)) + 1) if len(q) else []:
+                self.compare(int(q[one[0]]), p[one])
+
+
+def family_links(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Links (a, b) of a batch: rows (family, t1, t2, part, sid, root, grams),
+    where a unit (family, t1, t2) asks for the pairs of two parts."""
+    names = ["family", "t1", "t2", "sid"]
+    table = table.sort_by([(c, "ascending") for c in names])
+    unit = [table.column(c).to_numpy() for c in names[:3]]
+    new = np.ones(len(table), bool)
+    new[1:] = np.any([u[1:] != u[:-1] for u in unit], axis=0)
+    lists = table.column("grams").combine_chunks()
+    sizes, grams = np.asarray(lists.value_lengths()).astype(np.int64), lists.flatten().to_numpy().view(np.uint64)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    sid, root, part = (table.column(c).to_numpy() for c in ("sid", "root", "part"))
+    found = []
+    cuts = np.flatnonzero(new)
+    for a, b in zip(cuts, [*cuts[1:], len(table)]):
+        family = Family(sid[a:b], root[a:b], grams[begin[a]:begin[b]], sizes[a:b], num, den)
+        left, right = (np.flatnonzero(part[a:b] == u[a]) for u in unit[1:])
+        extra = np.flatnonzero(part[a:b] < 0)                # first members of the family, in all its tiles
+        if len(extra):
+            left = right = np.arange(b - a)
+        family.search(left, right)
+        found += family.links
+    return pa.table([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
+def search_units(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links of the units in rows (batch, family, t1, t2, part, sid, root),
+    whose sets go to their batches."""
+    def search(table: pa.Table) -> pa.Table:
+        return family_links(table, num, den)
+
+    rows = handover(rows.select("batch", "family", "t1", "t2", "part", "sid", "root"), "join-units")
+    return (sets.join(small(rows, 80), "sid").select("batch", "family", "t1", "t2", "part", "sid", "root", "grams")
+            .groupBy("batch").applyInArrow(search, "a long, b long"))
+
+
+def first_tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links inside every family of one tile, and inside the tiles of larger
+    ones, each with the family's first members.  members: (sid, family, size, parts)."""
+    weight = members.filter("parts = 1").agg(F.sum("size").alias("n")).first()["n"] or 0
+    batches = max(1, math.ceil(weight / BATCH_GRAMS))
+    zero = F.lit(0)
+    tile = F.pmod(F.xxhash64("sid", F.lit(3)), F.col("parts")).cast("int")
+    own = members.withColumn("t1", F.when(F.col("parts") > 1, tile).otherwise(zero)).withColumn("part", F.col("t1"))
+    nth = F.row_number().over(Window.partitionBy("family").orderBy("sid"))
+    first = (members.filter("parts > 1").withColumn("nth", nth).filter(F.col("nth") <= LEADS).drop("nth")
+             .withColumn("t1", F.explode(F.sequence(zero, F.col("parts") - 1))).withColumn("part", F.lit(-1)))
+    first = first.filter(tile != F.col("t1"))
+    rows = own.unionByName(first).withColumns({"t2": F.col("t1"), "root": F.col("sid")}).withColumn(
+        "batch", F.when(F.col("parts") > 1, F.xxhash64("family", "t1")).otherwise(F.pmod(F.xxhash64("family"), F.lit(batches))))
+    return search_units(rows, sets, num, den)
+
+
+def other_tiles(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
+    """Links between the tiles of families that are still in several
+    components: members outside the largest one against all.  None if there
+    are no such families."""
+    large = (members.filter("parts > 1").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+             .select("sid", "family", "parts", F.coalesce("root", "sid").alias("root")))
+    large = handover(large, "join-large")
+    of = large.groupBy("family", "root").agg(F.count("*").alias("m"), F.first("parts").alias("parts"))
+    main = (of.groupBy("family").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("m"),
+                                     F.sum("m").alias("all"), F.count("*").alias("components"), F.first("parts").alias("parts"))
+            .filter("components > 1"))
+    share = F.col("all") / F.col("parts")
+    plan = handover(main.select("family", "main", F.ceil(F.col("m") / share).cast("int").alias("p"),
+                                F.ceil((F.col("all") - F.col("m")) / share).cast("int").alias("q")), "join-plan")
+    if plan.isEmpty():
+        return None
+    stray = F.col("root") != F.col("main")
+    h = F.xxhash64("sid", F.lit(5))
+    placed = large.join(plan, "family").withColumn(
+        "part", F.when(stray, F.col("p") + F.pmod(h, F.col("q"))).otherwise(F.pmod(h, F.col("p"))).cast("int"))
+    last = F.col("p") + F.col("q") - 1
+
+    def tiles(t1, t2) -> Column:
+        return F.struct(t1.cast("int").alias("t1"), t2.cast("int").alias("t2"))
+
+    with_strays = F.transform(F.sequence(F.greatest("p", "part"), last), lambda t: tiles(F.col("part"), t))
+    before = F.transform(F.sequence(F.lit(0), F.col("part")), lambda t: tiles(t, F.col("part")))
+    at = F.array_distinct(F.when(F.col("part") >= F.col("p"), F.concat(before, with_strays)).otherwise(with_strays))
+    rows = (placed.withColumn("at", F.explode(at)).select("sid", "family", "root", "part", "at.t1", "at.t2")
+            .withColumn("batch", F.xxhash64("family", "t1", "t2")))
+    return search_units(rows, sets, num, den)
 
 
 # ------------------------------------------------------------------ join
 
-def bounded(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sum of coordinate minima reaches the overlap needed."""
-    least = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    a = nodes.select(F.col("sid").alias("a"), F.col("size").alias("na"), F.col("point").alias("pa"))
-    b = nodes.select(F.col("sid").alias("b"), F.col("size").alias("nb"), F.col("point").alias("pb"))
-    return (pairs.join(a, "a").join(b, "b")
-            .filter(least >= overlap_needed(F.col("na") + F.col("nb"), num, den))
-            .select("a", "b", "na", "nb"))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets link, by the sets themselves."""
-    pairs = handover(pairs, "join-pairs")
-    wanted = (pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-              .join(nodes, "sid").select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash"),
-                                         "repeated"))
-    sets = handover(sets_of(docs, wanted, n), "join-sets")
-    inter = F.size(F.array_intersect("ga", "gb"))
-    return (pairs.join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
-            .join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b")
-            .filter(inter >= overlap_needed(F.col("na") + F.col("nb"), num, den))
-            .select("a", "b"))
-
-
-def likely(rows: DataFrame, trees: DataFrame) -> DataFrame:
-    """The rows whose key may be one of the trees' keys: most keys belong to
-    one set, and a Bloom filter, while it is small enough to broadcast, keeps
-    them out of the shuffle."""
-    table, blocks = bloom.build(trees, "key", trees.count())
-    if blocks * bloom.BLOCK_BYTES > BROADCAST_BYTES:
-        return rows
-    return bloom.probe(rows, F.col("key"), handover(table, "join-filter"), blocks).filter("maybe").drop("maybe")
+def families(signed: DataFrame) -> DataFrame:
+    """(node, root): the sets that share keys, with their family."""
+    trees = handover(shared_keys(signed), "join-trees")
+    rows = signed.select("sid", F.explode("keys").alias("key"))
+    edges = handover(likely(rows, trees).join(small(trees, 48), "key").filter("sid <> lead")
+                     .select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct(), "join-edges")
+    found = components(edges)
+    discard(trees, edges)
+    return found
 
 
 def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -353,45 +473,37 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
     reach, itself included."""
     need(docs, "doc_id", "text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = handover(signatures(docs, n, num, den), "join-signatures")
-    some = signed.filter("sid IS NOT NULL")
+    whole = handover(signatures(docs, n, num, den), "join-signatures")
+    some = whole.filter("sid IS NOT NULL")
     # one node per distinct set, with a document to read the set from again
     again = (some.groupBy(F.col("doc_id").alias("again_id"), F.col("hash").alias("again_hash"))
              .agg(F.count("*").alias("m")).filter("m > 1").drop("m"))
     nodes = handover(some.groupBy("sid").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "hash")).alias("rep"),
-        F.first("size").alias("size"), F.first("point").alias("point"))
+        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "hash")).alias("rep"), F.first("size").alias("size"))
         .join(again, F.col("rep.doc_id").eqNullSafe(F.col("again_id")) & (F.col("rep.hash") == F.col("again_hash")), "left")
-        .select("sid", "least", "rep", "size", "point", F.col("again_hash").isNotNull().alias("repeated")), "join-nodes")
-    rows = some.select("sid", F.explode("keys").alias("key"))
-    trees = handover(rows.groupBy("key").agg(F.min("sid").alias("lead"), F.max("sid").alias("last"))
-                     .filter("lead < last").select("key", "lead"), "join-trees")
-    members = handover(likely(rows, trees).join(small(trees, 48), "key").select("key", "sid", "lead").distinct(),
-                       "join-members")
-    # first round: every member against the least lead of its trees, then
-    # against the leads that it is not connected to yet
-    others = members.filter("sid <> lead")
-    least = others.groupBy("sid").agg(F.min("lead").alias("a")).select("a", F.col("sid").alias("b"))
-    links = handover(verified(bounded(least, nodes, num, den), docs, nodes, n, num, den), "join-links")
-    roots = handover(components(links), "join-roots")
-    leads = others.select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct().join(least, ["a", "b"], "left_anti")
-    apart = (leads.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-             .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-             .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-    links = handover(links.unionAll(verified(bounded(apart, nodes, num, den), docs, nodes, n, num, den)), "join-links")
-    rooted = members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left") \
-        .select("key", "sid", F.coalesce("root", "sid").alias("root"))
-    # second round: trees that still hold several components
-    several = (rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-               .filter("low < high").select("key"))
-    rest = handover(rooted.join(several, "key", "left_semi")
-                    .join(nodes.select("sid", "size", "point"), "sid"), "join-rest")
-    across = handover(tree_pairs(rest, num, den), "join-across")
-    more = verified(bounded(across, nodes, num, den), docs, nodes, n, num, den)
-    found = components(links.unionAll(more)).withColumnRenamed("node", "sid")
-    rooted = nodes.join(found, "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
+        .select("sid", "least", "rep", "size", F.col("again_hash").isNotNull().alias("repeated")), "join-nodes")
+    family = handover(families(some), "join-families")
+    signed = handover(whole.drop("keys", "hash"), "join-signed")
+    discard(whole)
+    sized = family.join(nodes.select(F.col("sid").alias("node"), "size", "rep", "repeated"), "node")
+    large = (sized.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int").alias("parts"))
+             .filter("parts > 1"))
+    members = handover(sized.join(large, "root", "left").select(
+        F.col("node").alias("sid"), F.col("root").alias("family"), "size", F.coalesce("parts", F.lit(1)).alias("parts"),
+        F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash"), "repeated"), "join-members")
+    sets = handover(sets_of(docs, members.select("sid", "doc_id", "hash", "repeated"), n), "join-sets")
+    members_ = members.select("sid", "family", "size", "parts")
+    links = handover(first_tiles(members_, sets, num, den), "join-links")
+    found = components(links)
+    more = other_tiles(members_, found, sets, num, den)
+    if more is not None:
+        more = handover(more, "join-more")
+        found = components(links.unionAll(more))
+    discard(sets, members, family)
+    rooted = nodes.join(found.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     owners = handover(rooted.join(named, "root").select("sid", "component_id"), "join-owners")
+    discard(nodes, links, *([more] if more is not None else []))
     return (signed.select("doc_id", F.col("size").alias("n_shingles"), "sid")
             .join(owners, "sid", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))

@@ -67,8 +67,8 @@ def test_linked_sets_share_a_tree():
 
 def test_tree_finds_what_the_bound_lets_through():
     rng = np.random.default_rng(9)
-    points = rng.poisson(rng.integers(1, 9, (600, 1)), (600, J.GROUPS)).astype(np.int32)
-    points[300:] = np.maximum(0, points[:300] + rng.integers(-1, 2, (300, J.GROUPS)) * (rng.random((300, J.GROUPS)) < .1))
+    points = rng.poisson(rng.integers(1, 9, (600, 1)), (600, 32)).astype(np.int32)
+    points[300:] = np.maximum(0, points[:300] + rng.integers(-1, 2, (300, 32)) * (rng.random((300, 32)) < .1))
     sizes = points.sum(1).astype(np.int64)
     q, p = J.RTree(points, sizes).search(points[:100], sizes[:100], 90, 100)
     bound = np.minimum(points[:100, None], points[None]).sum(2)
@@ -76,12 +76,104 @@ def test_tree_finds_what_the_bound_lets_through():
     assert sorted(zip(q, p)) == sorted(map(tuple, want))
 
 
-def test_tiles_cover_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(J, "TILE", 7)
-    members = spark.createDataFrame([(1, i, i, 10, [10] + [0] * 31) for i in range(40)],
-                                    "key long, sid long, root long, size long, point array<int>")
-    got = {(r.a, r.b) for r in J.tree_pairs(members, 90, 100).collect()}
-    assert got == {(a, b) for a in range(40) for b in range(a + 1, 40)}
+def linked(sets, num, den):
+    """Components by comparing all pairs of sets."""
+    up = list(range(len(sets)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            k = len(sets[i] & sets[j])
+            if den * k >= num * (len(sets[i]) + len(sets[j]) - k):
+                a, b = top(i), top(j)
+                up[max(a, b)] = min(a, b)
+    return [top(i) for i in range(len(sets))]
+
+
+def families_of_sets(seed, n, size, replaced):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(1, 2**62, size)
+    sets = []
+    for _ in range(n):
+        own = base.copy()
+        own[rng.choice(size, replaced, replace=False)] = rng.integers(1, 2**62, replaced)
+        sets.append(set(own.tolist()))
+    return sets
+
+
+@pytest.mark.parametrize("replaced", [2, 4, 6, 9, 14])
+def test_a_family_is_searched_whole_with_few_links(replaced):
+    sets = families_of_sets(replaced, 120, 100, replaced)
+    grams = [np.sort(np.array(list(x), np.uint64)) for x in sets]
+    f = J.Family(np.arange(120), np.arange(120), np.concatenate(grams), np.array([len(g) for g in grams]), 90, 100)
+    f.search(np.arange(120), np.arange(120))
+    want = linked(sets, 90, 100)
+    assert len(f.links) == 120 - len(set(want))                  # one link less than members, per component
+    first = {}
+    assert [first.setdefault(int(c), i) for i, c in enumerate(f.component)] == want
+
+
+@pytest.mark.parametrize("replaced", [3, 5, 8])
+def test_tiles_of_a_large_family_cover_its_pairs(spark, monkeypatch, replaced):
+    """Tiles of ten members: first tiles, then members outside the largest
+    component against all."""
+    monkeypatch.setattr(J, "TILE", 10)
+    random.seed(replaced)
+    rows = []
+    for f in range(2):
+        base = [f"b{f}x{i}" for i in range(120)]
+        for c in range(60):
+            text = list(base)
+            for at in random.sample(range(120), replaced if c % 7 else 12):
+                text[at] = f"r{random.randint(0, 10**9)}"
+            rows.append((f * 100 + c, " ".join(text)))
+    got = J.link_groups(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == edge.groups(rows, 1, 90, 100)
+
+
+def near_copies(n):
+    random.seed(n)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for at in random.sample(range(150), 3):
+            text[at] = f"x{random.randint(0, 10**9)}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_candidates_grow_in_proportion_to_a_group(spark, monkeypatch):
+    """n copies with 3 of 150 words replaced share keys but hardly link: the
+    tables handed over grow with n, not with its square."""
+    sizes = {}
+    write = J.handover
+
+    def counted(df, name):
+        table = write(df, name)
+        sizes[name] = sizes.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(J, "handover", counted)
+    grown = []
+    for n in (300, 600, 1200):
+        sizes.clear()
+        J.link_groups(spark.createDataFrame(near_copies(n), "doc_id long, text string"), 3, 90, 100).collect()
+        grown.append(dict(sizes))
+    for name in grown[-1]:
+        for few, many in zip(grown, grown[1:]):
+            assert many[name] <= 2.5 * few.get(name, 0) + 200, (name, few.get(name), many[name])
+
+
+def test_keys_of_one_set_only_are_not_shared(spark):
+    df = spark.createDataFrame([(1, [5, 6, 7]), (2, [7, 8]), (1, [5, 6, 7]), (3, [-9]), (4, [-9, 6]), (5, [])], "sid long, keys array<long>")
+    got = sorted(tuple(r) for r in J.shared_keys(df.repartition(3)).collect())
+    assert got == [(-9, 3), (6, 1), (7, 1)]
+    assert J.shared_keys(df.filter("false")).collect() == []
 
 
 def test_components(spark):
