@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tablework.functions import draws, scalars
-from tablework.operators import (augment, denorm, features, groups, models, profile,
+from tablework.operators import (augment, denorm, features, groups, linear_state, models, profile,
                                  quantiles, sampling, shapes, star, states)
 from tablework.plans import oracle as O
 from tablework.plans import reports, standins as SI
@@ -163,6 +163,15 @@ def q_star_roundtrip(spark, sf):
     return feeds.read_table(spark, paths["delay_events"])
 
 
+@query("star_published", f"{FACT_SQL} SELECT * FROM fact")
+def q_star_published(spark, sf):
+    """A star published twice; what is read is the newer one, whole."""
+    s, target = star.build_star(SI.delays(spark, sf), id_mode="hash"), shared_scratch(spark, "star")
+    feeds.publish_star({name: df.limit(0) for name, df in s.items()}, target)
+    feeds.publish_star(s, target)
+    return feeds.read_star(spark, target)["delay_events"]
+
+
 @query("partitioned_ids", """SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_linenumber AS stop_sequence,
   lpad(CAST(l_partkey % 7 AS VARCHAR), 3, '0') AS zone FROM lineitem""")
 def q_partitioned_ids(spark, sf):
@@ -504,6 +513,15 @@ def q_iqr_outliers(spark, sf):
 IQR_EVENTS_SQL = SQL["iqr_outliers"].replace(W_DELAYS, W_EV).replace("delays", "events_delay")
 
 
+@query("outlier_rows", f"""{W_DELAYS}, q AS (SELECT quantile_cont(delay_minutes, 0.25) AS a, quantile_cont(delay_minutes, 0.75) AS b FROM delays)
+SELECT {KSQL}, delay_minutes FROM delays, q WHERE delay_minutes < a - 1.5 * (b - a) OR delay_minutes > b + 1.5 * (b - a)""")
+def q_outlier_rows(spark, sf):
+    """The rows outside the bounds, as a table."""
+    d = SI.delays(spark, sf)
+    bounds = profile.iqr_outliers(d, "delay_minutes").first()
+    return profile.outlier_rows(d, "delay_minutes", bounds["lower"], bounds["upper"]).select(*KEYS, "delay_minutes")
+
+
 @query("iqr_outliers_events", IQR_EVENTS_SQL)
 def q_iqr_outliers_events(spark, sf):
     return rounded(profile.iqr_outliers(SI.events_delay(spark, sf), "delay_minutes", "exact"))
@@ -1015,6 +1033,37 @@ def q_regression_metrics(spark, sf):
     return rounded(models.regression_metrics(m.transform(d)))
 
 
+FIT_COLS = [f"f_{c}" for c in features.CANDIDATE_FEATURES]
+_ONE = ["1", *FIT_COLS]
+_CELLS = "[" + ", ".join("[" + ", ".join(f"SUM(CAST({a} AS DOUBLE) * {b})" for b in [*_ONE, "label"]) + "]" for a in _ONE) + "]"
+
+
+@query("linear_all", f"""WITH RECURSIVE {ASSEMBLE_SQL.strip().removeprefix("WITH ")},
+steps AS (SELECT 1 AS k, {_CELLS} AS m FROM feat
+  UNION ALL SELECT k + 1, list_transform(range(1, {len(_ONE) + 1}), lambda i: CASE WHEN i = k
+      THEN list_transform(m[k], lambda v: v / m[k][k])
+      ELSE list_transform(range(1, {len(_ONE) + 2}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END)
+  FROM steps WHERE k <= {len(_ONE)})
+SELECT unnest([{", ".join(f"'{c}'" for c in ["intercept", *features.CANDIDATE_FEATURES])}]) AS term,
+       (round(unnest(list_transform(m, lambda x: x[{len(_ONE) + 1}])), 4) + CAST(0 AS DOUBLE)) AS value, TRUE AS like_mllib
+FROM steps WHERE k = {len(_ONE) + 1}""")
+def q_linear_all(spark, sf):
+    """All seven features, fitted from the merged sums of four batches, next
+    to MLlib's fit of the rows."""
+    p = features.index_categories(features.prepare(SI.delays(spark, sf)))
+    p = p.withColumn("is_peak", F.col("is_peak").cast("double"))
+    parts = [linear_state.linear_state(p.where(F.pmod(F.xxhash64("trip_id"), F.lit(4)) == k),
+                                       features.CANDIDATE_FEATURES, "delay_minutes") for k in range(4)]
+    union = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    fit = linear_state.solve(union)
+    theirs = models.fit_linear(features.assemble(p, features.CANDIDATE_FEATURES).withColumnRenamed("delay_minutes", "label"), tol=1e-12)
+    rows = [("intercept", fit["intercept"], float(theirs.intercept))]
+    rows += [(c, fit["coefficients"][c], float(b)) for c, b in zip(features.CANDIDATE_FEATURES, theirs.coefficients)]
+    table = spark.createDataFrame(rows, "term string, value double, mllib double")
+    near = F.abs(F.col("value") - F.col("mllib")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("mllib"))
+    return rounded(table.select("term", "value", near.alias("like_mllib")), 4)
+
+
 def _tables(spark, sf):
     return features.model_tables(SI.delays(spark, sf), KEYS)
 

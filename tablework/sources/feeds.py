@@ -8,6 +8,8 @@ instead of failing the job under ANSI mode.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -200,6 +202,46 @@ def write_star(star: dict[str, DataFrame], target: str, mode: str = "overwrite")
     return paths
 
 
+PUBLISHED = "_published"
+
+
+def publish_star(star: dict[str, DataFrame], target: str) -> dict[str, str]:
+    """S6, staged: the tables go to a folder of their own under ``target``,
+    and one small table written last (``_published/version=n``) names it.
+    Readers take the newest name, so they see the old star whole until the
+    new one is whole; a run that fails in between changes nothing for them.
+    Two writers of one version cannot both succeed."""
+    spark, root = next(iter(star.values())).sparkSession, target.rstrip("/")
+    folder = f"star-{uuid.uuid4().hex[:12]}"
+    paths = write_star(star, f"{root}/{folder}")
+    found = _published(spark, root)
+    version = found[0] + 1 if found else 1
+    name = spark.createDataFrame([(folder, sorted(paths))], "folder string, tables array<string>")
+    name.coalesce(1).write.mode("errorifexists").parquet(f"{root}/{PUBLISHED}/version={version}")
+    return paths
+
+
+def _published(spark: SparkSession, root: str):
+    """(version, folder, tables) of the newest published star, if any."""
+    try:
+        rows = spark.read.schema("folder string, tables array<string>, version long").parquet(f"{root}/{PUBLISHED}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+    row = rows.orderBy(F.desc("version")).first()
+    return (row["version"], row["folder"], row["tables"]) if row else None
+
+
+def read_star(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The newest star that :func:`publish_star` finished under ``target``."""
+    root = target.rstrip("/")
+    found = _published(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"no star is published at {target} - run the 'star' step first")
+    return {name: read_table(spark, f"{root}/{found[1]}/{name}", step="star") for name in found[2]}
+
+
 # Bucket key per star table: trips and events share trip_id buckets, so the
 # event-trip join of the reports reads co-partitioned tables without a shuffle.
 STAR_BUCKET_KEYS = {"routes": "route_id", "trips": "trip_id", "delay_events": "trip_id"}

@@ -250,3 +250,65 @@ def test_orphans_are_counted_per_key_before_the_join(spark):
     assert keys.agg(F.sum("n_rows")).first()[0] == star.orphans(child, parent, "k").count()
     join = plan.index("LeftAnti")
     assert plan.index("partial_count") > join               # the count is below the join
+
+
+# -------------------------------------------------- encoding and fits
+
+def test_means_leave_out_a_rows_own_fold(spark):
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1.0, 2.0, 9.0]), i % 4 != 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k string, y double, train boolean")
+    means = features.fit_means(df.where("train"), ["id"], ["k"], label="y")
+    got = means.transform(df.unionAll(spark.createDataFrame([(900, "new", 1.0, False)], df.schema)), F.col("train"))
+    fold = {r["id"]: r["f"] for r in df.select("id", means.fold.alias("f")).collect()}
+    fitted = [(i, k, y) for i, k, y, t in rows if t and y is not None]
+    prior = sum(y for _, _, y in fitted) / len(fitted)
+    for r in got.collect():
+        seen = [y for i, k, y in fitted if k == r["k"] and k is not None and not (r["train"] and fold[i] == fold[r["id"]])]
+        want = (sum(seen) + prior * features.PRIOR_ROWS) / (len(seen) + features.PRIOR_ROWS)
+        assert abs(r["k_mean"] - want) < 1e-9
+    assert len(set(fold.values())) == features.FOLDS
+    with pytest.raises(ValueError):
+        features.indexed_features(SI.delays(spark, SF001), category_mode="median")
+
+
+def test_held_out_rows_stop_boosting_and_fit_no_means(spark):
+    from tablework.operators import models
+    train, test, names = features.model_tables(SI.delays(spark, SF001), category_mode="mean", validation=0.2)
+    assert "route_id_mean" in names and "route_id_idx" not in names and "held_out" in train.columns
+    share = train.agg(F.avg(F.col("held_out").cast("double"))).first()[0]
+    assert 0.15 < share < 0.25 and test.where("held_out").count() == 0
+    assert models.fit_gbt(train, max_iter=20, max_depth=3, held_out="held_out").getNumTrees < 20
+
+
+def test_linear_states_merge_and_skip_null_rows(spark):
+    import numpy as np
+    from tablework.operators import linear_state as L
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(500, 3)) * [1, 1000, 0.001] + [5, 1e6, 0]
+    y = x @ [2.0, -0.5, 30.0] + 7 + rnd.normal(size=500) * 0.01
+    rows = [(*map(float, v), float(t)) for v, t in zip(x, y)] + [(None, 1.0, 1.0, 1.0), (1.0, 1.0, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double").withColumn("k", F.lit(3))
+    parts = [L.linear_state(df.where(F.pmod(F.xxhash64("b"), F.lit(3)) == i), ["a", "b", "c", "k"], "y") for i in range(3)]
+    fit = L.solve(parts[0].unionAll(parts[1]).unionAll(parts[2]))
+    want, *_ = np.linalg.lstsq(np.column_stack([x - x.mean(0)]), y - y.mean(), rcond=None)
+    assert fit["n"] == 500 and np.allclose([fit["coefficients"][c] for c in "abc"], want, rtol=1e-4)
+    assert fit["coefficients"]["k"] == 0 and fit["r2"] > 0.999
+    assert L.solve(L.linear_state(df.where("false"), ["a"], "y"))["n"] == 0
+
+
+# ---------------------------------------------------------- publishing
+
+def test_a_failed_publish_leaves_the_old_star(spark):
+    target = shared_scratch(spark, "star")
+    with pytest.raises(FileNotFoundError):
+        feeds.read_star(spark, target)
+    old = {"routes": spark.createDataFrame([("1",)], "route_id string"), "trips": spark.createDataFrame([("a", "1")], "trip_id string, route_id string")}
+    feeds.publish_star(old, target)
+    broken = spark.range(5).select(F.raise_error(F.lit("lost")).cast("string").alias("trip_id"), F.lit("2").alias("route_id"))
+    with pytest.raises(Exception, match="lost"):
+        feeds.publish_star({"routes": spark.createDataFrame([("2",), ("3",)], "route_id string"), "trips": broken}, target)
+    now = feeds.read_star(spark, target)
+    assert [r[0] for r in now["routes"].collect()] == ["1"] and now["trips"].count() == 1
+    feeds.publish_star({"routes": spark.createDataFrame([("2",)], "route_id string")}, target)
+    assert {k: [r[0] for r in v.collect()] for k, v in feeds.read_star(spark, target).items()} == {"routes": ["2"]}
