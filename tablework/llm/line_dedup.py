@@ -9,16 +9,23 @@ has go to the log of repeats.  When ``fanout`` runs stand at a level, they
 are merged into one run of the next level, so a batch meets at most
 ``fanout x levels`` runs.
 
+The runs live in a folder with a manifest, a small table per batch that is
+written last and names the runs and logs that count.  ``LineRuns(spark,
+path)`` opens it again for later batches; a batch that failed half-way left
+no manifest, so it counts for nothing and can be added again.
+
 Defined results: a null text is one empty line; an empty table gives an
 empty table; each row counts as a document of its own, so repeated rows
 count repeatedly and the line stays in every row with the largest doc_id; a
-null doc_id is smaller than all others.  Extra columns pass through.
+null doc_id is smaller than all others.  Extra columns pass through.  A very
+long text is one row, whose lines are an array in one task.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +34,7 @@ from tablework.session import shared_scratch
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-BATCHES = 4
+BATCHES = 6                 # more than the fan-out, so batches meet a compacted run
 FANOUT = 4
 HASHES = ["h1", "h2"]
 
@@ -50,44 +57,83 @@ def document_keys(text: Column, min_chars: int) -> Column:
     return F.transform(F.array_distinct(keys), lambda k: F.struct(*key_hash(k)))
 
 
+RUN = "h1 bigint, h2 bigint, n bigint, top bigint"
+
+
 class LineRuns:
-    """Levelled sorted runs under a folder of the shared checkpoint place."""
+    """Levelled sorted runs in ``path``, a folder that all executors share
+    (default: a new one under the checkpoint folder).  A path that holds
+    runs is opened with its newest manifest, and with its buckets."""
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None, path: str | None = None):
         self.spark, self.fanout = spark, fanout
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = (path or shared_scratch(spark, "lineruns")).rstrip("/")
         self.tag = "lineruns_" + uuid.uuid4().hex[:12]
-        self.made = 0
-        self.runs: list[tuple[int, str]] = []      # (level, table)
-        self.repeats: list[DataFrame] = []
+        self.version, self.tables = 0, 0
+        self.runs: list[tuple[int, str, str]] = []           # (level, table, folder)
+        self.repeats: list[str] = []                         # folders
+        found = self._manifest() if path else None
+        self.buckets = found["buckets"] if found else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if found:
+            self.version, self.repeats = found["version"], list(found["repeats"])
+            self.runs = [(r["level"], self._register(r["folder"]), r["folder"]) for r in found["runs"]]
+
+    def _manifest(self):
+        schema = "buckets int, runs array<struct<level:int,folder:string>>, repeats array<string>, version long"
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/manifest").orderBy(F.desc("version")).first()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _commit(self) -> None:
+        """The state after a batch, as one small table written last."""
+        self.version += 1
+        row = (self.buckets, [(level, folder) for level, _, folder in self.runs], self.repeats)
+        (self.spark.createDataFrame([row], "buckets int, runs array<struct<level:int,folder:string>>, repeats array<string>")
+         .coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifest/version={self.version}"))
+
+    def _name(self) -> str:
+        self.tables += 1
+        return f"{self.tag}_{self.tables}"
+
+    def _register(self, folder: str) -> str:
+        """A catalog entry for a run's files, which says how they are bucketed."""
+        name, place = self._name(), f"{self.path}/{folder}".replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE {name} ({RUN}) USING parquet CLUSTERED BY (h1, h2) SORTED BY (h1, h2) "
+                       f"INTO {self.buckets} BUCKETS LOCATION '{place}'")
+        return name
 
     def _write(self, entries: DataFrame, level: int) -> None:
-        name = f"{self.tag}_{self.made}"
-        self.made += 1
+        name, folder = self._name(), "run-" + uuid.uuid4().hex[:12]
         (entries.repartition(self.buckets, *HASHES).write
          .bucketBy(self.buckets, *HASHES).sortBy(*HASHES)
-         .option("path", shared_scratch(self.spark, name)).saveAsTable(name))
-        self.runs.append((level, name))
+         .option("path", f"{self.path}/{folder}").saveAsTable(name))
+        self.runs.append((level, name, folder))
 
     def add(self, batch: DataFrame) -> None:
         """Merge-anti-join a batch of distinct keys (h1, h2, n, top) with the
         runs; new keys become a run, known keys go to the log of repeats."""
         fresh = known = batch
-        for _, name in self.runs:
+        for _, name, _ in self.runs:
             run = self.spark.table(name).select(*HASHES).hint("merge")
             fresh = fresh.join(run, HASHES, "left_anti")
         if self.runs:
             seen = [known.join(self.spark.table(name).select(*HASHES).hint("merge"), HASHES, "left_semi")
-                    for _, name in self.runs]
+                    for _, name, _ in self.runs]
             repeats = seen[0]
             for more in seen[1:]:                  # runs share no key, so neither do these
                 repeats = repeats.unionAll(more)
-            self.repeats.append(handover(repeats, f"{self.tag}-repeats"))
+            folder = "repeats-" + uuid.uuid4().hex[:12]
+            repeats.write.parquet(f"{self.path}/{folder}")
+            self.repeats.append(folder)
         self._write(fresh, 0)
         level = 0
-        while len(at := [t for lv, t in self.runs if lv == level]) >= self.fanout:
+        while len(at := [t for lv, t, _ in self.runs if lv == level]) >= self.fanout:
             self.compact(at, level + 1)
             level += 1
+        self._commit()
 
     def compact(self, tables: list[str], level: int) -> None:
         """Merge runs into one; their keys are disjoint, so rows only move."""
@@ -95,17 +141,18 @@ class LineRuns:
         for name in tables[1:]:
             merged = merged.unionAll(self.spark.table(name))
         self._write(merged, level)
-        self.runs = [(lv, t) for lv, t in self.runs if t not in tables]
+        self.runs = [r for r in self.runs if r[1] not in tables]
 
     def common_keys(self, min_docs: int) -> DataFrame:
         """(h1, h2, top) of keys that at least min_docs documents hold."""
         log = None
-        for r in self.repeats:
+        for folder in self.repeats:
+            r = self.spark.read.schema(RUN).parquet(f"{self.path}/{folder}")
             log = r if log is None else log.unionAll(r)
         out = None
         if log is not None:
             log = log.groupBy(*HASHES).agg(F.sum("n").alias("more"), F.max("top").alias("high"))
-        for _, name in self.runs:
+        for _, name, _ in self.runs:
             run = self.spark.table(name)
             if log is None:
                 run = run.withColumns({"more": F.lit(0), "high": F.lit(None).cast("long")})
@@ -117,10 +164,16 @@ class LineRuns:
         return out
 
     def close(self) -> None:
-        """Forget the catalog entries (the files stay in the shared folder)."""
-        for i in range(self.made):
+        """Forget the catalog entries; the files stay and can be opened again."""
+        for i in range(1, self.tables + 1):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.tag}_{i}")
 
+    def __enter__(self) -> "LineRuns":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
 
 def drop_common_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                       batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
@@ -139,11 +192,10 @@ def drop_common_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
                      F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2"))
             .agg(F.count("*").alias("n"), F.max("id").alias("top")))
     held = handover(held, "line-keys")
-    runs = LineRuns(spark, fanout)
-    for b in range(batches):
-        runs.add(held.filter(F.col("batch") == b).select(*HASHES, "n", "top"))
-    common = handover(runs.common_keys(min_docs), "common-lines")
-    runs.close()
+    with LineRuns(spark, fanout) as runs:
+        for b in range(batches):
+            runs.add(held.filter(F.col("batch") == b).select(*HASHES, "n", "top"))
+        common = handover(runs.common_keys(min_docs), "common-lines")
     return without_lines(docs, common, min_chars)
 
 

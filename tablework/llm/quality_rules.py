@@ -5,26 +5,29 @@ four shares by cutoffs: a policy level holds one cutoff for each share, and
 levels go from mild to strict.  Per stratum (source) the strictest level is
 chosen whose false rejection rate is limited with confidence: over labelled
 documents that are good and pass the base rules, the exact binomial test
-P(X <= rejected | n, max_false_reject) <= error / (strata x levels), which
-is a Clopper-Pearson upper bound below max_false_reject, corrected for all
-the tests made (Bonferroni).  A stratum whose labels prove no level keeps
-every document that passes the base rules.
+P(X <= rejected | n, max_false_reject) <= error / strata, which is a
+Clopper-Pearson upper bound below max_false_reject.  Levels are nested and
+tested from mild to strict until one fails, a fixed sequence, whose first
+wrong step alone can err: the levels of a stratum share its whole error, and
+the strata are corrected for each other (Bonferroni).  A stratum whose
+labels prove no level keeps every document that passes the base rules.
 
 Defined results: a null or empty text has no words and fails the base rules;
 a null source is a stratum of its own; labels with a null doc_id or quality
 are left out, a document with contrary labels is not good; repeated rows are
 judged, and counted, one by one; an empty table gives an empty table; other
-columns pass through, but those the operator adds are replaced.
+columns pass through, but those the operator adds are replaced; a very long text is one row, whose words and
+windows are arrays in one task.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.llm.common import SPACE, let, need, pack, small, unpack, word_array
+from tablework.llm.common import SPACE, handover, let, need, pack, small, unpack, word_array
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -131,10 +134,12 @@ def calibrate(labelled: DataFrame, stratum: str = "source", max_false_reject: fl
         F.sum("n").alias("n"),
         F.array(*[F.sum(F.when(F.col("fails_from") <= level, F.col("n")).otherwise(0))
                   for level in range(1, len(LEVELS) + 1)]).alias("rejected")))
-    tested = (sums.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(0))) * len(LEVELS))
-              .select("stratum", "n", "tests", F.posexplode("rejected").alias("at", "k")))
-    proven = tested.filter(binomial_tail(F.col("k"), F.col("n"), max_false_reject) <= F.lit(error) / F.col("tests"))
-    return proven.groupBy("stratum").agg((F.max("at") + 1).alias("level"))
+    sums = handover(sums, "quality-sums")
+    strata = max(1, sums.count())
+    tested = sums.select("stratum", "n", F.posexplode("rejected").alias("at", "k"))
+    failed = binomial_tail(F.col("k"), F.col("n"), max_false_reject) > F.lit(error / strata)
+    first = F.coalesce(F.min(F.when(failed, F.col("at"))), F.lit(len(LEVELS)))      # levels below it are proven
+    return tested.groupBy("stratum").agg(first.alias("level")).filter("level > 0")
 
 
 def good_labels(labels: DataFrame) -> DataFrame:

@@ -129,14 +129,16 @@ WITH d AS (
 ), strata AS (
   SELECT source, count(*) AS n FROM good GROUP BY source
 ), tested AS (
-  SELECT s.source, s.n, l.level, (SELECT count(*) FROM strata) * (SELECT count(*) FROM levels) AS tests,
+  SELECT s.source, s.n, l.level, (SELECT count(*) FROM strata) AS tests,
          (SELECT count(*) FROM good g WHERE g.source IS NOT DISTINCT FROM s.source AND g.fails_from <= l.level) AS k
   FROM strata s, levels l
-), proven AS (
-  SELECT source, max(level) AS level FROM tested WHERE k < n * @RISK@ AND
+), passed AS (
+  SELECT source, level, k < n * @RISK@ AND
     (SELECT sum(exp(lgamma(n + 1) - (CASE WHEN i < 2 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN n - i < 2 THEN 0 ELSE lgamma(n - i + 1) END)
-                    + i * ln(@RISK@) + (n - i) * ln(1 - @RISK@))) FROM range(0, k + 1) AS r(i)) <= @ERROR@ / tests
-  GROUP BY source
+                    + i * ln(@RISK@) + (n - i) * ln(1 - @RISK@))) FROM range(0, k + 1) AS r(i)) <= @ERROR@ / tests AS ok
+  FROM tested
+), proven AS (
+  SELECT source, coalesce(min(level) FILTER (NOT ok) - 1, max(level)) AS level FROM passed GROUP BY source
 )
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        (NOT base_failed AND fails_from > coalesce(p.level, 0)) AS kept
@@ -220,22 +222,22 @@ def op7_warc(spark, sf_dir):
 
 OP8_SQL = r"""
 WITH split AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), lined AS (
-  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split
+  SELECT rid, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split
 ), keyed AS (
   SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lined
 ), common AS (
   SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+  GROUP BY key HAVING count(DISTINCT rid) >= 3
 ), judged AS (
-  SELECT k.*, (c.key IS NOT NULL AND k.doc_id <> c.top) AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key
+  SELECT k.*, (c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.top) AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key
 )
 SELECT doc_id, count(*) AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id"""
+FROM judged GROUP BY rid, doc_id"""
 
 
 @query("op8_line_dedup", OP8_SQL)

@@ -46,9 +46,50 @@ def test_runs_stay_disjoint(spark):
     for b in range(5):
         runs.add(spark.range(10 * b, 10 * b + 20).select(F.col("id").alias("h1"), F.col("id").alias("h2"),
                                                          F.lit(1).cast("long").alias("n"), (F.lit(b) * 1).cast("long").alias("top")))
-    keys = [r.h1 for _, t in runs.runs for r in spark.table(t).collect()]
+    keys = [r.h1 for _, t, _ in runs.runs for r in spark.table(t).collect()]
     assert sorted(keys) == list(range(60))
     assert len(runs.runs) < 5
     common = {(r.h1, r.top) for r in runs.common_keys(2).collect()}
     assert common == {(k, k // 10) for k in range(10, 50)}
     runs.close()
+
+
+def batch(spark, b):
+    return spark.range(10 * b, 10 * b + 20).select(F.col("id").alias("h1"), F.col("id").alias("h2"),
+                                                   F.lit(1).cast("long").alias("n"), F.lit(b).cast("long").alias("top"))
+
+
+def test_runs_opened_again_equal_one_run(spark):
+    """Five batches in one session of runs, and in three that open the same
+    folder; later ones meet a compacted run."""
+    with line_dedup.LineRuns(spark, fanout=2, buckets=3) as whole:
+        for b in range(5):
+            whole.add(batch(spark, b))
+        want = sorted(tuple(r) for r in whole.common_keys(2).collect())
+        path = None
+        for some in ([0, 1], [2], [3, 4]):
+            with line_dedup.LineRuns(spark, fanout=2, buckets=99 if path else 3, path=path) as runs:
+                assert runs.buckets == 3
+                for b in some:
+                    runs.add(batch(spark, b))
+                path = runs.path
+        with line_dedup.LineRuns(spark, fanout=2, path=path) as runs:
+            assert sorted(tuple(r) for r in runs.common_keys(2).collect()) == want and max(lv for lv, *_ in runs.runs) == 2
+            plan = batch(spark, 1).join(spark.table(runs.runs[0][1]).hint("merge"), ["h1", "h2"], "left_anti")
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            assert text.count("Exchange") == 1               # the run's side is read in its buckets, sorted
+    assert [t for t in spark.catalog.listTables() if t.name.startswith("lineruns")] == []
+
+
+def test_a_failed_batch_counts_for_nothing(spark):
+    import pytest
+    with line_dedup.LineRuns(spark, fanout=2, buckets=2) as runs:
+        runs.add(batch(spark, 0))
+        broken = batch(spark, 1).withColumn("n", F.raise_error(F.lit("lost")).cast("long"))
+        with pytest.raises(Exception, match="lost"):
+            runs.add(broken)
+        path = runs.path
+    with line_dedup.LineRuns(spark, fanout=2, path=path) as again:
+        assert len(again.runs) == 1 and again.repeats == []
+        again.add(batch(spark, 1))
+        assert sorted(r.h1 for r in again.common_keys(2).collect()) == list(range(10, 20))

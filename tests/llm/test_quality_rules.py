@@ -47,22 +47,55 @@ def labelled(spark, good, stratum="s", level=3):
 
 
 def test_strictest_proven_level(spark):
-    # without errors, 8 levels and 1 stratum need n with 0.99 ** n <= 0.05 / 8
-    need = math.ceil(math.log(0.05 / 8) / math.log(0.99))
+    # without errors, the chain of one stratum needs n with 0.99 ** n <= 0.05
+    need = math.ceil(math.log(0.05) / math.log(0.99))
     assert Q.calibrate(labelled(spark, [False] * (need - 1))).collect() == []
     assert [tuple(r) for r in Q.calibrate(labelled(spark, [False] * need)).collect()] == [("s", 8)]
     # errors from level 3 on leave levels 1 and 2
     assert [tuple(r) for r in Q.calibrate(labelled(spark, [True] * 30 + [False] * need)).collect()] == [("s", 2)]
 
 
+def test_strata_share_the_error(spark):
+    need = math.ceil(math.log(0.05 / 2) / math.log(0.99))
+    two = labelled(spark, [False] * need, "a").unionAll(labelled(spark, [False] * (need - 1), None))
+    assert [tuple(r) for r in Q.calibrate(two).collect()] == [("a", 8)]
+
+
 def test_judge_by_stratum(spark):
-    rows = [(i, "ab# " * 30 + " ".join(f"word{j}" for j in range(40)), None if i % 2 else "s") for i in range(6)]
+    """Rows that pass the base rules; only one stratum has a proven level."""
+    plain = " ".join(f"word{j}" for j in range(40))
+    rows = [(i, plain if i < 2 else plain.replace("word", "w#$"), None if i % 2 else "s") for i in range(4)]
     counted = Q.features(edge.documents(spark, rows, extra=True))
     levels = spark.createDataFrame([(None, 8)], "stratum string, level int")
     got = Q.judge(counted, levels).collect()
-    assert {(r.source, r.kept) for r in got} == {(None, False), ("s", True)} or \
-        {r.base_failed for r in got} == {True}
-    assert {r.stratum for r in got} == {"x14"}
+    assert {r.base_failed for r in got} == {False} and {r.stratum for r in got} == {"x14"}
+    assert {r.doc_id: (r.kept, r.level) for r in got} == {0: (True, None), 1: (True, 8), 2: (True, None), 3: (False, 8)}
+
+
+def test_proven_cutoffs_reject_rows_as_the_sql_does(spark, tmp_path):
+    """Enough labels that one stratum proves all levels, one only mild ones
+    and one none; the query and its SQL on these tables agree."""
+    import duckdb
+    from tablework.llm import queries
+    plain = " ".join(f"word{j}" for j in range(30))
+    noisy = " ".join(f"w{j}#*" if j % 2 else f"word{j}" for j in range(30))      # rejected from level 5 or so on
+    rows, labels = [], []
+    for source, n, bad in (("a", 700, 0), ("b", 700, 30), (None, 100, 0)):
+        for i in range(n):
+            rows.append((len(rows), noisy if i < bad else plain + f" x{i}", source))
+            labels.append((len(labels), 1))
+        rows += [(len(rows) + k, noisy, source) for k in range(10)]
+        labels += [(len(labels) + k, 0) for k in range(10)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = sorted(tuple(r) for r in queries.op4_quality_rules(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert got == sorted(con.execute(queries.OP4_SQL).fetchall())
+    gone = [rows[i][2] for i, *_, failed, kept in got if not kept]
+    assert not any(failed for *_, failed, _ in got)
+    assert gone == ["a"] * 10                            # b and the null source keep theirs
 
 
 def test_labels_and_empty(spark):
