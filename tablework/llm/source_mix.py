@@ -8,11 +8,15 @@ Newton iterations on the dual are Spark aggregations over the histogram of
 document sizes (source, size, n), which is exact since documents of one size
 in one source share a rate; a bracket guards each step.
 
-Rates become copies cell by cell, from large sizes to small, each cell
-taking the words that the cells before could not place, so a source ends
-within half its smallest document of what its rates ask.  Inside a cell the
-documents with the smallest hashes of doc_id take the odd copies.  Sums are
-decimal, so the order of partial sums changes nothing and reruns agree.
+Rates become copies by running sums over the cells from large sizes to
+small: a cell gets what rounding the expected copies up to it adds to
+rounding those before it.  Copies are then never more than half a copy off
+at any size, words by half the largest document; one cell per power of two
+of the sizes, from large to small, takes what is missing or over, so a
+source ends within half its smallest document of what its rates ask where
+these cells have room.  Inside a cell the documents with the smallest hashes
+of doc_id take the odd copies.  Sums are decimal, so the order of partial
+sums changes nothing and reruns agree.
 
 Defined results: a null text has size 0, documents of size 0 keep one copy
 and take no words; a null source is a source of its own, ordered last; of
@@ -31,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.common import handover, need, pack, small, unpack, word_array
+from tablework.llm.conversation_trie import blocked
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -119,19 +124,37 @@ def solve(cells: DataFrame, goal: DataFrame, most: int = MOST, max_steps: int =
     return goal.join(state.select("key", "a"), "key", "left")
 
 
+BLOCK = 1024                # sizes whose running sums one window holds
+EXACT = "decimal(38,12)"
+
+
 def cell_copies(cells: DataFrame, solved: DataFrame, most: int = MOST) -> DataFrame:
-    """cells plus ``total``, the copies that a cell's documents share."""
-    def place(acc, c):
-        want = c["n"] * c["size"] * rate(c["a"], c["size"], most) + acc["carry"]
-        got = F.least(F.greatest(F.round(want / c["size"]), F.lit(0.0)), (c["n"] * most).cast("double")).cast("long")
-        return F.struct((want - got * c["size"]).alias("carry"), F.concat(acc["out"], F.array(got)).alias("out"))
-
-    start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<bigint>").alias("out"))
-    placed = (cells.filter("size > 0").join(small(solved.select("key", "a"), 64), "key")
-              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("size", "n", "a")), False).alias("c"))
-              .select("key", F.arrays_zip("c", F.aggregate("c", start, place, lambda s: s["out"]).alias("t")).alias("z"))
-              .select("key", F.inline("z")))
-    return (placed.select("key", "c.size", "c.n", F.col("t").alias("total"))
+    """cells plus ``total``, the copies that a cell's documents share.  The
+    running sums go over blocks of sizes, then over the blocks, so they cost
+    in proportion to a source's distinct sizes and meet in no one task."""
+    expected = (F.col("n") * rate(F.col("a"), F.col("size"), most)).cast(EXACT)
+    rated = (cells.filter("size > 0").join(small(solved.select("key", "a"), 64), "key")
+             .select("key", "size", "n", expected.alias("expected")))
+    summed = blocked(rated, "key", -F.floor(F.col("size") / BLOCK), [F.col("size").desc()], {"upto": F.col("expected")})
+    rounded = F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("expected") + 0.5)
+    placed = handover(summed.withColumn("total", rounded.cast("long")), "mix-placed")
+    # what is missing, and the smallest size of each power of two to take it
+    missing = placed.groupBy("key").agg(F.sum(((F.col("expected") - F.col("total")) * F.col("size")).cast(EXACT)).alias("missing"))
+    band = F.floor(F.log2("size")).cast("int")
+    takers = (placed.groupBy("key", band.alias("band")).agg(F.min(F.struct("size", "n", "total")).alias("c"))
+              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("band", "c")), False).alias("bands")))    # at most 64
+
+    def take(acc, b):
+        size, n, total = b["c"]["size"], b["c"]["n"], b["c"]["total"]
+        more = F.least(F.greatest(F.round(acc["missing"] / size).cast("long"), -total), n * most - total)
+        return F.struct((acc["missing"] - more * size).cast("double").alias("missing"),
+                        F.concat(acc["out"], F.array(F.struct(size.alias("_size"), more.alias("more")))).alias("out"))
+
+    start = F.struct(F.col("missing").cast("double").alias("missing"), F.array().cast("array<struct<_size:bigint,more:bigint>>").alias("out"))
+    moved = (takers.join(missing, "key").select("key", F.inline(F.aggregate("bands", start, take, lambda s: s["out"])))
+             .filter("more <> 0").withColumnRenamed("key", "_key"))
+    met = placed.join(moved, (F.col("key") == F.col("_key")) & (F.col("size") == F.col("_size")), "left")
+    return (met.select("key", "size", "n", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"))
             .unionByName(cells.filter("size = 0").select("key", "size", "n", F.col("n").alias("total"))))
 
 

@@ -55,6 +55,61 @@ def test_edges(spark):
     assert source_mix.repeat_copies(got).count() == copies
 
 
+def brute_copies(cells, a, most=3):
+    """Copies per (size, n) cell of one source, step by step."""
+    import math
+    upto, total = 0.0, {}
+    for size, n in sorted(cells, reverse=True):
+        before = math.floor(upto + 0.5)
+        upto += round(n * min(most, math.exp(a * size)), 12)
+        total[size] = math.floor(upto + 0.5) - before
+    missing = sum((round(n * min(most, math.exp(a * size)), 12) - total[size]) * size for size, n in cells)
+    bands = {}
+    for size, n in cells:
+        k = int(math.log2(size))
+        bands[k] = min(bands.get(k, (size, n)), (size, n))
+    for k in sorted(bands, reverse=True):
+        size, n = bands[k]
+        more = max(-total[size], min(n * most - total[size], math.floor(abs(missing / size) + 0.5) * (1 if missing > 0 else -1)))
+        total[size] += more
+        missing -= more * size
+    return total, missing
+
+
+def test_copies_equal_a_plain_loop(spark, monkeypatch):
+    """Running sums over blocks of 8 sizes."""
+    import random
+    monkeypatch.setattr(source_mix, "BLOCK", 8)
+    rnd = random.Random(6)
+    kinds = {"=a": (-0.011, 300), "=b": (0.004, 40), "": (0.0, 3)}
+    cells = [(key, size, None, rnd.randint(1, 9)) for key, (_, m) in kinds.items() for size in rnd.sample(range(1, 900), m)]
+    df = spark.createDataFrame(cells + [("=a", 0, None, 5)], "key string, size long, source string, n long")
+    solved = spark.createDataFrame([(k, a) for k, (a, _) in kinds.items()], "key string, a double")
+    got = {}
+    for r in source_mix.cell_copies(df, solved).collect():
+        got.setdefault(r.key, {})[r.size] = r.total
+    assert got["=a"].pop(0) == 5
+    for key, (a, _) in kinds.items():
+        want, missing = brute_copies([(s, n) for k, s, _, n in cells if k == key], a)
+        assert got[key] == want
+        assert abs(missing) <= max(1, min(s for k, s, _, _ in cells if k == key))
+
+
+def test_two_hundred_thousand_sizes_of_one_source(spark):
+    """The cost is in proportion to the sizes: seconds, not their square."""
+    import time
+    from pyspark.sql import functions as F
+    cells = spark.range(1, 200001).select(F.lit("=a").alias("key"), F.col("id").alias("size"), F.lit("a").alias("source"),
+                                          (F.col("id") % 3 + 1).alias("n"))
+    solved = spark.createDataFrame([("=a", -1e-5)], "key string, a double")
+    start = time.time()
+    total = source_mix.cell_copies(cells, solved)
+    words = total.agg(F.sum(F.col("total") * F.col("size"))).first()[0]
+    assert time.time() - start < 60
+    want = cells.agg(F.sum(F.col("n") * F.col("size") * F.exp(F.col("size") * -1e-5))).first()[0]
+    assert abs(words - want) < 2
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "", "a"), (2, " ", "b")]])
 def test_nothing_to_mix(spark, rows):
     got = source_mix.mix(edge.documents(spark, rows)).collect()
