@@ -6,7 +6,10 @@ and the rest).  Pre-tokens not met before by the worker go into
 length-bucketed, padded numpy matrices of token ids; in each round every row
 merges its leftmost pair of minimum rank, found by a hashed pair table, rows
 are shifted left and finished rows leave the matrix.  A pre-token that is a
-token as a whole is that token, as in the tiktoken library.
+token as a whole is that token, as in the tiktoken library.  Two kinds of
+pre-tokens go around the matrices, with the same merges: up to ``FEW`` short
+ones that a step meets new, for which a matrix is not worth its set-up, and
+ones of more than ``LONG`` bytes, whose padding would fill the matrix.
 
 The rank file and the classes of code points are read on the driver and
 broadcast (about 2 MB, whatever the input).  Nothing is shuffled.

@@ -14,7 +14,9 @@ Defined results: vectors that are null, empty, zero, or hold a null or
 non-finite component, and rows with a null id, take no part; vectors of
 another dimension are not neighbours; repeated rows of one id and vector
 count once; ties go to the smaller id; a query with fewer than k candidates
-gets all; an empty table gives no rows; other columns are not read.
+gets all; an empty table gives no rows; other columns are not read.  Every
+query is searched in every shard, so that work grows with queries x shards;
+what is gathered of it is k + 1 rows for each.
 """
 
 from __future__ import annotations

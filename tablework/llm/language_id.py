@@ -18,7 +18,8 @@ equal proportions the smaller language name wins; training leaves out rows
 with a null text or language; repeated rows count repeatedly; other columns
 pass through, but those the operator adds are replaced.  The model is
 languages x buckets numbers: the driver holds it and broadcasts it, and
-``train`` raises beyond ``MODEL_BYTES``.
+``train`` raises beyond ``MODEL_BYTES`` (some 1,000 languages).  A very long
+text is one array of trigrams in a worker.
 """
 
 from __future__ import annotations

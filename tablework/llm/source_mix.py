@@ -20,8 +20,8 @@ sums changes nothing and reruns agree.
 
 Defined results: a null text has size 0, documents of size 0 keep one copy
 and take no words; a null source is a source of its own, ordered last; of
-repeated rows all or none take an odd copy; an empty table gives an empty
-table; other columns pass through, but those the operator adds are replaced.
+repeated rows all or none take an odd copy; a very long text is split into
+words inside its row; an empty table gives an empty table; other columns pass through, but those the operator adds are replaced.
 The histogram has at most one row per source and distinct size; the sources
 themselves (one row each) are ranked in one task.
 """

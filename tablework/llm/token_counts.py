@@ -10,14 +10,16 @@ to either side.  An edit is thus answered from the leaves that it touches,
 widened by ``CONTEXT`` characters: their text is cut into pre-tokens anew,
 encoded, dealt to the same leaves, and the sums above them are updated; all
 other leaves stay.  A leaf that has grown beyond ``SPLIT`` pre-tokens makes
-the document's tree be laid out anew from its leaves.
+the document's tree be laid out anew, which encodes its text once more.
 
 Defined results: a null or empty text has no tokens; places beyond the end
 of the text mean its end, negative ones its begin, a stop before the start
 means the start; a null replacement is empty; null edits, or none, change
 nothing; a document's edits apply in order, each to the text that the ones
 before have left; repeated rows are handled one by one; other columns pass
-through, but those the operator adds are replaced.
+through, but those the operator adds are replaced; a document and its edits
+are one row, so a very long text is held whole in a worker (its tree takes
+two numbers per ``LEAF`` pre-tokens).
 """
 
 from __future__ import annotations

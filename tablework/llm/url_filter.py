@@ -7,8 +7,9 @@ which removes the false positives.  Everything is DataFrame functions.
 Defined results: a null URL or one without ``://`` has an empty host and
 path, fits no rule and is not listed, so it is allowed; null entries and
 repeated entries of the list change nothing; an empty list blocks nothing;
-repeated pages are judged one by one; other columns pass through, but
-``host``, ``path``, ``rule`` and ``verdict`` are replaced.
+repeated pages are judged one by one; a very long url is read whole, inside
+its row; other columns pass through, but ``host``, ``path``, ``rule`` and
+``verdict`` are replaced.
 """
 
 from __future__ import annotations

@@ -17,7 +17,13 @@ target URI, line breaks in a url are percent-encoded; a null page_id is
 smaller than all others; repeated rows are archived once with their number
 as ``copies``; an empty table gives archives without records; other columns
 of the pages are not written.  Records without a transaction are kept by
-``assemble`` as captures with a null response.
+``assemble`` as captures with a null response.  A very long page is one
+record, held whole.  Bounds of foreign archives: one file is one task's
+input and is held compressed, so a file must stay below 2 GB (Spark refuses
+a larger one; archives of several members can be cut between members), and
+the request and metadata records that name one identifier meet in one row,
+so an archive in which one identifier has very many should be filtered by
+the counts of ``concurrent_to`` first.
 """
 
 from __future__ import annotations

@@ -57,3 +57,19 @@ def test_equal_vectors_ties_and_bad_rows(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert hnsw.nearest(df, F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_recall_on_the_table(spark):
+    from tablework.llm import queries
+    got = queries.op3_hnsw(spark, "/root/testdata/sf0.1").collect()
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    rows = [(r.vec_id, v) for r in rows if r.embedding is not None
+            and (v := np.array(r.embedding, float)).size and np.isfinite(v).all() and v.any()]
+    ids, x = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    queried = np.flatnonzero(ids % 50 == 0)
+    assert set(found) == set(ids[queried].tolist())
+    hits = [len({w for w, _ in brute(ids, x, q, 5)} & found[int(ids[q])]) for q in queried]
+    assert sum(hits) >= 0.9 * 5 * len(queried)

@@ -48,6 +48,54 @@ def test_no_training_rows(spark):
     assert {r.lang_pred for r in got} == {"und"}
 
 
+def plain_shares(m, text):
+    """EM and the penalised choice of languages in plain Python."""
+    import math
+    from collections import Counter
+    counts = Counter(L.trigrams(text).tolist())
+    total = sum(counts.values())
+
+    def em(langs):
+        share = {i: 1 / len(langs) for i in langs}
+        if len(langs) > 1:
+            for _ in range(L.ROUNDS):
+                new = dict.fromkeys(langs, 0.0)
+                for b, n in counts.items():
+                    all_ = sum(share[i] * m.probabilities[b, i] for i in langs)
+                    for i in langs:
+                        new[i] += n * share[i] * m.probabilities[b, i] / all_ / total
+                moved = max(abs(new[i] - share[i]) for i in langs)
+                share = new
+                if moved < 1e-3:
+                    break
+        return share, sum(n * math.log(sum(share[i] * m.probabilities[b, i] for i in langs)) for b, n in counts.items())
+
+    full, _ = em(range(len(m.names)))
+    order = sorted(full, key=lambda i: (-full[i], i))
+    share, best = em(order[:1])
+    for k in range(2, len(order) + 1):
+        more, likelihood = em(order[:k])
+        if likelihood - best <= 0.5 * math.log(total + 1):
+            break
+        share, best = more, likelihood
+    return sorted(((m.names[i], s) for i, s in share.items()), key=lambda x: (-x[1], x[0]))
+
+
+def test_equals_plain_em_and_choice(spark):
+    m = model(spark)
+    random.seed(12)
+    texts = [" ".join(text(lang, random.randint(0, 12), random.random()) for lang in random.choices(["xx", "yy", "zz"], k=3))
+             for _ in range(25)]
+    rows = [(i, t) for i, t in enumerate(texts) if t.strip()]
+    got = L.identify(spark.createDataFrame(rows, "doc_id long, text string"), m).collect()
+    assert len({len(r.shares) for r in got}) > 1
+    for r in got:
+        want = plain_shares(m, r.text)
+        assert [s.lang for s in r.shares] == [name for name, _ in want]
+        assert all(abs(s.share - w) < 1e-4 for s, (_, w) in zip(r.shares, want))
+        assert (r.lang_pred, r.score) == (r.shares[0].lang, r.shares[0].share)
+
+
 def test_held_out_accuracy(spark):
     got = queries.op10_language_id(spark, SF001)
     truth = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "lang")
