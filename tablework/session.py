@@ -7,7 +7,10 @@ table (round trips, layouts, lineage cuts).
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +69,24 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder for a written table under the shared
     checkpoint root (each call gets its own folder; nothing is reused)."""
     return f"{checkpoint_root(spark).rstrip('/')}/tablework/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per
+    application (``addPyFile``), for sessions whose workers do not have it on
+    their path.  The zip is made on the driver, which serves it itself."""
+    sc = spark.sparkContext
+    if _SHIPPED.get("to") == sc.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "tablework.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("tablework", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED["to"] = sc.applicationId
+
+
+_SHIPPED: dict = {}

@@ -312,3 +312,11 @@ def test_a_failed_publish_leaves_the_old_star(spark):
     assert [r[0] for r in now["routes"].collect()] == ["1"] and now["trips"].count() == 1
     feeds.publish_star({"routes": spark.createDataFrame([("2",)], "route_id string")}, target)
     assert {k: [r[0] for r in v.collect()] for k, v in feeds.read_star(spark, target).items()} == {"routes": ["2"]}
+
+
+def test_the_package_is_sent_once(spark):
+    from tablework.session import ship_package
+    ship_package(spark)
+    before = list(spark.sparkContext._python_includes)
+    ship_package(spark)
+    assert spark.sparkContext._python_includes == before and any("tablework" in x for x in before)
