@@ -213,7 +213,8 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         return pd.DataFrame({"shard": pdf["shard"], "pos": np.arange(len(pdf), dtype=np.int32), "node": pdf["node"],
                              "level": level.astype(np.int32), "vector": pdf["vector"], "links": links})
 
-    sized = dealt.withColumn("dim", F.size("vector"))
+    # asked for by number: by bytes, Spark would put several shards, whose cost is linking, into one task
+    sized = dealt.withColumn("dim", F.size("vector")).repartition(shards, "shard", "dim")
     return handover(sized.groupBy("shard", "dim").applyInPandas(build, INDEX), "hnsw-index")
 
 
