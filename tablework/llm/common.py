@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tablework.session import shared_scratch
 
@@ -89,9 +90,11 @@ def discard(*tables: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def small(df: DataFrame, row_bytes: int, rows: int | None = None,
-          bound: int = BROADCAST_BYTES) -> DataFrame:
+def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> DataFrame:
     """df marked for broadcast if its counted size is within the bound, else
-    df itself, and Spark shuffles it.  df should be a written table."""
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows * row_bytes <= bound else df
+    df itself, and Spark shuffles it.  The size is ``row_bytes`` a row, for
+    the columns of fixed width, and the counted bytes of its texts.  df
+    should be a written table."""
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    row = df.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(t), F.lit(0)).alias(f"t{i}") for i, t in enumerate(texts)]).first()
+    return F.broadcast(df) if row["n"] * row_bytes + sum(row[1:]) <= bound else df

@@ -160,5 +160,5 @@ def judge(counted: DataFrame, levels: DataFrame, stratum: str = "source") -> Dat
 
 def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose doc_id is labelled, plus ``good``."""
-    met = pack(rows, "doc_id").join(small(good_labels(labels), 32), F.col("doc_id") == F.col("label_id"))
+    met = pack(rows, "doc_id").join(small(handover(good_labels(labels), "quality-labels"), 32), F.col("doc_id") == F.col("label_id"))
     return unpack(met, good=F.col("good"))

@@ -22,8 +22,9 @@ Defined results: a null text has size 0, documents of size 0 keep one copy
 and take no words; a null source is a source of its own, ordered last; of
 repeated rows all or none take an odd copy; a very long text is split into
 words inside its row; an empty table gives an empty table; other columns pass through, but those the operator adds are replaced.
-The histogram has at most one row per source and distinct size; the sources
-themselves (one row each) are ranked in one task.
+The histogram has at most one row per source and distinct size; sources are
+ranked by ranges and their running sums go over blocks, so no task holds
+all of either.
 """
 
 from __future__ import annotations
@@ -36,10 +37,13 @@ from pyspark.sql import functions as F
 
 from tablework.llm.common import handover, need, pack, small, unpack, word_array
 from tablework.llm.conversation_trie import blocked
+from tablework.operators.numbering import numbered
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
 MAX_STEPS = 60
+BLOCK = 1024                # sizes whose running sums one window holds
+EXACT = "decimal(38,12)"
 ADDED = ["size", "source_size", "target", "copies", "taken"]
 
 
@@ -55,23 +59,25 @@ def targets(cells: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     Sorted by size / weight, the sources that stop are a prefix: a source
     stops if an equal share per weight of what the prefix before it leaves
     would go beyond its bound."""
-    totals = cells.groupBy("key").agg(F.max("source").alias("source"),
-                                      F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last()))
-    every = Window.partitionBy(F.lit(0))
-    before = (every.orderBy(F.col("bound") / F.col("weight"), "key")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    weighted = (totals.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]),
-                                                         ((rank - 1) % len(weights) + 1).cast("int")))
-                .withColumn("bound", F.col("source_size") * most))
-    left = F.sum("source_size").over(every) - F.coalesce(F.sum("bound").over(before), F.lit(0))
-    heads = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    stops = weighted.withColumn("stops", F.col("bound") * heads < left * F.col("weight"))
-    rest = F.sum("source_size").over(every) - F.sum(F.when(F.col("stops"), F.col("bound")).otherwise(0)).over(every)
-    share = rest / F.sum(F.when(F.col("stops"), 0).otherwise(F.col("weight"))).over(every)
+    totals = handover(cells.groupBy("key").agg(F.max("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size")),
+                      "mix-totals")
+    ranked = numbered(totals, [F.col("source").asc_nulls_last()], "rank")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")).cast("long")
+    weighted = handover(ranked.withColumns({"weight": weight, "bound": F.col("source_size") * most}), "mix-weighted")
+    placed = numbered(weighted, [F.col("bound") / F.col("weight"), F.col("key")], "place").withColumn("_all", F.lit(0))
+    upto = blocked(placed, "_all", F.floor(F.col("place") / BLOCK), [F.col("place")],
+                   {"bounds": F.col("bound"), "heads": F.col("weight")})
+    whole = weighted.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = F.lit(whole["size"] or 0) - F.col("bounds") + F.col("bound")               # what the sources before it leave
+    heads = F.lit(whole["weight"] or 0) - F.col("heads") + F.col("weight")
+    stops = handover(upto.select("key", "source_size", "weight", "bound", (F.col("bound") * heads < left * F.col("weight")).alias("stops")),
+                     "mix-stops")
+    rest = stops.agg(F.sum(F.when(F.col("stops"), F.col("bound")).otherwise(0)).alias("held"),
+                     F.sum(F.when(F.col("stops"), 0).otherwise(F.col("weight"))).alias("weight")).first()
+    share = ((whole["size"] or 0) - (rest["held"] or 0)) / max(1, rest["weight"] or 0)
     return stops.select("key", "source_size",
                         F.when(F.col("stops"), F.col("bound").cast("double"))
-                        .otherwise(share * F.col("weight")).alias("target"))
+                        .otherwise(F.lit(float(share)) * F.col("weight")).alias("target"))
 
 
 def rate(multiplier: Column, size: Column, most: int) -> Column:
@@ -124,8 +130,6 @@ def solve(cells: DataFrame, goal: DataFrame, most: int = MOST, max_steps: int =
     return goal.join(state.select("key", "a"), "key", "left")
 
 
-BLOCK = 1024                # sizes whose running sums one window holds
-EXACT = "decimal(38,12)"
 
 
 def cell_copies(cells: DataFrame, solved: DataFrame, most: int = MOST) -> DataFrame:
@@ -195,7 +199,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) ->
     cells = handover(slim.groupBy("key", "size").agg(F.max("source").alias("source"), F.count("*").alias("n")),
                      "mix-cells")
     goal = handover(targets(cells, weights, most), "mix-targets")
-    copies = handover(cell_copies(cells, solve(cells, goal, most), most), "mix-copies")
+    solved = handover(solve(cells, goal, most), "mix-solved")
+    copies = handover(cell_copies(cells, solved, most), "mix-copies")
     ruled = handover(odd_copies(slim, copies).join(goal, "key"), "mix-rule").withColumnsRenamed(
         {"key": "_rule_key", "size": "_rule_size"})
     hash_ = F.xxhash64("doc_id")
