@@ -17,8 +17,10 @@ Sets that share keys, directly or through others, are a family: a linked
 pair is in one family, and each family is one tree.
 
 Keys that one set alone has, nearly all, are found without a row per key:
-workers send sorted blocks of their keys, one entry per key and step (so a
-key that a third of the sets have is no large group), to the key's range.
+workers send sorted blocks of 32 bits of their keys, one per key and step, to
+the key's range.  Keys that may be shared connect their sets; there, too, a
+worker joins its own sets of a key and sends one entry on, so a key that a
+third of the sets have is no large group.
 
 A family's sets go to one task (many small families to one).  There the
 first members are compared with all others, as an entry bound: families of
@@ -206,54 +208,118 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, text: str = "text")
 
 # ----------------------------------------------------------- shared keys
 
-def leads_of(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys in unsigned order, least low, largest high of each)."""
-    order = np.argsort(keys, kind="stable")
-    keys, low, high = keys[order], low[order], high[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    if not len(first):
-        return keys, low, high
-    return keys[first], np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+def ranges(signed: DataFrame) -> int:
+    """Bits of the range number of a key: about KEYS_PER_PART keys a range."""
+    total = signed.agg(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
+    return max(4, math.ceil(math.log2(max(1, total / KEYS_PER_PART))))
 
 
-def shared_keys(signed: DataFrame) -> DataFrame:
-    """(key, lead): the keys of two or more sets, with the least sid among
-    theirs.  A worker reduces a batch's keys to one entry each, in blocks per
-    range of keys; a range's blocks meet in one task."""
-    total = signed.agg(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
-    bits = max(4, math.ceil(math.log2(max(1, total / KEYS_PER_PART))))
+def blocks_by_range(keys: np.ndarray, bits: int, *columns: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """(ranges that occur, each column cut into one block per range) of
+    sorted keys."""
+    cut = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    some = np.flatnonzero(np.diff(cut))
+    return some, [pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary()) for x in columns]
+
 
+def shared_shorts(signed: DataFrame, bits: int) -> DataFrame:
+    """(short): the first ``bits`` + 32 bits of the keys that two or more
+    sets may have.  What moves is four bytes a key: a worker sends sorted
+    blocks of its keys' 32 bits, each once, to their range, and the few that
+    several of its own sets have beside them.  One in some thousands is there
+    by chance (or for an exact copy); no shared key is missing."""
     def blocks(batches):
         for batch in batches:
             lists = batch.column(1)
-            per = np.asarray(lists.value_lengths())
-            sid = np.repeat(batch.column(0).to_numpy(), per)
-            keys, low, high = leads_of(lists.flatten().to_numpy().view(np.uint64), sid, sid)
-            cut = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-            some = np.flatnonzero(np.diff(cut))
-            columns = [pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary()) for x in (keys, low, (low != high))]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *columns], names=["part", "keys", "leads", "several"])
+            sid = np.repeat(batch.column(0).to_numpy(), np.asarray(lists.value_lengths()))
+            keys = lists.flatten().to_numpy().view(np.uint64)
+            order = np.argsort(keys, kind="stable")
+            keys, sid = keys[order], sid[order]
+            again = np.zeros(len(keys), bool)
+            again[1:] = (keys[1:] == keys[:-1]) & (sid[1:] != sid[:-1])
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            keys, own = np.concatenate([keys[new], keys[again]]), np.concatenate([np.zeros(new.sum(), bool), np.ones(again.sum(), bool)])
+            for mine in (False, True):
+                part = keys[own == mine]
+                some, (shorts,) = blocks_by_range(part, bits, (part >> np.uint64(32 - bits)).astype(np.uint32))
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), shorts, pa.array(np.full(len(some), mine))],
+                                                     names=["part", "shorts", "again"])
 
     def meet(table: pa.Table) -> pa.Table:
-        keys, low, several = (np.frombuffer(b"".join(table.column(c).to_pylist()), t)
-                              for c, t in (("keys", np.uint64), ("leads", np.int64), ("several", bool)))
-        distinct, least, most = leads_of(keys, low, low)
-        sure = np.unique(keys[several])
-        marked = (least != most) | np.isin(distinct, sure, assume_unique=True)
-        return pa.table([pa.array(distinct[marked].view(np.int64)), pa.array(least[marked])], names=["key", "lead"])
-
-    return (signed.select("sid", "keys").mapInArrow(blocks, "part int, keys binary, leads binary, several binary")
-            .groupBy("part").applyInArrow(meet, "key long, lead long"))
-
-
-def likely(rows: DataFrame, trees: DataFrame) -> DataFrame:
-    """The rows whose key may be one of the trees' keys: most keys belong to
-    one set, and a Bloom filter, while it is small enough to broadcast, keeps
-    them out of the shuffle."""
-    table, blocks = bloom.build(trees, "key", trees.count())
+        part = np.int64(table.column("part")[0].as_py())
+        again = table.column("again").to_numpy()
+        every = [np.unique(np.frombuffer(x.as_py(), np.uint32)) for x in table.column("shorts")]
+        alone = np.sort(np.concatenate([x for x, a in zip(every, again) if not a] or [np.zeros(0, np.uint32)]))
+        twice = alone[1:][alone[1:] == alone[:-1]]
+        shared = np.unique(np.concatenate([twice, *[x for x, a in zip(every, again) if a]]))
+        return pa.table([pa.array((part << 32) | shared.astype(np.int64))], names=["short"])
+
+    return (signed.select("sid", "keys").mapInArrow(blocks, "part int, shorts binary, again boolean")
+            .groupBy("part").applyInArrow(meet, "short long"))
+
+
+def star_edges(keys: np.ndarray, sid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in unsigned order, least sid of each, distinct (least
+    sid, other sid) pairs)."""
+    order = np.lexsort((sid, keys))
+    keys, sid = keys[order], sid[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    least = sid[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))] if len(keys) else sid
+    pairs = np.unique(np.stack([least, sid], 1)[least != sid], axis=0)
+    return keys[first], sid[first], pairs
+
+
+def key_edges(rows: DataFrame, bits: int) -> DataFrame:
+    """(a, b): pairs that connect all sets of a key, for rows (sid, key).  A
+    worker joins its own rows of a key to the least sid among them, and sends
+    one entry per key to the key's range, where these are joined; so a key
+    that very many sets have is a few entries."""
+    def sent(keys, sid) -> Iterator[pa.RecordBatch]:
+        keys, least, pairs = star_edges(np.concatenate(keys).view(np.uint64), np.concatenate(sid))
+        some, (k, x) = blocks_by_range(keys, bits, keys, least)
+        parts, first, second = some.tolist(), k.to_pylist(), x.to_pylist()
+        if len(pairs):                                        # edges already: any range below 0
+            parts.append(-1 - int(pairs[0, 0] % (1 << bits)))
+            first.append(np.ascontiguousarray(pairs[:, 0]).tobytes())
+            second.append(np.ascontiguousarray(pairs[:, 1]).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(first, pa.binary()), pa.array(second, pa.binary())],
+                                         names=["part", "first", "second"])
+
+    def blocks(batches):
+        keys, sid, held = [], [], 0
+        for batch in batches:
+            sid.append(batch.column(0).to_numpy())
+            keys.append(batch.column(1).to_numpy())
+            held += len(batch)
+            if held >= KEYS_PER_PART:
+                yield from sent(keys, sid)
+                keys, sid, held = [], [], 0
+        if held:
+            yield from sent(keys, sid)
+
+    def meet(table: pa.Table) -> pa.Table:
+        first, second = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("first", "second"))
+        if table.column("part")[0].as_py() < 0:
+            pairs = np.unique(np.stack([first, second], 1), axis=0)
+        else:
+            pairs = star_edges(first.view(np.uint64), second)[2]
+        return pa.table([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])
+
+    return (rows.select("sid", "key").mapInArrow(blocks, "part int, first binary, second binary")
+            .groupBy("part").applyInArrow(meet, "a long, b long").distinct())
+
+
+def likely(rows: DataFrame, shorts: DataFrame, bits: int) -> DataFrame:
+    """The rows whose key may be shared: a Bloom filter, while it is small
+    enough to broadcast, keeps the others out of the shuffle."""
+    table, blocks = bloom.build(shorts, "short", shorts.count())
     if blocks * bloom.BLOCK_BYTES > BROADCAST_BYTES:
         return rows
-    return bloom.probe(rows, F.col("key"), handover(table, "join-filter"), blocks).filter("maybe").drop("maybe")
+    short = F.shiftrightunsigned("key", 32 - bits)
+    return bloom.probe(rows, short, handover(table, "join-filter"), blocks).filter("maybe").drop("maybe")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> DataFrame:
@@ -392,20 +458,24 @@ def family_links(table: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-def search_units(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of the units in rows (batch, family, t1, t2, part, sid, root),
-    whose sets go to their batches."""
+def search_units(rows: DataFrame, members: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links of the units in rows (batch, family, t1, t2, part, sid, root);
+    the sets of their members are made from the documents again and go
+    straight to their batches."""
     def search(table: pa.Table) -> pa.Table:
         return family_links(table, num, den)
 
     rows = handover(rows.select("batch", "family", "t1", "t2", "part", "sid", "root"), "join-units")
-    return (sets.join(small(rows, 80), "sid").select("batch", "family", "t1", "t2", "part", "sid", "root", "grams")
+    wanted = handover(members.join(rows.select("sid").distinct(), "sid", "left_semi")
+                      .select("sid", "doc_id", "hash", "repeated"), "join-wanted")
+    return (sets_of(docs, wanted, n).join(small(rows, 80), "sid").select("batch", "family", "t1", "t2", "part", "sid", "root", "grams")
             .groupBy("batch").applyInArrow(search, "a long, b long"))
 
 
-def first_tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def first_tiles(members: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links inside every family of one tile, and inside the tiles of larger
-    ones, each with the family's first members.  members: (sid, family, size, parts)."""
+    ones, each with the family's first members.  members: (sid, family, size,
+    parts, doc_id, hash, repeated)."""
     weight = members.filter("parts = 1").agg(F.sum("size").alias("n")).first()["n"] or 0
     batches = max(1, math.ceil(weight / BATCH_GRAMS))
     zero = F.lit(0)
@@ -417,10 +487,10 @@ def first_tiles(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     first = first.filter(tile != F.col("t1"))
     rows = own.unionByName(first).withColumns({"t2": F.col("t1"), "root": F.col("sid")}).withColumn(
         "batch", F.when(F.col("parts") > 1, F.xxhash64("family", "t1")).otherwise(F.pmod(F.xxhash64("family"), F.lit(batches))))
-    return search_units(rows, sets, num, den)
+    return search_units(rows, members, docs, n, num, den)
 
 
-def other_tiles(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
+def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame | None:
     """Links between the tiles of families that are still in several
     components: members outside the largest one against all.  None if there
     are no such families."""
@@ -450,19 +520,19 @@ def other_tiles(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int,
     at = F.array_distinct(F.when(F.col("part") >= F.col("p"), F.concat(before, with_strays)).otherwise(with_strays))
     rows = (placed.withColumn("at", F.explode(at)).select("sid", "family", "root", "part", "at.t1", "at.t2")
             .withColumn("batch", F.xxhash64("family", "t1", "t2")))
-    return search_units(rows, sets, num, den)
+    return search_units(rows, members, docs, n, num, den)
 
 
 # ------------------------------------------------------------------ join
 
 def families(signed: DataFrame) -> DataFrame:
     """(node, root): the sets that share keys, with their family."""
-    trees = handover(shared_keys(signed), "join-trees")
+    bits = ranges(signed)
+    shorts = handover(shared_shorts(signed, bits), "join-shorts")
     rows = signed.select("sid", F.explode("keys").alias("key"))
-    edges = handover(likely(rows, trees).join(small(trees, 48), "key").filter("sid <> lead")
-                     .select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct(), "join-edges")
+    edges = handover(key_edges(likely(rows, shorts, bits), bits), "join-edges")
     found = components(edges)
-    discard(trees, edges)
+    discard(shorts, edges)
     return found
 
 
@@ -491,15 +561,13 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
     members = handover(sized.join(large, "root", "left").select(
         F.col("node").alias("sid"), F.col("root").alias("family"), "size", F.coalesce("parts", F.lit(1)).alias("parts"),
         F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash"), "repeated"), "join-members")
-    sets = handover(sets_of(docs, members.select("sid", "doc_id", "hash", "repeated"), n), "join-sets")
-    members_ = members.select("sid", "family", "size", "parts")
-    links = handover(first_tiles(members_, sets, num, den), "join-links")
+    links = handover(first_tiles(members, docs, n, num, den), "join-links")
     found = components(links)
-    more = other_tiles(members_, found, sets, num, den)
+    more = other_tiles(members, found, docs, n, num, den)
     if more is not None:
         more = handover(more, "join-more")
         found = components(links.unionAll(more))
-    discard(sets, members, family)
+    discard(members, family)
     rooted = nodes.join(found.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     owners = handover(rooted.join(named, "root").select("sid", "component_id"), "join-owners")

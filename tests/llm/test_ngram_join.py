@@ -169,11 +169,36 @@ def test_candidates_grow_in_proportion_to_a_group(spark, monkeypatch):
             assert many[name] <= 2.5 * few.get(name, 0) + 200, (name, few.get(name), many[name])
 
 
-def test_keys_of_one_set_only_are_not_shared(spark):
-    df = spark.createDataFrame([(1, [5, 6, 7]), (2, [7, 8]), (1, [5, 6, 7]), (3, [-9]), (4, [-9, 6]), (5, [])], "sid long, keys array<long>")
-    got = sorted(tuple(r) for r in J.shared_keys(df.repartition(3)).collect())
-    assert got == [(-9, 3), (6, 1), (7, 1)]
-    assert J.shared_keys(df.filter("false")).collect() == []
+def test_shared_keys_connect_their_sets(spark):
+    """Against a plain count of sets per key: no shared key is missing from
+    the filter, few others are in it, and the edges connect all its sets."""
+    random.seed(3)
+    rows = [(sid, [random.choice([random.randint(-2**63, 2**63 - 1), random.randint(0, 40) * 10**17]) for _ in range(random.randint(0, 30))])
+            for sid in range(300)] + [(5, [77])] * 2
+    df = spark.createDataFrame(rows, "sid long, keys array<long>").repartition(5)
+    holders = {}
+    for sid, keys in rows:
+        for k in keys:
+            holders.setdefault(k, set()).add(sid)
+    shared = {k for k, v in holders.items() if len(v) > 1}
+    bits = J.ranges(df)
+    shorts = {r.short for r in J.shared_shorts(df, bits).collect()}
+    def short(k):
+        return (k % 2**64) >> (32 - bits)
+    assert {short(k) for k in shared} <= shorts and len(shorts) <= len(shared) + 5
+    exploded = df.selectExpr("sid", "explode(keys) AS key")
+    for some in (exploded, J.likely(exploded, J.handover(J.shared_shorts(df, bits), "test-shorts"), bits)):
+        edges = [(r.a, r.b) for r in J.key_edges(some, bits).collect()]
+        up = list(range(300))
+        def top(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+        for a, b in edges:
+            up[max(top(a), top(b))] = min(top(a), top(b))
+        assert all(len({top(x) for x in holders[k]}) == 1 for k in shared)
+        assert all(any({a, b} <= holders[k] for k in shared) for a, b in edges)
+    assert J.shared_shorts(df.filter("false"), 4).collect() == [] and J.key_edges(exploded.filter("false"), 4).collect() == []
 
 
 def test_components(spark):
