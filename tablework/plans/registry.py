@@ -1101,10 +1101,17 @@ def _class_mean_rmse(train, test):
     return test.withColumn("flag", flag).join(F.broadcast(mean), "flag").agg(F.sqrt(F.avg(e * e)).alias("rmse")).scalar()
 
 
+def _near(train, test):
+    """An error within 2 % of the class means', plus what fifty rounds learn of
+    the noise of few rows (640 over the rows trained: 1.6 % at 40,000 rows,
+    0.2 % at 400,000); a fit that misses the flag is off by 60 %."""
+    return F.col("rmse") <= _class_mean_rmse(train, test) * (1.02 + 640 / max(1, train.count()))
+
+
 def _scored(model, train, test):
-    """Rows scored, and whether the error is within 2 % of the class means'."""
+    """Rows scored, and whether the error is near the class means'."""
     m = models.regression_metrics(model.transform(test))
-    return m.select("n", (F.col("rmse") <= _class_mean_rmse(train, test) * 1.02).alias("near_class_means"))
+    return m.select("n", _near(train, test).alias("near_class_means"))
 
 
 @query("linear_no_leak", f"{TEST_SQL} SELECT COUNT(*) AS n, TRUE AS no_signal FROM held")
@@ -1185,7 +1192,7 @@ def q_pipeline_saved(spark, sf):
   ('Gradient Boosted Trees', TRUE, TRUE, TRUE)) t(model, near_class_means, mae_below_rmse, timed)""")
 def q_model_comparison(spark, sf):
     train, test, _, table, _ = _fitted(spark, sf)
-    return table.select("model", (F.col("rmse") <= _class_mean_rmse(train, test) * 1.02).alias("near_class_means"),
+    return table.select("model", _near(train, test).alias("near_class_means"),
                         (F.col("mae") < F.col("rmse")).alias("mae_below_rmse"),
                         ((F.col("train_seconds") > 0) & (F.col("efficiency_score_per_sec") > 0)).alias("timed"))
 
