@@ -37,7 +37,7 @@ def _args(argv):
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--no-leaky-features", action="store_true")
-    p.add_argument("--category-mode", choices=["nominal", "ordinal"], default="nominal")
+    p.add_argument("--category-mode", choices=["nominal", "ordinal", "mean"], default="nominal")
     p = sub.add_parser("models")
     p.add_argument("--src", required=True)
     p.add_argument("--metrics", required=True)
