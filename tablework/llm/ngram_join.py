@@ -28,11 +28,15 @@ near copies end here.  Sets still apart meet in an R-tree over points of
 about twice as many groups as a set has n-grams, so the bound tells 0.85
 from 0.90; survivors are verified on the n-gram sets, pairs already joined
 are passed over, and what leaves the task is at most one link per member.
-A family of more than TILE members is dealt to tiles that also get its first
-members; only if it stays in several components do the members outside the
-largest one meet all others, tile by tile.  Work on a family of unlinked
-sets therefore grows with the square of its members over TILE tasks, rows
-with members x tiles; families of near copies grow in proportion.
+A family of more than TILE members, such as all sets with a passage, is first
+dealt by the least of the sets that a member shares a key with, which copies
+of a text have in common (and beyond TILE members to tiles that also get the
+first of them).  Only if it stays in several components do the members
+outside the largest one meet all others, tile by tile: points go there, a
+byte for four n-grams, and sets only of the pairs that the bound leaves.
+Work on a family of unlinked sets therefore grows with the square of its
+members over TILE tasks, points with members x tiles; families of near
+copies grow in proportion.
 
 Defined results: a null text, or one without words, has an empty set and is
 its own group; fewer words than n make one n-gram of all words; equal sets
@@ -473,27 +477,30 @@ def search_units(rows: DataFrame, members: DataFrame, docs: DataFrame, n: int, n
 
 
 def first_tiles(members: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Links inside every family of one tile, and inside the tiles of larger
-    ones, each with the family's first members.  members: (sid, family, size,
-    parts, doc_id, hash, repeated)."""
-    weight = members.filter("parts = 1").agg(F.sum("size").alias("n")).first()["n"] or 0
+    """Links inside every unit of one tile, and inside the tiles of larger
+    ones, each with the unit's first members.  A unit is a family, or in a
+    large one the members of one least lead, which copies of a text share.
+    members: (sid, unit, unit_parts, size, family, parts, doc_id, hash, repeated)."""
+    weight = members.filter("unit_parts = 1").agg(F.sum("size").alias("n")).first()["n"] or 0
     batches = max(1, math.ceil(weight / BATCH_GRAMS))
     zero = F.lit(0)
-    tile = F.pmod(F.xxhash64("sid", F.lit(3)), F.col("parts")).cast("int")
-    own = members.withColumn("t1", F.when(F.col("parts") > 1, tile).otherwise(zero)).withColumn("part", F.col("t1"))
-    nth = F.row_number().over(Window.partitionBy("family").orderBy("sid"))
-    first = (members.filter("parts > 1").withColumn("nth", nth).filter(F.col("nth") <= LEADS).drop("nth")
-             .withColumn("t1", F.explode(F.sequence(zero, F.col("parts") - 1))).withColumn("part", F.lit(-1)))
+    tile = F.pmod(F.xxhash64("sid", F.lit(3)), F.col("unit_parts")).cast("int")
+    own = members.withColumn("t1", F.when(F.col("unit_parts") > 1, tile).otherwise(zero)).withColumn("part", F.col("t1"))
+    nth = F.row_number().over(Window.partitionBy("unit").orderBy("sid"))
+    first = (members.filter("unit_parts > 1").withColumn("nth", nth).filter(F.col("nth") <= LEADS).drop("nth")
+             .withColumn("t1", F.explode(F.sequence(zero, F.col("unit_parts") - 1))).withColumn("part", F.lit(-1)))
     first = first.filter(tile != F.col("t1"))
-    rows = own.unionByName(first).withColumns({"t2": F.col("t1"), "root": F.col("sid")}).withColumn(
-        "batch", F.when(F.col("parts") > 1, F.xxhash64("family", "t1")).otherwise(F.pmod(F.xxhash64("family"), F.lit(batches))))
+    rows = own.unionByName(first).withColumns({"t2": F.col("t1"), "root": F.col("sid"), "family": F.col("unit")}).withColumn(
+        "batch", F.when(F.col("unit_parts") > 1, F.xxhash64("unit", "t1")).otherwise(F.pmod(F.xxhash64("unit"), F.lit(batches))))
     return search_units(rows, members, docs, n, num, den)
 
 
 def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame | None:
-    """Links between the tiles of families that are still in several
-    components: members outside the largest one against all.  None if there
-    are no such families."""
+    """Links between the units and tiles of large families that are still in
+    several components: members outside the largest one against all.  Points
+    go to the tiles, a byte for four n-grams; the few pairs whose bound
+    reaches the overlap needed are verified on their sets.  None if there are
+    no such families."""
     large = (members.filter("parts > 1").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
              .select("sid", "family", "parts", F.coalesce("root", "sid").alias("root")))
     large = handover(large, "join-large")
@@ -520,18 +527,108 @@ def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, n
     at = F.array_distinct(F.when(F.col("part") >= F.col("p"), F.concat(before, with_strays)).otherwise(with_strays))
     rows = (placed.withColumn("at", F.explode(at)).select("sid", "family", "root", "part", "at.t1", "at.t2")
             .withColumn("batch", F.xxhash64("family", "t1", "t2")))
-    return search_units(rows, members, docs, n, num, den)
+    rows = handover(rows, "join-pairs-units")
+    wanted = handover(large.join(plan, "family", "left_semi").select("sid").join(members, "sid")
+                      .select("sid", "doc_id", "hash", "repeated"), "join-wanted")
+    points = handover(points_of(sets_of(docs, wanted, n)), "join-points")
+
+    def search(table: pa.Table) -> pa.Table:
+        return candidates(table, num, den)
+
+    pairs = handover(points.join(small(rows, 80), "sid").select("batch", "family", "t1", "t2", "part", "sid", "root", "size", "point")
+                     .groupBy("batch").applyInArrow(search, "a long, b long").distinct(), "join-pairs")
+    both = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+    sets = handover(sets_of(docs, handover(wanted.join(both, "sid", "left_semi"), "join-wanted"), n), "join-sets")
+    met = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
+           .join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b"))
+    overlap = F.size(F.array_intersect("ga", "gb"))
+    found = handover(met.filter((num + den) * overlap >= num * (F.size("ga") + F.size("gb"))).select("a", "b"), "join-more")
+    discard(rows, points, pairs, sets)
+    return found
+
+
+def points_of(sets: DataFrame) -> DataFrame:
+    """(sid, size, point) of sets (sid, grams): counts of about a quarter as
+    many hashed groups as n-grams, a byte each (255 stands for more)."""
+    def run(batches):
+        for batch in batches:
+            sizes = np.asarray(batch.column(1).value_lengths()).astype(np.int64)
+            grams = batch.column(1).flatten().to_numpy().view(np.uint64)
+            cut = np.concatenate([[0], np.cumsum(sizes)])
+            found = []
+            for i, size in enumerate(sizes):
+                groups = min(MOST_GROUPS, max(32, 1 << math.ceil(math.log2(max(1, size / 4)))))
+                counts = np.bincount((grams[cut[i]:cut[i + 1]] % np.uint64(groups)).astype(np.int64), minlength=groups)
+                found.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(found, pa.binary())],
+                                             names=["sid", "size", "point"])
+
+    return sets.mapInArrow(run, "sid long, size long, point binary")
+
+
+def bound_pairs(points: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> Iterator[tuple]:
+    """(left, right) positions whose bound reaches the overlap needed.  Sets
+    of unlike size have unlike numbers of groups, powers of two; the finer
+    point is folded onto the coarser."""
+    groups = np.array([len(p) for p in points])
+    full = np.array([255 in p for p in points])
+
+    def matrix(at: np.ndarray, width: int) -> np.ndarray:
+        counts = np.stack([np.frombuffer(points[i], np.uint8) for i in at]).astype(np.int32)
+        counts[counts == 255] = 1 << 20                       # a full byte bounds nothing
+        return counts.reshape(len(at), -1, width).sum(1)
+
+    reach = 1 + math.ceil(math.log2(den / num))
+    for g in np.unique(groups):
+        for first, mine, theirs in ((0, left, right), (1, right, left)):
+            a = mine[groups[mine] == g]
+            for k in range(first, reach + 1):                 # equal widths are met once
+                b = theirs[groups[theirs] == g << k]
+                if len(a) and len(b):
+                    pa_, pb = matrix(a, g), matrix(b, g)
+                    if not (full[a].any() or full[b].any()):
+                        kind = np.uint8 if max(pa_.max(), pb.max()) < 256 else np.int32
+                        pa_, pb = pa_.astype(kind), pb.astype(kind)
+                    tree = RTree(pb, sizes[b])
+                    for c in range(0, len(a), 256):
+                        some = a[c:c + 256]
+                        q, p = tree.search(pa_[c:c + 256], sizes[some], num, den)
+                        yield some[q], b[p]
+
+
+def candidates(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Distinct pairs (a, b) of sets in different components that the bound
+    lets through; rows (family, t1, t2, part, sid, root, size, point)."""
+    table = table.sort_by([(c, "ascending") for c in ("family", "t1", "t2", "sid")])
+    unit = [table.column(c).to_numpy() for c in ("family", "t1", "t2")]
+    new = np.ones(len(table), bool)
+    new[1:] = np.any([u[1:] != u[:-1] for u in unit], axis=0)
+    sid, root, part, size = (table.column(c).to_numpy() for c in ("sid", "root", "part", "size"))
+    points = table.column("point").to_pylist()
+    found = [np.zeros((0, 2), np.int64)]
+    cuts = np.flatnonzero(new)
+    for a, b in zip(cuts, [*cuts[1:], len(table)]):
+        left, right = (np.flatnonzero(part[a:b] == u[a]) for u in unit[1:])
+        for q, p in bound_pairs(points[a:b], size[a:b], left, right, num, den):
+            q, p = q + a, p + a
+            apart = root[q] != root[p]
+            pairs = np.stack([np.minimum(sid[q], sid[p])[apart], np.maximum(sid[q], sid[p])[apart]], 1)
+            found.append(np.unique(pairs, axis=0))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])
 
 
 # ------------------------------------------------------------------ join
 
 def families(signed: DataFrame) -> DataFrame:
-    """(node, root): the sets that share keys, with their family."""
+    """(node, root, label): the sets that share keys, with their family and
+    their least lead."""
     bits = ranges(signed)
     shorts = handover(shared_shorts(signed, bits), "join-shorts")
     rows = signed.select("sid", F.explode("keys").alias("key"))
     edges = handover(key_edges(likely(rows, shorts, bits), bits), "join-edges")
-    found = components(edges)
+    least = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+    found = handover(components(edges).join(least, "node", "left").withColumn("label", F.coalesce("label", "node")), "join-families")
     discard(shorts, edges)
     return found
 
@@ -552,22 +649,25 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "hash")).alias("rep"), F.first("size").alias("size"))
         .join(again, F.col("rep.doc_id").eqNullSafe(F.col("again_id")) & (F.col("rep.hash") == F.col("again_hash")), "left")
         .select("sid", "least", "rep", "size", F.col("again_hash").isNotNull().alias("repeated")), "join-nodes")
-    family = handover(families(some), "join-families")
+    family = families(some)
     signed = handover(whole.drop("keys", "hash"), "join-signed")
     discard(whole)
     sized = family.join(nodes.select(F.col("sid").alias("node"), "size", "rep", "repeated"), "node")
-    large = (sized.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int").alias("parts"))
-             .filter("parts > 1"))
-    members = handover(sized.join(large, "root", "left").select(
+    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int")
+    large = sized.groupBy("root").agg(tiles.alias("parts")).filter("parts > 1")
+    placed = sized.join(large, "root", "left").select(
         F.col("node").alias("sid"), F.col("root").alias("family"), "size", F.coalesce("parts", F.lit(1)).alias("parts"),
-        F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash"), "repeated"), "join-members")
+        F.when(F.col("parts") > 1, F.col("label")).otherwise(F.col("root")).alias("unit"),
+        F.col("rep.doc_id").alias("doc_id"), F.col("rep.hash").alias("hash"), "repeated")
+    placed = handover(placed, "join-placed")
+    crowded = placed.groupBy("unit").agg(tiles.alias("unit_parts")).filter("unit_parts > 1")
+    members = handover(placed.join(crowded, "unit", "left").withColumn("unit_parts", F.coalesce("unit_parts", F.lit(1))), "join-members")
     links = handover(first_tiles(members, docs, n, num, den), "join-links")
     found = components(links)
     more = other_tiles(members, found, docs, n, num, den)
     if more is not None:
-        more = handover(more, "join-more")
         found = components(links.unionAll(more))
-    discard(members, family)
+    discard(members, placed, family)
     rooted = nodes.join(found.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     owners = handover(rooted.join(named, "root").select("sid", "component_id"), "join-owners")

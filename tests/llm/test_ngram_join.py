@@ -219,3 +219,29 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: top(i) for e in edges if e[0] != e[1] for i in e}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("num,den", [(80, 100), (90, 100), (45, 100)])
+def test_points_let_no_linked_pair_go(num, den):
+    """Against the overlaps of all pairs, over sizes that have unlike points."""
+    rng = np.random.default_rng(num)
+    sets = []
+    for size in (30, 120, 130, 250, 260, 500, 520, 1100, 4000):
+        base = rng.integers(0, 2**62, size)
+        for drop in (0, size // 25, size // 9, size // 5, size // 2):
+            sets.append(np.unique(np.concatenate([base[drop:], rng.integers(0, 2**62, drop // 2)])).astype(np.uint64))
+    sets.append(np.concatenate([sets[0], np.arange(1, 400, dtype=np.uint64) * np.uint64(2**30)]))     # full coordinates
+    sizes = np.array([len(x) for x in sets])
+    points = []
+    for x in sets:
+        groups = min(J.MOST_GROUPS, max(32, 1 << int(np.ceil(np.log2(max(1, len(x) / 4))))))
+        points.append(np.minimum(np.bincount((x % np.uint64(groups)).astype(int), minlength=groups), 255).astype(np.uint8).tobytes())
+    every = np.arange(len(sets))
+    for left, right in ((every, every), (every[::2], every[1::2])):
+        got = {tuple(sorted((int(a), int(b)))) for q, p in J.bound_pairs(points, sizes, left, right, num, den) for a, b in zip(q, p)}
+        for i in left:
+            for j in right:
+                k = len(np.intersect1d(sets[i], sets[j]))
+                if i != j and den * k >= num * (sizes[i] + sizes[j] - k):
+                    assert tuple(sorted((int(i), int(j)))) in got
+        assert len(got) < len(left) * len(right) / 2
