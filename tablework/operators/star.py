@@ -142,16 +142,44 @@ def interleaved(ranks: list[Column], bits: int = RANK_BITS) -> Column:
     return code
 
 
-def ranked(df: DataFrame, column: str, bits: int = RANK_BITS) -> tuple[DataFrame, int]:
-    """(value, rank): the distinct values of a column in their order, ranks
-    0 .. 2^bits - 1 with as many values each; and the number of values."""
+def ranked(df: DataFrame, column: str, bits: int = RANK_BITS) -> tuple[list[tuple], int]:
+    """The distinct values of a column in their order get ranks
+    0 .. 2^bits - 1 with as many values each: the (first value, rank) of each
+    rank that occurs, at most 2^bits, and the number of values."""
     spark = df.sparkSession
     path = shared_scratch(spark, f"values-{column}")
     df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct().write.parquet(path)
     values = spark.read.parquet(path)
     n = values.count()
     at = numbered(values, [F.col("value")], "at")
-    return at.select("value", F.floor(F.col("at") * (1 << bits) / max(1, n)).alias("rank")), n
+    rank = F.floor(F.col("at") * (1 << bits) / max(1, n)).alias("rank")
+    firsts = at.groupBy(rank).agg(F.min("value").alias("first")).collect()
+    return sorted(((r["first"], r["rank"]) for r in firsts), key=lambda x: x[1]), n
+
+
+def with_ranks(df: DataFrame, starts: dict[str, list[tuple]], names: list[str]) -> DataFrame:
+    """df and, as ``names``, the rank of each column's value from the (first
+    value, rank) pairs of :func:`ranked`.  The pairs come as one broadcast
+    row and are searched in two steps of about the root of their number, so
+    no join moves the rows.  Null has rank 0."""
+    row, kinds = [], []
+    for i, (c, pairs) in enumerate(starts.items()):
+        step = max(1, math.isqrt(len(pairs)))
+        blocks = [pairs[k:k + step] for k in range(0, len(pairs), step)]
+        pair = f"array<struct<first:{df.schema[c].dataType.simpleString()},to:bigint>>"
+        row += [[(block[0][0], k) for k, block in enumerate(blocks)], blocks]
+        kinds += [f"__outer{i} {pair}", f"__inner{i} array<{pair}>"]
+    lists = df.sparkSession.createDataFrame([tuple(row)], ", ".join(kinds)).coalesce(1)
+
+    def last_at_most(pairs: Column, value: Column) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda p: p["first"] <= value), F.lit(-1))["to"]
+
+    def rank(i: int, value: Column) -> Column:
+        block = F.get(f"__inner{i}", last_at_most(F.col(f"__outer{i}"), value).cast("int"))
+        return F.coalesce(last_at_most(block, value), F.lit(0)).cast("long")
+
+    ranks = [rank(i, F.col(c)) for i, c in enumerate(starts)]
+    return df.crossJoin(F.broadcast(lists)).select(*df.columns, *[r.alias(n) for r, n in zip(ranks, names)])
 
 
 def write_lookup_fact(events: DataFrame, path: str, columns=LOOKUP_COLUMNS, files: int = 512) -> str:
@@ -168,18 +196,17 @@ def write_lookup_fact(events: DataFrame, path: str, columns=LOOKUP_COLUMNS, file
     rows do not.  A value with many rows is spread by the other columns.
     Null is rank 0.
 
-    Each column's values are numbered by ranges; the ranks are joined back
-    (broadcast by Spark while small) and the joined rows written once, for
-    the counts per cell and for the layout.  ``files``: about how many."""
+    Each column's values are numbered by ranges; a row finds its ranks among
+    the first values of the ranks (a bounded list), and the rows are written
+    once with them, for the counts per cell and for the layout.  ``files``: about how many."""
     spark = events.sparkSession
     cells = max(1, math.ceil(math.log2(files)))
-    out, sizes = events, {}
-    for i, c in enumerate(columns):
-        ranks, sizes[c] = ranked(events, c)
-        out = out.join(ranks.select(F.col("value").alias("__value"), F.col("rank").alias(f"__rank{i}")),
-                       F.col(c) == F.col("__value"), "left").drop("__value")
-    code = interleaved([F.coalesce(f"__rank{i}", F.lit(0)).cast("long") for i in range(len(columns))])
-    joined = out.withColumn("__code", code).drop(*[f"__rank{i}" for i in range(len(columns))])
+    starts, sizes = {}, {}
+    for c in columns:
+        starts[c], sizes[c] = ranked(events, c)
+    names = [f"__rank{i}" for i in range(len(columns))]
+    out = with_ranks(events, starts, names)
+    joined = out.withColumn("__code", interleaved([F.col(n) for n in names])).drop(*names)
     scratch = shared_scratch(spark, "lookup-codes")
     joined.write.parquet(scratch)
     cell = F.shiftright("__code", max(0, RANK_BITS * len(columns) - cells))
