@@ -8,10 +8,12 @@ evaluator pass per metric.
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.operators.groups import best_row
@@ -37,6 +39,106 @@ def fit_linear(train: DataFrame, max_iter: int = 50, **kw):
                             maxIter=max_iter, **kw).fit(train)
 
 
+#: Train rows that trees are fitted on one by one.  More are fitted in blocks.
+BLOCKS = 1 << 19
+#: Most bins of a feature with many values (fewer if the fit's maxBins is less).
+BINS = 256
+
+
+@dataclass
+class Bins:
+    """Cut points per feature of an assembled vector; None: values as they are."""
+
+    cuts: list[list[float] | None]
+
+    def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
+        """df with the binned features replaced by their bin's number."""
+        arr = vector_to_array(features)
+
+        def number(x: Column, cuts: list[float]) -> Column:
+            return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < x)).cast("double")
+
+        values = [arr[i] if cuts is None else number(arr[i], cuts) for i, cuts in enumerate(self.cuts)]
+        return df.withColumn(features, array_to_vector(F.array(*values))).withMetadata(features, df.schema[features].metadata)
+
+
+@dataclass
+class BinnedTrees:
+    """A tree model fitted on bin numbers; scores rows with the values themselves."""
+
+    bins: Bins
+    model: object
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        scored = self.bins.transform(df.withColumn("__features", F.col("features")))
+        return self.model.transform(scored).drop("features").withColumnRenamed("__features", "features").select(
+            *df.columns, self.model.getPredictionCol())
+
+    def __getattr__(self, name: str):
+        if name in ("model", "bins"):
+            raise AttributeError(name)
+        return getattr(self.model, name)
+
+
+def row_blocks(train: DataFrame, held_out: str | None = None, blocks: int = BLOCKS,
+               bins: int = 32) -> tuple[DataFrame, Bins] | None:
+    """Train rows as weighted blocks for trees, or None for ``blocks`` rows
+    or fewer.
+
+    Trees only look at a feature's bin, and choose splits by the sums of
+    weights and labels per bin.  So rows of one bin in every feature are one
+    training row with their number as weight and their mean label: each row
+    counts, and the sums are those of the rows.  A feature of fewer
+    than ``bins`` values, or a nominal one, keeps its values; others get
+    ``bins`` bins of like counts, from a quantile sketch of all rows.  Where there are fewer such
+    groups than ``blocks``, a hash deals each group's rows to several, so a
+    bootstrap still draws many small units (blocks instead of rows).  Rows
+    of ``held_out`` stay single, since the error on them decides when to
+    stop."""
+    attrs = train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    nominal = {a["idx"] for a in attrs.get("nominal", [])}
+    arr = vector_to_array("features")
+    size = train.select(F.size(arr).alias("k")).first()
+    if size is None:
+        return None
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    fitted = ~F.col(held_out) if held_out else F.lit(True)
+    x = [F.when(fitted, arr[i]) for i in range(size["k"])]
+    seen = train.agg(F.count(F.lit(1)), *[F.percentile_approx(v, shares, F.lit(40 * bins)) for v in x],
+                     *[F.approx_count_distinct(v) for v in x]).first()
+    if seen[0] <= blocks:
+        return None
+    quantiles, counts = seen[1:1 + len(x)], seen[1 + len(x):]
+    cuts = Bins([None if i in nominal or counts[i] < bins else sorted(set(quantiles[i] or [])) for i in range(len(x))])
+    # the binned vector, and a hash of the row as it was for the block number
+    binned = cuts.transform(train.withColumn("__raw", F.col("features"))).select(
+        vector_to_array("features").alias("x"), F.xxhash64(vector_to_array("__raw"), "label").alias("h"), F.col("label").cast("double").alias("label"),
+        *([held_out] if held_out else []))
+    rows = binned.where(fitted)
+    groups = max(1, rows.agg(F.approx_count_distinct(F.xxhash64("x"))).first()[0])
+    out = (rows.groupBy("x", F.pmod("h", F.lit(max(1, blocks // groups))).alias("block"))
+           .agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+           .select("x", "label", "weight", *([F.lit(False).alias(held_out)] if held_out else [])))
+    if held_out:
+        out = out.unionAll(binned.where(F.col(held_out)).select("x", "label", F.lit(1.0).alias("weight"), held_out))
+    out = out.select(array_to_vector("x").alias("features"), *out.columns[1:])
+    return out.withMetadata("features", train.schema["features"].metadata), cuts
+
+
+def _fit_trees(estimator, train: DataFrame, held_out: str | None = None):
+    """The estimator's fit on the rows, or on their blocks if they are many
+    (and have no weights of their own)."""
+    weighted = estimator.isDefined("weightCol")
+    found = None if weighted else row_blocks(train, held_out, bins=min(BINS, estimator.getMaxBins()))
+    if found is None:
+        return estimator.fit(train)
+    blocks = spread(found[0], train.sparkSession.sparkContext.defaultParallelism).persist()
+    try:
+        return BinnedTrees(found[1], estimator.setWeightCol("weight").fit(blocks))
+    finally:
+        blocks.unpersist()
+
+
 def fit_forest(train: DataFrame, num_trees: int = 50, max_depth: int = 8,
                max_bins: int | None = None, seed: int = 42, cache_node_ids: bool = False, **kw):
     """Random forest; ``max_bins`` derived from metadata when None.
@@ -48,9 +150,9 @@ def fit_forest(train: DataFrame, num_trees: int = 50, max_depth: int = 8,
     memory, so it is off unless asked for.
     """
     bins = max_bins or max_bins_for(train)
-    return RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees,
-                                 maxDepth=max_depth, maxBins=bins, seed=seed,
-                                 cacheNodeIds=cache_node_ids, **kw).fit(train)
+    return _fit_trees(RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees,
+                                            maxDepth=max_depth, maxBins=bins, seed=seed,
+                                            cacheNodeIds=cache_node_ids, **kw), train)
 
 
 def fit_gbt(train: DataFrame, max_iter: int = 50, max_depth: int = 5,
@@ -62,8 +164,8 @@ def fit_gbt(train: DataFrame, max_iter: int = 50, max_depth: int = 5,
     bins = max_bins or max_bins_for(train)
     if held_out:
         kw = {"validationIndicatorCol": held_out, **kw}
-    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
-                        maxDepth=max_depth, maxBins=bins, seed=seed, **kw).fit(train)
+    return _fit_trees(GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
+                                   maxDepth=max_depth, maxBins=bins, seed=seed, **kw), train, held_out)
 
 
 def timed_fit(fit, train: DataFrame, **kw):
