@@ -123,14 +123,15 @@ def q_parquet_roundtrip(spark, sf):
 
 @query("stream_delays", f"{W_DELAYS} SELECT * FROM delays")
 def q_stream_delays(spark, sf):
-    # Stop events land as 4 CSV files; the stream takes one file per
-    # micro-batch and appends augmented rows; the result equals the batch.
+    # Stop events land as CSV files, a fourth of them per micro-batch; the
+    # stream appends augmented rows; the result equals the batch.
     from tablework.streaming import feed as SF
     st = SI.stop_times(spark, sf)
     src = shared_scratch(spark, "stop_event_files")
-    st.repartition(4).write.option("header", True).csv(src)
+    splits = st.rdd.getNumPartitions()
+    (st if splits >= 4 else st.repartition(4)).write.option("header", True).csv(src)
     stream = SF.read_stop_event_stream(spark, src, "csv", header_columns=st.columns,
-                                       max_files_per_trigger=1)
+                                       max_files_per_trigger=-(-splits // 4))
     f = SI.feed(spark, sf)
     out = shared_scratch(spark, "streamed_delays")
     q = SF.start_delay_sink(SF.stream_delays(stream, f["trips"], f["routes"], f["stops"],
@@ -388,7 +389,7 @@ FROM c"""
 
 @query("moments", MOMENTS_SQL)
 def q_moments(spark, sf):
-    return rounded(profile.moments(SI.delays(spark, sf), "delay_minutes", median="exact"))
+    return rounded(profile.moments(SI.delay_table(spark, sf, "delay_minutes"), "delay_minutes", median="exact"))
 
 
 @query("moments_events", MOMENTS_SQL.replace(W_DELAYS, W_EV).replace("delays", "events_delay"))
@@ -399,7 +400,7 @@ def q_moments_events(spark, sf):
 @query("median_exact", f"""{W_DELAYS} SELECT {r('quantile_cont(delay_minutes, 0.5)', 'median')},
   COUNT(delay_minutes) AS n FROM delays""")
 def q_median_exact(spark, sf):
-    d = SI.delays(spark, sf)
+    d = SI.delay_table(spark, sf, "delay_minutes")
     med = quantiles.exact_quantiles(d, "delay_minutes", [0.5])[0]
     return rounded(d.agg(F.lit(med).cast("double").alias("median"),
                          F.count("delay_minutes").alias("n")))
@@ -452,7 +453,7 @@ def _rank_near(df, col: str, value, share: float, error: float):
 
 @query("median_approx", f"""{W_DELAYS} SELECT COUNT(delay_minutes) AS n, TRUE AS rank_near FROM delays""")
 def q_median_approx(spark, sf):
-    d = SI.delays(spark, sf)
+    d = SI.delay_table(spark, sf, "delay_minutes")
     med = profile.moments(d, "delay_minutes", median="approx").select("median").scalar()
     return d.agg(F.count("delay_minutes").alias("n"),
                  _rank_near(d, "delay_minutes", med, 0.5, 1e-4).alias("rank_near"))
@@ -461,7 +462,7 @@ def q_median_approx(spark, sf):
 @query("quartiles_exact", f"""{W_DELAYS} SELECT {r('quantile_cont(delay_minutes, 0.25)', 'q1')},
   {r('quantile_cont(delay_minutes, 0.75)', 'q3')}, COUNT(delay_minutes) AS n FROM delays""")
 def q_quartiles_exact(spark, sf):
-    d = SI.delays(spark, sf)
+    d = SI.delay_table(spark, sf, "delay_minutes")
     q1, q3 = profile.quartiles(d, "delay_minutes", "exact")
     return rounded(d.agg(F.lit(q1).cast("double").alias("q1"), F.lit(q3).cast("double").alias("q3"),
                          F.count("delay_minutes").alias("n")))
@@ -470,7 +471,7 @@ def q_quartiles_exact(spark, sf):
 @query("quartiles_disc", f"""{W_DELAYS} SELECT quantile_disc(delay_minutes, 0.25) AS q1,
   quantile_disc(delay_minutes, 0.75) AS q3, COUNT(delay_minutes) AS n FROM delays""")
 def q_quartiles_disc(spark, sf):
-    d = SI.delays(spark, sf)
+    d = SI.delay_table(spark, sf, "delay_minutes")
     q1, q3 = profile.quartiles(d, "delay_minutes", "exact_disc")
     return d.agg(F.lit(q1).cast("double").alias("q1"), F.lit(q3).cast("double").alias("q3"),
                  F.count("delay_minutes").alias("n"))
@@ -479,7 +480,7 @@ def q_quartiles_disc(spark, sf):
 @query("quartiles_approx", f"""{W_DELAYS} SELECT COUNT(delay_minutes) AS n, TRUE AS q1_near, TRUE AS q3_near
 FROM delays""")
 def q_quartiles_approx(spark, sf):
-    d = SI.delays(spark, sf)
+    d = SI.delay_table(spark, sf, "delay_minutes")
     q1, q3 = profile.quartiles(d, "delay_minutes", "approx", 0.01)
     return d.agg(F.count("delay_minutes").alias("n"),
                  _rank_near(d, "delay_minutes", F.lit(q1), 0.25, 0.01).alias("q1_near"),
@@ -507,7 +508,7 @@ SELECT {r('q1', 'q1')}, {r('q3', 'q3')}, {r('iqr', 'iqr')}, {r('lower', 'lower')
          AS outlier_pct
 FROM delays, b GROUP BY q1, q3, iqr, lower, upper""")
 def q_iqr_outliers(spark, sf):
-    return rounded(profile.iqr_outliers(SI.delays(spark, sf), "delay_minutes", "exact"))
+    return rounded(profile.iqr_outliers(SI.delay_table(spark, sf, "delay_minutes"), "delay_minutes", "exact"))
 
 
 IQR_EVENTS_SQL = SQL["iqr_outliers"].replace(W_DELAYS, W_EV).replace("delays", "events_delay")
@@ -517,7 +518,7 @@ IQR_EVENTS_SQL = SQL["iqr_outliers"].replace(W_DELAYS, W_EV).replace("delays", "
 SELECT {KSQL}, delay_minutes FROM delays, q WHERE delay_minutes < a - 1.5 * (b - a) OR delay_minutes > b + 1.5 * (b - a)""")
 def q_outlier_rows(spark, sf):
     """The rows outside the bounds, as a table."""
-    d = SI.delays(spark, sf)
+    d = SI.delay_table(spark, sf, *KEYS, "delay_minutes")
     bounds = profile.iqr_outliers(d, "delay_minutes").first()
     return profile.outlier_rows(d, "delay_minutes", bounds["lower"], bounds["upper"]).select(*KEYS, "delay_minutes")
 
@@ -725,7 +726,7 @@ FROM edges"""
 
 @query("histogram", f"{W_DELAYS}, src AS (SELECT delay_minutes FROM delays), {HISTOGRAM_SQL}")
 def q_histogram(spark, sf):
-    return rounded(shapes.histogram(SI.delays(spark, sf), "delay_minutes", 50))
+    return rounded(shapes.histogram(SI.delay_table(spark, sf, "delay_minutes"), "delay_minutes", 50))
 
 
 @query("histogram_events", f"{W_EV}, src AS (SELECT delay_minutes FROM events_delay), {HISTOGRAM_SQL}")
@@ -744,7 +745,7 @@ SELECT point, {r('lo + point * step', 'x')},
   {r(f'SUM(c * exp(-0.5 * POWER((lo + point * step - x) / h, 2))) * {O.d(1 / (2 * 3.141592653589793) ** 0.5)} / (n * h)', 'density')}
 FROM p, g, c GROUP BY point, lo, step, n, h""")
 def q_density_curve(spark, sf):
-    return rounded(shapes.density_curve(SI.delays(spark, sf), "delay_minutes", 200, 3.0, grid_bins=None))
+    return rounded(shapes.density_curve(SI.delay_table(spark, sf, "delay_minutes"), "delay_minutes", 200, 3.0, grid_bins=None))
 
 
 @query("density_grid", """SELECT CAST(range AS INTEGER) AS point, TRUE AS near FROM range(200)""")
@@ -764,7 +765,8 @@ def q_density_grid(spark, sf):
 
 def _star(spark, sf):
     """The star, written once and read again."""
-    paths = feeds.write_star(star.build_star(SI.delays(spark, sf), id_mode="hash"), shared_scratch(spark, "star"))
+    d = SI.delay_table(spark, sf, *dict.fromkeys([*star.ROUTE_COLS, *star.TRIP_COLS, *star.EVENT_COLS]))
+    paths = feeds.write_star(star.build_star(d, id_mode="hash"), shared_scratch(spark, "star"))
     return {name: feeds.read_table(spark, path) for name, path in paths.items()}
 
 
@@ -954,7 +956,7 @@ INDEX_SQL = index_sql(W_DELAYS, "delays")
 @query("index_categories", f"""{INDEX_SQL} SELECT {KSQL}, route_id, route_id_idx, agency_id,
   agency_id_idx FROM idx""")
 def q_index_categories(spark, sf):
-    d = features.index_categories(SI.delays(spark, sf))
+    d = features.index_categories(SI.delay_table(spark, sf, *KEYS, "route_id", "agency_id"))
     return d.select(*KEYS, "route_id", "route_id_idx", "agency_id", "agency_id_idx")
 
 
@@ -984,7 +986,7 @@ feat AS (SELECT {KSQL}, CAST(arrival_hour_mod AS DOUBLE) AS f_arrival_hour_mod,
 @query("assemble_features", f"{ASSEMBLE_SQL} SELECT * FROM feat")
 def q_assemble_features(spark, sf):
     from pyspark.ml.functions import vector_to_array
-    p = features.prepare(SI.delays(spark, sf))
+    p = features.prepare(SI.delay_table(spark, sf, *SI.FEATURE_INPUTS))
     p = features.index_categories(p)
     names = features.present_columns(p, features.CANDIDATE_FEATURES)
     a = features.assemble(p, names)
@@ -1001,7 +1003,7 @@ co AS (SELECT regr_intercept(y, x) AS b0, regr_slope(y, x) AS b1 FROM x)"""
 
 def _linear(spark, sf):
     from pyspark.ml.feature import VectorAssembler
-    d = SI.delays(spark, sf).where(F.col("delay_minutes").isNotNull() & F.col("is_disrupted").isNotNull())
+    d = SI.delay_table(spark, sf, *KEYS, "is_disrupted", "delay_minutes").where(F.col("delay_minutes").isNotNull() & F.col("is_disrupted").isNotNull())
     d = d.select(*KEYS, F.col("is_disrupted").cast("int").cast("double").alias("x"),
                  F.col("delay_minutes").alias("label"))
     d = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
@@ -1050,8 +1052,10 @@ FROM steps WHERE k = {len(_ONE) + 1}""")
 def q_linear_all(spark, sf):
     """All seven features, fitted from the merged sums of four batches, next
     to MLlib's fit of the rows."""
-    p = features.index_categories(features.prepare(SI.delays(spark, sf)))
+    p = features.index_categories(features.prepare(SI.delay_table(spark, sf, *SI.FEATURE_INPUTS)))
     p = p.withColumn("is_peak", F.col("is_peak").cast("double"))
+    p = p.select("trip_id", *features.CANDIDATE_FEATURES, "delay_minutes")
+    p = feeds.read_table(spark, feeds.write_table(p, shared_scratch(spark, "indexed")))   # four states and a fit pass over it
     parts = [linear_state.linear_state(p.where(F.pmod(F.xxhash64("trip_id"), F.lit(4)) == k),
                                        features.CANDIDATE_FEATURES, "delay_minutes") for k in range(4)]
     union = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
@@ -1064,8 +1068,12 @@ def q_linear_all(spark, sf):
     return rounded(table.select("term", "value", near.alias("like_mllib")), 4)
 
 
-def _tables(spark, sf):
-    return features.model_tables(SI.delays(spark, sf), KEYS)
+def _tables(spark, sf, **kw):
+    """(train, test, names), written once: fits and metrics pass over them
+    several times."""
+    from tablework.plans import batch
+    return batch.write_model_tables(spark, SI.delay_table(spark, sf, *SI.FEATURE_INPUTS),
+                                    shared_scratch(spark, "model"), tuple(KEYS), **kw)
 
 
 TEST_SQL = f"""{ASSEMBLE_SQL},
@@ -1084,9 +1092,7 @@ def _fitted(spark, sf):
     and folder for the keys that look at them."""
     at = (spark.sparkContext.applicationId, sf)
     if at not in _FITTED:
-        from tablework.plans import batch
-        train, test, names = batch.write_model_tables(spark, SI.delays(spark, sf), shared_scratch(spark, "model"),
-                                                      tuple(KEYS), category_mode="mean")
+        train, test, names = _tables(spark, sf, category_mode="mean")
         _FITTED[at] = (train, test, names, *models.compare_models(spark, train, test, forest=FOREST, gbt=GBT))
     return _FITTED[at]
 
@@ -1118,7 +1124,7 @@ def _scored(model, train, test):
 def q_linear_no_leak(spark, sf):
     # Without is_disrupted (the label is drawn from it) the other features
     # carry no signal: R^2 near 0 is the expected result.
-    train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, leaky_features=False)
+    train, test, _ = _tables(spark, sf, leaky_features=False)
     m = models.regression_metrics(models.fit_linear(train).transform(test))
     return m.select("n", (F.abs("r2") < 0.05).alias("no_signal"))
 
@@ -1141,7 +1147,7 @@ def q_gbt_fit(spark, sf):
 @query("gbt_stopped", f"{TEST_SQL} SELECT COUNT(*) AS n, TRUE AS near_class_means, TRUE AS fewer_rounds FROM held")
 def q_gbt_stopped(spark, sf):
     """Boosting that stops on a tenth of the train rows, held out by key."""
-    train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, category_mode="mean", validation=0.1)
+    train, test, _ = _tables(spark, sf, category_mode="mean", validation=0.1)
     model = models.fit_gbt(train, **GBT, held_out="held_out")
     return _scored(model, train, test).withColumn("fewer_rounds", F.lit(model.getNumTrees < GBT["max_iter"]))
 
@@ -1169,7 +1175,7 @@ FROM folded d LEFT JOIN sums a ON d.route_id = a.route_id LEFT JOIN parts b ON d
 def q_category_means(spark, sf):
     """Out-of-fold means of the routes: train rows without their own fold."""
     from tablework.operators.sampling import split_column
-    d = SI.delays(spark, sf).withColumn("split", split_column(KEYS, (0.8, 0.2), 42))
+    d = SI.delay_table(spark, sf, *KEYS, "route_id", "delay_minutes").withColumn("split", split_column(KEYS, (0.8, 0.2), 42))
     means = features.fit_means(d.where("split = 0"), KEYS, ["route_id"])
     return rounded(means.transform(d, F.col("split") == 0).select(*KEYS, "route_id_mean"))
 
@@ -1179,7 +1185,7 @@ def q_pipeline_saved(spark, sf):
     """The fitted pipeline saved, loaded and applied (L2)."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
-    p = features.prepare(SI.delays(spark, sf))
+    p = features.prepare(SI.delay_table(spark, sf, *SI.FEATURE_INPUTS))
     path = shared_scratch(spark, "feature-pipeline")
     features.feature_stages().fit(p).save(path)
     a = PipelineModel.load(path).transform(p)
@@ -1201,7 +1207,7 @@ def q_model_comparison(spark, sf):
 def q_best_model(spark, sf):
     rows = []
     for name, leaky in (("without the flag", False), ("with the flag", True)):
-        train, test, _ = features.model_tables(SI.delays(spark, sf), KEYS, leaky_features=leaky)
+        train, test, _ = _tables(spark, sf, leaky_features=leaky)
         model, secs = models.timed_fit(models.fit_linear, train)
         rows.append(models.comparison_row(name, models.regression_metrics(model.transform(test)).first(), secs))
     table = models.model_comparison(spark, rows)
@@ -1250,7 +1256,7 @@ SELECT COUNT(*) AS n_rows, COUNT_IF(arrival_hour_mod IS NULL OR is_peak IS NULL
   OR num_service_days IS NULL OR route_id_idx IS NULL OR agency_id_idx IS NULL OR is_disrupted IS NULL)
   AS n_skipped FROM idx WHERE delay_minutes IS NOT NULL""")
 def q_assembler_skipped(spark, sf):
-    p = features.index_categories(features.prepare(SI.delays(spark, sf)))
+    p = features.index_categories(features.prepare(SI.delay_table(spark, sf, *SI.FEATURE_INPUTS)))
     return features.skipped_rows(p, features.present_columns(p, features.CANDIDATE_FEATURES))
 
 

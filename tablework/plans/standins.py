@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tablework.operators.augment import augment_delays
 from tablework.operators.denorm import denormalise
-from tablework.sources.feeds import read_table
+from tablework.session import shared_scratch
+from tablework.sources.feeds import read_table, write_table
 from tablework.sources.schemas import WEEKDAYS
 
 
@@ -97,6 +98,21 @@ def delays(spark, sf_dir) -> DataFrame:
     return augment_delays(schedule(spark, sf_dir))
 
 
+#: The delay columns that features are made of.
+FEATURE_INPUTS = ["trip_id", "stop_sequence", "stop_id", "arrival_time", "route_id", "agency_id", *WEEKDAYS,
+                  "is_disrupted", "delay_minutes"]
+
+
+def delay_table(spark, sf_dir, *columns: str) -> DataFrame:
+    """These columns of :func:`delays`, worked out once and read again from a
+    written table, for queries that pass over them several times.  Otherwise
+    each pass repeats the joins, and a filter on a drawn column is pushed
+    below the projection with a copy of its draws per mention."""
+    path = shared_scratch(spark, "delay-columns")
+    write_table(delays(spark, sf_dir).select(*columns), path)
+    return read_table(spark, path)
+
+
 def events_delay(spark, sf_dir) -> DataFrame:
     """``events`` as delay records: value = delay, error = disrupted,
     user = route, event_id = draw key."""
