@@ -1,6 +1,8 @@
 """Numbering by ranges, the category index, the lookup layout, mergeable
 states, rejected cells, inference and the observed gate."""
 
+import contextlib
+import io
 import random
 from collections import Counter
 
@@ -320,3 +322,78 @@ def test_the_package_is_sent_once(spark):
     before = list(spark.sparkContext._python_includes)
     ship_package(spark)
     assert spark.sparkContext._python_includes == before and any("tablework" in x for x in before)
+
+
+def test_ranks_found_without_a_join_are_those_of_the_values(spark):
+    from tablework.operators import star
+    values = [None, "", *[str(i) for i in range(90)], "é"]
+    df = spark.createDataFrame([(v,) for v in values * 3], "k string")
+    starts, n = star.ranked(df, "k", bits=5)
+    assert n == 92 and len(starts) == 32
+    ranks = star.with_ranks(df, {"k": starts}, ["rank"])
+    order = sorted(v for v in values if v is not None)
+    assert {r["k"]: r["rank"] for r in ranks.collect()} == {None: 0, **{v: i * 32 // 92 for i, v in enumerate(order)}}
+    assert ranks.count() == df.count() and star.ranked(df.where("k = 'none'"), "k") == ([], 0)
+    assert {r["rank"] for r in star.with_ranks(df, {"k": []}, ["rank"]).collect()} == {0}
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+
+def test_routes_and_calendar_meet_trips_before_the_stop_events(spark):
+    """One row per trip meets its route, so the fact moves twice, not thrice."""
+    from tablework.operators.denorm import denormalise
+    st = spark.createDataFrame([("T1", "S1", "x"), ("T1", None, "y"), (None, "S1", "z")], "trip_id string, stop_id string, note string")
+    trips = spark.createDataFrame([("T1", None, "C1"), ("T1", "R1", None)], "trip_id string, route_id string, service_id string")
+    routes = spark.createDataFrame([("R1", "a"), ("R1", "b")], "route_id string, note string")     # shares a name
+    stops = spark.createDataFrame([("S1", "s")], "stop_id string, stop_name string")
+    cal = spark.createDataFrame([("C1", 1)], "service_id string, monday int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = denormalise(st, trips, routes, stops, cal)
+        assert df.columns == ["service_id", "stop_id", "route_id", "trip_id", "note", "note", "stop_name", "monday"]
+        assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, [
+            (svc, stop, route, "T1", note, rn, "s" if stop else None, day) for note, stop in (("x", "S1"), ("y", None))
+            for svc, route, rn, day in (("C1", None, None, 1), (None, "R1", "a", None), (None, "R1", "b", None))]))
+        plan = denormalise(st, trips, routes.select("route_id"), stops, cal).explain
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            plan()
+        assert text.getvalue().index("hashpartitioning(trip_id") < text.getvalue().index("hashpartitioning(route_id")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_delay_columns_are_worked_out_once(spark):
+    """Filters on drawn columns of the lazy table repeat the draws; those on
+    the written one read a column."""
+    from tablework.operators import shapes
+    from tablework.plans import standins as SI
+    lazy, once = SI.delays(spark, SF001), SI.delay_table(spark, SF001, "delay_minutes")
+    assert sorted(r[0] for r in lazy.select("delay_minutes").collect()) == sorted(r[0] for r in once.collect())
+    assert "md5" not in shapes.histogram(once, "delay_minutes", 50)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_trees_on_blocks_use_every_row_and_score_like_trees_on_rows(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    from tablework.operators import models
+    x = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(10_000)) / 10_000 for k in range(2)]
+    rows = spark.range(0, 6000, 1, 4).select(array_to_vector(F.array(x[0], x[1], (F.col("id") % 3).cast("double"))).alias("features"),
+                                 F.when(x[0] > 0.5, 8.0).otherwise(2.0).alias("signal"), x[1].alias("noise"), (F.col("id") % 10 == 0).alias("held"))
+    rows = rows.select("features", (F.col("signal") + F.col("noise") + F.col("features").isNotNull().cast("int")).alias("label"), "held")
+    assert models.row_blocks(rows) is None and models.row_blocks(rows.limit(0)) is None
+    blocks, bins = models.row_blocks(rows, "held", blocks=500, bins=8)
+    assert [c and len(c) for c in bins.cuts] == [7, 7, None]
+    fitted, kept = blocks.where("NOT held"), rows.where("NOT held")
+    sums = [F.sum("weight"), F.round(F.sum(F.col("label") * F.col("weight")), 6)]
+    assert tuple(fitted.agg(*sums).first()) == tuple(kept.agg(F.count("*").cast("double"), F.round(F.sum("label"), 6)).first())
+    assert fitted.count() <= 500 and blocks.where("held").count() == rows.where("held").count()
+
+    plain = models.fit_gbt(rows, max_iter=5, max_depth=3, held_out="held")
+    monkeypatch.setattr(models.row_blocks, "__defaults__", (None, 500, 32))
+    for model in (models.fit_gbt(rows, max_iter=5, max_depth=3, held_out="held"), models.fit_forest(rows, 5, 4, featureSubsetStrategy="all")):
+        assert isinstance(model, models.BinnedTrees) and len(model.featureImportances.toArray()) == 3
+        scored = model.transform(rows)
+        assert scored.columns == [*rows.columns, "prediction"] and scored.select(*rows.columns).collect() == rows.collect()
+        assert models.regression_metrics(model.transform(rows)).first()["rmse"] < 1.2 * models.regression_metrics(plain.transform(rows)).first()["rmse"] + 0.6
