@@ -159,27 +159,25 @@ def ranked(df: DataFrame, column: str, bits: int = RANK_BITS) -> tuple[list[tupl
 
 def with_ranks(df: DataFrame, starts: dict[str, list[tuple]], names: list[str]) -> DataFrame:
     """df and, as ``names``, the rank of each column's value from the (first
-    value, rank) pairs of :func:`ranked`.  The pairs come as one broadcast
-    row and are searched in two steps of about the root of their number, so
-    no join moves the rows.  Null has rank 0."""
-    row, kinds = [], []
-    for i, (c, pairs) in enumerate(starts.items()):
+    value, rank) pairs of :func:`ranked`.  The pairs are part of the
+    expression and are searched in two steps of about the root of their
+    number, so no join moves the rows.  Null has rank 0."""
+    def rank(value: Column, pairs: list[tuple]) -> Column:
+        if not pairs:
+            return F.lit(0).cast("long")
         step = max(1, math.isqrt(len(pairs)))
-        blocks = [pairs[k:k + step] for k in range(0, len(pairs), step)]
-        pair = f"array<struct<first:{df.schema[c].dataType.simpleString()},to:bigint>>"
-        row += [[(block[0][0], k) for k, block in enumerate(blocks)], blocks]
-        kinds += [f"__outer{i} {pair}", f"__inner{i} array<{pair}>"]
-    lists = df.sparkSession.createDataFrame([tuple(row)], ", ".join(kinds)).coalesce(1)
+        firsts = [v for v, _ in pairs]
+        blocks = [firsts[k:k + step] for k in range(0, len(firsts), step)]
 
-    def last_at_most(pairs: Column, value: Column) -> Column:
-        return F.try_element_at(F.filter(pairs, lambda p: p["first"] <= value), F.lit(-1))["to"]
+        def at_most(values: Column) -> Column:
+            return F.size(F.filter(values, lambda v: v <= value))
 
-    def rank(i: int, value: Column) -> Column:
-        block = F.get(f"__inner{i}", last_at_most(F.col(f"__outer{i}"), value).cast("int"))
-        return F.coalesce(last_at_most(block, value), F.lit(0)).cast("long")
+        block = at_most(F.array(*[F.lit(b[0]) for b in blocks])) - 1
+        inside = at_most(F.get(F.array(*[F.array(*[F.lit(v) for v in b]) for b in blocks]), block)) - 1
+        found = F.get(F.array(*[F.lit(r) for _, r in pairs]), block * step + inside)
+        return F.coalesce(F.when(value.isNotNull(), found), F.lit(0)).cast("long")
 
-    ranks = [rank(i, F.col(c)) for i, c in enumerate(starts)]
-    return df.crossJoin(F.broadcast(lists)).select(*df.columns, *[r.alias(n) for r, n in zip(ranks, names)])
+    return df.withColumns({n: rank(F.col(c), pairs) for n, (c, pairs) in zip(names, starts.items())})
 
 
 def write_lookup_fact(events: DataFrame, path: str, columns=LOOKUP_COLUMNS, files: int = 512) -> str:
