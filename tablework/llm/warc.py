@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm.common import handover, need, small
+from tablework.llm.common import discard, handover, need, small
 from tablework.session import shared_scratch
 
 ARCHIVE_BYTES = 32 << 20
@@ -51,24 +51,22 @@ RECORD = ("record_id string, warc_type string, concurrent_to string, refers_to s
 
 
 def base32(hexed: Column) -> Column:
-    """Base32 of 40 hex digits (20 bits, four characters, at a time)."""
-    def four(g):
-        value = F.conv(F.substring(hexed, 5 * g + 1, 5), 16, 10).cast("int")
-        return [F.substr(F.lit(BASE32), F.shiftright(value, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1))
-                for shift in (15, 10, 5, 0)]
+    """Base32 of 40 hex digits (40 bits, eight characters, at a time)."""
+    eights = [F.lpad(F.conv(F.substring(hexed, 10 * g + 1, 10), 16, 32), 8, "0") for g in range(4)]
+    return F.translate(F.concat(*eights), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
-    return F.concat(*[c for g in range(8) for c in four(g)])
 
+def with_digest(df: DataFrame, name: str, payload: Column) -> DataFrame:
+    """df plus the bare upper-case base32 SHA-1 of payload.  The hash is a
+    column of its own first: inside the digits it would be worked out again
+    for each part, where the payload stands under a condition."""
+    return df.withColumn("_sha1", F.sha1(payload.cast("binary"))).withColumn(name, base32(F.col("_sha1"))).drop("_sha1")
 
-def payload_digest(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1."""
-    return base32(F.sha1(payload.cast("binary")))
 
-
-def record_id(kind: str, capture: Column) -> Column:
-    h = F.md5(F.concat(F.lit(kind + "|"), capture))
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in
-                    ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
+def record_id(h: Column) -> Column:
+    """The identifier of a record from a hash of 32 hex digits; null: null."""
+    return F.when(h.isNotNull(), F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in
+                  ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">")))
 
 
 def record(kind: Column, own_id: Column, headers: list[tuple[str, Column]], block: Column) -> Column:
@@ -85,7 +83,7 @@ def captures_of(pages: DataFrame, min_bytes: int) -> DataFrame:
     row per distinct page, ``response`` the capture that a revisit names."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumns({"bytes": F.octet_length("html").cast("long"), "digest": payload_digest(F.col("html"))})
+    rows = with_digest(rows.withColumn("bytes", F.octet_length("html").cast("long")), "digest", F.col("html"))
     rows = rows.withColumn("capture", F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("null")),
                                                         "digest", F.coalesce(F.concat(F.lit("="), "url"), F.lit("null")))))
     slim = handover(rows.groupBy("capture", "page_id", "url", "digest", "bytes").agg(F.count("*").alias("copies")),
@@ -104,33 +102,42 @@ def captures_of(pages: DataFrame, min_bytes: int) -> DataFrame:
 
 
 def records_of(captures: DataFrame, date: str = DATE) -> DataFrame:
-    """(value): the text of three records per capture."""
-    capture, revisits = F.col("capture"), F.col("response").isNotNull() & (F.col("response") != F.col("capture"))
-    uri = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    digest = F.concat(F.lit("sha1:"), "digest")
-    own = record_id("response", capture)
+    """(value): the text of three records per capture.  What several records
+    name is worked out in columns before the texts are put together."""
+    revisits = F.col("response").isNotNull() & (F.col("response") != F.col("capture"))
+    uri = F.col("uri")
+    named = captures.select(
+        "html", "bytes", "digest", "copies", "page_id", revisits.alias("revisits"),
+        F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")).alias("uri"),
+        *[F.md5(F.concat(F.lit(kind + "|"), F.col("capture"))).alias(kind) for kind in ("request", "response", "metadata")],
+        F.when(revisits, F.md5(F.concat(F.lit("response|"), F.col("response")))).alias("original"))
+    named = named.withColumns({
+        **{kind: record_id(F.col(kind)) for kind in ("request", "response", "metadata", "original")},
+        "host": F.regexp_extract(F.coalesce(uri, F.lit("")), r"://([^/?#]*)", 1),
+        "path": F.regexp_extract(F.coalesce(uri, F.lit("")), r"://[^/?#]*([^#]*)", 1)})
+    revisits, path = F.col("revisits"), F.col("path")
+    named = named.select(
+        "html", "digest", "revisits", "uri", "request", "response", "metadata", "original",
+        F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "),
+                 F.col("bytes").cast("string"), F.lit(END + END), F.when(revisits, "").otherwise(F.col("html"))).alias("answer"),
+        F.concat(F.lit("GET "), F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path)),
+                 F.lit(f" HTTP/1.1{END}Host: "), F.col("host"), F.lit(END + END)).alias("ask"),
+        F.concat(F.lit("pageId: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+                 F.lit(f"{END}copies: "), F.col("copies").cast("string"), F.lit(END)).alias("about"))
+    own = F.col("response")
     common = [("WARC-Target-URI", uri), ("WARC-Date", F.lit(date))]
     to_own = ("WARC-Concurrent-To", own)
-    http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "),
-                    F.col("bytes").cast("string"), F.lit(END + END))
-    host = F.regexp_extract(F.coalesce(uri, F.lit("")), r"://([^/?#]*)", 1)
-    path = F.regexp_extract(F.coalesce(uri, F.lit("")), r"://[^/?#]*([^#]*)", 1)
-    ask = F.concat(F.lit("GET "), F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path)),
-                   F.lit(f" HTTP/1.1{END}Host: "), host, F.lit(END + END))
-    about = F.concat(F.lit("pageId: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-                     F.lit(f"{END}copies: "), F.col("copies").cast("string"), F.lit(END))
     texts = F.array(
-        record(F.lit("request"), record_id("request", capture),
-               [*common, to_own, ("Content-Type", F.lit("application/http;msgtype=request"))], ask),
+        record(F.lit("request"), F.col("request"),
+               [*common, to_own, ("Content-Type", F.lit("application/http;msgtype=request"))], F.col("ask")),
         record(F.when(revisits, "revisit").otherwise("response"), own,
-               [*common, ("WARC-Payload-Digest", digest),
-                ("WARC-Refers-To", F.when(revisits, record_id("response", F.col("response")))),
+               [*common, ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
+                ("WARC-Refers-To", F.col("original")),
                 ("WARC-Profile", F.when(revisits, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-                ("Content-Type", F.lit("application/http;msgtype=response"))],
-               F.concat(http, F.when(revisits, "").otherwise(F.col("html")))),
-        record(F.lit("metadata"), record_id("metadata", capture),
-               [*common, to_own, ("Content-Type", F.lit("application/warc-fields"))], about))
-    return captures.select(F.explode(texts).alias("value"))
+                ("Content-Type", F.lit("application/http;msgtype=response"))], F.col("answer")),
+        record(F.lit("metadata"), F.col("metadata"),
+               [*common, to_own, ("Content-Type", F.lit("application/warc-fields"))], F.col("about")))
+    return named.select(F.explode(texts).alias("value"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE,
@@ -264,7 +271,10 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     path = shared_scratch(spark, "warc")
     write_archives(pages, path, min_bytes)
     read = read_archives(spark, path)
-    slim = (read.withColumns({"payload_bytes": F.octet_length("payload").cast("long"),
-                              "read_digest": F.when(F.col("warc_type") == "response", payload_digest(F.col("payload")))})
-            .drop("payload", "http_header"))
-    return resolve_revisits(handover(assemble(slim), "warc-assembled"))
+    answer = F.when(F.col("warc_type") == "response", F.col("payload"))
+    slim = with_digest(read.withColumn("payload_bytes", F.octet_length("payload").cast("long")), "read_digest", answer)
+    # written, as the two sides of the assembly would each take the archives apart
+    slim = handover(slim.drop("payload", "http_header"), "warc-records")
+    captures = handover(assemble(slim), "warc-assembled")
+    discard(slim)
+    return resolve_revisits(captures)

@@ -69,3 +69,27 @@ def test_parser_plain_gzip_and_damage():
         list(warc.records_in(one[:-8]))
     with pytest.raises(ValueError):
         list(warc.records_in(b"garbage\r\n\r\n"))
+
+
+def test_digest_hashes_a_payload_once(spark):
+    texts = [None, "", "a", "é" * 1000]
+    df = spark.createDataFrame([(t,) for t in texts], "payload string")
+    got = warc.with_digest(df, "digest", F.when(F.col("payload") != "a", F.col("payload")))
+    assert [r.digest for r in got.collect()] == [None, digest(""), None, digest("é" * 1000)]
+    assert got._jdf.queryExecution().executedPlan().toString().count("sha1(") == 1
+
+
+def test_archives_are_taken_apart_once(spark, monkeypatch):
+    counted, read = spark.sparkContext.accumulator(0), warc.read_archives
+
+    def counting(*args):
+        def seen(batches):
+            for batch in batches:
+                counted.add(batch.num_rows)
+                yield batch
+        df = read(*args)
+        return df.mapInArrow(seen, df.schema)
+
+    monkeypatch.setattr(warc, "read_archives", counting)
+    warc.round_trip(spark.createDataFrame(PAGES, SCHEMA)).collect()
+    assert counted.value == 3 * (len(PAGES) - 1)
