@@ -45,3 +45,14 @@ def test_frames(spark):
             text = text[:a] + (new or "") + text[min(max(b or 0, a), len(text)):]
         assert (r.text or "") == text
     assert C.build(edge.documents(spark, []), vocabulary_path()).collect() == []
+
+
+def test_edits_of_many_texts_are_cut_together(monkeypatch):
+    random.seed(7)
+    texts = ["".join(random.choices("aabst'vellrmd 's   \n\t12é!?日", k=random.choice([0, 3, 400, 3000]))) for _ in range(200)]
+    trees = [C.lay_out(ENC.pieces([t])[0], ENC) for t in texts]
+    steps, cut = [], C.piece_starts
+    monkeypatch.setattr(C, "piece_starts", lambda *a: steps.append(1) or cut(*a))
+    C.edit_round(texts, trees, [(len(t) // 3, len(t) // 3 + 20, " it's 2 new") for t in texts], ENC)
+    assert len(steps) <= 2
+    assert [t.count for t in trees] == [len(TIK.encode_ordinary(t)) for t in texts]
