@@ -167,7 +167,8 @@ def tree_keys(h: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tuple[np.
 
 
 def word_chunks(column: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row, word hashes, words per row) in bounded steps."""
+    """(first row, last row, word hashes or keys, their number per row) in
+    bounded steps."""
     counts = np.diff(column.offsets.to_numpy())
     values = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
     ends = np.cumsum(counts)
@@ -226,31 +227,36 @@ def blocks_by_range(keys: np.ndarray, bits: int, *columns: np.ndarray) -> tuple[
     return some, [pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary()) for x in columns]
 
 
-def shared_shorts(signed: DataFrame, bits: int) -> DataFrame:
-    """(short): the first ``bits`` + 32 bits of the keys that two or more
-    sets may have.  What moves is four bytes a key: a worker sends sorted
-    blocks of its keys' 32 bits, each once, to their range, and the few that
-    several of its own sets have beside them.  One in some thousands is there
-    by chance (or for an exact copy); no shared key is missing."""
-    def blocks(batches):
-        for batch in batches:
-            lists = batch.column(1)
-            sid = np.repeat(batch.column(0).to_numpy(), np.asarray(lists.value_lengths()))
-            keys = lists.flatten().to_numpy().view(np.uint64)
+def short_blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """(part, shorts, again) of rows (sid, keys), in bounded steps: a batch
+    of documents has millions of keys, which sorted at once would be most of
+    a worker's memory."""
+    for batch in batches:
+        sids = batch.column(0).to_numpy()
+        for a, b, keys, counts in word_chunks(batch.column(1)):
+            sid = np.repeat(sids[a:b], counts)
             order = np.argsort(keys, kind="stable")
             keys, sid = keys[order], sid[order]
             again = np.zeros(len(keys), bool)
             again[1:] = (keys[1:] == keys[:-1]) & (sid[1:] != sid[:-1])
             new = np.ones(len(keys), bool)
             new[1:] = keys[1:] != keys[:-1]
-            keys, own = np.concatenate([keys[new], keys[again]]), np.concatenate([np.zeros(new.sum(), bool), np.ones(again.sum(), bool)])
-            for mine in (False, True):
-                part = keys[own == mine]
+            for mine, part in ((False, keys[new]), (True, keys[again])):
                 some, (shorts,) = blocks_by_range(part, bits, (part >> np.uint64(32 - bits)).astype(np.uint32))
                 if len(some):
                     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), shorts, pa.array(np.full(len(some), mine))],
                                                      names=["part", "shorts", "again"])
 
+
+def shared_shorts(signed: DataFrame, bits: int) -> DataFrame:
+    """(short): the first ``bits`` + 32 bits of the keys that two or more
+    sets may have.  What moves is four bytes a key: a worker sends sorted
+    blocks of its keys' 32 bits, each once, to their range, and the few that
+    several of its own sets have beside them.  One in some thousands is there
+    by chance (or for an exact copy); no shared key is missing."""
+    def blocks(batches):
+        return short_blocks(batches, bits)
+
     def meet(table: pa.Table) -> pa.Table:
         part = np.int64(table.column("part")[0].as_py())
         again = table.column("again").to_numpy()
@@ -326,23 +332,29 @@ def likely(rows: DataFrame, shorts: DataFrame, bits: int) -> DataFrame:
     return bloom.probe(rows, short, handover(table, "join-filter"), blocks).filter("maybe").drop("maybe")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text", points: bool = False) -> DataFrame:
     """(sid, grams) of the documents in wanted (sid, doc_id, hash, repeated),
-    a written table.  Only rows that the table repeats need their sets told
-    apart again."""
+    a written table; with ``points`` their (sid, size, point), made in the
+    same worker, as a second one beside it would hold its memory too.  Only
+    rows that the table repeats need their sets told apart again."""
     def run(batches):
         for batch in batches:
             for a, b, words, counts in word_chunks(batch.column(1)):
                 h, sizes = gram_sets(words, counts, n)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), as_lists(h.view(np.int64), sizes)],
-                                                 names=["sid", "grams"])
-
+                sid = batch.column(0).slice(a, b - a)
+                if points:
+                    yield pa.RecordBatch.from_arrays([sid, pa.array(sizes), pa.array(points_of(h, sizes), pa.binary())],
+                                                     names=["sid", "size", "point"])
+                else:
+                    yield pa.RecordBatch.from_arrays([sid, as_lists(h.view(np.int64), sizes)], names=["sid", "grams"])
+
+    made = "sid long, size long, point binary" if points else "sid long, grams array<long>"
     named = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
 
     def read(some: DataFrame) -> DataFrame:
         same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("hash"))
         return (named.join(small(some, 48), same).select("sid", word_hashes(named, "_text").alias("words"))
-                .mapInArrow(run, "sid long, grams array<long>"))
+                .mapInArrow(run, made))
 
     several = wanted.filter("repeated")
     if several.isEmpty():
@@ -530,7 +542,7 @@ def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, n
     rows = handover(rows, "join-pairs-units")
     wanted = handover(large.join(plan, "family", "left_semi").select("sid").join(members, "sid")
                       .select("sid", "doc_id", "hash", "repeated"), "join-wanted")
-    points = handover(points_of(sets_of(docs, wanted, n)), "join-points")
+    points = handover(sets_of(docs, wanted, n, points=True), "join-points")
 
     def search(table: pa.Table) -> pa.Table:
         return candidates(table, num, den)
@@ -547,23 +559,16 @@ def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, n
     return found
 
 
-def points_of(sets: DataFrame) -> DataFrame:
-    """(sid, size, point) of sets (sid, grams): counts of about a quarter as
-    many hashed groups as n-grams, a byte each (255 stands for more)."""
-    def run(batches):
-        for batch in batches:
-            sizes = np.asarray(batch.column(1).value_lengths()).astype(np.int64)
-            grams = batch.column(1).flatten().to_numpy().view(np.uint64)
-            cut = np.concatenate([[0], np.cumsum(sizes)])
-            found = []
-            for i, size in enumerate(sizes):
-                groups = min(MOST_GROUPS, max(32, 1 << math.ceil(math.log2(max(1, size / 4)))))
-                counts = np.bincount((grams[cut[i]:cut[i + 1]] % np.uint64(groups)).astype(np.int64), minlength=groups)
-                found.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(found, pa.binary())],
-                                             names=["sid", "size", "point"])
-
-    return sets.mapInArrow(run, "sid long, size long, point binary")
+def points_of(grams: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Points of sets end to end: counts of about a quarter as many hashed
+    groups as n-grams, a byte each (255 stands for more)."""
+    cut = np.concatenate([[0], np.cumsum(sizes)])
+    found = []
+    for i, size in enumerate(sizes):
+        groups = min(MOST_GROUPS, max(32, 1 << math.ceil(math.log2(max(1, size / 4)))))
+        counts = np.bincount((grams[cut[i]:cut[i + 1]] % np.uint64(groups)).astype(np.int64), minlength=groups)
+        found.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+    return found
 
 
 def bound_pairs(points: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> Iterator[tuple]:

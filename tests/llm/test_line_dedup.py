@@ -93,3 +93,15 @@ def test_a_failed_batch_counts_for_nothing(spark):
         assert len(again.runs) == 1 and again.repeats == []
         again.add(batch(spark, 1))
         assert sorted(r.h1 for r in again.common_keys(2).collect()) == list(range(10, 20))
+
+
+def test_manifest_starts_no_python_workers(spark, monkeypatch):
+    """Rows of the driver would go through workers of another kind, which
+    stay beside those of the later operators."""
+    docs = edge.documents(spark, extra=True)
+
+    def local(*_, **__):
+        raise AssertionError("a local row")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", local)
+    assert line_dedup.drop_common_lines(docs).count() == len(edge.EDGE)

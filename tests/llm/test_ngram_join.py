@@ -245,3 +245,43 @@ def test_points_let_no_linked_pair_go(num, den):
                 if i != j and den * k >= num * (sizes[i] + sizes[j] - k):
                     assert tuple(sorted((int(i), int(j)))) in got
         assert len(got) < len(left) * len(right) / 2
+
+
+def test_blocks_of_shorts_are_made_in_bounded_steps():
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    keys = rng.integers(-2**63, 2**63 - 1, (3000, 300))
+    keys[1:, 0] = keys[0, 0]                                 # a key of all sets
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3000)), pa.array(list(keys))], names=["sid", "keys"])
+    out = list(J.short_blocks(iter([batch.slice(0, 1000), batch.slice(1000)]), 4))
+    assert max(sum(len(x.as_py()) for x in b.column(1)) for b in out) <= 4 * J.CHUNK_WORDS
+    alone, again = [], []
+    for b in out:
+        for part, x, mine in zip(*(c.to_pylist() for c in b.columns)):
+            shorts = (part << 32) | np.frombuffer(x, np.uint32).astype(np.int64)
+            (again if mine else alone).extend(shorts.tolist())
+    every = (keys.ravel().view(np.uint64) >> np.uint64(28)).astype(np.int64)
+    hot = int(keys[:1, 0].view(np.uint64)[0] >> np.uint64(28))
+    assert set(alone) == set(every.tolist()) and set(again) == {hot} and len(alone) < len(every)
+
+
+def test_points_are_made_by_the_workers_of_the_sets(spark, monkeypatch):
+    """One Python worker per task, not a second one for the points."""
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        text = [f"b{k}" for k in range(120)]
+        for at in rng.sample(range(120), 8 if i % 7 else 12):
+            text[at] = f"r{rng.randint(0, 10**9)}"
+        rows.append((i, " ".join(text)))
+    monkeypatch.setattr(J, "TILE", 10)
+    workers, write = {}, J.handover
+
+    def handover(df, name):
+        workers[name] = df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+        return write(df, name)
+
+    monkeypatch.setattr(J, "handover", handover)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.link_groups(docs, 1, 90, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == edge.groups(rows, 1, 90, 100)
+    assert workers["join-points"] == 1

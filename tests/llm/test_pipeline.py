@@ -44,6 +44,12 @@ def test_each_stage_against_brute_force(spark):
     assert all(d["round_trip"] for d in results["byte_bpe"])
 
 
+def test_one_worker_per_task_encodes_and_decodes(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    plan = P.encode(spark, docs, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_hard_rows_pass_all_stages(spark, tmp_path):
     more = [(20 + i, f"{edge.SHARED}\n" + " ".join(f"tok{i}x{j}" for j in range(30)), "d") for i in range(4)]
     docs = edge.documents(spark, edge.EDGE + more, extra=True).selectExpr("*", "'en' AS lang", "cast(1 as bigint) AS n_chars")
