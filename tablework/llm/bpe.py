@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tablework.llm.common import need, without
+from tablework.llm.common import need, released, without
 
 NONE = np.int32(2**31 - 1)
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -410,7 +410,7 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, ids])
 
     schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "decoded",
@@ -441,4 +441,4 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "de
                 yield pa.RecordBatch.from_arrays([*rest, column], names=[*names, out])
 
     fields = [f for f in df.schema.fields if keep or f.name.lower() != ids.lower()]
-    return df.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.BinaryType())]))
+    return df.mapInArrow(released(run), T.StructType([*fields, T.StructField(out, T.BinaryType())]))

@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 
 from tablework.llm import bloom
 from tablework.llm.bpe import spans
-from tablework.llm.common import BROADCAST_BYTES, discard, handover, lower_ascii, need, pack, small, unpack, word_array
+from tablework.llm.common import BROADCAST_BYTES, discard, handover, lower_ascii, need, pack, released, small, unpack, word_array
 from tablework.llm.components import components
 
 BAND_RATIO = 1.5            # largest to smallest size of a band
@@ -208,7 +208,7 @@ def signatures(docs: DataFrame, n: int, num: int, den: int, text: str = "text")
                     as_lists(keys, per)], names=["doc_id", "hash", "size", "sid", "keys"])
 
     return (docs.select("doc_id", F.xxhash64(text).alias("hash"), word_hashes(docs, text).alias("words"))
-            .mapInArrow(run, "doc_id long, hash long, size long, sid long, keys array<long>"))
+            .mapInArrow(released(run), "doc_id long, hash long, size long, sid long, keys array<long>"))
 
 
 # ----------------------------------------------------------- shared keys
@@ -266,7 +266,7 @@ def shared_shorts(signed: DataFrame, bits: int) -> DataFrame:
         shared = np.unique(np.concatenate([twice, *[x for x, a in zip(every, again) if a]]))
         return pa.table([pa.array((part << 32) | shared.astype(np.int64))], names=["short"])
 
-    return (signed.select("sid", "keys").mapInArrow(blocks, "part int, shorts binary, again boolean")
+    return (signed.select("sid", "keys").mapInArrow(released(blocks), "part int, shorts binary, again boolean")
             .groupBy("part").applyInArrow(meet, "short long"))
 
 
@@ -318,7 +318,7 @@ def key_edges(rows: DataFrame, bits: int) -> DataFrame:
             pairs = star_edges(first.view(np.uint64), second)[2]
         return pa.table([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])
 
-    return (rows.select("sid", "key").mapInArrow(blocks, "part int, first binary, second binary")
+    return (rows.select("sid", "key").mapInArrow(released(blocks), "part int, first binary, second binary")
             .groupBy("part").applyInArrow(meet, "a long, b long").distinct())
 
 
@@ -354,7 +354,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, text: str = "text", poin
     def read(some: DataFrame) -> DataFrame:
         same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("hash"))
         return (named.join(small(some, 48), same).select("sid", word_hashes(named, "_text").alias("words"))
-                .mapInArrow(run, made))
+                .mapInArrow(released(run), made))
 
     several = wanted.filter("repeated")
     if several.isEmpty():

@@ -285,3 +285,14 @@ def test_points_are_made_by_the_workers_of_the_sets(spark, monkeypatch):
     got = J.link_groups(docs, 1, 90, 100).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == edge.groups(rows, 1, 90, 100)
     assert workers["join-points"] == 1
+
+
+def test_workers_give_memory_back_when_a_step_is_over(monkeypatch):
+    from types import SimpleNamespace
+    from tablework.llm import common
+    seen = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: seen.append("back")))
+    seen += common.released(lambda batches: (2 * b for b in batches))(iter([1, 2]))
+    assert seen == [2, 4, "back"]
+    frames = [J.signatures, J.shared_shorts, J.key_edges]
+    assert all("released" in f.__code__.co_names for f in frames)
