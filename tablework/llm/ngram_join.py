@@ -31,12 +31,18 @@ are passed over, and what leaves the task is at most one link per member.
 A family of more than TILE members, such as all sets with a passage, is first
 dealt by the least of the sets that a member shares a key with, which copies
 of a text have in common (and beyond TILE members to tiles that also get the
-first of them).  Only if it stays in several components do the members
-outside the largest one meet all others, tile by tile: points go there, a
-byte for four n-grams, and sets only of the pairs that the bound leaves.
-Work on a family of unlinked sets therefore grows with the square of its
-members over TILE tasks, points with members x tiles; families of near
-copies grow in proportion.
+first of them).  Only if it stays in several components are its sets split
+again, by their rare n-grams: in one order of all n-grams, those that few
+members have first, a linked pair shares one of the first of each set, as
+many as the set may miss and one more.  Sets that share such n-grams are a
+narrow family; one that has fewer n-grams in common with the others than a
+link needs is in none.  A passage is no longer a reason to meet, unless
+it is nearly the whole text.  In a narrow family the members outside the
+largest component meet all others, tile by tile beyond TILE members: points
+go there, a byte for four n-grams, and sets only of the pairs that the bound
+leaves.  Only sets that are nearly a common passage and still unlinked, more
+than TILE of them, make work with the square of their number and points with
+members x tiles; all else grows in proportion.
 
 Defined results: a null text, or one without words, has an empty set and is
 its own group; fewer words than n make one n-gram of all words; equal sets
@@ -67,6 +73,7 @@ KEYS_PER_PART = 1 << 20     # keys of one range
 TILE = 2048                 # members of a family that one task holds, at most
 TILE_GRAMS = 1 << 21        # and their n-grams
 BATCH_GRAMS = 1 << 20       # n-grams of small families that one task holds
+RARE_GRAMS = 1 << 18        # n-grams of large families that one task counts
 LEADS = 4                   # first members that all others are compared with
 LEAF = 16
 MOST_GROUPS = 4096          # coordinates of a point, at most
@@ -488,6 +495,11 @@ def search_units(rows: DataFrame, members: DataFrame, docs: DataFrame, n: int, n
             .groupBy("batch").applyInArrow(search, "a long, b long"))
 
 
+def tiles_of() -> Column:
+    """Tiles for the members (size) of a group."""
+    return F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int")
+
+
 def first_tiles(members: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links inside every unit of one tile, and inside the tiles of larger
     ones, each with the unit's first members.  A unit is a family, or in a
@@ -507,19 +519,61 @@ def first_tiles(members: DataFrame, docs: DataFrame, n: int, num: int, den: int)
     return search_units(rows, members, docs, n, num, den)
 
 
+def rare_grams(sets: DataFrame, total: int, num: int, den: int) -> DataFrame:
+    """(sid, keys): n-grams of which linked sets share one, for sets (sid,
+    grams) with ``total`` n-grams.  In the order of the n-grams by the number
+    of sets that have them (then by hash), the first that a linked pair has in
+    common comes before the last ``need`` of either set.  N-grams of one set
+    alone come first and connect nothing; they are left out, and so are sets
+    that share fewer than ``need``."""
+    held = F.count("*").over(Window.partitionBy("gram"))
+    rows = (sets.repartition(max(1, math.ceil(total / RARE_GRAMS)), "sid")
+            .select("sid", F.size("grams").alias("size"), F.explode("grams").alias("gram")))
+    shared = (rows.withColumn("held", held).filter("held > 1").groupBy("sid")
+              .agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("held", "gram"))).alias("shared")))
+    need = F.ceil(num * F.col("size") / den)
+    first = (F.size("shared") - need + 1).cast("int")
+    return shared.filter(first > 0).select("sid", F.slice("shared", F.lit(1), first).getField("gram").alias("keys"))
+
+
+def narrow_families(large: DataFrame, members: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(sid, family, parts, size, root) of the members of large families that
+    share rare n-grams; these families are narrower, and any linked pair is
+    in one."""
+    wanted = handover(large.select("sid").join(members, "sid").select("sid", "doc_id", "hash", "repeated", "size"), "join-wanted")
+    total = wanted.agg(F.sum("size").alias("n")).first()["n"] or 0
+    rare = handover(rare_grams(sets_of(docs, wanted.drop("size"), n), total, num, den), "join-rare")
+    narrow = families(rare)
+    placed = large.select("sid", "size", "root").join(narrow.select(F.col("node").alias("sid"), F.col("root").alias("family")), "sid")
+    found = handover(placed.join(placed.groupBy("family").agg(tiles_of().alias("parts")), "family")
+                     .select("sid", "family", "parts", "size", "root"), "join-narrow")
+    discard(wanted, rare, narrow)
+    return found
+
+
+def in_components(large: DataFrame) -> DataFrame:
+    """(family, main, m, all, components, parts) of the families that are in
+    several components; main is the largest, with m members."""
+    of = large.groupBy("family", "root").agg(F.count("*").alias("m"), F.first("parts").alias("parts"))
+    return (of.groupBy("family").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("m"),
+                                     F.sum("m").alias("all"), F.count("*").alias("components"), F.first("parts").alias("parts"))
+            .filter("components > 1"))
+
+
 def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame | None:
     """Links between the units and tiles of large families that are still in
-    several components: members outside the largest one against all.  Points
-    go to the tiles, a byte for four n-grams; the few pairs whose bound
-    reaches the overlap needed are verified on their sets.  None if there are
-    no such families."""
+    several components: members of a narrow family outside its largest
+    component against all.  Points go to the tiles, a byte for four n-grams;
+    the few pairs whose bound reaches the overlap needed are verified on
+    their sets.  None if there are no such families."""
     large = (members.filter("parts > 1").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-             .select("sid", "family", "parts", F.coalesce("root", "sid").alias("root")))
+             .select("sid", "family", "parts", "size", F.coalesce("root", "sid").alias("root")))
     large = handover(large, "join-large")
-    of = large.groupBy("family", "root").agg(F.count("*").alias("m"), F.first("parts").alias("parts"))
-    main = (of.groupBy("family").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("m"),
-                                     F.sum("m").alias("all"), F.count("*").alias("components"), F.first("parts").alias("parts"))
-            .filter("components > 1"))
+    apart = handover(in_components(large).select("family"), "join-apart")
+    if apart.isEmpty():
+        return None
+    large = narrow_families(large.join(apart, "family", "left_semi"), members, docs, n, num, den)
+    main = in_components(large)
     share = F.col("all") / F.col("parts")
     plan = handover(main.select("family", "main", F.ceil(F.col("m") / share).cast("int").alias("p"),
                                 F.ceil((F.col("all") - F.col("m")) / share).cast("int").alias("q")), "join-plan")
@@ -537,8 +591,10 @@ def other_tiles(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, n
     with_strays = F.transform(F.sequence(F.greatest("p", "part"), last), lambda t: tiles(F.col("part"), t))
     before = F.transform(F.sequence(F.lit(0), F.col("part")), lambda t: tiles(t, F.col("part")))
     at = F.array_distinct(F.when(F.col("part") >= F.col("p"), F.concat(before, with_strays)).otherwise(with_strays))
-    rows = (placed.withColumn("at", F.explode(at)).select("sid", "family", "root", "part", "at.t1", "at.t2")
-            .withColumn("batch", F.xxhash64("family", "t1", "t2")))
+    batches = large.filter("parts = 1").agg(tiles_of().alias("n")).first()["n"] or 1
+    batch = F.when(F.col("parts") > 1, F.xxhash64("family", "t1", "t2")).otherwise(F.pmod(F.xxhash64("family"), F.lit(batches)))
+    rows = (placed.withColumn("at", F.explode(at)).select("sid", "family", "parts", "root", "part", "at.t1", "at.t2")
+            .withColumn("batch", batch))
     rows = handover(rows, "join-pairs-units")
     wanted = handover(large.join(plan, "family", "left_semi").select("sid").join(members, "sid")
                       .select("sid", "doc_id", "hash", "repeated"), "join-wanted")
@@ -658,7 +714,7 @@ def link_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> D
     signed = handover(whole.drop("keys", "hash"), "join-signed")
     discard(whole)
     sized = family.join(nodes.select(F.col("sid").alias("node"), "size", "rep", "repeated"), "node")
-    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_GRAMS)).cast("int")
+    tiles = tiles_of()
     large = sized.groupBy("root").agg(tiles.alias("parts")).filter("parts > 1")
     placed = sized.join(large, "root", "left").select(
         F.col("node").alias("sid"), F.col("root").alias("family"), "size", F.coalesce("parts", F.lit(1)).alias("parts"),

@@ -296,3 +296,52 @@ def test_workers_give_memory_back_when_a_step_is_over(monkeypatch):
     assert seen == [2, 4, "back"]
     frames = [J.signatures, J.shared_shorts, J.key_edges]
     assert all("released" in f.__code__.co_names for f in frames)
+
+
+def test_a_passage_does_not_bring_its_sets_together(spark, monkeypatch):
+    """Sets of three fourths one passage are one large family and hardly
+    link: the rows dealt to tiles stay within two a set, and the pairs that
+    do link are found."""
+    rng, rows = random.Random(11), []
+    passage = [f"p{k}" for k in range(90)]
+    for i in range(200):
+        if i % 10 == 9:
+            own = own[:27] + [f"c{i}x{k}" for k in range(3)]
+        else:
+            own = [f"o{rng.randint(0, 10**9)}" for _ in range(30)]
+        rows.append((i, " ".join(passage + own)))
+    monkeypatch.setattr(J, "TILE", 20)
+    counts, write = {}, J.handover
+
+    def counted(df, name):
+        table = write(df, name)
+        if name in ("join-large", "join-pairs-units"):
+            counts[name] = table.count()
+        return table
+
+    monkeypatch.setattr(J, "handover", counted)
+    got = J.link_groups(spark.createDataFrame(rows, "doc_id long, text string"), 1, 90, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == edge.groups(rows, 1, 90, 100)
+    assert len({r.component_id for r in got}) == 180
+    assert counts["join-large"] >= 150 and counts.get("join-pairs-units", 0) <= 2 * len(rows)
+
+
+def test_linked_sets_share_a_rare_gram(spark):
+    """Sets at the threshold beside very common n-grams."""
+    rng = np.random.default_rng(12)
+    common = rng.integers(-2**62, 2**62, 60)
+    sets = []
+    for size in (1, 4, 5, 20, 75, 100, 400):
+        for _ in range(4):
+            base = np.concatenate([rng.integers(-2**62, 2**62, size), common[:rng.integers(0, 60)]])
+            drop = rng.integers(0, 1 + len(base) // 5)
+            sets += [base, base[drop:], np.concatenate([base, rng.integers(-2**62, 2**62, len(base) // 4)])]
+    sets = [set(x.tolist()) for x in sets]
+    df = spark.createDataFrame([(i, list(x)) for i, x in enumerate(sets)], "sid long, grams array<long>")
+    for num in (80, 90):
+        keys = {r.sid: set(r["keys"]) for r in J.rare_grams(df, 10**4, num, 100).collect()}
+        assert all(k <= sets[i] for i, k in keys.items())
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if 100 * len(a & b) >= num * len(a | b):
+                    assert keys[i] & keys[j], (num, i, j)
