@@ -72,8 +72,7 @@ CHUNK_WORDS = 1 << 18       # words per step in a worker
 KEYS_PER_PART = 1 << 20     # keys of one range
 TILE = 2048                 # members of a family that one task holds, at most
 TILE_GRAMS = 1 << 21        # and their n-grams
-BATCH_GRAMS = 1 << 20       # n-grams of small families that one task holds
-RARE_GRAMS = 1 << 18        # n-grams of large families that one task counts
+BATCH_GRAMS = 1 << 20       # n-grams of small families that one task holds, or of a large one that it sends
 LEADS = 4                   # first members that all others are compared with
 LEAF = 16
 MOST_GROUPS = 4096          # coordinates of a point, at most
@@ -525,14 +524,16 @@ def rare_grams(sets: DataFrame, total: int, num: int, den: int) -> DataFrame:
     of sets that have them (then by hash), the first that a linked pair has in
     common comes before the last ``need`` of either set.  N-grams of one set
     alone come first and connect nothing; they are left out, and so are sets
-    that share fewer than ``need``."""
+    that share fewer than ``need``.  40 bits of a hash are sent; n-grams that
+    agree in them count as one, which hides no common one."""
     held = F.count("*").over(Window.partitionBy("gram"))
-    rows = (sets.repartition(max(1, math.ceil(total / RARE_GRAMS)), "sid")
-            .select("sid", F.size("grams").alias("size"), F.explode("grams").alias("gram")))
+    short = F.array_distinct(F.transform("grams", lambda g: g.bitwiseAND(F.lit(-1 << 24))))
+    rows = (sets.coalesce(max(1, math.ceil(total / BATCH_GRAMS))).select("sid", F.size("grams").alias("size"), short.alias("short"))
+            .select("sid", "size", F.size("short").alias("distinct"), F.explode("short").alias("gram")))
     shared = (rows.withColumn("held", held).filter("held > 1").groupBy("sid")
-              .agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("held", "gram"))).alias("shared")))
-    need = F.ceil(num * F.col("size") / den)
-    first = (F.size("shared") - need + 1).cast("int")
+              .agg(F.first("size").alias("size"), F.first("distinct").alias("distinct"), F.sort_array(F.collect_list(F.struct("held", "gram"))).alias("shared")))
+    miss = F.col("size") - F.ceil(num * F.col("size") / den)
+    first = (miss + 1 - (F.col("distinct") - F.size("shared"))).cast("int")
     return shared.filter(first > 0).select("sid", F.slice("shared", F.lit(1), first).getField("gram").alias("keys"))
 
 
