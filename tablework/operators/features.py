@@ -137,21 +137,29 @@ class MeanEncoding:
         return out.drop("__own", "__fold")
 
 
-def fit_means(train: DataFrame, keys, cols=CATEGORY_COLUMNS, label: str = "delay_minutes", seed: int = 42) -> MeanEncoding:
+def fold_of(keys, seed: int = 42) -> Column:
+    """The keyed fold of a row; rows with a null key are in the first."""
+    return F.coalesce(F.floor(unit_draw(list(keys), seed, "fold") * FOLDS).cast("int"), F.lit(0))
+
+
+def fit_means(train: DataFrame, keys, cols=CATEGORY_COLUMNS, label: str = "delay_minutes", seed: int = 42,
+              fold: Column | None = None) -> MeanEncoding:
     """Label sums per category and keyed fold, all columns in one aggregate
-    (combined before the shuffle).  For categories with many values: one
-    number per column, so trees need no bin per value and do not learn single
-    labels by heart."""
+    (combined before the shuffle, where a row is one fold's count and total).
+    For categories with many values: one number per column, so trees need no
+    bin per value and do not learn single labels by heart.  ``fold``: the
+    column that holds :func:`fold_of`, if it was drawn before."""
     cols = present_columns(train, cols)
-    fold = F.coalesce(F.floor(unit_draw(list(keys), seed, "fold") * FOLDS).cast("int"), F.lit(0))
+    fold = fold_of(keys, seed) if fold is None else fold
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
     rows = (train.where(F.col(label).isNotNull()).select(F.inline(pairs), F.col(label).cast("double").alias("y"), fold.alias("f"))
             if cols else train.sparkSession.createDataFrame([], "column string, value string, y double, f int"))
     in_fold = [F.col("f") == i for i in range(FOLDS)]
-    means = (rows.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("total"),
-        F.array(*[F.count_if(x) for x in in_fold]).alias("fold_n"),
-        F.array(*[F.sum(F.when(x, F.col("y")).otherwise(0.0)) for x in in_fold]).alias("fold_total")))
+    parts = rows.where(F.col("value").isNotNull()).groupBy("column", "value", "f").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
+    means = parts.groupBy("column", "value").agg(
+        F.sum("n").alias("n"), F.sum("y").alias("total"),
+        F.array(*[F.sum(F.when(x, F.col("n")).otherwise(0)) for x in in_fold]).alias("fold_n"),
+        F.array(*[F.sum(F.when(x, F.col("y")).otherwise(0.0)) for x in in_fold]).alias("fold_total"))
     path = shared_scratch(train.sparkSession, "category-means")
     means.write.parquet(path)
     prior = train.agg(F.avg(label).alias("m")).first()["m"]
@@ -190,7 +198,12 @@ def prepare(df: DataFrame, label: str = "delay_minutes", leaky_features: bool =
     """Time features, non-null label, boolean flag as int.  ``leaky_features=False``
     leaves ``is_disrupted`` out of the features (the label is drawn from
     it, so with it the fit mostly learns the flag)."""
-    out = add_time_features(df).where(F.col(label).isNotNull())
+    return labelled(add_time_features(df), label, leaky_features)
+
+
+def labelled(df: DataFrame, label: str = "delay_minutes", leaky_features: bool = True) -> DataFrame:
+    """The rows of :func:`prepare` with time features already there."""
+    out = df.where(F.col(label).isNotNull())
     if "is_disrupted" in out.columns:
         out = out.withColumn("is_disrupted", F.col("is_disrupted").cast("int"))
     if not leaky_features and "is_disrupted" in out.columns:
@@ -218,24 +231,33 @@ def indexed_features(df: DataFrame, keys=("trip_id", "stop_sequence", "stop_id")
     ``"ordinal"`` passes every index as a frequency rank; ``"mean"`` passes
     out-of-fold label means (:func:`fit_means`), the choice for categories
     with very many values.  The choice is the caller's and never follows
-    from the data.  ``validation``: share of the train rows, by keyed hash,
-    that ``held_out`` marks, for fits that stop on them.
+    from the data.  With ``"mean"``, df is passed over once: draws and the
+    columns needed are written to a scratch table.  ``validation``: share of
+    the train rows, by keyed hash, that ``held_out`` marks, for fits that
+    stop on them.
     """
     from tablework.operators.sampling import split_column
 
     if category_mode not in ("nominal", "ordinal", "mean"):
         raise ValueError(f"category_mode is 'nominal', 'ordinal' or 'mean', not {category_mode!r}")
-    prepared = prepare(df, label, leaky_features).withColumn(
-        "split", split_column(list(keys), weights, seed))
+    draws = {"split": split_column(list(keys), weights, seed)}
     if validation:
         held = F.coalesce(unit_draw(list(keys), seed, "validation") < validation, F.lit(False))
-        prepared, keep = prepared.withColumn("held_out", held & (F.col("split") == 0)), (*keep, "held_out")
+        draws["held_out"], keep = held & (F.col("split") == 0), (*keep, "held_out")
     candidates = CANDIDATE_FEATURES
     if category_mode == "mean":
+        # three passes follow (sums, overall mean, means), so draws and features are worked out once
+        rows = add_time_features(df).withColumns({"split": draws.pop("split"), "drawn_fold": fold_of(keys, seed)}).withColumns(draws)
+        columns = [*present_columns(rows, [*CANDIDATE_FEATURES, *CATEGORY_COLUMNS]), label, "split", "drawn_fold", *keep]
+        path = shared_scratch(df.sparkSession, "prepared")
+        rows = rows.select(*dict.fromkeys(columns))
+        rows.write.parquet(path)
+        prepared = labelled(df.sparkSession.read.schema(rows.schema).parquet(path), label, leaky_features)
         fitted = (F.col("split") == 0) & ~(F.col("held_out") if validation else F.lit(False))
-        prepared = fit_means(prepared.where(fitted), keys, label=label, seed=seed).transform(prepared, fitted)
+        prepared = fit_means(prepared.where(fitted), keys, label=label, seed=seed, fold=F.col("drawn_fold")).transform(prepared, fitted)
         candidates = [c.replace("_idx", "_mean") for c in CANDIDATE_FEATURES]
     else:
+        prepared = prepare(df, label, leaky_features).withColumn("split", draws.pop("split")).withColumns(draws)
         index = fit_index(prepared.where(F.col("split") == 0) if index_fit == "train" else prepared)
         prepared = index.transform(prepared)
         if category_mode == "ordinal":

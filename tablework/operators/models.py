@@ -53,13 +53,21 @@ class Bins:
 
     def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
         """df with the binned features replaced by their bin's number."""
-        arr = vector_to_array(features)
+        binned = array_to_vector(self.numbers(vector_to_array(features)))
+        return df.withColumn(features, binned).withMetadata(features, df.schema[features].metadata)
 
-        def number(x: Column, cuts: list[float]) -> Column:
-            return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < x)).cast("double")
+    def numbers(self, values: Column) -> Column:
+        """An array of feature values with the binned ones as their bin's
+        number, the number of cuts below the value."""
 
-        values = [arr[i] if cuts is None else number(arr[i], cuts) for i, cuts in enumerate(self.cuts)]
-        return df.withColumn(features, array_to_vector(F.array(*values))).withMetadata(features, df.schema[features].metadata)
+        def number(x: Column, cuts: list[float], first: int = 0) -> Column:
+            # halves in the expression: generated code, and few comparisons a row
+            if not cuts:
+                return F.lit(float(first))
+            k = len(cuts) // 2
+            return F.when(x > F.lit(cuts[k]), number(x, cuts[k + 1:], first + k + 1)).otherwise(number(x, cuts[:k], first))
+
+        return F.array(*[values[i] if cuts is None else number(values[i], cuts) for i, cuts in enumerate(self.cuts)])
 
 
 @dataclass
@@ -97,50 +105,88 @@ def row_blocks(train: DataFrame, held_out: str | None = None, blocks: int = BLOC
     stop."""
     attrs = train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     nominal = {a["idx"] for a in attrs.get("nominal", [])}
-    arr = vector_to_array("features")
-    size = train.select(F.size(arr).alias("k")).first()
+    size = train.select(F.size(vector_to_array("features")).alias("k")).first()
     if size is None:
         return None
-    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    # the vector is unpacked once a row, in a projection of its own
+    flat = train.select(vector_to_array("features").alias("raw"), F.col("label").cast("double").alias("label"), *([held_out] if held_out else []))
     fitted = ~F.col(held_out) if held_out else F.lit(True)
-    x = [F.when(fitted, arr[i]) for i in range(size["k"])]
-    seen = train.agg(F.count(F.lit(1)), *[F.percentile_approx(v, shares, F.lit(40 * bins)) for v in x],
-                     *[F.approx_count_distinct(v) for v in x]).first()
-    if seen[0] <= blocks:
+    x = [F.when(fitted, F.col("raw")[i]) for i in range(size["k"])]
+    n, *counts = flat.agg(F.count(F.lit(1)), *[F.approx_count_distinct(v) for v in x]).first()
+    if n <= blocks:
         return None
-    quantiles, counts = seen[1:1 + len(x)], seen[1 + len(x):]
-    cuts = Bins([None if i in nominal or counts[i] < bins else sorted(set(quantiles[i] or [])) for i in range(len(x))])
-    # the binned vector, and a hash of the row as it was for the block number
-    binned = cuts.transform(train.withColumn("__raw", F.col("features"))).select(
-        vector_to_array("features").alias("x"), F.xxhash64(vector_to_array("__raw"), "label").alias("h"), F.col("label").cast("double").alias("label"),
-        *([held_out] if held_out else []))
-    rows = binned.where(fitted)
+    many = [i for i in range(len(x)) if i not in nominal and counts[i] >= bins]
+    cuts = Bins([None] * len(x))
+    if many:
+        shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+        quantiles = flat.agg(*[F.percentile_approx(x[i], shares, F.lit(40 * bins)) for i in many]).first()
+        for i, q in zip(many, quantiles):
+            cuts.cuts[i] = sorted(set(q or []))
+    rows = flat.where(fitted).select(cuts.numbers(F.col("raw")).alias("x"), "raw", "label")
     groups = max(1, rows.agg(F.approx_count_distinct(F.xxhash64("x"))).first()[0])
-    out = (rows.groupBy("x", F.pmod("h", F.lit(max(1, blocks // groups))).alias("block"))
+    deals = max(1, blocks // groups)
+    # the block number is from a hash of the row as it was
+    by = [F.pmod(F.xxhash64("raw", "label"), F.lit(deals)).alias("block")] if deals > 1 else []
+    out = (rows.groupBy("x", *by)
            .agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
            .select("x", "label", "weight", *([F.lit(False).alias(held_out)] if held_out else [])))
     if held_out:
-        out = out.unionAll(binned.where(F.col(held_out)).select("x", "label", F.lit(1.0).alias("weight"), held_out))
+        single = flat.where(F.col(held_out)).select(cuts.numbers(F.col("raw")).alias("x"), "label", F.lit(1.0).alias("weight"), held_out)
+        out = out.unionAll(single)
     out = out.select(array_to_vector("x").alias("features"), *out.columns[1:])
     return out.withMetadata("features", train.schema["features"].metadata), cuts
 
 
-def _fit_trees(estimator, train: DataFrame, held_out: str | None = None):
+class TreeRows:
+    """The blocks of one train table, made once for all tree fits on the same
+    bins and held-out rows, and kept until ``release``."""
+
+    def __init__(self, train: DataFrame):
+        self.train = train
+        self.kept: dict = {}
+        #: Seconds that blocks found ready had taken when they were made.
+        self.spared = 0.0
+
+    def get(self, held_out: str | None, bins: int) -> tuple[DataFrame, Bins] | None:
+        """:func:`row_blocks`, written to the cache, or None for few rows."""
+        of = (held_out, bins)
+        if of in self.kept:
+            self.spared += self.kept[of][1]
+            return self.kept[of][0]
+        t0 = time.perf_counter()
+        found = row_blocks(self.train, held_out, bins=bins)
+        if found:
+            found = (spread(found[0], self.train.sparkSession.sparkContext.defaultParallelism).persist(), found[1])
+            found[0].count()
+        self.kept[of] = (found, time.perf_counter() - t0)
+        return found
+
+    def release(self) -> None:
+        for found, _ in self.kept.values():
+            if found:
+                found[0].unpersist()
+        self.kept.clear()
+
+
+def _fit_trees(estimator, train: DataFrame, held_out: str | None = None, made: TreeRows | None = None):
     """The estimator's fit on the rows, or on their blocks if they are many
-    (and have no weights of their own)."""
-    weighted = estimator.isDefined("weightCol")
-    found = None if weighted else row_blocks(train, held_out, bins=min(BINS, estimator.getMaxBins()))
-    if found is None:
+    (and have no weights of their own).  ``made``: blocks that several fits share."""
+    if estimator.isDefined("weightCol"):
         return estimator.fit(train)
-    blocks = spread(found[0], train.sparkSession.sparkContext.defaultParallelism).persist()
+    rows = made or TreeRows(train)
     try:
-        return BinnedTrees(found[1], estimator.setWeightCol("weight").fit(blocks))
+        found = rows.get(held_out, min(BINS, estimator.getMaxBins()))
+        if found is None:
+            return estimator.fit(train)
+        return BinnedTrees(found[1], estimator.setWeightCol("weight").fit(found[0]))
     finally:
-        blocks.unpersist()
+        if made is None:
+            rows.release()
 
 
 def fit_forest(train: DataFrame, num_trees: int = 50, max_depth: int = 8,
-               max_bins: int | None = None, seed: int = 42, cache_node_ids: bool = False, **kw):
+               max_bins: int | None = None, seed: int = 42, cache_node_ids: bool = False,
+               made: TreeRows | None = None, **kw):
     """Random forest; ``max_bins`` derived from metadata when None.
 
     ``cache_node_ids`` keeps each row's current node per tree in a cached
@@ -152,11 +198,12 @@ def fit_forest(train: DataFrame, num_trees: int = 50, max_depth: int = 8,
     bins = max_bins or max_bins_for(train)
     return _fit_trees(RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees,
                                             maxDepth=max_depth, maxBins=bins, seed=seed,
-                                            cacheNodeIds=cache_node_ids, **kw), train)
+                                            cacheNodeIds=cache_node_ids, **kw), train, made=made)
 
 
 def fit_gbt(train: DataFrame, max_iter: int = 50, max_depth: int = 5,
-            max_bins: int | None = None, seed: int = 42, held_out: str | None = None, **kw):
+            max_bins: int | None = None, seed: int = 42, held_out: str | None = None,
+            made: TreeRows | None = None, **kw):
     """Gradient-boosted trees (node-id caching measured slower for
     depth-5 trees, so it is left off).  ``held_out`` names a boolean column
     of train: these rows are not fitted, and boosting stops when a round no
@@ -165,7 +212,7 @@ def fit_gbt(train: DataFrame, max_iter: int = 50, max_depth: int = 5,
     if held_out:
         kw = {"validationIndicatorCol": held_out, **kw}
     return _fit_trees(GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
-                                   maxDepth=max_depth, maxBins=bins, seed=seed, **kw), train, held_out)
+                                   maxDepth=max_depth, maxBins=bins, seed=seed, **kw), train, held_out, made)
 
 
 def timed_fit(fit, train: DataFrame, **kw):
@@ -228,24 +275,33 @@ def best_model(table: DataFrame) -> DataFrame:
 def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame,
                    forest: dict | None = None,
                    gbt: dict | None = None, linear: dict | None = None,
-                   partitions: int | None = None):
+                   partitions: int | None = None, cached: bool = True):
     """L5-L12 end to end: fit three models, score the whole test set, return
     (comparison table, {name: model}).  Train/test are cached for the
-    iterative fits and released afterwards."""
-    train = spread(train, partitions).cache()
-    test = test.cache()
-    train.count()  # materialise before timing, so no fit pays for the scan
+    iterative fits and released afterwards; ``cached=False`` is for frames
+    that read written tables, which are passed over a few times only (the
+    trees go over their cached blocks).  Both tree fits share their blocks,
+    and each one's seconds include making them."""
+    train = spread(train, partitions)
+    if cached:
+        train, test = train.cache(), test.cache()
+        train.count()  # materialise before timing, so no fit pays for the scan
+    made = TreeRows(train)
     try:
         rows, fitted = [], {}
         specs = [("Linear Regression", fit_linear, linear or {}),
-                 ("Random Forest", fit_forest, forest or {}),
-                 ("Gradient Boosted Trees", fit_gbt, gbt or {})]
+                 ("Random Forest", fit_forest, {"made": made, **(forest or {})}),
+                 ("Gradient Boosted Trees", fit_gbt, {"made": made, **(gbt or {})})]
         for name, fit, kw in specs:
+            spared = made.spared
             model, secs = timed_fit(fit, train, **kw)
+            secs += made.spared - spared
             m = regression_metrics(model.transform(test)).first()
             rows.append(comparison_row(name, m, secs))
             fitted[name] = model
         return model_comparison(spark, rows), fitted
     finally:
-        train.unpersist()
-        test.unpersist()
+        made.release()
+        if cached:
+            train.unpersist()
+            test.unpersist()

@@ -1072,7 +1072,10 @@ def _tables(spark, sf, **kw):
     """(train, test, names), written once: fits and metrics pass over them
     several times."""
     from tablework.plans import batch
-    return batch.write_model_tables(spark, SI.delay_table(spark, sf, *SI.FEATURE_INPUTS),
+    # with means, the rows are passed over once and written with their draws
+    once = kw.get("category_mode") == "mean"
+    delays = SI.delays(spark, sf).select(*SI.FEATURE_INPUTS) if once else SI.delay_table(spark, sf, *SI.FEATURE_INPUTS)
+    return batch.write_model_tables(spark, delays,
                                     shared_scratch(spark, "model"), tuple(KEYS), **kw)
 
 
@@ -1093,7 +1096,7 @@ def _fitted(spark, sf):
     at = (spark.sparkContext.applicationId, sf)
     if at not in _FITTED:
         train, test, names = _tables(spark, sf, category_mode="mean")
-        _FITTED[at] = (train, test, names, *models.compare_models(spark, train, test, forest=FOREST, gbt=GBT))
+        _FITTED[at] = (train, test, names, *models.compare_models(spark, train, test, forest=FOREST, gbt=GBT, cached=False))
     return _FITTED[at]
 
 
